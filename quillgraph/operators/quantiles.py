@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, materialize_measured
 
 _SPLITS = 256
 
@@ -78,12 +78,12 @@ def order_statistics(
         *keys, "t._name", "_n", "t._rank", F.lit(0).cast("bigint").alias("_base"),
         no_bound.alias("_lo"), no_bound.alias("_hi"), "_values",
     )
-    targets = materialize(targets, "rank-targets")
-    widest = targets.agg(F.max("_values")).first()[0] or 0
-    while widest > task_limit:
-        targets = materialize(_narrow(counts, targets, keys, value), "rank-targets")
-        widest, before = targets.agg(F.max("_values")).first()[0], widest
-        if widest >= before:
+    targets, seen = materialize_measured(targets, "rank-targets", widest=F.max("_values"))
+    while (widest := seen["widest"] or 0) > task_limit:
+        targets, seen = materialize_measured(
+            _narrow(counts, targets, keys, value), "rank-targets", widest=F.max("_values")
+        )
+        if seen["widest"] >= widest:
             break
     running = Window.partitionBy(*keys, "_name").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     found = (

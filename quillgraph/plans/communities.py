@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import top_per_key
-from ..session import materialize, materialize_measured
+from ..session import materialize
 
 
 def modularity(edges: DataFrame, assignment: DataFrame) -> DataFrame:
@@ -21,27 +21,30 @@ def modularity(edges: DataFrame, assignment: DataFrame) -> DataFrame:
     return per_community.agg((F.sum("inside") / whole - F.sum(F.col("total") ** 2) / (whole * whole)).alias("modularity"))
 
 
-def _half_sweep(edges: DataFrame, state: DataFrame, doubled: float, turn: int) -> DataFrame:
-    """Move the nodes whose turn it is to the neighbouring community with the best gain.
+def _half_sweep(edges: DataFrame, state: DataFrame, doubled: float, sweep: int, turn: int) -> DataFrame:
+    """Move nodes to the neighbouring community with the best gain, all of them at once.
 
-    ``state`` is (id, community, k) with k the weighted degree; ``doubled`` is the sum of all degrees. Half of the nodes,
-    by hash, move at a time, so that two neighbours do not just swap places.
+    ``state`` is (id, community, k) with k the weighted degree; ``doubled`` is the sum of all degrees. In every sweep a coin
+    is tossed per community, by hash: in one half its members may leave for communities of the other side, in the other half
+    it takes in. A community never loses and gains nodes at the same time, so that neighbours cannot just swap places.
     """
     placed = state.select(F.col("id").alias("dst"), F.col("community").alias("target"))
     toward = (
         edges.filter("src <> dst")
         .join(placed, "dst")
-        .groupBy(F.col("src").alias("id"), "target")
-        .agg(F.sum("w").alias("w_in"))
-        .unionAll(state.select("id", F.col("community").alias("target"), F.lit(0.0).alias("w_in")))
+        .select(F.col("src").alias("id"), "target", "w")
+        .unionAll(state.select("id", F.col("community").alias("target"), F.lit(0.0).alias("w")))
         .groupBy("id", "target")
-        .agg(F.sum("w_in").alias("w_in"))
+        .agg(F.sum("w").alias("w_in"))
     )
     totals = state.groupBy(F.col("community").alias("target")).agg(F.sum("k").alias("total"))
     stays = F.col("target") == F.col("community")
+    leaves, takes = (F.pmod(F.xxhash64(c, F.lit(sweep)), F.lit(2)) for c in ("community", "target"))
+    allowed = (leaves == turn) & (takes != turn)
     without_self = F.col("total") - F.when(stays, F.col("k")).otherwise(0.0)
     scored = (
         toward.join(state, "id")
+        .filter(stays | allowed)
         .join(totals, "target")
         .withColumn("score", F.col("w_in") - F.col("k") * without_self / F.lit(doubled))
     )
@@ -52,12 +55,11 @@ def _half_sweep(edges: DataFrame, state: DataFrame, doubled: float, turn: int) -
         F.first("k").alias("k"),
     )
     gain = -F.col("best.loss") - F.col("stay")
-    moves = (F.pmod(F.xxhash64("id"), F.lit(2)) == turn) & (gain > 1e-9)
+    moves = gain > 1e-9
     return best.select(
         "id",
         F.when(moves, F.col("best.target")).otherwise(F.col("community")).alias("community"),
         "k",
-        F.when(moves, gain).otherwise(0.0).alias("gain"),
     )
 
 
@@ -78,13 +80,27 @@ def _contract(edges: DataFrame, members: DataFrame) -> DataFrame:
     return materialize(between.select(F.col("c").alias("src"), F.col("d").alias("dst"), "w"), "louvain-edges")
 
 
-def louvain(edges: DataFrame, max_levels: int = 10, max_iterations: int = 10, tolerance: float = 1e-4) -> DataFrame:
+def _own_communities(edges: DataFrame) -> DataFrame:
+    """The state in which every node is a community of its own."""
+    degrees = edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
+    return materialize(degrees.select("id", F.col("id").alias("community"), "k"), "louvain-state")
+
+
+def louvain(
+    edges: DataFrame,
+    max_levels: int = 10,
+    max_iterations: int = 10,
+    tolerance: float = 1e-4,
+    coarse_tolerance: float = 1e-2,
+) -> DataFrame:
     """(id, community): communities of a weighted undirected graph given as rows (src, dst, w) in both directions.
 
     Each level moves nodes between communities until the gain in modularity of a sweep falls below the tolerance,
-    then makes every community a node. A level that does not raise the modularity is dropped. A community is named by
-    its smallest member.
+    then makes every community a node. Levels start with the coarse tolerance, which contracts the graph early, and
+    go on with the fine one once a level gains less than that. A level that does not raise the modularity is dropped. A
+    community is named by its smallest member.
     """
+    step = coarse_tolerance
     graph = materialize(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")), "louvain-edges")
     doubled = graph.agg(F.sum("w")).first()[0]
     if not doubled:
@@ -93,25 +109,23 @@ def louvain(edges: DataFrame, max_levels: int = 10, max_iterations: int = 10, to
     members = materialize(graph.select(F.col("src").alias("id"), F.col("src").alias("community")).distinct(), "members")
     reached = modularity(graph, members).first()["modularity"]
     for _ in range(max_levels):
-        state = materialize(
-            level_edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k")).select("id", F.col("id").alias("community"), "k"),
-            "louvain-state",
-        )
-        for _ in range(max_iterations):
-            swept = 0.0
+        best = state = _own_communities(level_edges)
+        level_reached = reached
+        for sweep in range(max_iterations):
             for turn in (0, 1):
-                state, seen = materialize_measured(
-                    _half_sweep(level_edges, state, doubled, turn), "louvain-state", gain=F.sum("gain")
-                )
-                swept += seen["gain"] or 0.0
-                state = state.drop("gain")
-            if 2.0 * swept / doubled < tolerance:
+                state = materialize(_half_sweep(level_edges, state, doubled, sweep, turn), "louvain-state")
+            now = modularity(level_edges, state).first()["modularity"]
+            gained, level_reached, best = now - level_reached, max(now, level_reached), state if now > level_reached else best
+            if gained < step:
                 break
-        candidate = materialize(_regroup(members, state), "members")
-        gained = modularity(level_edges, candidate).first()["modularity"]
-        if gained - reached < tolerance:
+        gained = level_reached - reached
+        if gained < tolerance and step == tolerance:
             break
-        reached, members = gained, candidate
+        step = tolerance if gained < coarse_tolerance else step
+        if gained <= 0:
+            continue
+        reached = level_reached
+        members = materialize(_regroup(members, best), "members")
         level_edges = _contract(level_edges, members)
     return members
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_first
 from ..operators.mentions import extract_mentions, keyword_dictionary
-from ..sources.files import path_exists, read_table, write_table
+from ..session import materialize
+from ..sources.files import read_table, write_table
 from ..sources.upsert import upsert_edges, upsert_nodes
 from .ontology import ORDERS, EdgeRule, NodeRule, Ontology
 
@@ -80,19 +81,17 @@ class Graph:
         ends = self.nodes(rule.src_label), self.nodes(rule.dst_label)
         return upsert_edges(None, self.raw_edges(type), *ends, rule.identity)
 
-    def every_link(self, types: list[str] | None = None) -> DataFrame:
-        """(src, dst) over several edge types, with ids made unique by their label: ``Patient:17``."""
-        parts = []
-        for rule in self.ontology.edges:
-            if types is None or rule.type in types:
-                rows = self.raw_edges(rule.type)
-                parts.append(
-                    rows.select(
-                        F.concat(F.lit(f"{rule.src_label}:"), F.col("src").cast("string")).alias("src"),
-                        F.concat(F.lit(f"{rule.dst_label}:"), F.col("dst").cast("string")).alias("dst"),
-                    )
-                )
-        return reduce(DataFrame.unionAll, parts)
+    def typed_links(self, types: list[str] | None = None) -> list[tuple[str, str, DataFrame]]:
+        """(source label, target label, rows of src and dst as text) per edge type, for searches over any type."""
+        return [
+            (
+                rule.src_label,
+                rule.dst_label,
+                self.raw_edges(rule.type).select(F.col("src").cast("string"), F.col("dst").cast("string")),
+            )
+            for rule in self.ontology.edges
+            if types is None or rule.type in types
+        ]
 
     def save(self, path: str, max_records_per_file: int = 0) -> None:
         """Write every node and edge table; edges whose endpoints are missing are left out."""
@@ -101,19 +100,17 @@ class Graph:
         for edge in self.ontology.edges:
             write_table(self.merged_edges(edge.type), f"{path}/edges/{edge.type}", max_records_per_file)
 
-    def merge_into(self, path: str, target: str, max_records_per_file: int = 0) -> None:
-        """Upsert this graph into the one saved at ``path`` and write the result to ``target``."""
-        if path_exists(self.nodes(self.ontology.nodes[0].label).sparkSession, target):
-            raise ValueError(f"{target} exists; a merge writes a new copy")
-        saved = load_graph(self.nodes(self.ontology.nodes[0].label).sparkSession, path, self.ontology)
+    def merge_into(self, saved: Graph, path: str, max_records_per_file: int = 0) -> None:
+        """Upsert this graph into a saved one and write the result to a new path."""
+        merged_nodes = {}
         for rule in self.ontology.nodes:
             merged = upsert_nodes(saved.nodes(rule.label), self.nodes(rule.label), "id")
-            write_table(merged, f"{target}/nodes/{rule.label}", max_records_per_file)
-        written = load_graph(saved.nodes(self.ontology.nodes[0].label).sparkSession, target, self.ontology)
+            write_table(merged, f"{path}/nodes/{rule.label}", max_records_per_file)
+            merged_nodes[rule.label] = merged.sparkSession.read.schema(merged.schema).parquet(f"{path}/nodes/{rule.label}")
         for edge in self.ontology.edges:
-            ends = written.nodes(edge.src_label), written.nodes(edge.dst_label)
+            ends = merged_nodes[edge.src_label], merged_nodes[edge.dst_label]
             merged = upsert_edges(saved.raw_edges(edge.type), self.raw_edges(edge.type), *ends, edge.identity)
-            write_table(merged, f"{target}/edges/{edge.type}", max_records_per_file)
+            write_table(merged, f"{path}/edges/{edge.type}", max_records_per_file)
 
 
 def load_graph(spark, path: str, ontology: Ontology) -> Graph:
@@ -124,11 +121,16 @@ def load_graph(spark, path: str, ontology: Ontology) -> Graph:
 def orders_graph(spark, folder: str, titles: tuple[str, str] = ("benchmark", "text")) -> Graph:
     """The graph over the order-processing tables of a folder; concepts are the words of a table of titles."""
 
+    extracted: list[DataFrame] = []
+
     def table(name: str) -> DataFrame:
         if name != "concepts":
             return read_table(spark, folder, name)
-        dictionary = keyword_dictionary(read_table(spark, folder, titles[0], titles[1]), titles[1])
-        return extract_mentions(read_table(spark, folder, "documents", "doc_id", "text"), dictionary, "doc_id", "text")
+        if not extracted:  # the texts are read once, however many nodes and edges come from them
+            dictionary = keyword_dictionary(read_table(spark, folder, titles[0], titles[1]), titles[1])
+            docs = read_table(spark, folder, "documents", "doc_id", "text")
+            extracted.append(materialize(extract_mentions(docs, dictionary, "doc_id", "text"), "concepts"))
+        return extracted[0]
 
     return Graph(ORDERS, table)
 

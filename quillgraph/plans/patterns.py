@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,50 +12,68 @@ from ..session import materialize_measured
 from .graph import Graph
 
 
-def _neighbours(frontier: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, path) one step from the frontier, in either direction; one path per node."""
-    ahead = links.join(frontier, links["src"] == frontier["node"]).select(F.col("dst").alias("next"), "path")
-    back = links.join(frontier, links["dst"] == frontier["node"]).select(F.col("src").alias("next"), "path")
-    return (
-        ahead.unionAll(back)
-        .groupBy("next")
-        .agg(F.min("path").alias("path"))
-        .select(F.col("next").alias("node"), F.concat("path", F.lit(" "), "next").alias("path"))
-    )
+TypedLinks = list[tuple[str, str, DataFrame]]
+
+
+def _seed(spark, label: str, node: str) -> DataFrame:
+    named = [F.lit(label).alias("label"), F.lit(node).alias("node"), F.lit(f"{label}:{node}").alias("path")]
+    return spark.range(1).select(*named)
 
 
-def shortest_path(links: DataFrame, start: str, goal: str, max_hops: int = 6) -> DataFrame:
+def _step(frontier: DataFrame, labels: set[str], links: TypedLinks) -> tuple[DataFrame | None, set[str]]:
+    """(label, node, path) one step away in either direction, one path per node, and the labels it can have.
+
+    Only edge types that touch a label of the frontier are read.
+    """
+    reached, found = [], set()
+    for src_label, dst_label, rows in links:
+        for here, there, from_label, to_label in (("src", "dst", src_label, dst_label), ("dst", "src", dst_label, src_label)):
+            if from_label not in labels:
+                continue
+            at = frontier.filter(F.col("label") == from_label).select(F.col("node").alias(here), "path")
+            onward = rows.join(at, here).select(F.lit(to_label).alias("label"), F.col(there).alias("node"), "path")
+            reached.append(onward)
+            found.add(to_label)
+    if not reached:
+        return None, found
+    each = reduce(DataFrame.unionAll, reached).groupBy("label", "node").agg(F.min("path").alias("path"))
+    return each.withColumn("path", F.concat_ws(" ", "path", F.concat_ws(":", "label", "node"))), found
+
+
+def shortest_path(links: TypedLinks, start: tuple[str, str], goal: tuple[str, str], max_hops: int = 6) -> DataFrame:
     """(source, target, path_length, path) of a shortest undirected path, or no row within ``max_hops``.
 
-    The search runs from both ends and always extends the smaller frontier by one step, so it touches the
-    neighbourhoods of half the distance. Frontiers are tables in the shared folder; only their sizes reach the driver.
+    Ends are (label, id). The search runs from both of them and always extends the smaller frontier by one step, so it
+    covers the neighbourhoods of half the distance. Frontiers are tables in the shared folder; only their sizes and the
+    final path reach the driver.
     """
-    spark = links.sparkSession
+    spark = links[0][2].sparkSession
+    names = [f"{label}:{node}" for label, node in (start, goal)]
     result = "source string, target string, path_length int, path string"
     if start == goal:
-        return spark.createDataFrame([(start, goal, 0, start)], result)
+        return spark.createDataFrame([(*names, 0, names[0])], result)
     sides = []
-    for end in (start, goal):
-        seed = spark.createDataFrame([(end, end)], "node string, path string")
-        sides.append({"frontier": seed, "seen": seed, "size": 1, "depth": 0})
+    for label, node in (start, goal):
+        seed = _seed(spark, label, str(node))
+        sides.append({"frontier": seed, "seen": seed, "labels": {label}, "size": 1, "depth": 0})
     while sides[0]["depth"] + sides[1]["depth"] < max_hops:
         near = min(sides, key=lambda side: side["size"])
-        far = sides[1] if near is sides[0] else sides[0]
-        step = _neighbours(near["frontier"], links).join(near["seen"].select("node"), "node", "left_anti")
-        near["frontier"], found = materialize_measured(step, "frontier", nodes=F.count(F.lit(1)))
-        near["size"] = found["nodes"]
+        step, near["labels"] = _step(near["frontier"], near["labels"], links)
+        if step is None:
+            break
+        fresh = step.join(near["seen"].select("label", "node"), ["label", "node"], "left_anti")
+        near["frontier"], counted = materialize_measured(fresh, "frontier", nodes=F.count(F.lit(1)))
+        near["size"] = counted["nodes"]
         if near["size"] == 0:
             break
         near["depth"] += 1
         near["seen"] = near["seen"].unionAll(near["frontier"])
-        met = sides[0]["frontier"].select("node", F.col("path").alias("there")).join(
-            sides[1]["frontier"].select("node", F.col("path").alias("back")), "node"
-        )
-        whole = F.concat_ws(" ", "there", F.concat_ws(" ", F.slice(F.reverse(F.split("back", " ")), 2, max_hops + 1)))
-        best = met.select(whole.alias("path")).agg(F.min("path").alias("path")).first()["path"]
+        onto, back = (side["frontier"].withColumnRenamed("path", name) for side, name in zip(sides, ("onto", "back")))
+        rest = F.slice(F.reverse(F.split("back", " ")), 2, max_hops + 1)
+        whole = F.concat_ws(" ", "onto", F.array_join(rest, " "))
+        best = onto.join(back, ["label", "node"]).agg(F.min(F.trim(whole)).alias("path")).first()["path"]
         if best is not None:
-            length = near["depth"] + far["depth"]
-            return spark.createDataFrame([(start, goal, length, best)], result)
+            return spark.createDataFrame([(*names, sides[0]["depth"] + sides[1]["depth"], best)], result)
     return spark.createDataFrame([], result)
 
 
@@ -61,7 +81,8 @@ def q1_patient_connection(
     graph: Graph, patient_a, patient_b, max_hops: int = 6, types: list[str] | None = None
 ) -> DataFrame:
     """Shortest connection of two patients over edges of any type, or of the listed ones."""
-    return shortest_path(graph.every_link(types), f"Patient:{patient_a}", f"Patient:{patient_b}", max_hops)
+    ends = ("Patient", str(patient_a)), ("Patient", str(patient_b))
+    return shortest_path(graph.typed_links(types), *ends, max_hops)
 
 
 def _top_nodes(counts: DataFrame, count: str, nodes: DataFrame, prop: str, key: str, name: str, k: int) -> DataFrame:

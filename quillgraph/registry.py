@@ -622,19 +622,19 @@ def _prescription_ranks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pagerank_bipartite(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(_prescription_ranks(spark, sf), "rank")
+    return _rounded(_prescription_ranks(spark, sf), "rank", places=9)
 
 
 def pagerank_top(spark: SparkSession, sf: str) -> DataFrame:
     drugs = read_table(spark, sf, "supplier").select(
         F.concat(F.lit("M:"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("drug")
     )
-    return _rounded(top_ranked(_prescription_ranks(spark, sf), drugs, "drug", 20), "rank")
+    return _rounded(top_ranked(_prescription_ranks(spark, sf), drugs, "drug", 20), "rank", places=9)
 
 
 def pagerank_cooccurrence(spark: SparkSession, sf: str) -> DataFrame:
     edges = both_directions(_code_edges(spark, sf, 3))
-    return _rounded(pagerank(edges.select(F.col("src").alias("id")).distinct(), edges, max_iterations=5), "rank")
+    return _rounded(pagerank(edges.select(F.col("src").alias("id")).distinct(), edges, max_iterations=5), "rank", places=9)
 
 
 def brand_modularity(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 
@@ -67,10 +67,9 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 
 
 def materialize_measured(df: DataFrame, tag: str, **metrics: Column) -> tuple[DataFrame, dict]:
-    """Like :func:`materialize`, and also return aggregates of the rows, taken while they are written."""
-    observation = Observation()
-    table = materialize(df.observe(observation, *[expr.alias(name) for name, expr in metrics.items()]), tag)
-    return table, observation.get
+    """Like :func:`materialize`, and also return aggregates of the written rows."""
+    table = materialize(df, tag)
+    return table, table.agg(*[expr.alias(name) for name, expr in metrics.items()]).first().asDict()
 
 
 def drop_materialized(df: DataFrame) -> None:
