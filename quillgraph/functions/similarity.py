@@ -67,7 +67,7 @@ def _jaro_winkler_udf():
         if not m:
             return 0.0
         matched_b = [letter for letter, hit in zip(b, taken) if hit]
-        swaps = sum(x != y for x, y in zip(matched_a, matched_b)) / 2
+        swaps = sum(x != y for x, y in zip(matched_a, matched_b)) // 2
         jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
         if jaro <= 0.7:
             return jaro

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WORD = r"[\p{L}\p{N}_]+"
-GAP = r"[^\p{L}\p{N}_]+"
-_CHUNK = 64
+NOT_WORD = r"[^\p{L}\p{N}_]"
+_CHUNK = 16
 
 
 def tokens(text: Column) -> Column:
@@ -26,34 +25,42 @@ def block_key(text: Column, length: int = 6) -> Column:
     return F.coalesce(F.substring(F.try_element_at(tokens(text), F.lit(1)), 1, length), F.lit("UNKNOWN"))
 
 
-def _running_starts(parts: Column, origin: Column) -> Column:
-    """(start, text) of every part, the first one starting at ``origin``."""
-    seed = F.struct(
-        origin.cast("int").alias("at"),
-        F.array().cast("array<struct<start:int,text:string>>").alias("done"),
-    )
+def _starts(lengths: Column) -> Column:
+    """The sum of all lengths before each one."""
+    seed = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("done"))
     return F.aggregate(
-        parts,
+        lengths,
         seed,
-        lambda acc, part: F.struct(
-            (acc["at"] + F.length(part)).cast("int").alias("at"),
-            F.concat(acc["done"], F.array(F.struct(acc["at"].alias("start"), part.alias("text")))).alias("done"),
+        lambda acc, n: F.struct(
+            (acc["at"] + n).cast("int").alias("at"), F.concat(acc["done"], F.array(acc["at"])).alias("done")
         ),
         lambda acc: acc["done"],
     )
 
 
-def text_chunks(text: Column) -> Column:
-    """The lower-case text cut, between words, into runs of at most 64 words and gaps, each with its start.
+def spaced_words(text: Column) -> Column:
+    """The lower-case text split at every character that is no part of a word.
 
-    The cut keeps the running sums of :func:`chunk_words` short, so that a long text costs time in proportion to
-    its length; offsets are 0-based characters of the whole text.
+    Each separator is exactly one character, so that joining the words by a space keeps all offsets.
     """
-    runs = F.regexp_extract_all(F.lower(text), F.lit(f"(?:{WORD}|{GAP}){{1,{_CHUNK}}}"), F.lit(0))
-    return _running_starts(runs, F.lit(0))
+    return F.split(F.regexp_replace(F.lower(text), NOT_WORD, " "), " ")
+
+
+def word_chunks(words: Column) -> Column:
+    """The words in runs of 16, each as (words, start) with the 0-based offset of its first character in the text.
+
+    Offsets of single words are sums within a run only, so a long text costs time in proportion to its length.
+    """
+    numbers = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / _CHUNK).cast("int"))
+    return F.transform(numbers, lambda c: F.slice(words, c * _CHUNK + 1, _CHUNK))
+
+
+def chunk_starts(chunks: Column) -> Column:
+    """The offset of every run of :func:`word_chunks`."""
+    return _starts(F.transform(chunks, lambda run: F.length(F.array_join(run, " ")) + 1))
 
 
-def chunk_words(chunk: Column) -> Column:
-    """(start, text) of the words of one chunk."""
-    parts = F.regexp_extract_all(chunk["text"], F.lit(f"{WORD}|{GAP}"), F.lit(0))
-    return F.filter(_running_starts(parts, chunk["start"]), lambda p: p["text"].rlike(r"^[\p{L}\p{N}_]"))
+def offset_in_chunk(chunk: Column, position: Column) -> Column:
+    """The offset, within a run, of the word at a 0-based position."""
+    before = F.length(F.array_join(F.slice(chunk, F.lit(1), position), " ")) + 1
+    return F.when(position == 0, F.lit(0)).otherwise(before)

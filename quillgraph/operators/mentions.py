@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import chunk_words, text_chunks
+from ..functions.text import chunk_starts, offset_in_chunk, spaced_words, word_chunks
 from ..session import spread
 
 MENTION_SCHEMA = "note_id string, concept_id string, name string, score double, char_start int, char_end int, entity_text string"
@@ -21,19 +21,24 @@ def keyword_dictionary(titles: DataFrame, column: str, longer_than: int = 3) ->
     return kept.select(F.concat(F.lit("W:"), "name").alias("concept_id"), "name")
 
 
-def word_positions(notes: DataFrame, id_col: str, text_col: str, longer_than: int = 3) -> DataFrame:
-    """(note_id, word, char_start, char_end): every word of every text that is long enough for a dictionary."""
-    present = notes.filter(F.length(F.trim(text_col)) > 0)
-    chunks = spread(present.select(id_col, text_col), id_col).select(
-        F.col(id_col).alias("note_id"), F.explode(text_chunks(F.col(text_col))).alias("chunk")
-    )
-    long_words = F.filter(chunk_words(F.col("chunk")), lambda w: F.length(w["text"]) > longer_than)
-    return chunks.select("note_id", F.explode(long_words).alias("w")).select(
-        "note_id",
-        F.col("w.text").alias("word"),
-        F.col("w.start").alias("char_start"),
-        (F.col("w.start") + F.length("w.text")).alias("char_end"),
+def dictionary_words(notes: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(note_id, concept_id, word, char_start): the words of every text that are names of the dictionary.
+
+    All in native columns, without a shuffle of the texts: they are cut into short runs of words whose offsets are known,
+    and a word's own offset is worked out only after the join has found it in the dictionary.
+    """
+    present = notes.filter(F.length(F.trim(text_col)) > 0).select(F.col(id_col).alias("note_id"), text_col)
+    runs = (
+        spread(present, "note_id")
+        .select("note_id", spaced_words(F.col(text_col)).alias("words"))
+        .select("note_id", word_chunks(F.col("words")).alias("runs"))
+        .select("note_id", F.explode(F.arrays_zip("runs", chunk_starts(F.col("runs")).alias("starts"))).alias("z"))
+        .select("note_id", F.col("z.runs").alias("run"), F.col("z.starts").alias("start"))
     )
+    words = runs.select("note_id", "run", "start", F.posexplode("run").alias("i", "word")).filter("word <> ''")
+    found = words.join(dictionary, F.col("word") == F.col("name"))
+    at = F.col("start") + offset_in_chunk(F.col("run"), F.col("i"))
+    return found.select("note_id", "concept_id", "word", at.cast("int").alias("char_start"))
 
 
 def extract_mentions(
@@ -52,14 +57,13 @@ def extract_mentions(
         blank_free = notes.filter(F.length(F.trim(text_col)) > 0)
         batches = blank_free.select(F.col(id_col).cast("string").alias("note_id"), F.col(text_col).alias("text"))
         return batches.mapInPandas(extractor, MENTION_SCHEMA)
-    words = word_positions(notes, id_col, text_col)
-    return words.join(dictionary, words["word"] == dictionary["name"]).select(
+    return dictionary_words(notes, dictionary, id_col, text_col).select(
         "note_id",
         "concept_id",
-        "name",
+        F.col("word").alias("name"),
         F.lit(1.0).alias("score"),
         "char_start",
-        "char_end",
+        (F.col("char_start") + F.length("word")).alias("char_end"),
         F.col("word").alias("entity_text"),
     )
 

@@ -40,27 +40,56 @@ def copy_links(df: DataFrame, id_col: str, tokens_col: str, sets: DataFrame | No
     return rows.join(reps, ["digest", "tokens"]).filter(F.col("id") != F.col("rep_id")).select("id", "rep_id")
 
 
-def _prefixes(sets: DataFrame, max_distance: float) -> DataFrame:
-    """(token, id, n): the rarest tokens of every set, as many as any similar set must share at least one of.
-
-    Two sets of similarity s share a token among the first n - ceil(s * n) + 1 of each when both are sorted by one
-    global order. With the rarest tokens first, a token that a third of all sets hold is almost never joined on.
-    """
+def _by_rarity(sets: DataFrame) -> DataFrame:
+    """(id, n, ranked): the tokens of every set, the rarest over all sets first."""
     rows = sets.select("id", "n", F.explode("tokens").alias("token"))
     frequency = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = (
-        rows.join(frequency, "token")
-        .groupBy("id", "n")
-        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("by_rarity"))
-    )
-    needed = F.ceil(F.lit(1.0 - max_distance - _MARGIN) * F.col("n"))
-    length = F.greatest(F.col("n") - F.greatest(needed, F.lit(1)) + 1, F.lit(1)).cast("int")
-    prefix = F.explode(F.slice("by_rarity", F.lit(1), length))
-    return ranked.select("id", "n", prefix.alias("p")).select(F.col("p.token").alias("token"), "id", "n")
+    ordered = F.array_sort(F.collect_list(F.struct("df", "token")))
+    ranked = rows.join(frequency, "token").groupBy("id", "n").agg(ordered.alias("by_rarity"))
+    return ranked.select("id", "n", F.col("by_rarity.token").alias("ranked"))
+
+
+def _similar_size(similarity: float) -> Column:
+    return F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb")
+
+
+def _needed_overlap(similarity: float, na: Column, nb: Column) -> Column:
+    """How many tokens two sets of sizes ``na`` and ``nb`` must share."""
+    return F.greatest(F.ceil(F.lit(similarity / (1.0 + similarity)) * (na + nb)), F.lit(1))
+
 
+def _single_keys(ranked: DataFrame, similarity: float) -> DataFrame:
+    """(key, last, id, n): the tokens among which a set must share one with any similar set; ``last`` is the position."""
+    length = F.greatest(F.col("n") - F.greatest(F.ceil(F.lit(similarity) * F.col("n")), F.lit(1)) + 1, F.lit(1))
+    prefix = F.slice("ranked", F.lit(1), length.cast("int"))
+    return ranked.select("id", "n", F.posexplode(prefix).alias("last", "key")).withColumn("last", F.col("last") + 1)
 
-def _similar_size(max_distance: float) -> Column:
-    return F.least("na", "nb") >= F.lit(1.0 - max_distance - _MARGIN) * F.greatest("na", "nb")
+
+def _double_keys(ranked: DataFrame, similarity: float, sizes: list[int]) -> DataFrame:
+    """(key, last, id, n): the pairs of tokens among which a set must share one with any similar set.
+
+    Keys also hold the sizes of both sets, so that each is met with no more tokens than a partner of that size calls for.
+    """
+    partner = F.explode(F.filter(F.array(*map(F.lit, sizes)), lambda m: F.least("n", m) >= similarity * F.greatest("n", m)))
+    facing = ranked.select("id", "n", "ranked", partner.alias("m"))
+    needed = _needed_overlap(similarity, F.col("n"), F.col("m"))
+    prefix = F.slice("ranked", F.lit(1), F.least(F.col("n") - needed + 2, F.col("n")).cast("int"))
+    first = facing.filter(needed >= 2).select("id", "n", "m", prefix.alias("p"))
+    first = first.select("id", "n", "m", "p", F.posexplode("p").alias("i", "x"))
+    second = first.select("*", F.explode(F.sequence(F.lit(0), F.size("p") - 1)).alias("j")).filter("j > i")
+    ends = F.least("n", "m"), F.greatest("n", "m")
+    key = F.concat_ws("\n", *[c.cast("string") for c in ends], "x", F.get("p", F.col("j")))
+    return second.select("id", "n", key.alias("key"), (F.col("j") + 1).alias("last"))
+
+
+def _meeting(keys: DataFrame, similarity: float, shared: int) -> DataFrame:
+    """(id_a, id_b): sets with a common key, of fitting sizes, early enough in both to reach the needed overlap."""
+    a = keys.select("key", F.col("id").alias("id_a"), F.col("n").alias("na"), F.col("last").alias("pa"))
+    b = keys.select("key", F.col("id").alias("id_b"), F.col("n").alias("nb"), F.col("last").alias("pb"))
+    needed = _needed_overlap(similarity, F.col("na"), F.col("nb"))
+    reachable = shared + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed
+    fits = (F.col("id_a") < F.col("id_b")) & _similar_size(similarity) & (needed >= shared) & reachable
+    return a.join(b, "key").filter(fits).select("id_a", "id_b")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, max_distance: float) -> DataFrame:
@@ -75,18 +104,27 @@ def _verify(pairs: DataFrame, sets: DataFrame, max_distance: float) -> DataFrame
     return measured.filter(F.col("jaccard_dist") < max_distance).drop("tokens_a", "tokens_b")
 
 
-def similar_sets(sets: DataFrame, max_distance: float) -> DataFrame:
-    """(id_a, id_b, jaccard_dist): all pairs of distinct sets closer than ``max_distance``, id_a < id_b. Exact."""
-    prefixes = _prefixes(sets, max_distance)
-    a = prefixes.select("token", F.col("id").alias("id_a"), F.col("n").alias("na"))
-    b = prefixes.select("token", F.col("id").alias("id_b"), F.col("n").alias("nb"))
-    candidates = (
-        a.join(b, "token")
-        .filter((F.col("id_a") < F.col("id_b")) & _similar_size(max_distance))
-        .select("id_a", "id_b")
-        .distinct()
-    )
-    return _verify(candidates, sets, max_distance)
+def similar_sets(sets: DataFrame, max_distance: float, short: int = 20) -> DataFrame:
+    """(id_a, id_b, jaccard_dist): all pairs of distinct sets closer than ``max_distance``, id_a < id_b. Exact.
+
+    Prefix filtering (Chaudhuri et al. 2006, Bayardo et al. 2007): two sets that must share t tokens have one in common among
+    the first n - t + 1 of each, if both are sorted by one global order. With the rarest tokens first, a token that a third
+    of all sets hold is almost never joined on. If no set has more than ``short`` tokens, the keys are pairs of tokens
+    out of the first n - t + 2 (Wang et al. 2012), of which any token, however frequent, forms many small groups.
+    """
+    similarity = 1.0 - max_distance - _MARGIN
+    ranked = materialize(_by_rarity(sets), "ranked-sets")
+    longest = ranked.agg(F.max("n")).first()[0] or 0
+    if longest > short or similarity <= 0:
+        found = _meeting(_single_keys(ranked, similarity), similarity, 1)
+    else:
+        sizes = [row["n"] for row in ranked.select("n").distinct().collect()]  # at most ``short`` values
+        found = _meeting(_double_keys(ranked, similarity, sizes), similarity, 2)
+        fewest = (1.0 + similarity) / similarity  # two sets with fewer tokens in all need to share one only
+        if min(sizes, default=1) * 2 <= fewest:
+            tiny = ranked.filter(F.col("n") < F.lit(fewest))
+            found = found.unionAll(_meeting(_single_keys(tiny, similarity), similarity, 1))
+    return _verify(found.distinct(), sets, max_distance)
 
 
 def minhash_rows(sets: DataFrame, num_tables: int, num_features: int = 1 << 18, seed: int = 42) -> DataFrame:
@@ -108,7 +146,7 @@ def similar_sets_lsh(
     num_tables: int = 5,
     num_features: int = 1 << 18,
     seed: int = 42,
-    bucket_limit: int = 5_000,
+    bucket_limit: int = 100,
 ) -> DataFrame:
     """(id_a, id_b, jaccard_dist, shared_table): pairs that share a MinHash bucket and are closer than the distance.
 
@@ -134,7 +172,7 @@ def similar_sets_lsh(
     shared = F.when(F.lit(any_crowded), F.col("slot")).otherwise(first_shared_table(F.col("ha"), F.col("hb")))
     candidates = (
         a.join(b, ["slot", "hash"])
-        .filter((F.col("id_a") < F.col("id_b")) & _similar_size(max_distance))
+        .filter((F.col("id_a") < F.col("id_b")) & _similar_size(1.0 - max_distance - _MARGIN))
         .withColumn("shared_table", shared.cast("int"))
         .filter(F.col("shared_table") == F.col("slot"))
         .select("id_a", "id_b", "shared_table")

@@ -10,8 +10,9 @@ _ITEM_NAME = "concat_ws(' ', p_name, p_brand, p_type, p_size::varchar)"
 
 
 def _token_set(text: str) -> str:
+    # The upper case of ß is SS here, as in Java and Python; upper() of some engines gives a capital ß instead.
     return (
-        f"list_sort(list_distinct(list_filter(regexp_split_to_array(upper(trim(coalesce({text}, ''))), '\\s+'), "
+        f"list_sort(list_distinct(list_filter(regexp_split_to_array(upper(replace(trim(coalesce({text}, '')), 'ß', 'ss')), '\\s+'), "
         "lambda w: w <> '')))"
     )
 
