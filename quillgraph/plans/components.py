@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize_measured
+from ..session import drop_materialized, materialize_measured
 
 
 def _toward_minimum(edges: DataFrame, keep_larger: bool) -> DataFrame:
@@ -42,13 +42,15 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     mark = None
     for _ in range(max_rounds):
         # xor of row hashes with the count: equal for equal edge sets, whatever their order
-        wide = _toward_minimum(state, keep_larger=True)
+        wide, before = _toward_minimum(state, keep_larger=True), state
         state, seen = materialize_measured(
             _toward_minimum(wide, keep_larger=False),
             "stars",
             n=F.count(F.lit(1)),
             x=F.bit_xor(F.xxhash64("hi", "lo")),
         )
+        if mark is not None:
+            drop_materialized(before)
         if (seen["n"], seen["x"]) == mark:
             break
         mark = (seen["n"], seen["x"])

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.dedup import top_per_key
 from ..session import materialize
 
 
@@ -39,8 +40,8 @@ def cooccurrence(pairs: DataFrame, min_support: int = 5, basket_limit: int = 2_0
 def _count_with_large_baskets(pairs: DataFrame, large: DataFrame, min_support: int) -> DataFrame:
     members = materialize(pairs.join(large, "src"), "large-members")
     small = _count_within(pairs.join(large, "src", "left_anti"))
-    by_size = Window.partitionBy("dst").orderBy(F.desc("size"), "src")
-    meeting = members.withColumn("_rank", F.row_number().over(by_size)).filter(F.col("_rank") >= min_support)
+    largest = top_per_key(members, ["dst"], [F.desc("size"), F.col("src")], min_support - 1).select("src", "dst")
+    meeting = members.join(largest, ["src", "dst"], "left_anti") if min_support > 1 else members
     only_large = _count_within(meeting.select("src", "dst")).select("code_a", "code_b", F.lit(0).alias("co_count"))
     candidates = materialize(
         small.unionAll(only_large).groupBy("code_a", "code_b").agg(F.sum("co_count").alias("small_count")),

@@ -182,8 +182,9 @@ def train_matcher(
     assembler = VectorAssembler(inputCols=columns, outputCol="features_vec")
     forest = RandomForestClassifier(featuresCol="features_vec", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed)
     model = Pipeline(stages=[assembler, forest]).fit(train)
-    predicted = model.transform(test).select("label", "rawPrediction", "prediction")
-    auc = BinaryClassificationEvaluator(labelCol="label").evaluate(predicted)
+    chance = F.get(vector_to_array("probability"), F.lit(1)).alias("chance")
+    predicted = materialize(model.transform(test).select("label", chance, "prediction"), "predicted")
+    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="chance").evaluate(predicted)
     metrics = weighted_scores(predicted, "label", "prediction").select(
         F.lit(entity_type).alias("entity_type"),
         F.lit(seen["positives"]).cast("bigint").alias("positives"),
