@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.codes import code_chapter
-from .functions.similarity import levenshtein_similarity, same_first_word, token_jaccard, with_jaro_winkler
+from .functions.similarity import levenshtein_similarity, token_jaccard, with_jaro_winkler
 from .functions.text import block_key, token_set
 from .functions.times import event_time
 from .operators import joins

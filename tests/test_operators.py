@@ -127,6 +127,13 @@ def test_join_variants_agree_on_a_hot_key(spark):
         assert sorted(map(tuple, df.select("k", "row", "v").collect())) == plain
 
 
+def test_broadcast_is_measured(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array(F.lit(1.5)).alias("v"))
+    assert joins.fits_broadcast(df) and joins.fits_broadcast(df.limit(0))
+    assert not joins.fits_broadcast(df, row_limit=99)
+    assert not joins.fits_broadcast(df, byte_limit=50_000)
+
+
 def test_all_layouts_of_the_registered_join_agree(spark, sf):
     keys = ["join_agg_default", "join_agg_broadcast", "join_agg_hash", "join_agg_coalesce", "join_agg_range", "join_salted"]
     results = [sorted(map(tuple, QUERIES[k](spark, sf).collect())) for k in keys]
