@@ -61,17 +61,25 @@ class Graph:
         rule = self.ontology.edge(type)
         return edge_rows(rule, self._tables(rule.table), self.ontology.node(rule.dst_label).drop_keys)
 
-    def links(self, type: str) -> DataFrame:
-        """One row per edge, without the properties that do not identify it."""
+    def links(self, type: str, near: DataFrame | None = None) -> DataFrame:
+        """One row per edge, without the properties that do not identify it.
+
+        With ``near``, only edges of its ``src`` nodes: the others are dropped before duplicates are merged, so a query
+        around a few nodes shuffles their edges only.
+        """
         rule = self.ontology.edge(type)
-        rows = self.raw_edges(type).select("src", "dst", *rule.identity)
+        rows = self._around(type, near).select("src", "dst", *rule.identity)
         return rows if self._loaded else rows.distinct()
 
-    def pairs(self, type: str) -> DataFrame:
-        """Distinct (src, dst): which nodes are connected at all."""
-        rows = self.raw_edges(type).select("src", "dst")
+    def pairs(self, type: str, near: DataFrame | None = None) -> DataFrame:
+        """Distinct (src, dst): which nodes are connected at all; ``near`` as in :meth:`links`."""
+        rows = self._around(type, near).select("src", "dst")
         return rows if self._loaded and not self.ontology.edge(type).identity else rows.distinct()
 
+    def _around(self, type: str, near: DataFrame | None) -> DataFrame:
+        rows = self.raw_edges(type)
+        return rows if near is None else rows.join(near.select("src"), "src", "left_semi")
+
     def merged_edges(self, type: str) -> DataFrame:
         """Edges as an upsert leaves them: endpoints exist, unique by endpoints and identity."""
         rule = self.ontology.edge(type)

@@ -120,12 +120,13 @@ def q3_similar_cohort(graph: Graph, admission, threshold: float = 0.4, top_k: in
 
     Only admissions that share a code with it are looked at, and only their set sizes are counted.
     """
-    pairs = graph.pairs("HAS_DIAGNOSIS")
-    wanted = pairs.filter(F.col("src") == F.lit(admission)).select("dst")
+    edges = graph.raw_edges("HAS_DIAGNOSIS").select("src", "dst")
+    wanted = edges.filter(F.col("src") == F.lit(admission)).select("dst").distinct()
     size = wanted.agg(F.count(F.lit(1)).alias("ref_size"))
-    others = pairs.filter(F.col("src") != F.lit(admission))
-    shared = others.join(wanted, "dst", "left_semi").groupBy("src").agg(F.count(F.lit(1)).alias("shared"))
-    sizes = others.join(shared, "src").groupBy("src", "shared").agg(F.count(F.lit(1)).alias("size"))
+    others = edges.filter(F.col("src") != F.lit(admission))
+    meeting = others.join(wanted, "dst", "left_semi").distinct()
+    shared = meeting.groupBy("src").agg(F.count(F.lit(1)).alias("shared"))
+    sizes = others.join(shared, "src").distinct().groupBy("src", "shared").agg(F.count(F.lit(1)).alias("size"))
     scored = sizes.withColumn("ref_size", F.lit(size.first()["ref_size"])).select(
         F.col("src").alias("admission"),
         (F.col("shared") / (F.col("size") + F.col("ref_size") - F.col("shared"))).alias("jaccard"),
@@ -137,8 +138,7 @@ def q4_medication_diagnoses(graph: Graph, medication, title: str, top_k: int = 1
     """(code, title, co_count): diagnoses on the admissions that got a medication."""
     stays = graph.pairs("PRESCRIBED").filter(F.col("dst") == F.lit(medication)).select("src")
     counts = (
-        graph.links("HAS_DIAGNOSIS")
-        .join(stays, "src", "left_semi")
+        graph.links("HAS_DIAGNOSIS", near=stays)
         .groupBy(F.col("dst").alias("id"))
         .agg(F.count(F.lit(1)).alias("co_count"))
     )
@@ -157,7 +157,7 @@ def q5_top_drugs(graph: Graph, diagnosis, name: str, top_k: int = 10) -> DataFra
         .agg(F.count(F.lit(1)).alias("weight"))
     )
     counts = (
-        graph.pairs("PRESCRIBED")
+        graph.pairs("PRESCRIBED", near=stays)
         .join(stays, "src")
         .groupBy(F.col("dst").alias("id"))
         .agg(F.sum("weight").alias("rx_count"))
@@ -183,8 +183,9 @@ def patient_subgraph(graph: Graph, patient, title: str, drug: str, limit: int |
     """(src, adm, diag, med) rows around one patient, with readable node names; ``med`` may be null."""
     stays = graph.pairs("HAS_ADMISSION").filter(F.col("src") == F.lit(patient))
     stays = stays.select(F.col("src").alias("patient"), F.col("dst").alias("admission"))
-    dx = graph.pairs("HAS_DIAGNOSIS").select(F.col("src").alias("admission"), F.col("dst").alias("diagnosis"))
-    rx = graph.pairs("PRESCRIBED").select(F.col("src").alias("admission"), F.col("dst").alias("medication"))
+    near = stays.select(F.col("admission").alias("src"))
+    dx = graph.pairs("HAS_DIAGNOSIS", near).select(F.col("src").alias("admission"), F.col("dst").alias("diagnosis"))
+    rx = graph.pairs("PRESCRIBED", near).select(F.col("src").alias("admission"), F.col("dst").alias("medication"))
     titles = graph.nodes("Diagnosis").select(F.col("id").alias("diagnosis"), F.col(title).alias("title"))
     drugs = graph.nodes("Medication").select(F.col("id").alias("medication"), F.col(drug).alias("drug"))
     rows = (
