@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_duplicates
+from .jaccard_join import jaccard_components
 from .packing import pack_documents
+from .substring_dedup import repeated_passages
 from .token_counts import context_limits, encoded_lengths, length_histogram
 from .vptree import nearest_vectors
 
@@ -19,6 +21,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -31,14 +38,21 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_pack": op7_pack,
     "op8_token_counts": op8_token_counts,
     "op9_nearest": op9_nearest,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE = {
     "op1_exact_dedup": f"""
@@ -47,6 +61,49 @@ ORACLE = {
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM d WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op5_substring_dedup": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+        w AS (
+            SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS p, len(ws) AS n FROM d WHERE len(ws) > 0
+        ), s AS (
+            SELECT *, CASE WHEN p + 13 <= n THEN string_agg(word, ' ') OVER (
+                PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) END AS passage
+            FROM w
+        ), f AS (
+            SELECT *, passage IS NOT NULL AND min(doc_id) OVER (PARTITION BY passage) < doc_id AS later FROM s
+        ), c AS (
+            SELECT *, bool_or(later) OVER (
+                PARTITION BY doc_id ORDER BY p ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone
+            FROM f
+        ), k AS (
+            SELECT doc_id, count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
+                   coalesce(string_agg(word, ' ' ORDER BY p) FILTER (WHERE NOT gone), '') AS kept
+            FROM c GROUP BY doc_id
+        )
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)
+    """,
+    "op10_jaccard_join": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents
+        ), w AS (
+            SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS p, len(ws) AS n FROM d WHERE len(ws) > 0
+        ), g AS (
+            SELECT doc_id, p, n, string_agg(word, ' ') OVER (
+                PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS shingle
+            FROM w
+        ), s AS (SELECT DISTINCT doc_id, shingle FROM g WHERE p = 0 OR p + 4 <= n),
+        z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        o AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+            FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+        ), e AS (
+            SELECT x, y FROM o JOIN z a ON a.doc_id = x JOIN z b ON b.doc_id = y
+            WHERE 100 * common >= 85 * (a.n + b.n - common)
+        ), r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+        SELECT d.doc_id, coalesce(max(z.n), 0) AS n_shingles, min(r.y) AS component_id
+        FROM d JOIN r ON r.x = d.doc_id LEFT JOIN z ON z.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
     "op9_nearest": """
         WITH v AS (
             SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
