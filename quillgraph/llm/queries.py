@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_duplicates
 from .jaccard_join import jaccard_components
 from .packing import pack_documents
+from .suffix_dedup import repeated_strings
 from .substring_dedup import repeated_passages
 from .token_counts import context_limits, encoded_lengths, length_histogram
 from .vptree import nearest_vectors
@@ -21,6 +22,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_strings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_passages(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -44,6 +50,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_pack": op7_pack,
     "op8_token_counts": op8_token_counts,
