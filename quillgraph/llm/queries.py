@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from .exact_dedup import exact_duplicates
 from .jaccard_join import jaccard_components
 from .packing import pack_documents
+from .quality import classify_quality
 from .suffix_dedup import repeated_strings
+from .sentencepiece_fst import encode_texts
 from .substring_dedup import repeated_passages
 from .token_counts import context_limits, encoded_lengths, length_histogram
 from .vptree import nearest_vectors
+from .warc import derive_records, response_records
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +25,14 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive_records(response_records(table(spark, sf_dir, "pages")))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_strings(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -32,6 +43,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -50,8 +65,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_warc": op2_warc,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_quality": op6_quality,
     "op7_pack": op7_pack,
     "op8_token_counts": op8_token_counts,
     "op9_nearest": op9_nearest,
