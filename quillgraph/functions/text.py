@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 NOT_WORD = r"[^\p{L}\p{N}_]"
 _CHUNK = 16
+_GROUP = 256
 
 
 def tokens(text: Column) -> Column:
@@ -56,8 +57,18 @@ def word_chunks(words: Column) -> Column:
 
 
 def chunk_starts(chunks: Column) -> Column:
-    """The offset of every run of :func:`word_chunks`."""
-    return _starts(F.transform(chunks, lambda run: F.length(F.array_join(run, " ")) + 1))
+    """The offset of every run of :func:`word_chunks`.
+
+    Lengths are summed over groups of 256 runs first, so a long text does not copy one long array for every run.
+    """
+    lengths = F.transform(chunks, lambda run: F.length(F.array_join(run, " ")) + 1)
+    groups = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.floor((F.size(lengths) - 1) / _GROUP), F.lit(0)).cast("int")),
+        lambda g: F.slice(lengths, g * _GROUP + 1, _GROUP),
+    )
+    sums = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda s, n: (s + n).cast("int")))
+    parts = F.zip_with(groups, _starts(sums), lambda g, at: F.transform(_starts(g), lambda s: s + at))
+    return F.flatten(parts)
 
 
 def offset_in_chunk(chunk: Column, position: Column) -> Column:

@@ -5,40 +5,105 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import chunk_starts, offset_in_chunk, spaced_words, word_chunks
-from ..session import spread
+from ..functions.text import NOT_WORD, chunk_starts, offset_in_chunk, spaced_words, word_chunks
+from ..session import materialize
 
 MENTION_SCHEMA = "note_id string, concept_id string, name string, score double, char_start int, char_end int, entity_text string"
+_WORD = r"[\p{L}\p{N}_]"
 
 
 def keyword_dictionary(titles: DataFrame, column: str, longer_than: int = 3) -> DataFrame:
-    """(concept_id, name): the distinct plain words of the titles that are longer than three letters."""
+    """(concept_id, name): the distinct words of the titles, split at white space, that are longer than three characters."""
     words = titles.select(F.explode(F.split(F.lower(column), r"\s+")).alias("name"))
-    kept = words.filter((F.length("name") > longer_than) & F.col("name").rlike("^[a-z]+$")).distinct()
+    kept = words.filter(F.length("name") > longer_than).distinct()
     return kept.select(F.concat(F.lit("W:"), "name").alias("concept_id"), "name")
 
 
+def _is_word(character: Column) -> Column:
+    return F.coalesce(character.rlike(f"^{_WORD}$"), F.lit(False))
+
+
+def _anchored(dictionary: DataFrame) -> DataFrame:
+    """The dictionary with the first run of word characters of every name, and where in the name it is.
+
+    A name without word characters can only stand between two words, so its anchor is empty and its place is 0.
+    """
+    anchor = F.regexp_extract("name", f"({_WORD}+)", 1)
+    return dictionary.withColumns({"anchor": anchor, "shift": F.greatest(F.instr(F.col("name"), anchor) - 1, F.lit(0))})
+
+
+def _between_words(name: Column, text: Column, start: Column) -> Column:
+    """Whether a name stands at a 0-based place with a change between word and other characters at both of its ends."""
+    end = start + F.length(name)
+    whole = (start >= 0) & (F.substring(text, start + 1, F.length(name)) == name)
+    before = F.when(start > 0, F.substring(text, start, F.lit(1))).otherwise("")
+    first, last = F.substring(name, 1, 1), F.substring(name, -1, 1)
+    return whole & (_is_word(before) != _is_word(first)) & (_is_word(last) != _is_word(F.substring(text, end + 1, F.lit(1))))
+
+
+def _without_overlaps(found: DataFrame) -> DataFrame:
+    """Of the places of one name in one note, from the left those that do not overlap one that is kept."""
+    key = ["note_id", "concept_id", "word"]
+    size = F.length("word")
+    places = found.groupBy(*key).agg(F.array_sort(F.collect_set("char_start")).alias("places"))
+    kept = F.aggregate(
+        "places",
+        F.array().cast("array<int>"),
+        lambda done, at: F.when(
+            (F.size(done) == 0) | (at >= F.element_at(done, -1) + size), F.concat(done, F.array(at))
+        ).otherwise(done),
+    )
+    return places.select(*key, F.explode(kept).alias("char_start"))
+
+
 def dictionary_words(notes: DataFrame, dictionary: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(note_id, concept_id, word, char_start): the words of every text that are names of the dictionary.
+    """(note_id, concept_id, word, char_start): where the names of the dictionary stand in every text as whole words.
 
-    All in native columns, without a shuffle of the texts: they are cut into short runs of words whose offsets are known,
-    and a word's own offset is worked out only after the join has found it in the dictionary.
+    Texts are cut into short runs of words whose offsets are known, without a shuffle of the texts, and a word's own
+    offset is worked out only after the join has found it. A name of word characters only is found by its one word. Any
+    other is looked for where its first word is found, or, if it has none, between two words; those places alone
+    meet their text again, in which the name and the characters around it are compared. The dictionary is written
+    out first, so that the join can split the rows of a frequent word over tasks.
     """
-    present = notes.filter(F.length(F.trim(text_col)) > 0).select(F.col(id_col).alias("note_id"), text_col)
+    names = materialize(_anchored(dictionary.select("concept_id", "name")), "dictionary")
+    present = notes.filter(F.length(F.trim(text_col)) > 0).select(F.col(id_col).alias("note_id"), F.col(text_col).alias("text"))
     runs = (
-        spread(present, "note_id")
-        .select("note_id", spaced_words(F.col(text_col)).alias("words"))
+        present.select("note_id", spaced_words(F.col("text")).alias("words"))
         .select("note_id", word_chunks(F.col("words")).alias("runs"))
         .select("note_id", F.explode(F.arrays_zip("runs", chunk_starts(F.col("runs")).alias("starts"))).alias("z"))
         .select("note_id", F.col("z.runs").alias("run"), F.col("z.starts").alias("start"))
     )
-    words = runs.select("note_id", "run", "start", F.posexplode("run").alias("i", "word")).filter("word <> ''")
-    found = words.join(dictionary, F.col("word") == F.col("name"))
-    at = F.col("start") + offset_in_chunk(F.col("run"), F.col("i"))
-    return found.select("note_id", "concept_id", "word", at.cast("int").alias("char_start"))
+    words = runs.select("note_id", "run", "start", F.posexplode("run").alias("i", "anchor")).filter("anchor <> ''")
+    at = (F.col("start") + offset_in_chunk(F.col("run"), F.col("i"))).cast("int")
+    met = words.join(names.filter("anchor <> ''"), "anchor")
+    plain = F.col("name") == F.col("anchor")
+    found = met.filter(plain).select("note_id", "concept_id", F.col("name").alias("word"), at.alias("char_start"))
+    if names.filter(~plain).isEmpty():
+        return found
+    texts = present.select("note_id", F.lower("text").alias("text"))
+    inner = met.filter(~plain).select("note_id", "concept_id", "name", (at - F.col("shift")).cast("int").alias("char_start"))
+    inner = inner.join(texts, "note_id").filter(_between_words(F.col("name"), F.col("text"), F.col("char_start")))
+    odd = inner.select("note_id", "concept_id", F.col("name").alias("word"), "char_start")
+    if not names.filter("anchor = ''").isEmpty():
+        odd = odd.unionByName(_between(texts, names.filter("anchor = ''")))
+    return found.unionByName(_without_overlaps(odd))
+
+
+def _between(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """Names without word characters: they are whole separators between two words of a text."""
+    seps = F.regexp_extract_all("text", F.lit(f"(?<={_WORD})({NOT_WORD}+)(?={_WORD})"), F.lit(1))
+    held = texts.select("note_id", "text", F.explode(F.array_distinct(seps)).alias("name")).join(names, "name")
+    pieces = F.split(F.col("text"), F.concat(F.lit(f"(?<={_WORD})\\Q"), "name", F.lit(f"\\E(?={_WORD})")))
+    size = F.length("name")
+    ends = F.transform(
+        F.sequence(F.lit(1), F.size(pieces) - 1),
+        lambda k: F.length(F.array_join(F.slice(pieces, F.lit(1), k), "")) + (k - 1) * size,
+    )
+    placed = held.select("note_id", "concept_id", F.col("name").alias("word"), F.explode(ends).alias("char_start"))
+    return placed.withColumn("char_start", F.col("char_start").cast("int"))
 
 
 def extract_mentions(
@@ -50,6 +115,9 @@ def extract_mentions(
 ) -> DataFrame:
     """Whole-word mentions of dictionary names with 0-based offsets, the end exclusive. Blank notes give none.
 
+    A name is mentioned where the lower-case text has it between word boundaries: at both of its ends a word character
+    meets one that is none, or the edge of the text.
+
     ``extractor`` replaces the dictionary by a model: it gets an iterator over batches with columns ``note_id`` and
     ``text`` once per partition, so that it can load its model once, and yields batches of ``MENTION_SCHEMA``.
     """

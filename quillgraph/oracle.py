@@ -65,7 +65,7 @@ scored AS (
 _DICT = r"""dict AS (
   SELECT DISTINCT w AS name, 'W:' || w AS concept_id
   FROM (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS w FROM benchmark)
-  WHERE length(w) > 3 AND regexp_full_match(w, '[a-z]+'))"""
+  WHERE length(w) > 3)"""
 
 _WORDS = r"""pieces AS (
   SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i
@@ -74,11 +74,33 @@ words AS (
   SELECT doc_id, piece, (sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i) - length(piece))::bigint AS char_start
   FROM pieces)"""
 
+
+def _is_word(character: str) -> str:
+    return f"coalesce(regexp_full_match({character}, '[\\p{{L}}\\p{{N}}_]'), false)"
+
+
+def _places(names: str, prefix: str) -> str:
+    """Where names stand between word boundaries: those of one word by that word, the others by splitting the text."""
+    return f"""{prefix}_odd AS (
+  SELECT doc_id, name, t, unnest(p) AS part, generate_subscripts(p, 1) AS i, len(p) AS n FROM (
+    SELECT doc_id, name, lower(text) AS t, string_split(lower(text), name) AS p
+    FROM documents JOIN {names} ON NOT regexp_full_match(name, '[\\p{{L}}\\p{{N}}_]+') AND contains(lower(text), name))),
+{prefix}_odd_at AS (
+  SELECT doc_id, name, t, i, n, (sum(length(part) + length(name)) OVER (PARTITION BY doc_id, name ORDER BY i))::bigint
+    - length(name) AS char_start FROM {prefix}_odd),
+{prefix} AS (
+  SELECT doc_id, name, char_start FROM words JOIN {names} ON piece = name
+  UNION ALL SELECT doc_id, name, char_start FROM {prefix}_odd_at
+  WHERE i < n AND {_is_word('left(name, 1)')} <> (char_start > 0 AND {_is_word('substr(t, char_start, 1)')})
+    AND {_is_word('right(name, 1)')} <> {_is_word('substr(t, char_start + length(name) + 1, 1)')})"""
+
+
 _MENTIONS = f"""{_DICT},
 {_WORDS},
+{_places('dict', 'places')},
 mentions AS (
-  SELECT doc_id AS note_id, concept_id, name, char_start, char_start + length(piece) AS char_end, piece AS entity_text
-  FROM words JOIN dict ON piece = name)"""
+  SELECT doc_id AS note_id, concept_id, name, char_start, char_start + length(name) AS char_end, name AS entity_text
+  FROM places JOIN dict USING (name))"""
 
 _DX = "dx AS (SELECT DISTINCT l_orderkey AS src, l_partkey AS dst FROM lineitem)"
 _DXE = "dxe AS (SELECT DISTINCT l_orderkey AS src, l_partkey AS dst, l_linenumber AS seq_num FROM lineitem)"
@@ -391,10 +413,10 @@ SELECT (SELECT count(*) FROM documents) AS notes, count(*) AS mentions,
   round(count(*)::double / (SELECT count(*) FROM documents), 6) AS avg_mentions FROM mentions""",
     "span_f1": f"""WITH {_MENTIONS},
 guess_dict AS (SELECT name FROM dict WHERE length(name) > 6
-  UNION SELECT w FROM (SELECT unnest(regexp_split_to_array(lower(p_name), '\\s+')) AS w FROM part)
-  WHERE length(w) > 3 AND regexp_full_match(w, '[a-z]+')),
+  UNION SELECT w FROM (SELECT unnest(regexp_split_to_array(lower(p_name), '\\s+')) AS w FROM part) WHERE length(w) > 3),
+{_places('guess_dict', 'guessed')},
 g AS (SELECT DISTINCT note_id, char_start, char_end FROM mentions),
-p AS (SELECT DISTINCT doc_id AS note_id, char_start, char_start + length(piece) AS char_end FROM words JOIN guess_dict ON piece = name),
+p AS (SELECT DISTINCT doc_id AS note_id, char_start, char_start + length(name) AS char_end FROM guessed),
 c AS (SELECT count(*) FILTER (a AND b) AS tp, count(*) FILTER (a AND NOT b) AS fp, count(*) FILTER (b AND NOT a) AS fn
   FROM (SELECT p.note_id IS NOT NULL AS a, g.note_id IS NOT NULL AS b FROM p FULL JOIN g USING (note_id, char_start, char_end))),
 s AS (SELECT *, tp / (tp + fp + 1e-9) AS precision, tp / (tp + fn + 1e-9) AS recall FROM c)

@@ -149,9 +149,8 @@ def test_null_profile(spark):
 def test_mentions_have_exact_offsets(spark):
     texts = ["Heart failure; HEART\n\nfailures heart_failure été heart", "   ", None, "heart", "x" * 50 + " " + "heart, " * 200]
     notes = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
-    titles = spark.createDataFrame([("heart failure of it",), ("2nd Heart's",)], "t string")
+    titles = spark.createDataFrame([("heart failure of it",)], "t string")
     dictionary = keyword_dictionary(titles, "t")
-    assert {r["name"] for r in dictionary.collect()} == {"heart", "failure"}
     rows = extract_mentions(notes, dictionary, "id", "text").collect()
     assert all(texts[r["note_id"]][r["char_start"] : r["char_end"]].lower() == r["name"] for r in rows)
     per_note = {i: sum(r["note_id"] == i for r in rows) for i in range(5)}
@@ -160,6 +159,43 @@ def test_mentions_have_exact_offsets(spark):
     assert (summary["notes"], summary["mentions"], summary["avg_mentions"]) == (5, 205, 41.0)
 
 
+def test_mentions_of_any_word_of_the_titles(spark):
+    """Every word longer than three characters is a name, and is found as a search between word boundaries finds it."""
+    import re
+
+    titles = "été12 heart's non-st b12a (acute failure, ---- ab--ab heart ÉTÉS a+b+c .... x-x-x-x"
+    names = {w for w in titles.lower().split() if len(w) > 3}
+    texts = [
+        "Heart's non-st b12a (acute x(acute failure, failure,x a----b ---- ab--ab--ab étés a+b+c 1.... x....y",
+        "heart non-sta non-st. NON-ST heart's. b12ab a....b....c x-x-x-x-x-x-x-x ab--ab ab--ab",
+        "----", "", "x----", "a----b----c", "été12", "Étés-été12 failure,2failure,3", "\n(acute\n1(acute",
+    ]
+    notes = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    dictionary = keyword_dictionary(spark.createDataFrame([(titles,)], "t string"), "t")
+    assert {r["name"] for r in dictionary.collect()} == names
+    rows = extract_mentions(notes, dictionary, "id", "text").collect()
+    expected = {
+        (i, name, m.start(), m.end())
+        for i, text in enumerate(texts)
+        for name in names
+        for m in re.finditer(r"\b" + re.escape(name) + r"\b", text.lower())
+    }
+    assert {(r["note_id"], r["name"], r["char_start"], r["char_end"]) for r in rows} == expected and len(rows) == len(expected)
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    import time
+
+    took = []
+    for words in (100_000, 100_000, 800_000):
+        notes = spark.range(1).select("id", F.concat(F.repeat(F.lit("word "), words), F.lit("heart")).alias("text"))
+        started = time.perf_counter()
+        row = extract_mentions(notes, keyword_dictionary(spark.createDataFrame([("heart",)], "t string"), "t"), "id", "text").first()
+        took.append(time.perf_counter() - started)
+        assert row["char_start"] == 5 * words
+    assert took[2] < 16 * took[1] + 3
+
+
 def test_extractor_hook_runs_per_partition(spark):
     def shout(batches):
         import pandas as pd
