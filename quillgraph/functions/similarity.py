@@ -16,8 +16,9 @@ def _zero_if_blank(a: Column, b: Column, value: Column) -> Column:
 
 def levenshtein_similarity(a: Column, b: Column) -> Column:
     """1 minus the edit distance over the length of the longer string, ignoring case."""
-    longest = F.greatest(F.length(a), F.length(b))
-    return _zero_if_blank(a, b, 1.0 - F.levenshtein(F.upper(a), F.upper(b)) / longest)
+    upper_a, upper_b = F.upper(a), F.upper(b)
+    longest = F.greatest(F.length(upper_a), F.length(upper_b))  # upper case may be longer than the text
+    return _zero_if_blank(a, b, 1.0 - F.levenshtein(upper_a, upper_b) / longest)
 
 
 def set_jaccard(left: Column, right: Column) -> Column:
@@ -33,10 +34,10 @@ def token_jaccard(a: Column, b: Column) -> Column:
 
 
 def same_prefix(a: Column, b: Column, length: int, strip: str | None = None) -> Column:
-    """1.0 where two codes agree in their first characters, after removing the characters in ``strip``."""
+    """1.0 where two codes agree in their first characters, after removing the characters in ``strip``; 0.0 if one is null."""
     if strip:
         a, b = (F.regexp_replace(side, f"[{strip}]", "") for side in (a, b))
-    return (F.substring(a, 1, length) == F.substring(b, 1, length)).cast("double")
+    return F.coalesce((F.substring(a, 1, length) == F.substring(b, 1, length)).cast("double"), F.lit(0.0))
 
 
 def same_first_word(a: Column, b: Column) -> Column:

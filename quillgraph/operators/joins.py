@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,20 +14,23 @@ BROADCAST_BYTE_LIMIT = 256 << 20
 
 
 def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, byte_limit: int = BROADCAST_BYTE_LIMIT) -> bool:
-    """True if a measurement shows that a table is within both limits; it reads no more than ``row_limit`` rows."""
+    """True if a count of its rows and bytes, made where they lie, shows that a table is within both limits."""
     fixed = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
     widths = [
         F.lit(16) if kind in fixed else F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
         for name, kind in df.dtypes
     ]
     width = sum(widths[1:], widths[0])
-    seen = df.limit(row_limit + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
     return seen["rows"] <= row_limit and (seen["bytes"] or 0) <= byte_limit
 
 
 def broadcast_join(small: DataFrame, big: DataFrame, key: str, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Inner join that broadcasts ``small`` if it was measured to be small, else lets Spark choose."""
-    return big.join(F.broadcast(small) if fits_broadcast(small, row_limit) else small, key)
+    """Inner join that broadcasts ``small`` if it was measured to be small. If not, it says so and lets Spark choose."""
+    if fits_broadcast(small, row_limit):
+        return big.join(F.broadcast(small), key)
+    warnings.warn(f"a side of over {row_limit} rows is joined by a shuffle instead of a broadcast", stacklevel=2)
+    return big.join(small, key)
 
 
 def repartitioned_join(left: DataFrame, right: DataFrame, key: str, partitions: int) -> DataFrame:

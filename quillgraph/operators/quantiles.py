@@ -84,7 +84,7 @@ def order_statistics(
             _narrow(counts, targets, keys, value), "rank-targets", widest=F.max("_values")
         )
         if seen["widest"] >= widest:
-            break
+            raise RuntimeError(f"a range of {widest} values cannot be narrowed to {task_limit}")
     running = Window.partitionBy(*keys, "_name").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     found = (
         counts.join(targets, keys)

@@ -43,7 +43,7 @@ def copy_links(df: DataFrame, id_col: str, tokens_col: str, sets: DataFrame | No
 def _by_rarity(sets: DataFrame) -> DataFrame:
     """(id, n, ranked): the tokens of every set, the rarest over all sets first."""
     rows = sets.select("id", "n", F.explode("tokens").alias("token"))
-    frequency = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    frequency = materialize(rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "token-counts")
     ordered = F.array_sort(F.collect_list(F.struct("df", "token")))
     ranked = rows.join(frequency, "token").groupBy("id", "n").agg(ordered.alias("by_rarity"))
     return ranked.select("id", "n", F.col("by_rarity.token").alias("ranked"))
@@ -82,13 +82,17 @@ def _double_keys(ranked: DataFrame, similarity: float, sizes: list[int]) -> Data
     return second.select("id", "n", key.alias("key"), (F.col("j") + 1).alias("last"))
 
 
-def _meeting(keys: DataFrame, similarity: float, shared: int) -> DataFrame:
-    """(id_a, id_b): sets with a common key, of fitting sizes, early enough in both to reach the needed overlap."""
+def _meeting(keys: DataFrame, similarity: float, shared: int, longer_than: int = 0) -> DataFrame:
+    """(id_a, id_b): sets with a common key, of fitting sizes, early enough in both to reach the needed overlap.
+
+    One of the two at least must have more than ``longer_than`` tokens.
+    """
     a = keys.select("key", F.col("id").alias("id_a"), F.col("n").alias("na"), F.col("last").alias("pa"))
     b = keys.select("key", F.col("id").alias("id_b"), F.col("n").alias("nb"), F.col("last").alias("pb"))
     needed = _needed_overlap(similarity, F.col("na"), F.col("nb"))
     reachable = shared + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed
-    fits = (F.col("id_a") < F.col("id_b")) & _similar_size(similarity) & (needed >= shared) & reachable
+    long_enough = F.greatest("na", "nb") > longer_than
+    fits = (F.col("id_a") < F.col("id_b")) & _similar_size(similarity) & (needed >= shared) & reachable & long_enough
     return a.join(b, "key").filter(fits).select("id_a", "id_b")
 
 
@@ -109,22 +113,24 @@ def similar_sets(sets: DataFrame, max_distance: float, short: int = 20) -> DataF
 
     Prefix filtering (Chaudhuri et al. 2006, Bayardo et al. 2007): two sets that must share t tokens have one in common among
     the first n - t + 1 of each, if both are sorted by one global order. With the rarest tokens first, a token that a third
-    of all sets hold is almost never joined on. If no set has more than ``short`` tokens, the keys are pairs of tokens
-    out of the first n - t + 2 (Wang et al. 2012), of which any token, however frequent, forms many small groups.
+    of all sets hold is almost never joined on. Two sets of up to ``short`` tokens meet by pairs of tokens out of the first
+    n - t + 2 (Wang et al. 2012), of which any token, however frequent, forms many small groups; a longer set meets any
+    other by single tokens. Which keys a set has depends on its own size alone.
     """
     similarity = 1.0 - max_distance - _MARGIN
     ranked = materialize(_by_rarity(sets), "ranked-sets")
-    longest = ranked.agg(F.max("n")).first()[0] or 0
-    if longest > short or similarity <= 0:
-        found = _meeting(_single_keys(ranked, similarity), similarity, 1)
-    else:
-        sizes = [row["n"] for row in ranked.select("n").distinct().collect()]  # at most ``short`` values
-        found = _meeting(_double_keys(ranked, similarity, sizes), similarity, 2)
-        fewest = (1.0 + similarity) / similarity  # two sets with fewer tokens in all need to share one only
-        if min(sizes, default=1) * 2 <= fewest:
-            tiny = ranked.filter(F.col("n") < F.lit(fewest))
-            found = found.unionAll(_meeting(_single_keys(tiny, similarity), similarity, 1))
-    return _verify(found.distinct(), sets, max_distance)
+    if similarity <= 0:
+        return _verify(_meeting(_single_keys(ranked, similarity), similarity, 1).distinct(), sets, max_distance)
+    light = ranked.filter(F.col("n") <= short)
+    sizes = [row["n"] for row in light.select("n").distinct().collect()]  # at most ``short`` values
+    found = _meeting(_double_keys(light, similarity, sizes), similarity, 2) if sizes else None
+    fewest = (1.0 + similarity) / similarity  # two sets with fewer tokens in all need to share one only
+    if sizes and min(sizes) * 2 <= fewest:
+        tiny = light.filter(F.col("n") < F.lit(fewest))
+        found = found.unionAll(_meeting(_single_keys(tiny, similarity), similarity, 1))
+    near = ranked.filter(F.col("n") >= F.lit(similarity * short))
+    single = _meeting(_single_keys(near, similarity), similarity, 1, longer_than=short)
+    return _verify((single if found is None else found.unionAll(single)).distinct(), sets, max_distance)
 
 
 def minhash_rows(sets: DataFrame, num_tables: int, num_features: int = 1 << 18, seed: int = 42) -> DataFrame:
@@ -150,13 +156,13 @@ def similar_sets_lsh(
 ) -> DataFrame:
     """(id_a, id_b, jaccard_dist, shared_table): pairs that share a MinHash bucket and are closer than the distance.
 
-    A pair is formed only in the first table in which it shares a bucket, so no distinct over the candidates is
-    needed; ``shared_table`` tells that table, which makes the result for fewer tables a filter on it. Buckets with more
+    Only ids and hashes are shuffled; a pair that meets in several tables is merged before its sets are looked at.
+    ``shared_table`` tells the first of them, which makes the result for fewer tables a filter on it. Buckets with more
     than ``bucket_limit`` sets are not paired up: the sets in them go through the exact join instead, which finds
     all of their pairs.
     """
     rows = materialize(minhash_rows(sets, num_tables, num_features, seed), "minhash")
-    slots = rows.select("id", "n", F.posexplode("hashes").alias("slot", "hash"), "hashes")
+    slots = rows.select("id", "n", F.posexplode("hashes").alias("slot", "hash"))
     crowded = (
         slots.groupBy("slot", "hash")
         .agg(F.count(F.lit(1)).alias("members"))
@@ -167,15 +173,13 @@ def similar_sets_lsh(
     if any_crowded:
         crowded = materialize(crowded, "crowded")
     paired = slots.join(crowded, ["slot", "hash"], "left_anti") if any_crowded else slots
-    a = paired.select("slot", "hash", F.col("id").alias("id_a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
-    b = paired.select("slot", "hash", F.col("id").alias("id_b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
-    shared = F.when(F.lit(any_crowded), F.col("slot")).otherwise(first_shared_table(F.col("ha"), F.col("hb")))
+    a = paired.select("slot", "hash", F.col("id").alias("id_a"), F.col("n").alias("na"))
+    b = paired.select("slot", "hash", F.col("id").alias("id_b"), F.col("n").alias("nb"))
     candidates = (
         a.join(b, ["slot", "hash"])
         .filter((F.col("id_a") < F.col("id_b")) & _similar_size(1.0 - max_distance - _MARGIN))
-        .withColumn("shared_table", shared.cast("int"))
-        .filter(F.col("shared_table") == F.col("slot"))
-        .select("id_a", "id_b", "shared_table")
+        .groupBy("id_a", "id_b")
+        .agg(F.min("slot").cast("int").alias("shared_table"))
     )
     if not any_crowded:
         return _verify(candidates, rows, max_distance).select("id_a", "id_b", "jaccard_dist", "shared_table")

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from .registry import CONCEPT_NAMES, DOC_DISTANCE, ITEM_DISTANCE, ITEM_PROBES, ITEM_RULE, TABLES
+from .functions.codes import CHAPTER_BOUNDS
+from .registry import (
+    CONCEPT_NAMES,
+    DOC_DISTANCE,
+    ITEM_DISTANCE,
+    ITEM_PROBES,
+    ITEM_RULE,
+    SWEEP,
+    TABLES,
+    TITLE_DISTANCE,
+    TITLE_RULE,
+)
 
 # --- shared pieces --------------------------------------------------------------------------------------------------
 
@@ -56,12 +67,32 @@ named AS (
   FROM pairs JOIN items a ON a.id = id_a JOIN items b ON b.id = id_b),
 scored AS (
   SELECT *, jaro_winkler_similarity(upper(name_a), upper(name_b)) AS jw,
-    1.0::double - levenshtein(upper(name_a), upper(name_b))::double / greatest(length(name_a), length(name_b)) AS lev,
+    1.0::double - levenshtein(upper(name_a), upper(name_b))::double / greatest(length(upper(name_a)), length(upper(name_b))) AS lev,
     (len(list_intersect({_token_set('name_a')}, {_token_set('name_b')}))::double
       / len(list_distinct(list_concat({_token_set('name_a')}, {_token_set('name_b')})))) AS token_overlap,
     (left(replace(code_a, '-', ''), 9) = left(replace(code_b, '-', ''), 9))::int::double AS same_code
   FROM named)"""
 
+_TITLES = f"""titles AS (
+  SELECT p_name AS name, min(p_partkey) AS id, arg_min(p_type, p_partkey) AS kind FROM part GROUP BY p_name),
+title_sets AS (
+  SELECT min(id) AS id, tokens, len(tokens) AS n FROM (SELECT id, {_token_set('name')} AS tokens FROM titles) GROUP BY tokens),
+{_similar('title_sets', TITLE_DISTANCE)},
+drawn AS (
+  SELECT id AS x, {_md5_number("id::varchar || '|' || d::varchar")} % (SELECT count(*) FROM titles) AS slot
+  FROM titles, range(1, {ITEM_PROBES + 1}) r(d)),
+homes AS (SELECT id AS y, {_md5_number('id::varchar')} % (SELECT count(*) FROM titles) AS slot FROM titles),
+pairs AS (
+  SELECT id_a, id_b FROM alike
+  UNION SELECT least(x, y), greatest(x, y) FROM drawn JOIN homes USING (slot) WHERE x <> y),
+scored AS (
+  SELECT id_a, id_b, jaro_winkler_similarity(upper(a.name), upper(b.name)) AS jw,
+    1.0::double - levenshtein(upper(a.name), upper(b.name))::double / greatest(length(a.name), length(b.name)) AS lev,
+    (len(list_intersect({_token_set('a.name')}, {_token_set('b.name')}))::double
+      / len(list_distinct(list_concat({_token_set('a.name')}, {_token_set('b.name')})))) AS token_overlap,
+    (left(a.kind, 3) = left(b.kind, 3))::int::double AS same_code
+  FROM pairs JOIN titles a ON a.id = id_a JOIN titles b ON b.id = id_b)"""
+
 _DICT = r"""dict AS (
   SELECT DISTINCT w AS name, 'W:' || w AS concept_id
   FROM (SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS w FROM benchmark)
@@ -142,12 +173,20 @@ _NODE_COUNTS = {
     "Caregiver": "SELECT count(*) AS n FROM nation",
 }
 _EDGE_COUNTS = {
-    "HAS_ADMISSION": "SELECT count(*) AS n FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders)",
+    "HAS_ADMISSION": (
+        "SELECT count(*) AS n FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders "
+        "WHERE o_custkey IN (SELECT c_custkey FROM customer))"
+    ),
     "HAS_DIAGNOSIS": "SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_partkey, l_linenumber FROM lineitem)",
     "UNDERWENT": "SELECT count(*) AS n FROM (SELECT DISTINCT o_orderkey, o_orderpriority FROM orders)",
     "PRESCRIBED": "SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)",
-    "HAD_LAB_RESULT": "SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type, event_id FROM events)",
-    "DOCUMENTED_IN": "SELECT count(*) AS n FROM (SELECT DISTINCT doc_id FROM documents)",
+    "HAD_LAB_RESULT": (
+        "SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type, event_id FROM events "
+        "WHERE user_id IN (SELECT o_orderkey FROM orders))"
+    ),
+    "DOCUMENTED_IN": (
+        "SELECT count(*) AS n FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IN (SELECT o_orderkey FROM orders))"
+    ),
     "MENTIONS": "SELECT count(*) AS n FROM (SELECT DISTINCT note_id, concept_id FROM mentions)",
 }
 _NODE_KEYS = {
@@ -187,8 +226,10 @@ def _key_checks() -> str:
 
 
 _ORPHANS = {
-    "no orphan Admission": "SELECT count(*) AS orphans FROM orders WHERE o_custkey IS NULL",
-    "no orphan ClinicalNote": "SELECT 0::bigint AS orphans",
+    "no orphan Admission": (
+        "SELECT count(*) AS orphans FROM orders WHERE o_custkey IS NULL OR o_custkey NOT IN (SELECT c_custkey FROM customer)"
+    ),
+    "no orphan ClinicalNote": "SELECT count(*) AS orphans FROM documents WHERE doc_id NOT IN (SELECT o_orderkey FROM orders)",
     "no orphan Diagnosis": "SELECT count(*) AS orphans FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)",
     "no orphan Medication": (
         "SELECT count(DISTINCT s_suppkey) AS orphans FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem)"
@@ -225,15 +266,8 @@ def _integrity() -> str:
     return f"WITH {_MENTIONS}\n{_unions(parts)}"
 
 
-_CHAPTERS = [
-    (140, "INFECTIOUS"), (240, "NEOPLASMS"), (280, "ENDOCRINE"), (290, "BLOOD"), (320, "MENTAL"), (390, "NERVOUS"),
-    (460, "CIRCULATORY"), (520, "RESPIRATORY"), (580, "DIGESTIVE"), (630, "GENITOURINARY"), (680, "SKIN"),
-    (740, "MUSCULOSKELETAL"), (800, "CONGENITAL"),
-]
-
-
 def _chapters() -> str:
-    whens = " ".join(f"WHEN c < {bound} THEN '{name}'" for bound, name in _CHAPTERS)
+    whens = " ".join(f"WHEN c < {bound} THEN '{name}'" for name, bound in CHAPTER_BOUNDS if bound)
     return f"""WITH codes AS (
   SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN left(lpad(p_partkey::varchar, greatest(4, 4), '0'), 4)
     WHEN p_type = 'SMALL' THEN ' ' || reverse(p_partkey::varchar) || ' '
@@ -266,10 +300,15 @@ ranks AS (
   SELECT 'A:' || o_orderkey::varchar AS id, 0.15::double AS rank FROM orders
   UNION ALL SELECT 'M:' || s_suppkey::varchar, 0.15::double + 0.85::double * coalesce(s, 0) FROM supplier LEFT JOIN gain ON dst = s_suppkey)"""
 
-_LINKS = """links AS (
+_LINKS = f"""{_MENTIONS},
+links AS (
   SELECT 'Patient:' || o_custkey AS a, 'Admission:' || o_orderkey AS b FROM orders
   UNION SELECT 'Admission:' || l_orderkey, 'Diagnosis:' || l_partkey FROM lineitem
-  UNION SELECT 'Admission:' || l_orderkey, 'Medication:' || l_suppkey FROM lineitem),
+  UNION SELECT 'Admission:' || l_orderkey, 'Medication:' || l_suppkey FROM lineitem
+  UNION SELECT 'Admission:' || o_orderkey, 'Procedure:' || o_orderpriority FROM orders
+  UNION SELECT 'Admission:' || user_id, 'LabTest:' || event_type FROM events WHERE user_id IN (SELECT o_orderkey FROM orders)
+  UNION SELECT 'Admission:' || doc_id, 'ClinicalNote:' || doc_id FROM documents WHERE doc_id IN (SELECT o_orderkey FROM orders)
+  UNION SELECT 'ClinicalNote:' || note_id, 'Concept:' || concept_id FROM mentions),
 steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links)"""
 
 
@@ -279,6 +318,10 @@ def _top(source: str, count: str, k: int) -> str:
 
 _ELEMENT = "max(value) FILTER (i = floor(n * {q}))"
 
+_KEPT_ORDERS = "SELECT * FROM orders WHERE o_orderstatus <> 'P'"
+_KEPT_KEYS = "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'"
+_KEPT_LINES = f"SELECT * FROM lineitem WHERE l_orderkey IN ({_KEPT_KEYS})"
+
 ORACLE: dict[str, str] = {
     "csv_roundtrip": _FINGERPRINTS,
     "parquet_roundtrip": _FINGERPRINTS,
@@ -320,6 +363,91 @@ GROUP BY event_type""",
     "nodes_diagnosis": "SELECT p_partkey AS id, p_name AS title, p_brand AS brand, p_type AS kind FROM part",
     "nodes_medication": "SELECT s_suppkey AS id, min(s_name) AS drug FROM supplier GROUP BY s_suppkey",
     "nodes_concept": f"WITH {_MENTIONS} SELECT DISTINCT concept_id AS id, name FROM mentions",
+    "nodes_lab_test": "SELECT DISTINCT event_type AS id FROM events",
+    "nodes_procedure": "SELECT DISTINCT o_orderpriority AS id FROM orders",
+    "nodes_caregiver": "SELECT n_nationkey AS id, n_name AS label FROM nation",
+    "nodes_note": "SELECT doc_id AS id, lang, source FROM documents",
+    "nodes_filled": (
+        "SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'O' THEN '' ELSE o_orderstatus END AS status, "
+        "o_orderpriority AS priority FROM orders"
+    ),
+    "nodes_with_rank": f"""{_BIPARTITE}
+SELECT s_suppkey AS id, s_name AS drug, round(rank, 9) AS rank FROM supplier JOIN ranks ON id = 'M:' || s_suppkey::varchar""",
+    "edges_has_admission": (
+        "SELECT DISTINCT o_custkey AS src, o_orderkey AS dst FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)"
+    ),
+    "edges_same_as": f"""WITH {_PAIRS}
+SELECT id_a AS src, id_b AS dst, round(jw, 6) AS confidence FROM scored
+WHERE jw > 0.88 AND split_part(upper(name_a), ' ', 1) = split_part(upper(name_b), ' ', 1)
+  AND id_a IN (SELECT p_partkey FROM part WHERE p_size > 10) AND id_b IN (SELECT p_partkey FROM part WHERE p_size > 10)""",
+    "edges_co_occurs": f"""WITH {_DX}, {_cooccur('dx', 3)}
+SELECT code_a AS src, code_b AS dst, co_count AS count, round(ln(co_count), 6) AS log_count FROM co""",
+    "dangling_edges": _unions(
+        [
+            f"SELECT '{kind}' AS kind, '{name}' AS name, count(*) AS n FROM ({rows})"
+            for kind, name, rows in (
+                ("node", "Admission", _KEPT_ORDERS),
+                ("edge", "HAS_ADMISSION", f"SELECT DISTINCT o_custkey, o_orderkey FROM ({_KEPT_ORDERS})"),
+                ("edge", "HAS_DIAGNOSIS", f"SELECT DISTINCT l_orderkey, l_partkey, l_linenumber FROM ({_KEPT_LINES})"),
+                ("edge", "UNDERWENT", f"SELECT DISTINCT o_orderkey, o_orderpriority FROM ({_KEPT_ORDERS})"),
+                ("edge", "PRESCRIBED", f"SELECT DISTINCT l_orderkey, l_suppkey FROM ({_KEPT_LINES})"),
+                (
+                    "edge",
+                    "HAD_LAB_RESULT",
+                    f"SELECT DISTINCT user_id, event_type, event_id FROM events WHERE user_id IN ({_KEPT_KEYS})",
+                ),
+                ("edge", "DOCUMENTED_IN", f"SELECT doc_id FROM documents WHERE doc_id IN ({_KEPT_KEYS})"),
+                ("orphan", "no orphan ClinicalNote", f"SELECT doc_id FROM documents WHERE doc_id NOT IN ({_KEPT_KEYS})"),
+                (
+                    "orphan",
+                    "no orphan Diagnosis",
+                    f"SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM ({_KEPT_LINES}))",
+                ),
+                (
+                    "orphan",
+                    "no orphan Medication",
+                    f"SELECT DISTINCT s_suppkey FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM ({_KEPT_LINES}))",
+                ),
+            )
+        ]
+    ),
+    "node_upsert_unversioned": """SELECT c_custkey AS id, c_name AS name, coalesce(p, c_mktsegment) AS segment, c_acctbal AS balance, last_status
+FROM customer FULL JOIN (SELECT o_custkey, min(o_orderpriority) FILTER (o_orderpriority LIKE '1%') AS p,
+  min(o_orderstatus) AS last_status FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey""",
+    "edge_upsert_properties": """WITH l AS (SELECT l_orderkey AS src, l_suppkey AS dst, l_quantity AS dose, l_returnflag AS route FROM lineitem),
+cur AS (SELECT * FROM l WHERE route <> 'R' QUALIFY row_number() OVER (PARTITION BY src, dst ORDER BY dose, route) = 1),
+inc AS (SELECT src, dst, min(dose) AS dose FROM l WHERE route = 'R' GROUP BY src, dst)
+SELECT src, dst, coalesce(inc.dose, cur.dose) AS dose, route, CASE WHEN inc.dose IS NOT NULL THEN 'returned' END AS flag
+FROM cur FULL JOIN inc USING (src, dst)""",
+    "er_title_features": f"""WITH {_TITLES}
+SELECT id_a, id_b, round(jw, 6) AS jw, round(lev, 6) AS lev, round(token_overlap, 6) AS token_overlap, same_code FROM scored""",
+    "er_title_labels": f"""WITH {_TITLES},
+pos AS (SELECT id_a, id_b FROM scored WHERE same_code = 1 AND jw > {TITLE_RULE.positive_jw}),
+neg AS (SELECT id_a, id_b, row_number() OVER (ORDER BY {_md5_number("id_a::varchar || '|' || id_b::varchar")}) AS i
+  FROM scored WHERE jw < {TITLE_RULE.negative_jw} AND token_overlap < {TITLE_RULE.negative_overlap})
+SELECT id_a, id_b, 1.0::double AS label FROM pos
+UNION ALL SELECT id_a, id_b, 0.0::double FROM neg WHERE i <= {TITLE_RULE.negatives_per_positive} * (SELECT count(*) FROM pos)""",
+    "er_training_counts": f"""WITH {_PAIRS},
+l AS (SELECT id_a, id_b, jw > 0.88 AND split_part(upper(name_a), ' ', 1) = split_part(upper(name_b), ' ', 1) AS hit FROM scored),
+neg AS (SELECT id_a, id_b, hit, row_number() OVER (ORDER BY {_md5_number("id_a::varchar || '|' || id_b::varchar")}) AS i
+  FROM l WHERE NOT hit),
+t AS (SELECT id_a, id_b, hit FROM l WHERE hit
+  UNION ALL SELECT id_a, id_b, hit FROM neg WHERE i <= greatest(4 * (SELECT count(*) FROM l WHERE hit), 20))
+SELECT count(*) FILTER (hit) AS positives, count(*) FILTER (NOT hit) AS negatives,
+  count(*) FILTER ({_md5_number("id_a::varchar || '|' || id_b::varchar", 7)} % 100 >= 80) AS held_out FROM t""",
+    "pairs_lsh_docs_check": "SELECT 0::bigint AS outside, 1 AS enough",
+    "lsh_sweep_truth": f"""WITH {_ITEMS}, {_similar('item_sets', max(t for _, t in SWEEP))},
+all_of AS (SELECT (count(*) * (count(*) - 1)) // 2 AS p FROM item_sets)
+"""
+    + _unions(
+        [
+            f"SELECT {n} AS num_tables, {t}::double AS threshold, (SELECT count(*) FROM alike WHERE jaccard_dist < {t}) AS exact_pairs, "
+            "(SELECT p FROM all_of) AS all_pairs, 1 AS possible"
+            for n, t in SWEEP
+        ]
+    ),
+    "same_as_check": "SELECT 0::bigint AS outside, 0::bigint AS doubtful",
+    "louvain_check": "SELECT 0::bigint AS misnamed, 0::bigint AS split, 1 AS better",
     "edges_has_diagnosis": f"WITH {_DXE} SELECT src, dst, seq_num FROM dxe",
     "edges_prescribed": """SELECT l_orderkey AS src, l_suppkey AS dst, l_quantity AS dose, l_returnflag AS route
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_quantity, l_returnflag) = 1""",

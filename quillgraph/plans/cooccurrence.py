@@ -62,7 +62,7 @@ def _count_with_large_baskets(pairs: DataFrame, large: DataFrame, min_support: i
 def with_pmi(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """Add ``pmi``: the log of how much more often two codes meet than they would by chance."""
     baskets = pairs.select("src").distinct().count()
-    support = pairs.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
+    support = materialize(pairs.groupBy("dst").agg(F.count(F.lit(1)).alias("n")), "support")
     joined = edges.join(support.select(F.col("dst").alias("code_a"), F.col("n").alias("n_a")), "code_a").join(
         support.select(F.col("dst").alias("code_b"), F.col("n").alias("n_b")), "code_b"
     )

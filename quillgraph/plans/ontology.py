@@ -44,11 +44,22 @@ class Ontology:
         return next(rule for rule in self.edges if rule.type == type)
 
 
+def same_as_rule(label: str) -> EdgeRule:
+    """Edges between nodes of one label that stand for the same thing; one table per label, since ids differ in type."""
+    return EdgeRule(f"SAME_AS_{label.upper()}", "", label, "id_a", label, "id_b", {"confidence": "confidence"})
+
+
+def co_occurs_rule(label: str = "Diagnosis") -> EdgeRule:
+    """Edges between codes that occur together."""
+    return EdgeRule("CO_OCCURS_WITH", "", label, "code_a", label, "code_b", {"count": "co_count", "log_count": "log_count"})
+
+
 def _same(*names: str) -> dict[str, str]:
     return {name: name for name in names}
 
 
-# Tables as the batch ingest writes them, plus ``concepts`` from the mention extraction.
+# Tables as the batch ingest writes them, plus ``concepts`` from the mention extraction. Labels, edge types, column and
+# property names are fixed values: they must be those of the data set and of the graph that queries expect.
 HOSPITAL = Ontology(
     nodes=(
         NodeRule("Patient", "patients", "subject_id", _same("gender", "dob", "dod", "expire_flag"), ("dob", "dod")),

@@ -16,8 +16,8 @@ TypedLinks = list[tuple[str, str, DataFrame]]
 
 
 def _seed(spark, label: str, node: str) -> DataFrame:
-    named = [F.lit(label).alias("label"), F.lit(node).alias("node"), F.lit(f"{label}:{node}").alias("path")]
-    return spark.range(1).select(*named)
+    named = [F.lit(label).alias("label"), F.lit(node).alias("node")]
+    return spark.range(1).select(*named, F.array(F.struct(*named)).alias("path"))
 
 
 def _step(frontier: DataFrame, labels: set[str], links: TypedLinks) -> tuple[DataFrame | None, set[str]]:
@@ -37,21 +37,21 @@ def _step(frontier: DataFrame, labels: set[str], links: TypedLinks) -> tuple[Dat
     if not reached:
         return None, found
     each = reduce(DataFrame.unionAll, reached).groupBy("label", "node").agg(F.min("path").alias("path"))
-    return each.withColumn("path", F.concat_ws(" ", "path", F.concat_ws(":", "label", "node"))), found
+    return each.withColumn("path", F.concat("path", F.array(F.struct("label", "node")))), found
 
 
 def shortest_path(links: TypedLinks, start: tuple[str, str], goal: tuple[str, str], max_hops: int = 6) -> DataFrame:
     """(source, target, path_length, path) of a shortest undirected path, or no row within ``max_hops``.
 
-    Ends are (label, id). The search runs from both of them and always extends the smaller frontier by one step, so it
+    Ends are (label, id), and ``path`` lists the nodes as (label, node). The search runs from both of them and always extends the smaller frontier by one step, so it
     covers the neighbourhoods of half the distance. Frontiers are tables in the shared folder; only their sizes and the
     final path reach the driver.
     """
     spark = links[0][2].sparkSession
     names = [f"{label}:{node}" for label, node in (start, goal)]
-    result = "source string, target string, path_length int, path string"
+    result = "source string, target string, path_length int, path array<struct<label: string, node: string>>"
     if start == goal:
-        return spark.createDataFrame([(*names, 0, names[0])], result)
+        return spark.createDataFrame([(*names, 0, [(start[0], str(start[1]))])], result)
     sides = []
     for label, node in (start, goal):
         seed = _seed(spark, label, str(node))
@@ -69,9 +69,8 @@ def shortest_path(links: TypedLinks, start: tuple[str, str], goal: tuple[str, st
         near["depth"] += 1
         near["seen"] = near["seen"].unionAll(near["frontier"])
         onto, back = (side["frontier"].withColumnRenamed("path", name) for side, name in zip(sides, ("onto", "back")))
-        rest = F.slice(F.reverse(F.split("back", " ")), 2, max_hops + 1)
-        whole = F.concat_ws(" ", "onto", F.array_join(rest, " "))
-        best = onto.join(back, ["label", "node"]).agg(F.min(F.trim(whole)).alias("path")).first()["path"]
+        whole = F.concat("onto", F.slice(F.reverse("back"), 2, max_hops + 1))
+        best = onto.join(back, ["label", "node"]).agg(F.min(whole).alias("path")).first()["path"]
         if best is not None:
             return spark.createDataFrame([(*names, sides[0]["depth"] + sides[1]["depth"], best)], result)
     return spark.createDataFrame([], result)

@@ -27,7 +27,7 @@ FEATURES = ["jw", "lev", "token_overlap", "jaccard_sim", "same_code"]
 
 @dataclass(frozen=True)
 class LabelRule:
-    """Thresholds of the heuristic labels."""
+    """Thresholds of the heuristic labels. Those below are fixed values, which decide what the labels mean."""
 
     positive_jw: float
     negative_jw: float
@@ -110,12 +110,12 @@ def pair_features(named: DataFrame, code: str, prefix: int, strip: str | None =
 
 
 def name_rule(jw: Column, a: Column, b: Column) -> Column:
-    """1.0 where names are nearly equal and start with the same word."""
+    """1.0 where names are nearly equal and start with the same word (0.88 is a fixed value)."""
     return ((jw > 0.88) & same_first_word(a, b)).cast("double")
 
 
 def family_rule(same_code: Column, overlap: Column) -> Column:
-    """1.0 where two entries share a category or at least 40 % of their words."""
+    """1.0 where two entries share a category or at least 40 % of their words (a fixed value)."""
     return ((same_code == 1.0) | (overlap >= 0.4)).cast("double")
 
 
@@ -138,14 +138,23 @@ def gold_labels(features: DataFrame, rule: LabelRule) -> DataFrame:
     return positive.withColumn("label", F.lit(1.0)).unionByName(capped.withColumn("label", F.lit(0.0)))
 
 
-def sampled_labels(labelled: DataFrame) -> DataFrame:
-    """All positives, and as many negatives as 4 per positive but at least 20, in the order of a hash."""
+def sampled_labels(labelled: DataFrame, negatives_per_positive: int = 4, least_negatives: int = 20) -> DataFrame:
+    """All positives, and a bounded sample of the negatives, in the order of a hash.
+
+    There are ``negatives_per_positive`` of them for each positive, but no fewer than ``least_negatives`` if there are as many.
+    """
     labelled = materialize(labelled, "labelled")
     positive = labelled.filter("label = 1")
-    capped = _cap_by_hash(labelled.filter("label = 0"), max(4 * positive.count(), 20))
+    limit = max(negatives_per_positive * positive.count(), least_negatives)
+    capped = _cap_by_hash(labelled.filter("label = 0"), limit)
     return positive.unionByName(capped)
 
 
+def held_out(a: str = "id_a", b: str = "id_b") -> Column:
+    """True for the fifth of all pairs that a hash keeps from training."""
+    return md5_number(a, b, digits=7) % 100 >= 80
+
+
 def labels_or_heuristic(spark, path: str, features: DataFrame, rule: LabelRule) -> tuple[DataFrame, str]:
     """A table of manual labels if there is one, else heuristic labels; and which of the two it is."""
     if path_exists(spark, path):
@@ -161,24 +170,23 @@ def train_matcher(
     trees: int = 100,
     depth: int = 8,
     seed: int = 42,
+    holdout: bool = True,
 ) -> tuple[PipelineModel, DataFrame]:
-    """A random forest, and one row of metrics on the fifth of the pairs held out by a hash.
+    """A random forest, and one row of metrics on the fifth of the pairs that :func:`held_out` keeps from training.
 
-    With fewer than 20 positives nothing is held out; ``in_sample`` tells so. The labels are functions of the features, so
-    high scores say that the forest learnt the rule, not that the rule is right.
+    With ``holdout`` off, for very few labels, the metrics are those of the training pairs, and ``in_sample`` tells so. The
+    labels are functions of the features, so high scores say that the forest learnt the rule, not that the rule is right.
     """
-    held_out = md5_number("id_a", "id_b", digits=7) % 100 >= 80
     data, seen = materialize_measured(
-        labelled.select("id_a", "id_b", *columns, "label", held_out.alias("held_out"))
+        labelled.select("id_a", "id_b", *columns, "label", held_out().alias("held_out"))
         .repartition(F.col("id_a"), F.col("id_b"))
         .sortWithinPartitions("id_a", "id_b"),
         "training",
         positives=F.count_if(F.col("label") == 1.0),
         total=F.count(F.lit(1)),
     )
-    in_sample = seen["positives"] < 20
-    train = data if in_sample else data.filter(~F.col("held_out"))
-    test = data if in_sample else data.filter("held_out")
+    train = data.filter(~F.col("held_out")) if holdout else data
+    test = data.filter("held_out") if holdout else data
     assembler = VectorAssembler(inputCols=columns, outputCol="features_vec")
     forest = RandomForestClassifier(featuresCol="features_vec", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed)
     model = Pipeline(stages=[assembler, forest]).fit(train)
@@ -194,7 +202,7 @@ def train_matcher(
         "weighted_recall",
         "weighted_f1",
         F.lit(label_source).alias("label_source"),
-        F.lit(in_sample).alias("in_sample"),
+        F.lit(not holdout).alias("in_sample"),
     )
     return model, metrics
 

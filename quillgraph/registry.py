@@ -24,7 +24,8 @@ from .plans import checks, communities, patterns, resolution
 from .plans.centrality import pagerank, top_ranked
 from .plans.components import connected_components
 from .plans.cooccurrence import both_directions, connected_nodes, cooccurrence, projection_counts, with_pmi
-from .plans.graph import detach_delete, orders_graph
+from .plans.graph import detach_delete, fill_properties, orders_graph
+from .plans.ontology import co_occurs_rule
 from .session import materialize, scratch_path
 from .sources.files import read_bucket_of, read_delimited, read_table, write_bucketed, write_table
 from .sources.upsert import rename_same_as, upsert_edges, upsert_nodes
@@ -39,6 +40,8 @@ PATH_TYPES = ["HAS_ADMISSION", "HAS_DIAGNOSIS", "PRESCRIBED"]
 ITEM_DISTANCE = 0.4
 ITEM_PROBES = 4
 DOC_DISTANCE = 0.3
+TITLE_DISTANCE = 0.7
+TITLE_RULE = resolution.DIAGNOSIS_RULE
 ITEM_RULE = resolution.LabelRule(positive_jw=0.9, negative_jw=0.6, negative_overlap=0.2)
 SWEEP = [(tables, threshold) for tables in (3, 5, 10, 15) for threshold in (0.3, 0.4, 0.5, 0.6)]
 
@@ -298,6 +301,42 @@ def er_rule_labels(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _titles(spark: SparkSession, sf: str) -> DataFrame:
+    """The second kind of entities: titles, with their category."""
+    parts = read_table(spark, sf, "part", "p_partkey", "p_name", "p_type")
+    return resolution.entities(parts, "p_partkey", F.col("p_name"), kind=F.col("p_type"))
+
+
+def _title_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles from start to end: similar and random pairs, names, features with the category prefix."""
+    titles = materialize(_titles(spark, sf), "titles")
+    similar = resolution.block_pairs(titles, TITLE_DISTANCE, lsh=False)
+    random = resolution.probe_pairs(titles, ITEM_PROBES).withColumn("jaccard_dist", F.lit(None).cast("double"))
+    pairs = similar.unionByName(random).groupBy("id_a", "id_b").agg(F.max("jaccard_dist").alias("jaccard_dist"))
+    return resolution.pair_features(resolution.pair_names(pairs, titles, "kind"), "kind", 3)
+
+
+def er_title_features(spark: SparkSession, sf: str) -> DataFrame:
+    columns = ["jw", "lev", "token_overlap", "same_code"]
+    return _rounded(_title_features(spark, sf).select("id_a", "id_b", *columns), *columns)
+
+
+def er_title_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return resolution.gold_labels(_title_features(spark, sf), TITLE_RULE).select("id_a", "id_b", "label")
+
+
+def er_training_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """(positives, negatives, held_out) of the pairs that the matcher is trained and tested on."""
+    features = _item_features(spark, sf)
+    rule = resolution.name_rule(F.col("jw"), F.col("name_a"), F.col("name_b"))
+    rows = resolution.sampled_labels(features.withColumn("label", rule))
+    return rows.agg(
+        F.count_if(F.col("label") == 1.0).alias("positives"),
+        F.count_if(F.col("label") == 0.0).alias("negatives"),
+        F.count_if(resolution.held_out()).alias("held_out"),
+    )
+
+
 def er_gold_labels(spark: SparkSession, sf: str) -> DataFrame:
     return resolution.gold_labels(_item_features(spark, sf), ITEM_RULE).select("id_a", "id_b", "label")
 
@@ -357,6 +396,32 @@ def pairs_lsh_docs(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(similar_sets_lsh(sets, DOC_DISTANCE), "jaccard_dist")
 
 
+def pairs_lsh_docs_check(spark: SparkSession, sf: str) -> DataFrame:
+    """(outside, enough): MinHash pairs that the exact join does not have, and whether nearly all of its pairs are found."""
+    sets = materialize(distinct_sets(_doc_tokens(spark, sf), "id", "tokens"), "doc-sets")
+    found = materialize(similar_sets_lsh(sets, DOC_DISTANCE).select("id_a", "id_b"), "found")
+    exact = materialize(similar_sets(sets, DOC_DISTANCE).select("id_a", "id_b"), "exact")
+    outside = found.join(exact, ["id_a", "id_b"], "left_anti").agg(F.count(F.lit(1)).alias("outside"))
+    missed = exact.join(found, ["id_a", "id_b"], "left_anti").agg(F.count(F.lit(1)).alias("missed"))
+    total = exact.count()
+    return outside.crossJoin(missed).select("outside", (F.col("missed") <= 0.1 * total).cast("int").alias("enough"))
+
+
+def lsh_sweep_truth(spark: SparkSession, sf: str) -> DataFrame:
+    """What of the sweep does not depend on the hashes, and whether the rest is possible."""
+    report = lsh_sweep(_item_sets(spark, sf), SWEEP)
+    possible = (F.col("lsh_pairs") <= F.col("exact_pairs")) & (F.col("recall") <= 1.0)
+    return report.select("num_tables", F.round("threshold", 6).alias("threshold"), "exact_pairs", "all_pairs", possible.cast("int").alias("possible"))
+
+
+def same_as_check(spark: SparkSession, sf: str) -> DataFrame:
+    """(outside, doubtful): same-as edges that are no candidate pair, and edges of low confidence."""
+    features, model, _ = _matcher(spark, sf)
+    edges = materialize(resolution.same_as(model, features, "MEDICATION"), "same-as")
+    outside = edges.join(features.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti").count()
+    return edges.agg(F.count_if(F.col("confidence") < 0.5).alias("doubtful")).select(F.lit(outside).cast("bigint").alias("outside"), "doubtful")
+
+
 def document_copies(spark: SparkSession, sf: str) -> DataFrame:
     return copy_links(_doc_tokens(spark, sf), "id", "tokens")
 
@@ -425,6 +490,63 @@ def edge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return upsert_edges(first, returned, sources, targets)
 
 
+def node_upsert_unversioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers, updated from their orders, some of which have no value for the segment."""
+    urgent = F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderpriority"))
+    incoming = read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("id"), urgent.alias("segment"), F.col("o_orderstatus").alias("last_status")
+    )
+    return upsert_nodes(orders_graph(spark, sf).nodes("Patient"), incoming, "id")
+
+
+def edge_upsert_properties(spark: SparkSession, sf: str) -> DataFrame:
+    """Kept lines, updated from returned ones, which lack one of their properties and bring another."""
+    g = orders_graph(spark, sf)
+    sources, targets, rows = g.nodes("Admission"), g.nodes("Medication"), g.raw_edges("PRESCRIBED")
+    current = upsert_edges(None, rows.filter(F.col("route") != "R"), sources, targets)
+    returned = rows.filter(F.col("route") == "R").select("src", "dst", "dose", F.lit("returned").alias("flag"))
+    return upsert_edges(current, returned, sources, targets)
+
+
+def dangling_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of a graph from which orders are missing that lines, events and documents still name."""
+    g = orders_graph(spark, sf, only={"orders": "o_orderstatus <> 'P'"})
+    counted = checks.graph_stats(g, ["Admission"], [rule.type for rule in g.ontology.edges if rule.type != "MENTIONS"])
+    alone = checks.orphan_counts(g, {"DOCUMENTED_IN": 1, "HAS_DIAGNOSIS": 1, "PRESCRIBED": 1})
+    return counted.unionAll(alone.select(F.lit("orphan").alias("kind"), F.col("check_name").alias("name"), F.col("orphans").alias("n")))
+
+
+def _same_named(spark: SparkSession, sf: str) -> DataFrame:
+    """(id_a, id_b, confidence): pairs that the name rule takes for one thing."""
+    scored = with_jaro_winkler(_named_pairs(spark, sf), "name_a", "name_b", "jw")
+    alike = resolution.name_rule(F.col("jw"), F.col("name_a"), F.col("name_b")) == 1.0
+    return scored.filter(alike).select("id_a", "id_b", F.round("jw", 6).alias("confidence"))
+
+
+def edges_same_as(spark: SparkSession, sf: str) -> DataFrame:
+    """Same-as edges in a graph from which some of the nodes are missing."""
+    g = orders_graph(spark, sf, only={"part": "p_size > 10"}).with_same_as("Diagnosis", _same_named(spark, sf))
+    return g.merged_edges("SAME_AS_DIAGNOSIS")
+
+
+def edges_co_occurs(spark: SparkSession, sf: str) -> DataFrame:
+    counted = _rounded(cooccurrence(_code_pairs(spark, sf), 3), "log_count")
+    return orders_graph(spark, sf).with_edges(co_occurs_rule(), counted).merged_edges("CO_OCCURS_WITH")
+
+
+def nodes_with_rank(spark: SparkSession, sf: str) -> DataFrame:
+    """Medications with their rank as a property."""
+    ranks = _prescription_ranks(spark, sf).filter(F.col("id").startswith("M:"))
+    values = ranks.select(F.substring("id", 3, 30).cast("bigint").alias("id"), F.round("rank", 9).alias("rank"))
+    return orders_graph(spark, sf).with_property("Medication", values, "rank", "rank").nodes("Medication")
+
+
+def nodes_filled(spark: SparkSession, sf: str) -> DataFrame:
+    """Admissions as a load writes them that fills nulls in texts; prices of low orders are nulled first."""
+    nodes = orders_graph(spark, sf).nodes("Admission").select("id", F.nullif("status", F.lit("O")).alias("status"), "priority")
+    return fill_properties(nodes)
+
+
 def graph_detach_delete(spark: SparkSession, sf: str) -> DataFrame:
     g = orders_graph(spark, sf)
     nodes = {label: g.nodes(label) for label in ("Patient", "Admission", "Diagnosis", "Medication")}
@@ -466,7 +588,7 @@ ORPHAN_LIMITS = {"HAS_ADMISSION": 1, "DOCUMENTED_IN": 100, "HAS_DIAGNOSIS": 1, "
 
 def orphan_checks(spark: SparkSession, sf: str) -> DataFrame:
     g = orders_graph(spark, sf)
-    lines = g.raw_edges("HAS_DIAGNOSIS").select(F.col("src").alias("id"))
+    lines = g.raw_edges("HAS_DIAGNOSIS").select(F.col("src").alias("id")).distinct()
     empty = g.nodes("Admission").join(lines, "id", "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
     extra = empty.select(F.lit("no empty Admission").alias("check_name"), "orphans", (F.col("orphans") == 0).alias("ok"))
     return _flags(checks.orphan_counts(g, ORPHAN_LIMITS).unionAll(extra))
@@ -493,7 +615,7 @@ def patient_subgraph_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q1_shortest_path(spark: SparkSession, sf: str) -> DataFrame:
-    found = patterns.q1_patient_connection(orders_graph(spark, sf), 0, 1, 6, PATH_TYPES)
+    found = patterns.q1_patient_connection(orders_graph(spark, sf), 0, 1, 6)
     return found.select("source", "target", F.col("path_length").cast("bigint").alias("path_length"))
 
 
@@ -652,6 +774,21 @@ def code_louvain(spark: SparkSession, sf: str) -> DataFrame:
     return _code_communities(spark, sf)
 
 
+def louvain_check(spark: SparkSession, sf: str) -> DataFrame:
+    """(misnamed, split, better): communities not named by their smallest member, those that are not connected, and whether
+    the modularity beats that of single nodes."""
+    edges = materialize(both_directions(_code_edges(spark, sf, 2), "co_count"), "edges")
+    found = materialize(communities.louvain(edges), "communities")
+    names = found.groupBy("community").agg(F.min("id").alias("least"))
+    misnamed = names.filter("community <> least").count()
+    ends = edges.join(found.withColumnRenamed("id", "src"), "src").withColumnRenamed("community", "c")
+    inner = ends.join(found.withColumnRenamed("id", "dst"), "dst").filter("c = community").select("src", "dst")
+    pieces = connected_components(found.select("id"), inner).select("component").distinct().count()
+    alone = found.select("id", F.col("id").alias("community"))
+    better = communities.modularity(edges, found).first()[0] > communities.modularity(edges, alone).first()[0]
+    return spark.createDataFrame([(misnamed, pieces - names.count(), int(better))], "misnamed bigint, split bigint, better int")
+
+
 def code_top_communities(spark: SparkSession, sf: str) -> DataFrame:
     return communities.top_communities(_code_communities(spark, sf), orders_graph(spark, sf).nodes("Diagnosis"), "title")
 
@@ -675,6 +812,25 @@ QUERIES = {
     "nodes_diagnosis": nodes_of("Diagnosis"),
     "nodes_medication": nodes_of("Medication"),
     "nodes_concept": nodes_of("Concept"),
+    "nodes_lab_test": nodes_of("LabTest"),
+    "nodes_procedure": nodes_of("Procedure"),
+    "nodes_caregiver": nodes_of("Caregiver"),
+    "nodes_note": nodes_of("ClinicalNote"),
+    "nodes_filled": nodes_filled,
+    "nodes_with_rank": nodes_with_rank,
+    "edges_has_admission": merged_edges_of("HAS_ADMISSION"),
+    "edges_same_as": edges_same_as,
+    "edges_co_occurs": edges_co_occurs,
+    "dangling_edges": dangling_edges,
+    "node_upsert_unversioned": node_upsert_unversioned,
+    "edge_upsert_properties": edge_upsert_properties,
+    "er_title_features": er_title_features,
+    "er_title_labels": er_title_labels,
+    "er_training_counts": er_training_counts,
+    "pairs_lsh_docs_check": pairs_lsh_docs_check,
+    "lsh_sweep_truth": lsh_sweep_truth,
+    "same_as_check": same_as_check,
+    "louvain_check": louvain_check,
     "edges_has_diagnosis": merged_edges_of("HAS_DIAGNOSIS"),
     "edges_prescribed": merged_edges_of("PRESCRIBED"),
     "edges_mentions": merged_edges_of("MENTIONS"),

@@ -80,10 +80,3 @@ def drop_materialized(df: DataFrame) -> None:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(hadoop_conf).delete(path, True)
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle ``df`` before work that is heavy per row, but only if its scan has fewer tasks than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

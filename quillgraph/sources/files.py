@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,16 +23,29 @@ def lower_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.lower() for name in df.columns])
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    columns = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns
-    return columns
+def _files_by_header(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for every header among the files of a path.
+
+    The headers are found by the tasks that read the first block of each file; the driver gets the file names, which
+    it lists for any scan.
+    """
+    first = spark.read.text(path).select(
+        "value", F.input_file_name().alias("file"), F.input_file_block_start().alias("at"), F.monotonically_increasing_id().alias("i")
+    )
+    heads = first.filter("at = 0").groupBy("file").agg(F.min_by("value", "i").alias("head"))
+    groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()
+    parsed = []
+    for row in groups:
+        line = spark.createDataFrame([(row["head"],)], "value string").rdd.map(lambda r: r[0])
+        parsed.append((spark.read.csv(line, header=True, escape='"').columns, row["files"]))
+    return parsed
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str | StructType | None = None, **options) -> DataFrame:
     """Read CSV files with a header; quoted fields may hold line breaks, and an empty cell is null.
 
-    Columns are matched to ``schema`` by name whatever their case and order; a column the schema does not list
-    is read as a string, and one the file lacks is null. Without a schema the types are inferred.
+    Columns are matched to ``schema`` by name whatever their case and order, for every file by its own header; a column the
+    schema does not list is read as a string, and one a file lacks is null. Without a schema the types are inferred.
 
     Quoted line breaks make a file one task, so large exports should come as many files; ``multiLine=False``
     splits files whose fields hold none.
@@ -41,13 +55,20 @@ def read_delimited(spark: SparkSession, path: str, schema: str | StructType | No
         return lower_columns(spark.read.options(inferSchema=True, **settings).csv(path))
     wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     types = {field.name: field.dataType for field in wanted}
-    present = [name.lower() for name in _header(spark, path)]
-    layout = StructType([StructField(name, types.get(name, StringType())) for name in present])
-    df = spark.read.schema(layout).options(**settings).csv(path)
-    return df.select(
-        *[F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted],
-        *[F.col(name) for name in present if name not in types],
-    )
+    parts = []
+    for header, files in _files_by_header(spark, path):
+        present = [name.lower() for name in header]
+        layout = StructType([StructField(name, types.get(name, StringType())) for name in present])
+        df = spark.read.schema(layout).options(**settings).csv(files)
+        parts.append(
+            df.select(
+                *[F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted],
+                *[F.col(name) for name in present if name not in types],
+            )
+        )
+    if not parts:
+        return spark.createDataFrame([], wanted)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -72,18 +93,20 @@ def write_table(df: DataFrame, path: str, max_records_per_file: int = 0) -> None
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, files_per_bucket: int = 1) -> None:
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, files_per_bucket: int | None = None) -> None:
     """Overwrite a Parquet table with one directory per hash bucket of ``key``.
 
-    A directory per key would mean millions of them. With ``files_per_bucket`` above 1 the rows of a bucket are
-    spread by a hash of the whole row, so that a key with very many rows does not fill one task.
+    A directory per key would mean millions of them. The rows of a bucket are spread over ``files_per_bucket`` tasks and files
+    by a hash of the whole row, so that neither a bucket nor a key with very many rows fills one task. By default there
+    are twice as many files as cores; a large table should name a number that gives files of some hundred MB. Slots are
+    dealt out by range, since a hash would put several of them into one task and leave others empty.
     """
+    if files_per_bucket is None:
+        files_per_bucket = max(1, -(-2 * df.sparkSession.sparkContext.defaultParallelism // buckets))
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
     bucketed = df.withColumn("bucket", hash_bucket(key, buckets))
-    if files_per_bucket > 1:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
-        laid_out = bucketed.repartition(buckets * files_per_bucket, F.col("bucket"), part)
-    else:
-        laid_out = bucketed.repartition(buckets, F.col("bucket"))
+    slots = bucketed.withColumn("_slot", F.col("bucket") * files_per_bucket + part)
+    laid_out = slots.repartitionByRange(buckets * files_per_bucket, "_slot").drop("_slot")
     laid_out.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 

@@ -20,7 +20,7 @@ def ingest_table(
     schema: str | None = None,
     partition_key: str | None = None,
     buckets: int = 4,
-    files_per_bucket: int = 1,
+    files_per_bucket: int | None = None,
     **options,
 ) -> DataFrame:
     """Load one file into a Parquet table and return its null profile, taken from the written table."""
@@ -42,6 +42,7 @@ def ingest_all(
     partition_keys: dict[str, str | None],
     buckets: int = 4,
     null_share: float = 0.1,
+    files_per_bucket: int | None = None,
 ) -> DataFrame:
     """Ingest every table whose file exists, skipping the others; one report row per table."""
     report = []
@@ -51,7 +52,7 @@ def ingest_all(
             continue
         started = time.perf_counter()
         profile = ingest_table(
-            spark, source, f"{target_dir}/{table}", schema, partition_keys.get(table), buckets
+            spark, source, f"{target_dir}/{table}", schema, partition_keys.get(table), buckets, files_per_bucket
         ).collect()  # one row per column
         elapsed = time.perf_counter() - started
         flagged = ",".join(row["column_name"] for row in profile if row["null_share"] > null_share)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import event_time
 from ..operators.mentions import extract_mentions
 
+#: The fields of a note message.
 NOTE_SCHEMA = (
     "row_id string, subject_id string, hadm_id string, charttime string, category string, description string, text string"
 )

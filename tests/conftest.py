@@ -9,11 +9,12 @@ from quillgraph.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false",
+           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
