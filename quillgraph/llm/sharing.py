@@ -6,17 +6,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .textbytes import Texts, mix, texts
 
-_ASKED = (
-    "part int, names binary, ids binary, counts binary, known binary, told_ids binary, told_counts binary, "
-    "told_names binary, own_ids binary, sizes binary, marks binary"
-)
+_ASKED = "part int, block long, names binary, owners binary, known binary, ids binary, sizes binary, marks binary"
+_HEARD = "block long, owners binary, names binary, ids binary, sizes binary, marks binary"
 ANSWER = "doc_id long, n long, mark binary, lone long, names binary"
 #: Names held before they are sent.
-_FLUSH = 1 << 20
+_FLUSH = 1 << 19
+#: Documents of a block, so that 16 bits number them.
+_DOCUMENTS = 1 << 16
 
 #: Per document: (size, mark of fixed width, keys).
 KeysOf = Callable[[Texts], Iterator[tuple[int, bytes, np.ndarray]]]
@@ -36,76 +37,66 @@ def _cut(parts: np.ndarray, count: int, *columns: np.ndarray) -> tuple[np.ndarra
     return np.searchsorted(parts[order], np.arange(count + 1)), [c[order] for c in columns]
 
 
-def _runs(owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct owners of sorted rows and how many rows each has."""
-    new = np.flatnonzero(np.diff(owners, prepend=-1))
-    return owners[new], np.diff(new, append=len(owners)).astype(np.uint32)
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], names=[name for name, _ in fields]
+    )
 
 
 class Requests:
-    """The keys of many documents, split into parts by hash, as one row for each part.
+    """The keys of a block of documents, split into parts by hash, as one row for each part.
 
-    A key that occurs twice among these documents is settled here: its documents are told, and its part only learns
-    that it exists. So a part gets one entry for a key and block of documents at most, however common the key.
+    A key that occurs twice in the block is settled here: its documents are told, and its part only learns that it
+    exists. So a part gets one entry for a key and block at most, however common the key.
     """
 
     def __init__(self, parts: int, lone: bool) -> None:
         self.parts, self.lone = parts, lone
+        self.blocks = TaskContext.get().partitionId() << 32
         self.clear()
 
     def clear(self) -> None:
         self.ids, self.sizes, self.marks, self.keys, self.held = [], [], [], [], 0
 
+    def full(self) -> bool:
+        return self.held >= _FLUSH or len(self.ids) == _DOCUMENTS
+
     def add(self, doc_id: int, size: int, mark: bytes, keys: np.ndarray) -> None:
         self.ids.append(doc_id)
         self.sizes.append(size)
         self.marks.append(mark)
         self.keys.append(keys)
-        self.held += len(keys) + 16
+        self.held += len(keys)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.ids:
             return
-        ids = np.array(self.ids, np.int64)
-        owner = np.repeat(np.arange(len(ids)), [len(k) for k in self.keys])
+        owner = np.repeat(np.arange(len(self.ids), dtype=np.uint16), [len(k) for k in self.keys])
         keys = np.concatenate(self.keys)
         values, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        alone = counts[inverse] == 1
-        names, part = short_names(keys), (mix(keys) % np.uint64(self.parts)).astype(np.int64)
-        at, (names_, owner_) = _cut(part[alone], self.parts, names[alone], owner[alone])
-        many = values[counts > 1]
-        known_at, (known,) = _cut((mix(many) % np.uint64(self.parts)).astype(np.int64), self.parts, short_names(many))
-        told_owner, told = (owner[~alone], names[~alone]) if not self.lone else (owner[:0], names[:0])
-        home = np.arange(len(ids)) % self.parts
-        heard_once = np.unique((told_owner.astype(np.uint64) << np.uint64(32)) | told)
-        told_owner, told = (heard_once >> np.uint64(32)).astype(np.int64), heard_once.astype(np.uint32)
-        told_at, (told, told_owner) = _cut(home[told_owner], self.parts, told, told_owner)
-        sizes = np.array(self.sizes, np.int64)
-        marks = np.frombuffer(b"".join(self.marks), np.uint8).reshape(len(ids), -1)
-        columns: list[list] = [[] for _ in range(11)]
+        names, part = short_names(values), (mix(values) % np.uint64(self.parts)).astype(np.int64)
+        alone = counts == 1
+        first = np.empty(len(values), np.uint16)
+        first[inverse] = owner
+        at, (asked, asking) = _cut(part[alone], self.parts, names[alone], first[alone])
+        known_at, (known,) = _cut(part[~alone], self.parts, names[~alone])
+        told, hearing = names[:0], owner[:0]
+        if not self.lone:
+            several = ~alone[inverse]
+            pairs = np.unique((owner[several].astype(np.uint64) << np.uint64(32)) | names[inverse[several]])
+            told, hearing = pairs.astype(np.uint32), (pairs >> np.uint64(32)).astype(np.uint16)
+        whole = [np.array(self.ids, np.int64).tobytes(), np.array(self.sizes, np.int64).tobytes(), b"".join(self.marks)]
+        rows = [(self.blocks % self.parts, self.blocks, told.tobytes(), hearing.tobytes(), None, *whole)]
         for p in range(self.parts):
-            asking, times = _runs(owner_[at[p] : at[p + 1]])
-            told_here = slice(told_at[p], told_at[p + 1])
-            order = np.argsort(told_owner[told_here], kind="stable")
-            hearing, heard = _runs(told_owner[told_here][order])
-            own = home == p
-            row = (
-                names_[at[p] : at[p + 1]],
-                ids[asking],
-                times,
-                known[known_at[p] : known_at[p + 1]],
-                ids[hearing],
-                heard,
-                told[told_here][order],
-                ids[own],
-                sizes[own],
-                marks[own],
-            )
-            columns[0].append(p)
-            for column, value in zip(columns[1:], row, strict=True):
-                column.append(value.tobytes())
-        arrays = [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])]
-        yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in _ASKED.split(", ")])
+            own, also = slice(at[p], at[p + 1]), known[known_at[p] : known_at[p + 1]]
+            if at[p] == at[p + 1] and not len(also):
+                continue
+            rows.append((p, self.blocks, asked[own].tobytes(), asking[own].tobytes(), also.tobytes(), None, None, None))
+        yield _batch(_ASKED, rows)
+        self.blocks += 1
         self.clear()
 
 
@@ -113,51 +104,66 @@ def _joined(blobs: list[bytes], kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), kind)
 
 
-def _blobs(names: np.ndarray, times: np.ndarray) -> pa.Array:
-    """One binary value for each run of names."""
-    ends = np.zeros(len(times) + 1, np.int32)
-    np.cumsum(times * 4, out=ends[1:])
-    return pa.Array.from_buffers(pa.binary(), len(times), [None, pa.py_buffer(ends), pa.py_buffer(names.tobytes())])
-
-
 def _answer(rows: pa.Table, lone: bool) -> pa.Table:
-    column = {name: rows.column(name).to_pylist() for name in rows.column_names}
-    names = _joined(column["names"], np.uint32)
-    ids, times = _joined(column["ids"], np.int64), _joined(column["counts"], np.uint32).astype(np.int64)
+    """For each block that asks a part: the owners of names that occur once and how many, or the names that occur again."""
+    every = rows.to_pylist()
+    asked = [r for r in every if r["ids"] is None]
+    names, owners = _joined([r["names"] for r in asked], np.uint32), _joined([r["owners"] for r in asked], np.uint16)
     values, inverse, counts = np.unique(names, return_inverse=True, return_counts=True)
     single = counts == 1
-    if len(values):
-        single &= ~np.isin(values, _joined(column["known"], np.uint32))
-        hit = single[inverse] if lone else ~single[inverse]
-    else:
-        hit = np.zeros(0, bool)
-    owner = np.repeat(np.arange(len(ids)), times)[hit]
-    some, found = _runs(owner)
-    own, sizes = _joined(column["own_ids"], np.int64), _joined(column["sizes"], np.int64)
-    width = len(b"".join(column["marks"])) // max(1, len(own))
-    marks = pa.array([b[i : i + width] for b in column["marks"] for i in range(0, len(b), width)], pa.binary())
-    told_ids, told_times = _joined(column["told_ids"], np.int64), _joined(column["told_counts"], np.uint32)
-    answered = pa.nulls(len(some), pa.binary()) if lone else _blobs(names[hit], found.astype(np.int64))
-    told = _blobs(_joined(column["told_names"], np.uint32), told_times.astype(np.int64))
-    zero = np.zeros(len(own) + len(told_ids), np.int64)
-    after = len(some) + len(told_ids)
+    single &= ~np.isin(values, _joined([r["known"] for r in asked], np.uint32))
+    hit = single[inverse] if lone else ~single[inverse]
+    ends = np.cumsum([len(r["owners"]) // 2 for r in asked]).tolist()
+    out = []
+    for r, low, high in zip(asked, [0, *ends], ends, strict=False):
+        own, some = names[low:high][hit[low:high]], owners[low:high][hit[low:high]]
+        if lone:
+            some, found = np.unique(some, return_counts=True)
+            own = found.astype(np.uint32)
+        out.append((r["block"], some.tobytes(), own.tobytes(), None, None, None))
+    out += [
+        (r["block"], r["owners"], r["names"], r["ids"], r["sizes"], r["marks"])
+        for r in every
+        if r["ids"] is not None
+    ]
+    return pa.Table.from_batches([_batch(_HEARD, out)])
+
+
+def _gather(rows: pa.Table, lone: bool) -> pa.Table:
+    """The answers to one block, by document."""
+    column = {name: rows.column(name).to_pylist() for name in rows.column_names}
+    home = next(i for i, ids in enumerate(column["ids"]) if ids is not None)
+    ids, sizes = (np.frombuffer(column[c][home], np.int64) for c in ("ids", "sizes"))
+    marks = column["marks"][home]
+    width = len(marks) // len(ids)
+    owners, names = _joined(column["owners"], np.uint16), _joined(column["names"], np.uint32)
+    counts = np.bincount(owners, weights=names if lone else None, minlength=len(ids)).astype(np.int64)
+    found = pa.nulls(len(ids), pa.binary())
+    if not lone:
+        ends = np.zeros(len(ids) + 1, np.int32)
+        np.cumsum(counts * 4, out=ends[1:])
+        flat = names[np.argsort(owners, kind="stable")].tobytes()
+        found = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
     return pa.table(
         {
-            "doc_id": np.concatenate([own, ids[some], told_ids]),
-            "n": pa.concat_arrays([pa.array(sizes, pa.int64()), pa.nulls(after, pa.int64())]),
-            "mark": pa.concat_arrays([marks, pa.nulls(after, pa.binary())]),
-            "lone": np.concatenate([zero[: len(own)], found.astype(np.int64) if lone else found * 0, zero[len(own) :]]),
-            "names": pa.concat_arrays([pa.nulls(len(own), pa.binary()), answered, told]),
+            "doc_id": ids,
+            "n": sizes,
+            "mark": pa.array([marks[i : i + width] for i in range(0, len(marks), width)], pa.binary()),
+            "lone": counts if lone else counts * 0,
+            "names": found,
         }
-    ).cast(pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("mark", pa.binary()), ("lone", pa.int64()), ("names", pa.binary())]))
+    )
 
 
 def ask_elsewhere(docs: DataFrame, keys_of: KeysOf, lone: bool) -> DataFrame:
-    """For (doc_id, text) rows, one row (doc_id, n, mark) per document, and rows about its keys, several for a document.
+    """(doc_id, n, mark, lone, names), a row for each (doc_id, text) row.
+
+    With ``lone``, that is how many of the document's keys occur once in the whole table; else ``names`` has the
+    :func:`short_names` of those that occur more often. ``keys_of`` gives a key as often as it counts.
 
-    With ``lone``, these say how many of the keys occur once in the whole table; else ``names`` has the
-    :func:`short_names` of those that occur more often. ``keys_of`` gives a key as often as it counts. Every scan task sends its keys in
-    blocks to as many parts as there are shuffle partitions; texts are not shuffled.
+    Every scan task sends its keys in blocks to as many parts as there are shuffle partitions, and the parts' answers
+    come together by block; texts are not shuffled. A block must be the same if its task runs again, so the rows of
+    ``docs`` must come in one order, as those of files do.
     """
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
@@ -166,8 +172,10 @@ def ask_elsewhere(docs: DataFrame, keys_of: KeysOf, lone: bool) -> DataFrame:
         for group in texts(batches):
             for doc_id, (size, mark, keys) in zip(group.ids.tolist(), keys_of(group), strict=True):
                 requests.add(doc_id, size, mark, keys)
-                if requests.held >= _FLUSH:
+                if requests.full():
                     yield from requests.rows()
         yield from requests.rows()
 
-    return docs.mapInArrow(ask, _ASKED).groupBy("part").applyInArrow(lambda rows: _answer(rows, lone), ANSWER)
+    asked = docs.mapInArrow(ask, _ASKED)
+    heard = asked.groupBy("part").applyInArrow(lambda rows: _answer(rows, lone), _HEARD)
+    return heard.groupBy("block").applyInArrow(lambda rows: _gather(rows, lone), ANSWER)

@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +16,8 @@ from ..session import materialize
 from .sharing import ask_elsewhere, short_names
 from .textbytes import Texts, mix, powers, texts, word_hashes, words
 
-_WINDOWS = "part int, told boolean, names binary, ids binary, counts binary"
+_WINDOWS = "part int, block long, told boolean, names binary, ids binary, counts binary"
+_LATER = "block long, names binary, ids binary"
 _GONE = "doc_id long, gone binary"
 _KEPT = "doc_id long, n_removed long, kept_sha256 string, kept_text string"
 _ROUNDS = 2
@@ -184,15 +185,15 @@ def _words_of(group: Texts, window: int) -> Iterator[tuple[int, bytes, np.ndarra
         yield int(p.first[i + 1] - p.first[i]), hashlib.sha256(text).digest(), own
 
 
-def _rows(part: np.ndarray, told: bool, names: np.ndarray, ids: np.ndarray) -> Iterator[tuple]:
-    """(part, told, names, ids, counts) for every part, the names in order of their documents."""
+def _rows(part: np.ndarray, block: int, told: bool, names: np.ndarray, ids: np.ndarray) -> Iterator[tuple]:
+    """(part, block, told, names, ids, counts) for every part, the names in order of their documents."""
     order = np.lexsort((ids, part))
     part, names, ids = part[order], names[order], ids[order]
     bounds = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(part)]
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         heads = np.flatnonzero(np.concatenate(([True], ids[a + 1 : b] != ids[a : b - 1])))
         counts = np.diff(heads, append=b - a).astype(np.uint32)
-        yield int(part[a]), told, names[a:b].tobytes(), ids[a:b][heads].tobytes(), counts.tobytes()
+        yield int(part[a]), block, told, names[a:b].tobytes(), ids[a:b][heads].tobytes(), counts.tobytes()
 
 
 def _window_blocks(batches: Iterator[pa.RecordBatch], window: int, parts: int) -> Iterator[pa.RecordBatch]:
@@ -201,7 +202,8 @@ def _window_blocks(batches: Iterator[pa.RecordBatch], window: int, parts: int) -
     Of equal windows in one block the smallest id alone asks. The others have found an earlier document already and are
     told, so a part gets one entry for a window and block, however common the window.
     """
-    for group in texts(batches):
+    task = TaskContext.get().partitionId() << 32
+    for block, group in enumerate(texts(batches), task):
         p = passages(group, window)
         keys = short_names(window_keys(p, window))
         hot = np.zeros(len(keys), bool)
@@ -217,34 +219,47 @@ def _window_blocks(batches: Iterator[pa.RecordBatch], window: int, parts: int) -
         head = np.concatenate(([True], (names[1:] != names[:-1]).any(axis=1)))
         new = head | np.concatenate(([True], ids[1:] != ids[:-1]))
         names, ids, head = names[new], ids[new], head[new]
-        asked = _rows((names[head, 1] % np.uint64(parts)).astype(np.int64), False, names[head], ids[head])
-        told = _rows(ids[~head] % parts, True, names[~head], ids[~head]) if not head.all() else ()
-        kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
+        asked = _rows((names[head, 1] % np.uint64(parts)).astype(np.int64), block, False, names[head], ids[head])
+        told = _rows(np.full((~head).sum(), block % parts), block, True, names[~head], ids[~head])
+        kinds = (pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
         columns = zip(*asked, *told, strict=True)
         arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in _WINDOWS.split(", ")])
 
 
 def _later(rows: pa.Table) -> pa.Table:
-    """(doc_id, names of its windows that a document of smaller id has), for one part."""
-
-    def held(told: bool) -> tuple[np.ndarray, np.ndarray]:
-        some = rows.filter(pc.equal(rows.column("told"), told))
-        blobs = {name: b"".join(some.column(name).to_pylist()) for name in ("names", "ids", "counts")}
-        ids = np.repeat(np.frombuffer(blobs["ids"], np.int64), np.frombuffer(blobs["counts"], np.uint32))
-        return np.frombuffer(blobs["names"], np.uint64).reshape(-1, 2), ids
-
-    names, ids = held(False)
-    order = np.lexsort((ids, names[:, 1], names[:, 0]))
-    names, ids = names[order], ids[order]
-    head = np.ones(len(ids), bool)
-    head[1:] = (names[1:] != names[:-1]).any(axis=1)
-    gone = ids > ids[head][np.cumsum(head) - 1]
-    told_names, told_ids = held(True)
-    names, ids = np.concatenate([names[gone, 0], told_names[:, 0]]), np.concatenate([ids[gone], told_ids])
+    """(block, names, ids): for each block that asks a part, the windows that a document of smaller id has."""
+    asked, out = [], []
+    for row in rows.to_pylist():
+        names = np.frombuffer(row["names"], np.uint64).reshape(-1, 2)
+        ids = np.repeat(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["counts"], np.uint32))
+        if row["told"]:
+            out.append((row["block"], names[:, 0], ids))
+        else:
+            asked.append((row["block"], names, ids))
+    if asked:
+        sizes = [len(ids) for _, _, ids in asked]
+        names, ids = np.concatenate([n for _, n, _ in asked]), np.concatenate([i for _, _, i in asked])
+        order = np.lexsort((ids, names[:, 1], names[:, 0]))
+        head = np.concatenate(([True], (names[order[1:]] != names[order[:-1]]).any(axis=1)))
+        least = np.empty_like(ids)
+        least[order] = ids[order][head][np.cumsum(head) - 1]
+        ends = np.cumsum(sizes)
+        for (block, _, _), b, size in zip(asked, ends, sizes, strict=True):
+            own = np.flatnonzero(ids[b - size : b] > least[b - size : b]) + b - size
+            out.append((block, names[own, 0], ids[own]))
+    found = [(block, names.tobytes(), ids.tobytes()) for block, names, ids in out if len(ids)]
+    columns = zip(*found, strict=True) if found else ((), (), ())
+    kinds = {"block": pa.int64(), "names": pa.binary(), "ids": pa.binary()}
+    return pa.table({name: pa.array(c, kind) for c, (name, kind) in zip(columns, kinds.items(), strict=True)})
+
+
+def _by_document(rows: pa.Table) -> pa.Table:
+    """(doc_id, gone): the names of a block's windows that go, by document."""
+    names, ids = (np.frombuffer(b"".join(rows.column(c).to_pylist()), t) for c, t in (("names", np.uint64), ("ids", np.int64)))
     order = np.argsort(ids, kind="stable")
     names, ids = names[order], ids[order]
-    heads = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else np.zeros(0, np.int64)
+    heads = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
     ends = (np.append(heads, len(ids)) * 8).astype(np.int32)
     blob = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(ends), pa.py_buffer(names.tobytes())])
     return pa.table({"doc_id": pa.array(ids[heads], pa.int64()), "gone": blob})
@@ -284,7 +299,8 @@ def repeated_passages(
     shared = materialize(given.join(asked.select("doc_id", "names", "mark"), "doc_id").select("doc_id", "text", "names", "mark"), "shared")
 
     blocks = shared.mapInArrow(lambda batches: _window_blocks(batches, window, parts), _WINDOWS)
-    gone = blocks.groupBy("part").applyInArrow(_later, _GONE)
+    later = blocks.groupBy("part").applyInArrow(_later, _LATER)
+    gone = later.groupBy("block").applyInArrow(_by_document, _GONE)
     gone = gone.groupBy("doc_id").agg(F.collect_list("gone").alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,6 +333,7 @@ def repeated_passages(
                 )
 
     left = shared.join(gone, "doc_id").select("doc_id", "text", "gone", "mark").mapInArrow(cut, _KEPT)
+    left = left.dropDuplicates(["doc_id"])  # of rows that repeat an id
     copy = (F.col("rep") < F.col("doc_id")) & (F.col("n") >= window)
     return profile.join(left, "doc_id", "left").select(
         "doc_id",

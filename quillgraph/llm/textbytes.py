@@ -31,7 +31,7 @@ class Texts(NamedTuple):
     batch: pa.RecordBatch
 
 
-def texts(batches: Iterator[pa.RecordBatch], most: int = 2 << 20) -> Iterator[Texts]:
+def texts(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[Texts]:
     """The (id, text, ..) rows of each batch in groups of about ``most`` bytes; ``batch`` is the group's rows."""
     for batch in batches:
         column = batch.column(1)
