@@ -154,21 +154,22 @@ class Transducer:
 
     def _unigram_path(self, unit: str) -> tuple[int, ...]:
         count = len(unit)
-        cost = [0.0] + [float("inf")] * count
+        # In single precision like the scores, so that paths of nearly equal weight are told apart as the library does.
+        weight: list = [np.float32(0.0)] + [np.float32(np.inf)] * count
         last: list = [None] * (count + 1)
+        unknown = np.float32(_PENALTY) - np.float32(self.worst)
         for i in range(count):
             state, j = self.start.get(unit[i]), i + 1
-            if state is None or _OUT not in state:
-                if cost[i] - self.worst + _PENALTY < cost[j]:
-                    cost[j], last[j] = cost[i] - self.worst + _PENALTY, (-2, i)
             while state is not None:
                 piece = state.get(_OUT)
-                if piece is not None and cost[i] - self.score[piece] < cost[j]:
-                    cost[j], last[j] = cost[i] - self.score[piece], (piece, i)
+                if piece is not None and weight[i] - np.float32(self.score[piece]) < weight[j]:
+                    weight[j], last[j] = weight[i] - np.float32(self.score[piece]), (piece, i)
                 if j == count:
                     break
                 state = state.get(unit[j])
                 j += 1
+            if unit[i] not in self.ids and weight[i] + unknown < weight[i + 1]:
+                weight[i + 1], last[i + 1] = weight[i] + unknown, (-2, i)
         return self._outputs(unit, last)
 
     def _outputs(self, unit: str, last: list) -> tuple[int, ...]:
