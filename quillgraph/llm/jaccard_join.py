@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +55,8 @@ def set_profiles(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             yield len(tokens), _mark(tokens), tokens[: 2 * (len(tokens) * (100 - percent) // 100) + 2]
 
     answers = ask_elsewhere(docs, keys_of, lone=True)
-    sums = answers.groupBy("doc_id").agg(F.max(F.struct("n", "mark")).alias("s"), F.sum("lone").alias("lone"))
-    return sums.select("doc_id", "s.n", "s.mark", "lone")
+    one = answers.groupBy("doc_id").agg(F.max(F.struct("n", "mark", "lone")).alias("s"))
+    return one.select("doc_id", "s.n", "s.mark", "s.lone")
 
 
 def _allowed(n: Column, percent: int) -> Column:
@@ -102,34 +103,58 @@ def boundary(ranked: DataFrame, percent: int) -> int:
 
 
 def prefix_keys(ranked: DataFrame, percent: int, light: int) -> DataFrame:
-    """(key, pairs, rep, n): the keys of which two linked sets share one at least.
+    """(key, pairs, rep, n, lone, apart): the keys of which two linked sets share one at least.
 
     Two light sets, up to ``light`` tokens, share two tokens of their longer prefix, so all its pairs are
     their keys. A heavy set shares one token of its prefix with any partner; light sets large enough to be one join its lists.
+    ``apart`` is less, the more sets a set's tokens are in on average.
     """
     allowed, lone = _allowed(F.col("n"), percent), F.col("n") - F.size("ranked")
+    spread = F.aggregate("ranked", F.lit(0).cast("long"), lambda s, t: s + t["df"])
+    about = ["rep", "n", lone.alias("lone"), (-spread / F.col("n")).alias("apart")]
     one = F.slice("ranked", 1, F.greatest(allowed + 1 - lone, F.lit(0)).cast("int"))
     two = F.transform(F.slice("ranked", 1, F.greatest(allowed + 2 - lone, F.lit(0)).cast("int")), lambda t: t["token"])
     tails = F.transform(two, lambda t, i: F.struct(t.alias("a"), F.slice(two, i + 2, F.size(two)).alias("rest")))
     pairs = F.flatten(F.transform(tails, lambda x: F.transform(x["rest"], lambda b: F.xxhash64(F.least(x["a"], b), F.greatest(x["a"], b)))))
-    small = ranked.filter(F.col("n") <= light).select(F.explode(pairs).alias("key"), F.lit(True).alias("pairs"), "rep", "n")
+    small = ranked.filter(F.col("n") <= light).select(F.explode(pairs).alias("key"), F.lit(True).alias("pairs"), *about)
     near = ranked.filter(F.col("n") * 100 >= light * percent)
-    large = near.select(F.explode(F.transform(one, lambda t: t["token"])).alias("key"), F.lit(False).alias("pairs"), "rep", "n")
+    large = near.select(F.explode(F.transform(one, lambda t: t["token"])).alias("key"), F.lit(False).alias("pairs"), *about)
     return small.unionByName(large)
 
 
-def _alike(sizes: tuple[str, str], percent: int) -> Column:
-    low, high = F.least(*sizes), F.greatest(*sizes)
-    return low * 100 >= high * percent
+def _reaches(common: Column, a: str, b: str, percent: int) -> Column:
+    """Whether sets of these sizes are linked if they have this many tokens in common."""
+    return common * 100 >= (F.col(f"n_{a}") + F.col(f"n_{b}") - common) * percent
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) whose sets have at least ``percent`` hundredths of their union in common."""
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether two sets can be linked: neither has more in common with the other than it has with all sets."""
+    most = F.least(F.col(f"n_{a}") - F.col(f"lone_{a}"), F.col(f"n_{b}") - F.col(f"lone_{b}"))
+    return _reaches(most, a, b, percent)
+
+
+def _pivot_is_enough(a: str, b: str, percent: int) -> Column:
+    """Whether what two sets have of one ``pivot`` could link them without any other token.
+
+    ``shared`` is how many tokens a set has in common with its pivot. Two sets have no more of the pivot's tokens in common than
+    either has of it. Sets whose pivots differ, or that were compared with none, get the benefit of the doubt.
+    """
+    beside = F.coalesce(F.col(f"pivot_{a}") == F.col(f"pivot_{b}"), F.lit(False))
+    return ~beside | _reaches(F.least(f"shared_{a}", f"shared_{b}"), a, b, percent)
+
+
+def _others_are_enough(a: str, b: str, percent: int) -> Column:
+    """Whether two sets of one pivot could be linked if all they have besides its tokens and their own were the same."""
+    other = [F.greatest(F.col(f"n_{x}") - F.col(f"lone_{x}") - F.col(f"shared_{x}"), F.lit(0)) for x in (a, b)]
+    return _reaches(F.least(f"shared_{a}", f"shared_{b}") + F.least(*other), a, b, percent)
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, common) of pairs of sets: the sizes, and how many tokens they have in common."""
     left = sets.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
-    common = F.size(F.array_intersect("t_a", "t_b"))
-    met = pairs.join(left, "a").join(right, "b").withColumn("common", common)
-    return met.filter(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
+    common = F.size(F.array_intersect("t_a", "t_b")).alias("common")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common)
 
 
 def jaccard_components(
@@ -144,8 +169,10 @@ def jaccard_components(
        that has more tokens of its own than a link allows is linked with no other set and is left at that.
     2. Equal sets are one from here on. The sets still open are ordered by how rare their tokens are among them.
     3. Light and heavy sets get their keys (:func:`prefix_keys`), the boundary chosen by :func:`boundary`.
-    4. First every set of a key is compared with the smallest id of the key only; then those pairs of a key that are
-       not in one component yet. Nothing else can change a component, so none of a group's other pairs is formed.
+    4. First every set of a key is compared with one of them only, that whose tokens most sets have; then
+       those pairs that are not in one component yet and that these comparisons leave room for: pairs of a key for which what they
+       share with the compared set would do, and pairs that have a token in common that it lacks. Nothing else can change
+       a component, so none of a group's other pairs is formed.
 
     A null text counts as empty; a document without words has no shingles and is its own component. Rows without an id
     are left out; rows that repeat an id are one document, that of the largest set. Other columns are not read. An empty table
@@ -182,33 +209,51 @@ def jaccard_components(
     ranked = materialize(ranked_sets(sets.select("rep", "n", "tokens")), "ranked")
     keys = materialize(prefix_keys(ranked, percent, boundary(ranked, percent)), "keys")
 
+    own = F.min(F.struct("apart", "rep", "n", "lone")).alias("p")
+    pivots = keys.groupBy("key", "pairs").agg(own, F.count(F.lit(1)).alias("m")).filter("m > 1")
     pivots = materialize(
-        keys.groupBy("key", "pairs").agg(F.min(F.struct("rep", "n")).alias("p"), F.count(F.lit(1)).alias("m")).filter("m > 1"),
+        pivots.select("key", "pairs", F.col("p.rep").alias("a"), F.col("p.n").alias("n_a"), F.col("p.lone").alias("lone_a")),
         "pivots",
     )
-    star = (
-        keys.join(pivots, ["key", "pairs"])
-        .select(F.col("p.rep").alias("a"), F.col("p.n").alias("n_a"), F.col("rep").alias("b"), F.col("n").alias("n_b"))
-        .filter((F.col("a") < F.col("b")) & _alike(("n_a", "n_b"), percent))
-    )
-    links = materialize(linked(star.select("a", "b").distinct(), sets, percent), "links")
+    member = keys.select("key", "pairs", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("lone").alias("lone_b"))
+    star = member.join(pivots, ["key", "pairs"]).filter((F.col("a") != F.col("b")) & _may_link("a", "b", percent))
+    star = materialize(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
+    star = materialize(compared(star, sets), "compared")
+    links = star.filter(_reaches(F.col("common"), "a", "b", percent)).select("a", "b")
     nodes = sets.select(F.col("rep").alias("id")).distinct()
     ends = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     first = materialize(connected_components(nodes, ends), "components")
 
+    sides = [star.select(F.col(p).alias("pivot"), F.col(q).alias("rep"), "common") for p, q in ("ab", "ba")]
+    sides += [star.select(F.col(p).alias("pivot"), F.col(p).alias("rep"), F.col(f"n_{p}").alias("common")) for p in "ab"]
+    met = reduce(DataFrame.unionAll, sides)
+    chosen = materialize(met.groupBy("pivot").agg(F.count(F.lit(1)).alias("known")), "known")
+    nearest = met.join(chosen, "pivot").groupBy("rep").agg(F.max(F.struct("known", "pivot", "common")).alias("p"))
+    nearest = materialize(nearest.select("rep", "p.pivot", F.col("p.common").alias("shared")), "nearest")
+
     placed = keys.join(first.withColumnRenamed("id", "rep"), "rep")
     mixed = placed.groupBy("key", "pairs").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = materialize(mixed.filter("low < high").select("key", "pairs"), "mixed")
-    crossing = placed.join(mixed, ["key", "pairs"])
-    left = crossing.select("key", "pairs", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    right = crossing.select("key", "pairs", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    across = (
-        left.join(right, ["key", "pairs"])
-        .filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _alike(("n_a", "n_b"), percent))
-        .select("a", "b")
-        .distinct()
-    )
-    more = linked(across.join(star.select("a", "b").distinct(), ["a", "b"], "left_anti"), sets, percent)
+    crossing = materialize(placed.join(mixed, ["key", "pairs"]).join(nearest, "rep", "left"), "crossing")
+
+    held = crossing.select("rep", "n", "lone", "component", "pivot", "shared").filter("pivot <> rep").distinct()
+    whole = sets.select(F.col("rep").alias("pivot"), F.col("tokens").alias("of_pivot"))
+    beside = held.join(ranked.select("rep", F.col("ranked.token").alias("tokens")), "rep").join(whole, "pivot")
+    beside = beside.withColumn("key", F.explode(F.array_except("tokens", "of_pivot"))).drop("tokens", "of_pivot")
+
+    def pairs_of(rows: DataFrame, on: list[str], may: Callable[[str, str, int], Column]) -> DataFrame:
+        def side(x: str) -> DataFrame:
+            names = {"rep": x, "component": f"c_{x}"} | {c: f"{c}_{x}" for c in ("n", "lone", "pivot", "shared")}
+            return rows.select(*on, *[F.col(old).alias(new) for old, new in names.items()])
+
+        met = side("a").join(side("b"), on).filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
+        return met.filter(_may_link("a", "b", percent) & may("a", "b", percent)).select("a", "b")
+
+    by_key = pairs_of(crossing, ["key", "pairs"], _pivot_is_enough)
+    by_other = pairs_of(beside.withColumn("of", F.col("pivot")), ["of", "key"], _others_are_enough)
+    across = materialize(by_key.unionAll(by_other).distinct(), "across")
+    more = compared(across.join(star.select("a", "b"), ["a", "b"], "left_anti"), sets)
+    more = more.filter(_reaches(F.col("common"), "a", "b", percent)).select("a", "b")
     more = materialize(more, "more-links")
     if not more.isEmpty():
         ends = links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst"))
