@@ -63,6 +63,29 @@ def test_jaccard_components_at_other_thresholds(spark, percent):
     assert got == cases.jaccard(docs, percent)
 
 
+def test_jaccard_components_of_families_around_the_threshold(spark):
+    """Copies with few and many edits, deletions that several copies have in common, and words put in that some share."""
+    import random
+
+    draw, docs = random.Random(11), {}
+    for size in (40, 150, 400):
+        base = [f"w{size}x{draw.randint(0, 900)}" for _ in range(size)]
+        for _ in range(70):
+            words = list(base)
+            for _ in range(draw.randint(0, size // 25)):
+                at = draw.randrange(len(words))
+                edit = draw.random()
+                if edit < 0.4:
+                    del words[at]
+                elif edit < 0.7:
+                    words[at] = f"new{draw.randint(0, 3)}"
+                else:
+                    words[at] = f"own{draw.random()}"
+            docs[len(docs) * 7 + 3] = " ".join(words)
+    rows = jaccard_components(cases.table(spark, docs)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == cases.jaccard(docs)
+
+
 def test_repeated_passages(messy, texts):
     rows = repeated_passages(messy).collect()
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in rows}
