@@ -141,17 +141,17 @@ class Graph:
         rows = self.raw_edges(type)
         return rows if self._unique(type) else merged_rows(rows, self.ontology.edge(type).identity).select(rows.columns)
 
-    def typed_links(self, types: list[str] | None = None) -> list[tuple[str, str, DataFrame]]:
-        """(source label, target label, rows of src and dst as text) per edge type, for searches over any type."""
-        return [
-            (
-                rule.src_label,
-                rule.dst_label,
-                self.raw_edges(rule.type).select(F.col("src").cast("string"), F.col("dst").cast("string")),
-            )
-            for rule in self.ontology.edges
-            if types is None or rule.type in types
-        ]
+    def typed_links(self, types: list[str] | None = None) -> list[tuple[str, str, Callable[[], DataFrame]]]:
+        """(source label, target label, function giving rows of src and dst as text) per edge type, for searches over any type.
+
+        An edge type costs nothing, such as the extraction of what its table holds, before a search calls its function.
+        """
+
+        def rows(type: str) -> Callable[[], DataFrame]:
+            return lambda: self.raw_edges(type).select(F.col("src").cast("string"), F.col("dst").cast("string"))
+
+        chosen = [rule for rule in self.ontology.edges if types is None or rule.type in types]
+        return [(rule.src_label, rule.dst_label, rows(rule.type)) for rule in chosen]
 
     def save(self, path: str, max_records_per_file: int = 0, fill: str | None = None) -> None:
         """Write every node and edge table; with ``fill``, nulls in text properties of nodes become that text."""

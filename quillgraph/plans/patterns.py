@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from ..session import materialize_measured
 from .graph import Graph
 
 
-TypedLinks = list[tuple[str, str, DataFrame]]
+TypedLinks = list[tuple[str, str, Callable[[], DataFrame]]]
 
 
 def _seed(spark, label: str, node: str) -> DataFrame:
@@ -31,7 +32,7 @@ def _step(frontier: DataFrame, labels: set[str], links: TypedLinks) -> tuple[Dat
             if from_label not in labels:
                 continue
             at = frontier.filter(F.col("label") == from_label).select(F.col("node").alias(here), "path")
-            onward = rows.join(at, here).select(F.lit(to_label).alias("label"), F.col(there).alias("node"), "path")
+            onward = rows().join(at, here).select(F.lit(to_label).alias("label"), F.col(there).alias("node"), "path")
             reached.append(onward)
             found.add(to_label)
     if not reached:
@@ -47,7 +48,7 @@ def shortest_path(links: TypedLinks, start: tuple[str, str], goal: tuple[str, st
     covers the neighbourhoods of half the distance. Frontiers are tables in the shared folder; only their sizes and the
     final path reach the driver.
     """
-    spark = links[0][2].sparkSession
+    spark = links[0][2]().sparkSession
     names = [f"{label}:{node}" for label, node in (start, goal)]
     result = "source string, target string, path_length int, path array<struct<label: string, node: string>>"
     if start == goal:

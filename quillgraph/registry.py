@@ -137,7 +137,7 @@ def parse_events(spark: SparkSession, sf: str) -> DataFrame:
 def _document_messages(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "messages")
     sent = notes.messages(read_table(spark, sf, "documents"), "doc_id", ["doc_id", "text", "lang", "source"])
-    sent.select("value").repartition(4).write.text(path)
+    sent.select("value").write.text(path)
     return path
 
 

@@ -19,7 +19,7 @@ def edges_of(spark, pairs):
 
 
 def test_shortest_path_on_a_chain(spark):
-    chain = [("N", "N", edges_of(spark, [(str(i), str(i + 1)) for i in range(8)]))]
+    chain = [("N", "N", lambda: edges_of(spark, [(str(i), str(i + 1)) for i in range(8)]))]
     row = shortest_path(chain, ("N", "6"), ("N", "0")).first()
     assert (row["path_length"], [tuple(p) for p in row["path"]]) == (6, [("N", str(i)) for i in range(6, -1, -1)])
     assert shortest_path(chain, ("N", "0"), ("N", "7")).count() == 0
@@ -33,7 +33,7 @@ def test_shortest_path_equals_breadth_first_search(spark, sf):
     links = graph.typed_links(["HAS_ADMISSION", "UNDERWENT", "HAD_LAB_RESULT"])
     around = {}
     for s, d, rows in links:
-        for r in rows.collect():
+        for r in rows().collect():
             around.setdefault((s, r["src"]), set()).add((d, r["dst"]))
             around.setdefault((d, r["dst"]), set()).add((s, r["src"]))
 
