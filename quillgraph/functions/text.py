@@ -61,14 +61,18 @@ def chunk_starts(chunks: Column) -> Column:
 
     Lengths are summed over groups of 256 runs first, so a long text does not copy one long array for every run.
     """
+
+    def summed(lengths: Column) -> Column:
+        groups = F.transform(
+            F.sequence(F.lit(0), F.greatest(F.floor((F.size(lengths) - 1) / _GROUP), F.lit(0)).cast("int")),
+            lambda g: F.slice(lengths, g * _GROUP + 1, _GROUP),
+        )
+        sums = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda s, n: (s + n).cast("int")))
+        return F.flatten(F.zip_with(groups, _starts(sums), lambda g, at: F.transform(_starts(g), lambda s: s + at)))
+
     lengths = F.transform(chunks, lambda run: F.length(F.array_join(run, " ")) + 1)
-    groups = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.floor((F.size(lengths) - 1) / _GROUP), F.lit(0)).cast("int")),
-        lambda g: F.slice(lengths, g * _GROUP + 1, _GROUP),
-    )
-    sums = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda s, n: (s + n).cast("int")))
-    parts = F.zip_with(groups, _starts(sums), lambda g, at: F.transform(_starts(g), lambda s: s + at))
-    return F.flatten(parts)
+    # bound to a variable, so that the lengths are worked out once and not again for every group
+    return F.get(F.transform(F.array(lengths), summed), F.lit(0))
 
 
 def offset_in_chunk(chunk: Column, position: Column) -> Column:
