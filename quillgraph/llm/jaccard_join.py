@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.components import connected_components
-from ..session import materialize
+from ..session import drop_materialized, materialize
 from .sharing import ask_elsewhere
 from .textbytes import Texts, mix, texts, word_hashes, words
 
@@ -71,8 +71,10 @@ def ranked_sets(sets: DataFrame) -> DataFrame:
     """
     each = sets.select("rep", "n", F.explode("tokens").alias("token"))
     counts = materialize(each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "token-counts")
-    held = each.join(counts, "token")
-    return held.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    held = each.join(counts, "token").groupBy("rep", "n")
+    ranked = materialize(held.agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked")), "ranked")
+    drop_materialized(counts)
+    return ranked
 
 
 def boundary(ranked: DataFrame, percent: int) -> int:
@@ -206,7 +208,7 @@ def jaccard_components(
                 )
 
     sets = materialize(given.join(open_, "doc_id").select("doc_id", "text", "mark").mapInArrow(gather, _SETS), "sets")
-    ranked = materialize(ranked_sets(sets.select("rep", "n", "tokens")), "ranked")
+    ranked = ranked_sets(sets.select("rep", "n", "tokens"))
     keys = materialize(prefix_keys(ranked, percent, boundary(ranked, percent)), "keys")
 
     own = F.min(F.struct("apart", "rep", "n", "lone")).alias("p")
@@ -261,6 +263,8 @@ def jaccard_components(
 
     named = groups.select("mark", "rep").join(first.withColumnRenamed("id", "rep"), "rep", "left")
     named = materialize(named.select("mark", F.coalesce("component", "rep").alias("component_id")), "marks")
+    for done in (sets, ranked, keys, pivots, star, nearest, mixed, crossing, across):
+        drop_materialized(done)
     out = profiles.join(named, "mark", "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
