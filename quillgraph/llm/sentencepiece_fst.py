@@ -23,8 +23,8 @@ _UNITS = (
     f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n",
 )
 _OUT = ""
-#: Units remembered by a task; when there are more, it starts afresh.
-_REMEMBER = 300_000
+#: Units remembered in each of two generations; when the younger is full it becomes the older one, so frequent units stay.
+_REMEMBER = 400_000
 
 ENCODED = "doc_id long, ids array<int>, n_ids long, round_trip boolean"
 
@@ -75,6 +75,7 @@ class Transducer:
         self.worst = min((self.score[i] for i in self.ids.values()), default=0.0)
         self.beside: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.alone: dict[int, bool] = {}
         self.units = next((u for u in map(re.compile, _UNITS) if self._never_crossed(u)), None)
 
@@ -110,7 +111,7 @@ class Transducer:
         key = (left, right)
         known = self.beside.get(key)
         if known is None:
-            if len(self.beside) > 4 * _REMEMBER:
+            if len(self.beside) > 3 * _REMEMBER:
                 self.beside.clear()
             known = self.beside[key] = self.merged(self.text[left] + self.text[right]) == [left, right]
         return known
@@ -195,12 +196,19 @@ class Transducer:
         for unit in self.units.findall(normal):
             ids = known.get(unit)
             if ids is None:
-                if len(known) > _REMEMBER:
-                    known.clear()
-                ids = known[unit] = self.path(unit)
+                ids = self.recall(unit)
+                known = self.known
             out += ids
         return out
 
+    def recall(self, unit: str) -> tuple[int, ...]:
+        """The output of the least path over a unit that the younger generation does not know."""
+        ids = self.older.get(unit) or self.path(unit)
+        if len(self.known) >= _REMEMBER:
+            self.older, self.known = self.known, {}
+        self.known[unit] = ids
+        return ids
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids: spaces for their mark, bytes joined, control ids left out, and the space put before it taken off."""
         out: list[str] = []
