@@ -28,8 +28,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked by similar shingle sets, that of the smallest id."""
-    kept = jaccard_components(docs).filter("doc_id = component_id").select("doc_id")
+    """One document of every group linked by sets of five-word shingles of similarity 0.8 or more, that of the smallest id."""
+    kept = jaccard_components(docs, shingle=5, percent=80).filter("doc_id = component_id").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
 
 

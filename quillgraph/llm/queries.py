@@ -60,7 +60,7 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
 QUERIES = {
