@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillgraph.llm.exact_dedup import exact_duplicates
+from quillgraph.llm.exact_dedup import exact_duplicates, lower_ascii
 from quillgraph.llm.jaccard_join import jaccard_components
 from quillgraph.llm.packing import pack_documents
 from quillgraph.llm.quality import keep_good
@@ -22,22 +22,59 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of equal texts, that of the largest id."""
-    kept = exact_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """One row of every group of equal texts, one of the largest id; of rows that repeat id and text, the least."""
+    key = ["doc_id", "_digest"]
+    kept = exact_duplicates(docs).filter("kept").withColumnRenamed("text_sha256", "_digest").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    kept = materialize(kept, "kept")
+    rows = docs.withColumn("_digest", F.sha2(lower_ascii(F.coalesce("text", F.lit(""))), 256))
+    once = rows.join(kept.filter("n = 1"), key, "left_semi").select(docs.columns)
+    repeated = kept.filter("n > 1")
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(least_rows(rows.join(repeated, key, "left_semi"), key, docs.columns))
+
+
+def least_rows(rows: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """One row for every key, the least in the order of its columns, so that it is the same on any layout."""
+    return rows.groupBy(key).agg(F.min(F.struct(*columns)).alias("row")).select("row.*")
+
+
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows with a ``_row_key`` for each different (id, text), in the order of id and text digest; whether ids repeat.
+
+    It is the id itself unless ids repeat. Then the keys are numbered after a sort, and texts join them by id and digest.
+    """
+    if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return docs.withColumn("_row_key", F.col("doc_id")), False
+    key = ["doc_id", "_sha256"]
+    rows = docs.withColumn("_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    numbers = rows.filter("doc_id IS NOT NULL").select(key).distinct().orderBy(key)
+    numbers = materialize(numbers.withColumn("_row_key", F.monotonically_increasing_id()), "row-keys")
+    return materialize(rows.join(numbers, key, "left").select(*docs.columns, "_row_key"), "keyed"), True
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked by sets of five-word shingles of similarity 0.8 or more, that of the smallest id."""
-    kept = jaccard_components(docs, shingle=5, percent=80).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """One row of every group linked by sets of five-word shingles of similarity 0.8 or more, that of the smallest id.
+
+    Every row is judged by its own text, also if another has its id; rows that repeat id and text are one, the least.
+    """
+    rows, repeat = keyed(docs)
+    found = jaccard_components(rows, id_col="_row_key", shingle=5, percent=80)
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_row_key"))
+    left = rows.join(kept, "_row_key", "left_semi")
+    return least_rows(left, ["_row_key"], docs.columns) if repeat else left.select(docs.columns)
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the passages that an earlier one has. One that loses words has the rest joined by spaces."""
-    changed = repeated_passages(docs).filter("n_removed > 0").select("doc_id", "kept_text")
+    """The documents without the passages that an earlier one has. One that loses words has the rest joined by spaces.
+
+    Of two texts under one id, that of the smaller digest is the earlier one.
+    """
+    rows, _ = keyed(docs)
+    changed = repeated_passages(rows, id_col="_row_key").filter("n_removed > 0")
+    changed = changed.select(F.col("doc_id").alias("_row_key"), "kept_text")
     text = F.coalesce("kept_text", "text")
-    joined = docs.join(changed, "doc_id", "left").withColumn("text", text)
+    joined = rows.join(changed, "_row_key", "left").withColumn("text", text)
     n_chars = F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
     return joined.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 

@@ -16,3 +16,35 @@ def test_near_copies_at_five_words_and_four_fifths(spark, sf):
     kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, cases.table(spark, texts), sf).collect()}
     assert {1, 3} <= kept and 2 not in kept
     assert kept == {i for i, c in near_links(texts).items() if i == c}
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def pairs(docs):
+    return sorted((r["doc_id"], r["text"]) for r in docs.collect())
+
+
+def test_exact_copies_under_repeated_ids(spark, sf):
+    rows = [(5, "a"), (5, "b"), (9, "a"), (7, "c"), (7, "c"), (8, "D"), (8, "d"), (3, "e"), (2, "e")]
+    kept = corpus_pipeline.drop_copies(spark, documents(spark, rows), sf)
+    assert pairs(kept) == [(3, "e"), (5, "b"), (7, "c"), (8, "D"), (9, "a")]
+
+
+def test_near_copies_under_repeated_ids(spark, sf, tmp_path):
+    one, two = ([f"{c}{i}" for i in range(60)] for c in "xy")
+    texts = [" ".join(w) for w in (one, two, [*one, "end"], [*two, "end"], [f"z{i}" for i in range(20)])]
+    rows = [(5, texts[0]), (5, texts[1]), (9, texts[2]), (4, texts[3]), (6, texts[4]), (6, texts[4])]
+    documents(spark, rows).write.parquet(str(tmp_path / "docs"))
+    kept = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "docs")), sf)
+    assert pairs(kept) == sorted([(5, texts[0]), (4, texts[3]), (6, texts[4])])
+
+
+def test_passages_under_repeated_ids(spark, sf, tmp_path):
+    shared, own = [f"s{i}" for i in range(20)], [f"o{i}" for i in range(30)]
+    rows = [(1, " ".join(shared)), (5, " ".join(own + shared)), (5, "short text of its own"), (7, "x")]
+    documents(spark, rows).write.parquet(str(tmp_path / "docs"))
+    cut = corpus_pipeline.cut_passages(spark, spark.read.parquet(str(tmp_path / "docs")), sf)
+    assert pairs(cut) == sorted([rows[0], (5, " ".join(own)), rows[2], rows[3]])
+    assert all(r["n_chars"] == len(r["text"]) for r in cut.collect())
