@@ -8,6 +8,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +34,7 @@ _TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
+_CHUNK = re.compile(rb"[ \t]*([0-9a-fA-F]{1,16})[ \t]*(?:;[^\r\n]*)?\r\n")
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -62,14 +64,77 @@ def visible_text(page: str) -> str:
     return _LINES.sub("\n", _SPACES.sub(" ", html.unescape(text))).strip()
 
 
-def split_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
-    """(status line, headers by lower-case name, payload) of a response; without a header all of it is payload."""
+def header_pairs(lines: list[str]) -> list[tuple[str, str]]:
+    """(lower-case name, value) of every header line, in order, repeated ones too; a line that begins with space goes on with the last."""
+    out: list[tuple[str, str]] = []
+    for line in lines:
+        if line[:1] in (" ", "\t"):
+            if out:
+                out[-1] = out[-1][0], f"{out[-1][1]} {line.strip()}".strip()
+        elif ":" in line:
+            name, _, value = line.partition(":")
+            out.append((name.strip().lower(), value.strip()))
+    return out
+
+
+def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
+    """(status line, headers with lower-case names, payload) of a response; without a header all of it is payload."""
     if not block.startswith(b"HTTP/"):
-        return "", {}, block
+        return "", [], block
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *lines = head.decode("latin-1").split("\r\n")
-    pairs = (line.partition(":") for line in lines if ":" in line)
-    return status, {name.strip().lower(): value.strip() for name, _, value in pairs}, payload
+    return status, header_pairs(lines), payload
+
+
+def joined_chunks(payload: bytes) -> bytes:
+    """The content of a chunked payload, as far as it goes; one that is not in chunks is returned as it is."""
+    out, at = [], 0
+    while match := _CHUNK.match(payload, at):
+        size = int(match[1], 16)
+        if not size:
+            break
+        out.append(payload[match.end() : match.end() + size])
+        at = match.end() + size + 2
+    return b"".join(out) if at or _CHUNK.match(payload) else payload
+
+
+def inflated(payload: bytes, bits: int) -> bytes:
+    """The content of all zlib members, a last one that is cut short as far as it goes."""
+    out = []
+    while payload:
+        member = zlib.decompressobj(bits)
+        try:
+            out.append(member.decompress(payload))
+        except zlib.error:
+            if not out:
+                raise
+            break
+        payload = member.unused_data
+    return b"".join(out)
+
+
+def uncoded(payload: bytes, headers: list[tuple[str, str]]) -> bytes | None:
+    """The payload without its transfer and content codings; None if one of them is not chunked, gzip or deflate.
+
+    Archives often hold a payload decoded beside its old headers, so one that is not in the form a header names stays.
+    """
+    for header in ("transfer-encoding", "content-encoding"):
+        named = [c.strip().lower() for name, value in headers if name == header for c in value.split(",")]
+        for coding in reversed(named):
+            if coding == "chunked":
+                payload = joined_chunks(payload)
+            elif coding in ("gzip", "x-gzip"):
+                payload = inflated(payload, 31) if payload[:3] == b"\x1f\x8b\x08" else payload
+            elif coding == "deflate":
+                for bits in (15, -15):
+                    try:
+                        payload = inflated(payload, bits)
+                        break
+                    except zlib.error:
+                        continue
+            elif coding not in ("", "identity"):
+                return None
+    return payload
 
 
 def decoded(payload: bytes, content_type: str) -> str:
@@ -102,19 +167,31 @@ def response_record(key: str, uri: str | None, page: str | None, date: str) -> t
     return "response", record_id, None, uri, date, kind, digest(block), digest(payload), header, block
 
 
-def derived_records(record_id: str, uri: str | None, date: str | None, payload_digest: str | None, block: bytes) -> Iterator[tuple]:
+def derived_records(
+    record_id: str,
+    uri: str | None,
+    date: str | None,
+    payload_digest: str | None,
+    block: bytes,
+    block_digest: str | None = None,
+    header: str | None = None,
+) -> Iterator[tuple]:
     """The metadata record of a response, and the conversion of its text if it is text.
 
     Both refer to the response by its id and repeat its address, date and payload digest. The metadata keeps the status
-    line and every header of the source.
+    line, every HTTP and WARC header of the source, and its block digest. Text in a coding that :func:`uncoded` does not know
+    has no conversion.
     """
     status, headers, payload = split_http(block)
-    kind = headers.get("content-type", "text/html")
+    kind = dict(headers).get("content-type", "text/html")
     payload_digest = payload_digest or digest(payload)
-    textual = kind.lower().startswith("text/") or "html" in kind.lower()
-    page = decoded(payload, kind) if textual else ""
+    content = uncoded(payload, headers)
+    textual = content is not None and (kind.lower().startswith("text/") or "html" in kind.lower())
+    page = decoded(content, kind) if textual else ""
     bare = _HIDDEN.sub(" ", page)
-    facts = [("http-status", status), *((f"http-header-{name}", value) for name, value in headers.items())]
+    facts = [("http-status", status), *((f"http-header-{name}", value) for name, value in headers)]
+    facts += [(f"warc-header-{name}", value) for name, value in header_pairs((header or "").split("\r\n")[1:])]
+    facts.append(("source-block-digest", block_digest or digest(block)))
     for name, pattern in (("title", _TITLE), ("languages", _LANG)):
         match = pattern.search(bare)
         facts.append((name, html.unescape(match[1]) if match else None))
@@ -177,11 +254,12 @@ def derive_records(records: DataFrame) -> DataFrame:
     """The metadata and conversion records of all responses among the records, in the columns of :data:`RECORD`.
 
     Every response gives a metadata record, and a conversion if its content type is text. Records of other types are
-    passed over. Each is derived where it lies; nothing is shuffled. A null block counts as empty, other columns are not
-    read, and no records give none.
+    passed over. Each is derived where it lies; nothing is shuffled. A null block counts as empty, ``header`` and
+    ``block_digest`` may be missing, other columns are not read, and no records give none.
     """
+    more = [F.col(c) if c in records.columns else F.lit(None).cast("string").alias(c) for c in ("block_digest", "header")]
     given = records.filter("record_type = 'response'").select(
-        F.coalesce("record_id", F.lit("")), "target_uri", "date", "payload_digest", F.coalesce("block", F.lit(b""))
+        F.coalesce("record_id", F.lit("")), "target_uri", "date", "payload_digest", F.coalesce("block", F.lit(b"")), *more
     )
     return given.mapInArrow(lambda batches: _mapped(batches, derived_records), RECORD)
 

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import re
+import zlib
 from base64 import b32encode
 
 import pytest
@@ -85,3 +86,31 @@ def test_broken_files(data):
 def test_visible_text():
     assert visible_text("<p>a</p>\n\n  <p>b<b>c</b>&nbsp;d<script>x") == "a\nbc d"
     assert visible_text("1 < 2 and <b>3") == "1 < 2 and 3"
+
+
+def test_headers_and_codings_of_the_source(spark, tmp_path):
+    page = "<title>T</title><p>grün".encode()
+    packed = gzip.compress(page[:9]) + gzip.compress(page[9:])
+    chunks = b"5;x=y\r\n" + packed[:5] + b"\r\n" + b"%X\r\n" % len(packed[5:]) + packed[5:] + b"\r\n0\r\n\r\n"
+    cookies = b"Set-Cookie: a=1\r\nSet-Cookie: b=2\r\nContent-Type: text/html\r\n"
+    head, zipped = b"HTTP/1.1 200 OK\r\n" + cookies, b"Content-Encoding: gzip\r\n"
+    blocks = {
+        "both": head + zipped + b"Transfer-Encoding: chunked\r\n\r\n" + chunks,
+        "gzip": head + zipped + b"\r\n" + packed,
+        "decoded": head + zipped + b"Transfer-Encoding: chunked\r\n\r\n" + page,
+        "deflate": head + b"Content-Encoding: deflate\r\n\r\n" + zlib.compress(page),
+        "br": head + b"Content-Encoding: br\r\n\r\n\x0b\x02",
+    }
+    data = b""
+    for name, block in blocks.items():
+        fields = f"WARC-Type: response\r\nWARC-Record-ID: <{name}>\r\nWARC-IP-Address: 1.2.3.4\r\nWARC-Block-Digest: sha1:{name}\r\n"
+        data += f"WARC/1.1\r\n{fields}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(data)
+    found = derive_records(read_warc(spark, str(tmp_path))).collect()
+    own = {(r["record_type"], r["refers_to"]): bytes(r["block"]).decode() for r in found}
+    for name in blocks:
+        lines = own["metadata", f"<{name}>"].split("\r\n")
+        for line in ("set-cookie: a=1", "set-cookie: b=2"):
+            assert f"http-header-{line}" in lines
+        assert f"source-block-digest: sha1:{name}" in lines and "warc-header-warc-ip-address: 1.2.3.4" in lines
+        assert own.get(("conversion", f"<{name}>")) == (None if name == "br" else "T\ngrün")
