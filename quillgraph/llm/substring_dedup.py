@@ -96,17 +96,19 @@ class Passages(NamedTuple):
     ends: np.ndarray
     first: np.ndarray
     names: np.ndarray
+    others: np.ndarray
     doc: np.ndarray
     whole: np.ndarray
 
 
-def passages(group: Texts, window: int) -> Passages:
-    """Words, their names and documents, and for every word whether a window starts at it."""
+def passages(group: Texts, window: int, twice: bool = False) -> Passages:
+    """Words, their names and documents, and for every word whether a window starts at it. ``others`` are independent names, if asked for."""
     starts, ends, first = words(group.data, group.bounds)
     names = word_hashes(group.data, starts, ends, lower=False)
+    others = word_hashes(group.data, starts, ends, lower=False, seed=1) if twice else names[:0]
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     whole = np.arange(len(names)) + window <= first[doc + 1]
-    return Passages(starts, ends, first, names, doc, whole)
+    return Passages(starts, ends, first, names, others, doc, whole)
 
 
 def window_keys(p: Passages, window: int) -> np.ndarray:
@@ -145,13 +147,14 @@ def window_keys(p: Passages, window: int) -> np.ndarray:
     return best
 
 
+def _window_hashes(names: np.ndarray, window: int, at: np.ndarray) -> np.ndarray:
+    prefix, inverse = sequence_hashes(names)
+    return mix((prefix[at + window] - prefix[at]) * inverse[at])
+
+
 def window_names(p: Passages, window: int, at: np.ndarray) -> np.ndarray:
-    """Two independent 64-bit hashes of each window that starts at one of these words, as an (n, 2) array."""
-    out = np.empty((len(at), 2), np.uint64)
-    for i, names in enumerate((p.names, mix(p.names ^ np.uint64(0x9E3779B97F4A7C15)))):
-        prefix, inverse = sequence_hashes(names)
-        out[:, i] = mix((prefix[at + window] - prefix[at]) * inverse[at])
-    return out
+    """Two hashes of each window that starts at one of these words, of independent word hashes, as an (n, 2) array."""
+    return np.stack([_window_hashes(names, window, at) for names in (p.names, p.others)], axis=1)
 
 
 def joined_words(group: Texts, p: Passages, kept: np.ndarray) -> list[bytes]:
@@ -204,7 +207,7 @@ def _window_blocks(batches: Iterator[pa.RecordBatch], window: int, parts: int) -
     """
     task = TaskContext.get().partitionId() << 32
     for block, group in enumerate(texts(batches), task):
-        p = passages(group, window)
+        p = passages(group, window, twice=True)
         keys = short_names(window_keys(p, window))
         hot = np.zeros(len(keys), bool)
         for i, blobs in enumerate(group.batch.column(2).to_pylist()):
@@ -307,7 +310,7 @@ def repeated_passages(
         for group in texts(batches):
             p = passages(group, window)
             at = np.flatnonzero(p.whole)
-            names = window_names(p, window, at)[:, 0]
+            names = _window_hashes(p.names, window, at)
             edges, of = np.searchsorted(at, p.first), group.batch.column(2).to_pylist()
             hit = np.zeros(len(at), bool)
             for i, blobs in enumerate(of):

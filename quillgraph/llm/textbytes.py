@@ -1,4 +1,4 @@
-"""Texts of Arrow batches as arrays of bytes, their words, and polynomial hashes of words and spans."""
+"""Texts of Arrow batches as arrays of bytes, their words and hashes of them, and polynomial hashes of spans."""
 
 from __future__ import annotations
 
@@ -103,15 +103,24 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, bounds)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
-    """A 64-bit hash of every word, with A-Z lower-cased if asked. Works through blocks of words, so that memory follows the words."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of every word, with A-Z lower-cased if asked; another ``seed`` gives an independent one.
+
+    Every byte is hashed together with its place in the word, and a word's hash is made of the sum. A polynomial modulo a power of
+    two would not do: long regular words of equal length collide under it, whatever its base. Works through blocks of
+    words, so that memory follows the words.
+    """
     out = np.empty(len(starts), np.uint64)
-    at = 0
+    at, salt = 0, mix(np.array([seed + 1], np.uint64))
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + _BLOCK, "right")))
-        low, high = starts[at], ends[to - 1]
-        part = _LOWER[data[low:high]] if lower else data[low:high]
-        hashes = span_hashes(prefix_hashes(part), starts[at:to] - low, ends[at:to] - low)
-        out[at:to] = mix(hashes + (ends[at:to] - starts[at:to]).astype(np.uint64))
+        part = data[starts[at] : ends[to - 1]]
+        part = part[~_SPACE[part]]
+        sizes = ends[at:to] - starts[at:to]
+        begin = np.cumsum(sizes) - sizes
+        place = (np.arange(len(part)) - np.repeat(begin, sizes)).astype(np.uint64)
+        letters = _LETTER[_LOWER[part] if lower else part]
+        each = mix((letters ^ salt) + place * np.uint64(0x9E3779B97F4A7C15))
+        out[at:to] = mix(np.add.reduceat(each, begin) + sizes.astype(np.uint64))
         at = to
     return out

@@ -142,3 +142,28 @@ def test_null_ids_and_repeated_rows(spark, name):
         assert {(r["keep_id"], r["group_size"]) for r in found} == {(5, 3), (6, 3)}
     else:
         assert ids == [5, 6] and len(found) == 2
+
+
+def collision_words(letters="ab", length=4096):
+    """Two words that a polynomial hash modulo 2 ** 64 cannot tell apart: the Thue-Morse word and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(length)]
+    return ["".join(letters[b ^ flip] for b in bits) for flip in (0, 1)]
+
+
+def test_long_regular_words_do_not_collide(spark):
+    import numpy as np
+
+    from quillgraph.llm.textbytes import word_hashes
+
+    one, two = collision_words()
+    data = np.frombuffer(f"{one} {two}".encode(), np.uint8)
+    names = word_hashes(data, np.array([0, len(one) + 1]), np.array([len(one), len(data)]), lower=True)
+    assert names[0] != names[1]
+    words = [f"word{i}" for i in range(12)]
+    docs = {i + 1: " ".join(words[:6] + [odd] + words[6:]) for i, odd in enumerate((one, two))}
+    table = cases.table(spark, docs)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in repeated_passages(table).collect()}
+    assert got == cases.passages(docs) and got[2][1] == 0
+    docs |= {3: docs[1].replace("word11", "w"), 4: docs[2].replace("word11", "w")}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(cases.table(spark, docs), percent=60).collect()}
+    assert got == cases.jaccard(docs, 60)
