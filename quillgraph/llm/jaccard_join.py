@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans.components import connected_components
 from ..session import drop_materialized, materialize
+from .set_links import links_of, pairs_around, reaches
 from .sharing import ask_elsewhere
 from .textbytes import Texts, mix, texts, word_hashes, words
 
@@ -39,10 +39,36 @@ def shingle_sets(group: Texts, shingle: int) -> Iterator[np.ndarray]:
             yield hashes[:0]
 
 
-def _mark(tokens: np.ndarray) -> bytes:
+def set_mark(tokens: np.ndarray) -> bytes:
+    """A 128-bit hash of a set."""
     return xxhash.xxh3_128_digest(tokens.tobytes())
 
 
+def token_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(rep, mark, n, tokens): the sets of the (doc_id, mark) rows that are wanted, from (doc_id, text) rows."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in texts(batches):
+            found = list(shingle_sets(group, shingle))
+            marks = group.batch.column(2).to_pylist()
+            rows = [i for i, tokens in enumerate(found) if set_mark(tokens) == marks[i]]
+            if rows:
+                ends = np.cumsum([0, *(len(found[i]) for i in rows)]).astype(np.int32)
+                flat = np.concatenate([found[i] for i in rows]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(group.ids[rows], pa.int64()),
+                        pa.array([marks[i] for i in rows], pa.binary()),
+                        pa.array(np.diff(ends).astype(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                    ],
+                    names=["rep", "mark", "n", "tokens"],
+                )
+
+    rows = docs.join(wanted, "doc_id").select("doc_id", "text", "mark").mapInArrow(gather, _SETS)
+    return rows.dropDuplicates(["rep"])  # rows that repeat an id and a text
+
+
 def set_profiles(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(doc_id, n, mark, lone) of (doc_id, text) rows: the set's size, a 128-bit hash of it, and a number of tokens of its own.
 
@@ -52,7 +78,7 @@ def set_profiles(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def keys_of(group: Texts) -> Iterator[tuple[int, bytes, np.ndarray]]:
         for tokens in shingle_sets(group, shingle):
-            yield len(tokens), _mark(tokens), tokens[: 2 * (len(tokens) * (100 - percent) // 100) + 2]
+            yield len(tokens), set_mark(tokens), tokens[: 2 * (len(tokens) * (100 - percent) // 100) + 2]
 
     answers = ask_elsewhere(docs, keys_of, lone=True)
     one = answers.groupBy("doc_id").agg(F.max(F.struct("n", "mark", "lone")).alias("s"))
@@ -77,17 +103,18 @@ def ranked_sets(sets: DataFrame) -> DataFrame:
     return ranked
 
 
-def boundary(ranked: DataFrame, percent: int) -> int:
+def boundary(ranked: DataFrame, percent: int, entry: int = 4) -> int:
     """The size up to which pairs of prefix tokens are cheaper than scanning the lists of single ones.
 
     For every class of sizes (powers of 1.1, so a bounded number of rows comes to the driver) the two costs are summed:
-    the number of pairs in the prefix that has two tokens in common with every partner, and the entries of the
-    lists of the prefix that has one.
+    the number of pairs in the prefix that has two tokens in common with every partner, and the entries of the lists
+    of the prefix that has one, times ``entry``: as single tokens are in more sets than pairs are, most entries
+    lead to a comparison with the list's pivot.
     """
     lone = F.col("n") - F.size("ranked")
-    one = F.greatest(_allowed(F.col("n"), percent) + 1 - lone, F.lit(0)).cast("int")
+    one = F.greatest(_allowed(F.col("n"), percent) + 1 - lone, F.lit(0)).cast("long")
     two = F.greatest(_allowed(F.col("n"), percent) + 2 - lone, F.lit(0)).cast("long")
-    lists = F.aggregate(F.slice("ranked", 1, one), F.lit(0).cast("long"), lambda s, t: s + t["df"])
+    lists = one * entry
     size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(1.1)))
     rows = (
         ranked.select(size_class.alias("class"), "n", (two * (two - 1) / 2).alias("subsets"), lists.alias("lists"))
@@ -124,39 +151,10 @@ def prefix_keys(ranked: DataFrame, percent: int, light: int) -> DataFrame:
     return small.unionByName(large)
 
 
-def _reaches(common: Column, a: str, b: str, percent: int) -> Column:
-    """Whether sets of these sizes are linked if they have this many tokens in common."""
-    return common * 100 >= (F.col(f"n_{a}") + F.col(f"n_{b}") - common) * percent
-
-
 def _may_link(a: str, b: str, percent: int) -> Column:
     """Whether two sets can be linked: neither has more in common with the other than it has with all sets."""
     most = F.least(F.col(f"n_{a}") - F.col(f"lone_{a}"), F.col(f"n_{b}") - F.col(f"lone_{b}"))
-    return _reaches(most, a, b, percent)
-
-
-def _pivot_is_enough(a: str, b: str, percent: int) -> Column:
-    """Whether what two sets have of one ``pivot`` could link them without any other token.
-
-    ``shared`` is how many tokens a set has in common with its pivot. Two sets have no more of the pivot's tokens in common than
-    either has of it. Sets whose pivots differ, or that were compared with none, get the benefit of the doubt.
-    """
-    beside = F.coalesce(F.col(f"pivot_{a}") == F.col(f"pivot_{b}"), F.lit(False))
-    return ~beside | _reaches(F.least(f"shared_{a}", f"shared_{b}"), a, b, percent)
-
-
-def _others_are_enough(a: str, b: str, percent: int) -> Column:
-    """Whether two sets of one pivot could be linked if all they have besides its tokens and their own were the same."""
-    other = [F.greatest(F.col(f"n_{x}") - F.col(f"lone_{x}") - F.col(f"shared_{x}"), F.lit(0)) for x in (a, b)]
-    return _reaches(F.least(f"shared_{a}", f"shared_{b}") + F.least(*other), a, b, percent)
-
-
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b, common) of pairs of sets: the sizes, and how many tokens they have in common."""
-    left = sets.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
-    right = sets.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
-    common = F.size(F.array_intersect("t_a", "t_b")).alias("common")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", common)
+    return reaches(most, F.col(f"n_{a}"), F.col(f"n_{b}"), percent)
 
 
 def jaccard_components(
@@ -171,10 +169,10 @@ def jaccard_components(
        that has more tokens of its own than a link allows is linked with no other set and is left at that.
     2. Equal sets are one from here on. The sets still open are ordered by how rare their tokens are among them.
     3. Light and heavy sets get their keys (:func:`prefix_keys`), the boundary chosen by :func:`boundary`.
-    4. First every set of a key is compared with one of them only, that whose tokens most sets have; then
-       those pairs that are not in one component yet and that these comparisons leave room for: pairs of a key for which what they
-       share with the compared set would do, and pairs that have a token in common that it lacks. Nothing else can change
-       a component, so none of a group's other pairs is formed.
+    4. First every set of a key is compared with one of them only, its pivot, that whose tokens most sets have. Where a key still
+       has sets of several components, those that may be linked with each other are found from their differences with
+       the pivot (:func:`quillgraph.llm.set_links.pairs_around`). Nothing else can change a component, so none of a
+       group's other pairs is formed.
 
     A null text counts as empty; a document without words has no shingles and is its own component. Rows without an id
     are left out; rows that repeat an id are one document, that of the largest set. Other columns are not read. An empty table
@@ -189,25 +187,7 @@ def jaccard_components(
     )
     open_ = groups.filter(F.col("lone") <= _allowed(F.col("n"), percent)).select(F.col("rep").alias("doc_id"), "mark")
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in texts(batches):
-            found = list(shingle_sets(group, shingle))
-            marks = group.batch.column(2).to_pylist()
-            rows = [i for i, tokens in enumerate(found) if _mark(tokens) == marks[i]]
-            if rows:
-                ends = np.cumsum([0, *(len(found[i]) for i in rows)]).astype(np.int32)
-                flat = np.concatenate([found[i] for i in rows]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(group.ids[rows], pa.int64()),
-                        pa.array([marks[i] for i in rows], pa.binary()),
-                        pa.array(np.diff(ends).astype(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    ],
-                    names=["rep", "mark", "n", "tokens"],
-                )
-
-    sets = materialize(given.join(open_, "doc_id").select("doc_id", "text", "mark").mapInArrow(gather, _SETS), "sets")
+    sets = materialize(token_sets(given, open_, shingle), "sets")
     ranked = ranked_sets(sets.select("rep", "n", "tokens"))
     keys = materialize(prefix_keys(ranked, percent, boundary(ranked, percent)), "keys")
 
@@ -220,50 +200,26 @@ def jaccard_components(
     member = keys.select("key", "pairs", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("lone").alias("lone_b"))
     star = member.join(pivots, ["key", "pairs"]).filter((F.col("a") != F.col("b")) & _may_link("a", "b", percent))
     star = materialize(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
-    star = materialize(compared(star, sets), "compared")
-    links = star.filter(_reaches(F.col("common"), "a", "b", percent)).select("a", "b")
-    nodes = sets.select(F.col("rep").alias("id")).distinct()
+    links = materialize(links_of(star, sets, percent), "links")
+    nodes = sets.select(F.col("rep").alias("id"))
     ends = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     first = materialize(connected_components(nodes, ends), "components")
 
-    sides = [star.select(F.col(p).alias("pivot"), F.col(q).alias("rep"), "common") for p, q in ("ab", "ba")]
-    sides += [star.select(F.col(p).alias("pivot"), F.col(p).alias("rep"), F.col(f"n_{p}").alias("common")) for p in "ab"]
-    met = reduce(DataFrame.unionAll, sides)
-    chosen = materialize(met.groupBy("pivot").agg(F.count(F.lit(1)).alias("known")), "known")
-    nearest = met.join(chosen, "pivot").groupBy("rep").agg(F.max(F.struct("known", "pivot", "common")).alias("p"))
-    nearest = materialize(nearest.select("rep", "p.pivot", F.col("p.common").alias("shared")), "nearest")
-
     placed = keys.join(first.withColumnRenamed("id", "rep"), "rep")
     mixed = placed.groupBy("key", "pairs").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = materialize(mixed.filter("low < high").select("key", "pairs"), "mixed")
-    crossing = materialize(placed.join(mixed, ["key", "pairs"]).join(nearest, "rep", "left"), "crossing")
-
-    held = crossing.select("rep", "n", "lone", "component", "pivot", "shared").filter("pivot <> rep").distinct()
-    whole = sets.select(F.col("rep").alias("pivot"), F.col("tokens").alias("of_pivot"))
-    beside = held.join(ranked.select("rep", F.col("ranked.token").alias("tokens")), "rep").join(whole, "pivot")
-    beside = beside.withColumn("key", F.explode(F.array_except("tokens", "of_pivot"))).drop("tokens", "of_pivot")
-
-    def pairs_of(rows: DataFrame, on: list[str], may: Callable[[str, str, int], Column]) -> DataFrame:
-        def side(x: str) -> DataFrame:
-            names = {"rep": x, "component": f"c_{x}"} | {c: f"{c}_{x}" for c in ("n", "lone", "pivot", "shared")}
-            return rows.select(*on, *[F.col(old).alias(new) for old, new in names.items()])
-
-        met = side("a").join(side("b"), on).filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")))
-        return met.filter(_may_link("a", "b", percent) & may("a", "b", percent)).select("a", "b")
-
-    by_key = pairs_of(crossing, ["key", "pairs"], _pivot_is_enough)
-    by_other = pairs_of(beside.withColumn("of", F.col("pivot")), ["of", "key"], _others_are_enough)
-    across = materialize(by_key.unionAll(by_other).distinct(), "across")
-    more = compared(across.join(star.select("a", "b"), ["a", "b"], "left_anti"), sets)
-    more = more.filter(_reaches(F.col("common"), "a", "b", percent)).select("a", "b")
-    more = materialize(more, "more-links")
+    mixed = mixed.filter("low < high").join(pivots, ["key", "pairs"]).select("key", "pairs", F.col("a").alias("pivot"))
+    mixed = materialize(mixed, "mixed")
+    members = placed.join(mixed, ["key", "pairs"]).select("pivot", "rep", "component").distinct()
+    across = pairs_around(members, sets, percent)
+    more = materialize(links_of(across, sets, percent), "more-links")
+    last = first
     if not more.isEmpty():
         ends = links.unionByName(more).select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        first = connected_components(nodes, ends)
+        last = connected_components(nodes, ends)
 
-    named = groups.select("mark", "rep").join(first.withColumnRenamed("id", "rep"), "rep", "left")
+    named = groups.select("mark", "rep").join(last.withColumnRenamed("id", "rep"), "rep", "left")
     named = materialize(named.select("mark", F.coalesce("component", "rep").alias("component_id")), "marks")
-    for done in (sets, ranked, keys, pivots, star, nearest, mixed, crossing, across):
+    for done in (sets, ranked, keys, pivots, star, links, first, mixed, across, more):
         drop_materialized(done)
     out = profiles.join(named, "mark", "left")
     return out.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import exact_duplicates
 from .jaccard_join import jaccard_components
+from .minhash import near_duplicates
 from .packing import pack_documents
 from .quality import classify_quality
 from .suffix_dedup import repeated_strings
@@ -63,6 +64,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), shingle=4, percent=85)
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
@@ -74,11 +79,37 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_nearest": op9_nearest,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_minhash": op13_minhash,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"[^\x20\x09-\x0D]+"
 
+
+def _components_sql(shingle: int, percent: int) -> str:
+    return rf"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents
+    ), w AS (
+        SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS p, len(ws) AS n FROM d WHERE len(ws) > 0
+    ), g AS (
+        SELECT doc_id, p, n, string_agg(word, ' ') OVER (
+            PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND {shingle - 1} FOLLOWING) AS shingle
+        FROM w
+    ), s AS (SELECT DISTINCT doc_id, shingle FROM g WHERE p = 0 OR p + {shingle} <= n),
+    z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    o AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+        FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+    ), e AS (
+        SELECT x, y FROM o JOIN z a ON a.doc_id = x JOIN z b ON b.doc_id = y
+        WHERE 100 * common >= {percent} * (a.n + b.n - common)
+    ), r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+    SELECT d.doc_id, coalesce(max(z.n), 0) AS n_shingles, min(r.y) AS component_id
+    FROM d JOIN r ON r.x = d.doc_id LEFT JOIN z ON z.doc_id = d.doc_id GROUP BY d.doc_id
+    """
+
+
 ORACLE = {
     "op1_exact_dedup": f"""
         WITH d AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256 FROM documents)
@@ -108,27 +139,8 @@ ORACLE = {
         SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)
     """,
-    "op10_jaccard_join": rf"""
-        WITH RECURSIVE d AS (
-            SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents
-        ), w AS (
-            SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS p, len(ws) AS n FROM d WHERE len(ws) > 0
-        ), g AS (
-            SELECT doc_id, p, n, string_agg(word, ' ') OVER (
-                PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS shingle
-            FROM w
-        ), s AS (SELECT DISTINCT doc_id, shingle FROM g WHERE p = 0 OR p + 4 <= n),
-        z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-        o AS (
-            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
-            FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
-        ), e AS (
-            SELECT x, y FROM o JOIN z a ON a.doc_id = x JOIN z b ON b.doc_id = y
-            WHERE 100 * common >= 85 * (a.n + b.n - common)
-        ), r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
-        SELECT d.doc_id, coalesce(max(z.n), 0) AS n_shingles, min(r.y) AS component_id
-        FROM d JOIN r ON r.x = d.doc_id LEFT JOIN z ON z.doc_id = d.doc_id GROUP BY d.doc_id
-    """,
+    "op10_jaccard_join": _components_sql(4, 85),
+    "op13_minhash": f"SELECT *, doc_id = component_id AS kept FROM ({_components_sql(5, 85)})",
     "op9_nearest": """
         WITH v AS (
             SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
