@@ -11,6 +11,7 @@ from .jaccard_join import jaccard_components
 from .minhash import near_duplicates
 from .packing import pack_documents
 from .quality import classify_quality
+from .spelling import spelling_variants
 from .suffix_dedup import repeated_strings
 from .sentencepiece_fst import encode_texts
 from .substring_dedup import repeated_passages
@@ -70,6 +71,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85)
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op9_nearest": op9_nearest,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling": op12_spelling,
     "op13_minhash": op13_minhash,
 }
 
@@ -169,6 +175,45 @@ ORACLE = {
         WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
         QUALIFY rank <= 10
     """,
+    "op12_spelling": r"""
+        WITH RECURSIVE bits AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(
+                [i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+        ), r AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+            WHERE len(run) >= 6 GROUP BY ALL
+        ), b AS (
+            SELECT *, hex(encode(doc_id || ':' || run)) AS code FROM r
+        ), h AS (
+            SELECT run, n, xor(list_reduce(
+                [4294967295] || list_transform(range(1, len(code), 2), lambda i: ('0x' || substring(code, i, 2))::BIGINT),
+                lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) AS h
+            FROM b, bits
+        ), e AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substring(run, 1, h % len(run)) || substring(run, h % len(run) + 2) ELSE run END AS word, n
+            FROM h
+        ), w AS (SELECT word, sum(n)::BIGINT AS n FROM e WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        d AS (
+            SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS less
+            FROM (SELECT word, n, unnest(range(len(word))) AS i FROM w)
+        ), p AS (
+            SELECT a.word, b.word AS near, b.n FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+            UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.less = w.word
+            UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.less = w.word
+        ), f AS (
+            SELECT w.word, w.n, count(near) AS n_near, max(p.n) AS most, arg_min(near, (-p.n, encode(near))) AS best
+            FROM w LEFT JOIN p ON p.word = w.word GROUP BY w.word, w.n
+        ), g AS (
+            SELECT word, n, n_near, CASE WHEN most >= 5 * n THEN best END AS form, CASE WHEN most >= 5 * n THEN most END AS form_n FROM f
+        ), t AS (
+            SELECT word, word AS here, 0 AS steps FROM g
+            UNION ALL SELECT t.word, g.form, steps + 1 FROM t JOIN g ON g.word = t.here WHERE g.form IS NOT NULL
+        )
+        SELECT g.word, form, root, n, n_near, form_n
+        FROM g JOIN (SELECT word, arg_max(here, steps) AS root FROM t GROUP BY word) USING (word)
+    """,
     "op9_nearest": """
         WITH v AS (
             SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
