@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NOT_WORD = r"[^\p{L}\p{N}_]"
+_WORD = r"[\p{L}\p{N}_]"
 _CHUNK = 16
 _GROUP = 256
 
@@ -39,43 +42,48 @@ def _starts(lengths: Column) -> Column:
     )
 
 
-def spaced_words(text: Column) -> Column:
-    """The lower-case text split at every character that is no part of a word.
-
-    Each separator is exactly one character, so that joining the words by a space keeps all offsets.
-    """
-    return F.split(F.regexp_replace(F.lower(text), NOT_WORD, " "), " ")
+def _summed(lengths: Column) -> Column:
+    """Like :func:`_starts`, in groups of 256, so that a long text does not copy one long array for every element."""
+    groups = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.floor((F.size(lengths) - 1) / _GROUP), F.lit(0)).cast("int")),
+        lambda g: F.slice(lengths, g * _GROUP + 1, _GROUP),
+    )
+    sums = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda s, n: (s + n).cast("int")))
+    return F.flatten(F.zip_with(groups, _starts(sums), lambda g, at: F.transform(_starts(g), lambda s: s + at)))
 
 
-def word_chunks(words: Column) -> Column:
-    """The words in runs of 16, each as (words, start) with the 0-based offset of its first character in the text.
+def text_chunks(text: Column, margin: int) -> Column:
+    """The text as an array of (raw, before, after, start): runs of 16 words, each word with the one character behind it.
 
-    Offsets of single words are sums within a run only, so a long text costs time in proportion to its length.
+    ``before`` and ``after`` are the ``margin`` characters around the run, ``start`` is the 0-based offset of its first character.
+    What is done with one run needs nothing else of the text, and all of it takes time in proportion to the text's length.
     """
-    numbers = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / _CHUNK).cast("int"))
-    return F.transform(numbers, lambda c: F.slice(words, c * _CHUNK + 1, _CHUNK))
+    around = -(-margin // _CHUNK)  # every run but the last has 16 characters at least
 
+    def parts(raws: Column) -> Column:
+        def before(_: Column, i: Column) -> Column:
+            some = F.slice(raws, F.greatest(i - around, F.lit(0)) + 1, F.least(i, F.lit(around)))
+            return F.right(F.array_join(some, ""), F.lit(margin))
 
-def chunk_starts(chunks: Column) -> Column:
-    """The offset of every run of :func:`word_chunks`.
+        after = F.transform(raws, lambda _, i: F.left(F.array_join(F.slice(raws, i + 2, around), ""), F.lit(margin)))
+        starts = _bound(F.transform(raws, lambda raw: F.length(raw)), _summed)
+        return F.arrays_zip(raws.alias("raw"), F.transform(raws, before).alias("before"), after.alias("after"), starts.alias("start"))
 
-    Lengths are summed over groups of 256 runs first, so a long text does not copy one long array for every run.
-    """
+    pattern = f"(?:{_WORD}*+{NOT_WORD}){{{_CHUNK}}}|(?s:.+)"
+    return _bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), parts)
+
+
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, and not again for every element that ``then`` goes through."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
-    def summed(lengths: Column) -> Column:
-        groups = F.transform(
-            F.sequence(F.lit(0), F.greatest(F.floor((F.size(lengths) - 1) / _GROUP), F.lit(0)).cast("int")),
-            lambda g: F.slice(lengths, g * _GROUP + 1, _GROUP),
-        )
-        sums = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda s, n: (s + n).cast("int")))
-        return F.flatten(F.zip_with(groups, _starts(sums), lambda g, at: F.transform(_starts(g), lambda s: s + at)))
 
-    lengths = F.transform(chunks, lambda run: F.length(F.array_join(run, " ")) + 1)
-    # bound to a variable, so that the lengths are worked out once and not again for every group
-    return F.get(F.transform(F.array(lengths), summed), F.lit(0))
+def words_of_chunk(raw: Column) -> Column:
+    """The words of a run of :func:`text_chunks`, an empty one between two characters that are no part of a word."""
+    return F.split(F.regexp_replace(raw, NOT_WORD, " "), " ")
 
 
-def offset_in_chunk(chunk: Column, position: Column) -> Column:
-    """The offset, within a run, of the word at a 0-based position."""
-    before = F.length(F.array_join(F.slice(chunk, F.lit(1), position), " ")) + 1
+def word_offset(words: Column, position: Column) -> Column:
+    """The offset in its run of the word at a 0-based position."""
+    before = F.length(F.array_join(F.slice(words, F.lit(1), position), " ")) + 1
     return F.when(position == 0, F.lit(0)).otherwise(before)

@@ -72,6 +72,25 @@ def materialize_measured(df: DataFrame, tag: str, **metrics: Column) -> tuple[Da
     return table, table.agg(*[expr.alias(name) for name, expr in metrics.items()]).first().asDict()
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """The size in bytes up to which the session lets Spark broadcast a side of a join; 0 if it is switched off."""
+    size = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return max(0, int(size))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over all task slots, if the table is smaller than one full file split for each of them.
+
+    A small file, or one with few row groups, is read by few tasks; what follows would leave the other slots idle. A
+    larger table stays as its splits are, without a shuffle.
+    """
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(slots) if size < slots * split else df
+
+
 def drop_materialized(df: DataFrame) -> None:
     """Delete the files behind a table of :func:`materialize` that no later plan reads."""
     jvm = df.sparkSession.sparkContext._jvm

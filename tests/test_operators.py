@@ -173,14 +173,58 @@ def test_mentions_of_any_word_of_the_titles(spark):
     notes = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     dictionary = keyword_dictionary(spark.createDataFrame([(titles,)], "t string"), "t")
     assert {r["name"] for r in dictionary.collect()} == names
-    rows = extract_mentions(notes, dictionary, "id", "text").collect()
+    check_mentions(notes, dictionary, texts, names)
+
+
+def check_mentions(notes, dictionary, texts, names):
+    """The same rows as a search for each name, whether the dictionary is broadcast or its words are shuffled."""
+    import re
+
     expected = {
         (i, name, m.start(), m.end())
         for i, text in enumerate(texts)
         for name in names
         for m in re.finditer(r"\b" + re.escape(name) + r"\b", text.lower())
     }
-    assert {(r["note_id"], r["name"], r["char_start"], r["char_end"]) for r in rows} == expected and len(rows) == len(expected)
+    spark = notes.sparkSession
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (usual, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        rows = extract_mentions(notes, dictionary, "id", "text").collect()
+        assert {(r["note_id"], r["name"], r["char_start"], r["char_end"]) for r in rows} == expected and len(rows) == len(expected)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
+def test_mentions_across_runs_and_in_long_pieces(spark):
+    """Names that begin in one run of words and end in the next, in texts without any white space, and names that hold some."""
+    import random
+
+    draw = random.Random(2)
+    texts = ["".join(draw.choices(["ab", "-", "--", "x", "ab-x", "._", "été", "----"], k=300)) for _ in range(6)]
+    texts += [" ".join(draw.choices(["ab", "ab-x", "été--ab", "x", "ab--", "----"], k=200)) for _ in range(6)]
+    texts += ["x" * 3000 + "-ab-x", "ab-" * 500, "-" * 100, "ab" + "-" * 100 + "ab", "ab\n--\nab x-\tab"]
+    names = ["ab-x", "ab--ab", "ab-ab", "----", "--", "-ab", "x-", "été--ab", "ab-ab-x--x", "x" * 40, "ab"]
+    notes = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    dictionary = spark.createDataFrame([(f"c{i}", n) for i, n in enumerate(names)], "concept_id string, name string")
+    check_mentions(notes, dictionary, texts, names)
+    names = [*names, "ab ab", "x ab-x", "ab\n--\nab"]
+    dictionary = spark.createDataFrame([(f"c{i}", n) for i, n in enumerate(names)], "concept_id string, name string")
+    check_mentions(notes, dictionary, texts, names)
+
+
+def test_many_hits_in_one_long_text_take_time_in_proportion(spark):
+    import time
+
+    dictionary = spark.createDataFrame([("c1", "a-b"), ("c2", "x-x"), ("c3", "--")], "concept_id string, name string")
+    took = []
+    for size in (2_000, 20_000, 100_000):
+        notes = spark.range(1).select("id", F.repeat(F.lit("a-b x-x-x-x a--b\n"), size // 17 * 10).alias("text"))
+        started = time.perf_counter()
+        found = {r["name"]: r["count"] for r in extract_mentions(notes, dictionary, "id", "text").groupBy("name").count().collect()}
+        took.append(time.perf_counter() - started)
+        lines = size // 17 * 10
+        assert found == {"a-b": lines, "x-x": 2 * lines, "--": lines}
+    assert took[2] < 10 * took[1] + 3
 
 
 def test_long_texts_take_time_in_proportion(spark):
