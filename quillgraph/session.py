@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -54,6 +56,61 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+class ScratchScope:
+    """The scratch tables written while it is open; they are deleted when it ends.
+
+    Tables are lazy to read, so a result that reads some of them has to be written before: to a place of one's own, or by
+    :meth:`keep`, which hands its table on to the scope around this one.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> ScratchScope:
+        _SCOPES.append(self)
+        return self
+
+    def keep(self, df: DataFrame, tag: str) -> DataFrame:
+        """``df`` as a written table that outlives this scope."""
+        at = _SCOPES.index(self)
+        inner = _SCOPES[at:]
+        del _SCOPES[at:]
+        try:
+            return materialize(df, tag)
+        finally:
+            _SCOPES.extend(inner)
+
+    def __exit__(self, *_: object) -> None:
+        _SCOPES.remove(self)
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+
+#: The open scopes, the innermost last.
+_SCOPES: list[ScratchScope] = []
+
+
+def result_only(tag: str) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """For functions that write scratch tables: their result is written, and of all their tables it alone remains."""
+
+    def around(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @functools.wraps(function)
+        def run(first: DataFrame | SparkSession, *args: object, **options: object) -> DataFrame:
+            spark = first if isinstance(first, SparkSession) else first.sparkSession
+            with ScratchScope(spark) as scope:
+                return scope.keep(function(first, *args, **options), tag)
+
+        return run
+
+    return around
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it lies; one that is not there is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -62,6 +119,8 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
+    if _SCOPES:
+        _SCOPES[-1].paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -93,9 +152,5 @@ def spread(df: DataFrame) -> DataFrame:
 
 def drop_materialized(df: DataFrame) -> None:
     """Delete the files behind a table of :func:`materialize` that no later plan reads."""
-    jvm = df.sparkSession.sparkContext._jvm
-    hadoop_conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(hadoop_conf).delete(path, True)
-
+        delete_path(df.sparkSession, folder)

@@ -281,3 +281,26 @@ def test_key_uniqueness_finds_duplicates_and_nulls(spark):
     df = spark.createDataFrame([(1,), (1,), (None,), (2,)], "id int")
     row = checks.key_uniqueness({"t": (df, ["id"])}).first()
     assert (row["duplicate_keys"], row["null_keys"], row["ok"]) == (1, 1, False)
+
+
+def test_scratch_scope_leaves_only_what_is_kept(spark):
+    import os
+
+    from quillgraph.session import ScratchScope, materialize, result_only, shared_dir
+
+    scratch = os.path.join(shared_dir(spark), spark.sparkContext.applicationId)
+
+    @result_only("inner")
+    def inner(df, k):
+        return materialize(df, "a").unionByName(materialize(df.filter("id > 3"), "b")).withColumn("k", F.lit(k))
+
+    with ScratchScope(spark) as scope:
+        first = inner(spark.range(5), k=7)
+        assert [n.split("-")[0] for n in os.listdir(scratch) if n.split("-")[0] in ("a", "b", "inner")] == ["inner"]
+        kept = scope.keep(first.filter("id = 4"), "outer")
+    assert kept.collect() == [(4, 7), (4, 7)]
+    assert not [n for n in os.listdir(scratch) if n.split("-")[0] in ("a", "b", "inner")]
+    with pytest.raises(ZeroDivisionError), ScratchScope(spark):
+        materialize(spark.range(2), "a")
+        raise ZeroDivisionError
+    assert not [n for n in os.listdir(scratch) if n.startswith("a-")]
