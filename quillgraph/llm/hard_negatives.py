@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import drop_materialized, materialize
+from ..session import materialize, result_only
 
 _HITS = "anchor_id long, positive_id long, positive_score long, vec_id long, score long"
 _FIRST_STEP = 32
@@ -113,6 +113,7 @@ def _matrix(column: pa.ChunkedArray, dim: int, scale: int) -> np.ndarray:
     return np.floor(flat.astype(np.float64) * scale).reshape(len(column), dim)
 
 
+@result_only("hard-negatives")
 def hard_negatives(
     vectors: DataFrame,
     is_anchor: Column,
@@ -210,17 +211,11 @@ def hard_negatives(
     windows = windows.groupBy("vec_id").agg(F.collect_list("w").alias("w"))
     windows = windows.select("vec_id", *[F.col(f"w.{name}").alias(name) for name in open_])
     found = searched(anchors.join(windows, "vec_id"), False, negatives)
-    out = materialize(
-        found.select(
-            "anchor_id",
-            "positive_id",
-            "rank",
-            F.col("vec_id").alias("negative_id"),
-            "positive_score",
-            F.col("score").alias("negative_score"),
-        ),
-        "hard-negatives",
+    return found.select(
+        "anchor_id",
+        "positive_id",
+        "rank",
+        F.col("vec_id").alias("negative_id"),
+        "positive_score",
+        F.col("score").alias("negative_score"),
     )
-    for done in (rows, anchors, near):
-        drop_materialized(done)
-    return out

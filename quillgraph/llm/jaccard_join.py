@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.components import connected_components
-from ..session import drop_materialized, materialize
+from ..session import drop_materialized, materialize, result_only
 from .set_links import links_of, pairs_around, reaches
 from .sharing import ask_elsewhere
 from .textbytes import Texts, mix, texts, word_hashes, words
@@ -157,6 +157,7 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return reaches(most, F.col(f"n_{a}"), F.col(f"n_{b}"), percent)
 
 
+@result_only("near-copies")
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 85
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.components import connected_components
-from ..session import drop_materialized, materialize
+from ..session import drop_materialized, materialize, result_only
 from .jaccard_join import set_mark, shingle_sets, token_sets
 from .set_links import compared, links_of, pairs_around, reaches
 from .textbytes import mix, texts
@@ -93,6 +93,7 @@ def set_profiles(docs: DataFrame, shingle: int, percent: int, bins: int, rows: i
     return found.groupBy("doc_id").agg(F.max(F.struct("n", "mark", "keys")).alias("s")).select("doc_id", "s.*")
 
 
+@result_only("near-duplicates")
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import drop_materialized, materialize, materialize_measured
+from ..session import drop_materialized, materialize, materialize_measured, result_only
 
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -195,6 +195,7 @@ def follow(forms: DataFrame) -> DataFrame:
     return roots
 
 
+@result_only("spelling")
 def spelling_variants(
     docs: DataFrame,
     id_col: str = "doc_id",

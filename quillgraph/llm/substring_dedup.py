@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, result_only
 from .sharing import ask_elsewhere, short_names
 from .textbytes import Texts, mix, powers, texts, word_hashes, words
 
@@ -268,6 +268,7 @@ def _by_document(rows: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids[heads], pa.int64()), "gone": blob})
 
 
+@result_only("passages")
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13
 ) -> DataFrame:

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import byte_bpe
 
 
@@ -49,7 +50,7 @@ def context_limits(histogram: DataFrame, block: int = 1024) -> DataFrame:
     Sums run within blocks of ``block`` lengths, then over the block totals, of which there is one for every
     ``block`` tokens of the longest document at most. An empty histogram gives an empty result.
     """
-    rows = histogram.select(
+    rows = materialize(histogram, "histogram").select(  # read twice below, so that texts are not encoded twice
         "length",
         "n_docs",
         (F.col("length") * F.col("n_docs")).alias("n_tokens"),

@@ -48,3 +48,39 @@ def test_passages_under_repeated_ids(spark, sf, tmp_path):
     cut = corpus_pipeline.cut_passages(spark, spark.read.parquet(str(tmp_path / "docs")), sf)
     assert pairs(cut) == sorted([rows[0], (5, " ".join(own)), rows[2], rows[3]])
     assert all(r["n_chars"] == len(r["text"]) for r in cut.collect())
+
+
+CLASHES = ["row", "key", "kept_text", "digest", "_digest", "_row_key", "_sha256", "n", "kept", "component_id", "mark", "text_sha256"]
+
+
+def test_stages_pass_any_columns_through(spark, sf, tmp_path):
+    """Null ids leave, null texts count as empty, and columns named like those inside a stage come out as they went in."""
+    texts = {i * 3: t for i, t in enumerate(list(cases.messy_texts().values())[:40])}
+    rows = [(i, t, "en", "s", None if t is None else len(t), *[f"{c}{i}" for c in CLASHES]) for i, t in texts.items()]
+    rows += [(None, "no id", "en", "s", 5, *["x"] * len(CLASHES)), (200, None, None, None, None, *["x"] * len(CLASHES))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHES)
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        for r in out.collect():
+            assert r["doc_id"] is not None and (r["doc_id"] == 200 or all(r[c] == f"{c}{r['doc_id']}" for c in CLASHES)), name
+        empty = stage(spark, docs.filter("doc_id < 0"), sf)
+        assert empty.columns == docs.columns and empty.collect() == []
+    name, pack = corpus_pipeline.STAGES[-1]
+    assert {r["doc_id"] for r in pack(spark, docs, sf).collect()} == {i for i, *_ in rows if i is not None}
+    assert pack(spark, docs.filter("doc_id < 0"), sf).collect() == []
+
+
+def test_run_leaves_only_its_result(spark, sf):
+    import os
+
+    from quillgraph.session import shared_dir
+
+    scratch = os.path.join(shared_dir(spark), spark.sparkContext.applicationId)
+    before = set(os.listdir(scratch)) if os.path.isdir(scratch) else set()
+    out = corpus_pipeline.run(spark, sf)
+    assert out.count() > 0
+    left = set(os.listdir(scratch)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("best-fit-packing")
