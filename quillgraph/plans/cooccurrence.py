@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedup import top_per_key
 from ..session import materialize
 
 
@@ -21,44 +20,43 @@ def _count_within(members: DataFrame) -> DataFrame:
     )
 
 
-def cooccurrence(pairs: DataFrame, min_support: int = 5, basket_limit: int = 2_000) -> DataFrame:
+def _count_across_blocks(members: DataFrame) -> DataFrame:
+    """Like :func:`_count_within` for (src, dst, blocks) rows: every basket as the upper triangle of its pairs of blocks.
+
+    The codes of a basket fall into ``blocks`` blocks by hash. A cell of the triangle is a pair of blocks, and each code goes to the
+    cells of its block: as a row of the triangle to one side of the join, as a column to the other. So a task forms
+    no more pairs at a time than two blocks have, and every pair of a basket stands in one cell.
+    """
+    placed = members.withColumn("own", F.pmod(F.xxhash64("dst"), "blocks").cast("int"))
+    last = F.col("blocks").cast("int") - 1
+    a = placed.select("src", F.col("dst").alias("a"), F.col("own").alias("low"), F.explode(F.sequence("own", last)).alias("high"))
+    b = placed.select("src", F.col("dst").alias("b"), F.col("own").alias("high"), F.explode(F.sequence(F.lit(0), "own")).alias("low"))
+    met = a.join(b, ["src", "low", "high"]).filter((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
+    ends = F.least("a", "b").alias("code_a"), F.greatest("a", "b").alias("code_b")
+    return met.select(*ends).groupBy("code_a", "code_b").agg(F.count(F.lit(1)).alias("co_count"))
+
+
+def cooccurrence(pairs: DataFrame, min_support: int = 5, block_codes: int = 1_024) -> DataFrame:
     """(code_a, code_b, co_count, log_count) for codes that share at least ``min_support`` baskets, code_a < code_b.
 
-    ``pairs`` holds distinct (src, dst): basket and code. A basket with more than ``basket_limit`` codes is not paired up,
-    since that would be quadratic in its size. Its share of a count is looked up for the pairs that other baskets
-    form; and a pair that only such baskets share must, by the prefix rule of set-overlap joins, meet in one that is not
-    among the ``min_support - 1`` largest of either code, so only those are paired.
+    ``pairs`` holds distinct (src, dst): basket and code. A basket of more than ``block_codes`` codes is dealt over tasks as pairs
+    of blocks of about that many (:func:`_count_across_blocks`), without the codes that are in fewer baskets than
+    ``min_support`` and so in no pair that counts.
     """
-    sizes = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > basket_limit)
-    if sizes.isEmpty():
+    sizes = pairs.groupBy("src").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > block_codes)
+    large = materialize(sizes, "large-baskets")
+    if large.isEmpty():
         counts = _count_within(pairs)
     else:
-        counts = _count_with_large_baskets(pairs, materialize(sizes, "large-baskets"), min_support)
+        support = pairs.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_support).select("dst")
+        members = pairs.join(large, "src").join(materialize(support, "frequent"), "dst", "left_semi")
+        blocks = F.ceil(F.col("size") / block_codes).alias("blocks")
+        across = _count_across_blocks(members.select("src", "dst", blocks))
+        within = _count_within(pairs.join(large, "src", "left_anti"))
+        counts = within.unionAll(across).groupBy("code_a", "code_b").agg(F.sum("co_count").alias("co_count"))
     return counts.filter(F.col("co_count") >= min_support).withColumn("log_count", F.log("co_count"))
 
 
-def _count_with_large_baskets(pairs: DataFrame, large: DataFrame, min_support: int) -> DataFrame:
-    members = materialize(pairs.join(large, "src"), "large-members")
-    small = _count_within(pairs.join(large, "src", "left_anti"))
-    largest = top_per_key(members, ["dst"], [F.desc("size"), F.col("src")], min_support - 1).select("src", "dst")
-    meeting = members.join(largest, ["src", "dst"], "left_anti") if min_support > 1 else members
-    only_large = _count_within(meeting.select("src", "dst")).select("code_a", "code_b", F.lit(0).alias("co_count"))
-    candidates = materialize(
-        small.unionAll(only_large).groupBy("code_a", "code_b").agg(F.sum("co_count").alias("small_count")),
-        "pair-candidates",
-    )
-    left = members.select(F.col("dst").alias("code_a"), "src")
-    right = members.select(F.col("dst").alias("code_b"), "src")
-    shared = (
-        candidates.join(left, "code_a")
-        .join(right, ["code_b", "src"], "left_semi")
-        .groupBy("code_a", "code_b")
-        .agg(F.count(F.lit(1)).alias("large_count"))
-    )
-    total = F.col("small_count") + F.coalesce("large_count", F.lit(0))
-    return candidates.join(shared, ["code_a", "code_b"], "left").select("code_a", "code_b", total.alias("co_count"))
-
-
 def with_pmi(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """Add ``pmi``: the log of how much more often two codes meet than they would by chance."""
     baskets = pairs.select("src").distinct().count()

@@ -72,6 +72,20 @@ def test_cooccurrence_with_large_baskets(spark, limit, support):
     assert {(r["code_a"], r["code_b"], r["co_count"]) for r in found.collect()} == expected
 
 
+def test_cooccurrence_with_one_basket_of_5000_codes(spark):
+    """Every pair stands in one cell of the triangle, and no cell has more members than two blocks."""
+    from quillgraph.plans.cooccurrence import _count_across_blocks
+
+    large = spark.range(5000).selectExpr("1 AS src", "CAST(id AS INT) AS dst")
+    often = [(b, c * 7) for b in (2, 3) for c in range(60)]
+    pairs = large.unionByName(spark.createDataFrame(often, "src int, dst int"))
+    found = {(r["code_a"], r["code_b"], r["co_count"]) for r in cooccurrence(pairs, 3, 256).collect()}
+    assert found == {(7 * a, 7 * b, 3) for a, b in combinations(range(60), 2)}
+    counts = _count_across_blocks(large.withColumn("blocks", F.lit(20)))
+    seen = counts.agg(F.count(F.lit(1)).alias("n"), F.max("co_count").alias("most")).first()
+    assert tuple(seen) == (5000 * 4999 // 2, 1)
+
+
 def test_pagerank_closed_form(spark):
     edges = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("c", "y")], "src string, dst string")
     nodes = spark.createDataFrame([(n,) for n in "abcxyz"], "id string")
