@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.hashing import hash_bucket
+from . import csv_split
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -23,47 +24,39 @@ def lower_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.lower() for name in df.columns])
 
 
-def _files_by_header(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) for every header among the files of a path.
-
-    The headers are found by the tasks that read the first block of each file; the driver gets the file names, which
-    it lists for any scan.
-    """
-    first = spark.read.text(path).select(
-        "value", F.input_file_name().alias("file"), F.input_file_block_start().alias("at"), F.monotonically_increasing_id().alias("i")
-    )
-    heads = first.filter("at = 0").groupBy("file").agg(F.min_by("value", "i").alias("head"))
-    groups = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()
-    parsed = []
-    for row in groups:
-        line = spark.createDataFrame([(row["head"],)], "value string").rdd.map(lambda r: r[0])
-        parsed.append((spark.read.csv(line, header=True, escape='"').columns, row["files"]))
-    return parsed
-
-
 def read_delimited(spark: SparkSession, path: str, schema: str | StructType | None = None, **options) -> DataFrame:
     """Read CSV files with a header; quoted fields may hold line breaks, and an empty cell is null.
 
-    Columns are matched to ``schema`` by name whatever their case and order, for every file by its own header; a column the
-    schema does not list is read as a string, and one a file lacks is null. Without a schema the types are inferred.
+    Columns are matched to ``schema`` by name whatever their case and order, for every file by its own header, which is read
+    from the head of the file with the options given; a column the schema does not list is read as a string, and one a file lacks
+    is null. Without a schema the types are inferred.
 
-    Quoted line breaks make a file one task, so large exports should come as many files; ``multiLine=False``
-    splits files whose fields hold none.
+    A file of one split is read by one task. A larger one is read by as many as it has splits, also if its fields
+    hold line breaks (:func:`quillgraph.sources.csv_split.read_split`), unless it is compressed or not in UTF-8. ``multiLine=False`` says that no
+    field holds any.
     """
     settings = {"header": True, "multiLine": True, "escape": '"', "nullValue": "", **options}
     if schema is None:
         return lower_columns(spark.read.options(inferSchema=True, **settings).csv(path))
     wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    types = {field.name: field.dataType for field in wanted}
+    types = {field.name.lower(): field.dataType for field in wanted}
+    encoding = str({k.lower(): v for k, v in options.items()}.get("encoding", "UTF-8"))
+    dialect, most = csv_split.Dialect.of(settings), spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    files = sorted(spark.read.text(path).inputFiles())
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for file, (head, size, plain) in zip(files, csv_split.file_heads(spark, files, encoding), strict=True):
+        large = size > most and plain and bool(settings["multiLine"]) and encoding.upper() in ("UTF-8", "UTF8")
+        if size:
+            groups.setdefault((tuple(dialect.names(head)), large), []).append(file)
     parts = []
-    for header, files in _files_by_header(spark, path):
+    for (header, large), some in groups.items():
         present = [name.lower() for name in header]
         layout = StructType([StructField(name, types.get(name, StringType())) for name in present])
-        df = spark.read.schema(layout).options(**settings).csv(files)
+        df = csv_split.read_split(spark, some, layout, settings) if large else spark.read.schema(layout).options(**settings).csv(some)
         parts.append(
             df.select(
-                *[F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted],
-                *[F.col(name) for name in present if name not in types],
+                *[(F.col(f"`{f.name.lower()}`") if f.name.lower() in present else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted],
+                *[F.col(f"`{name}`") for name in present if name not in types],
             )
         )
     if not parts:

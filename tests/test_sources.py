@@ -1,3 +1,4 @@
+import pytest
 
 from quillgraph.plans.graph import Graph, load_graph, pack_endpoints
 from quillgraph.plans.ontology import HOSPITAL
@@ -120,3 +121,53 @@ def test_saved_graph_of_hospital_tables(spark, tmp_path):
 def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or scratch_path(spark, "x").startswith(named)
+
+
+def test_csv_headers_follow_the_options(spark, tmp_path):
+    write(tmp_path, "s.csv", "NAME;id\n'a;b';1\nplain;2\n")
+    found = files.read_delimited(spark, str(tmp_path / "s.csv"), "id bigint, name string", sep=";", quote="'")
+    assert found.columns == ["id", "name"] and sorted(map(tuple, found.collect())) == [(1, "a;b"), (2, "plain")]
+    write(tmp_path, "e.csv", '"a\nb",C\n"x\\"y",2\n')
+    found = files.read_delimited(spark, str(tmp_path / "e.csv"), "c int", escape="\\")
+    assert found.columns == ["c", "a\nb"] and found.first()["a\nb"] == 'x"y'
+    (tmp_path / "l.csv").write_bytes("id,näme\n1,été\n".encode("latin-1"))
+    found = files.read_delimited(spark, str(tmp_path / "l.csv"), "id int, `näme` string", encoding="ISO-8859-1")
+    assert tuple(found.first()) == (1, "été")
+    write(tmp_path, "empty.csv", "")
+    assert files.read_delimited(spark, str(tmp_path / "empty.csv"), "id int").collect() == []
+
+
+def csv_field(draw):
+    text = "".join(draw.choices(["a", "b ", ",", "\n", '"', "\r\n", "é", ";"], k=draw.choice([0, 1, 3, 10, 300])))
+    return text if draw.random() < 0.9 else 'in "the" middle'
+
+
+@pytest.mark.parametrize("dialect", [{}, {"sep": ";"}, {"escape": "\\"}])
+def test_csv_split_at_any_byte_gives_the_rows_of_one_task(spark, tmp_path, dialect):
+    """Splits of 700 bytes fall into quoted fields, line breaks and doubled quotes; some fields span several splits."""
+    import random
+
+    draw = random.Random(9)
+    sep, escape = dialect.get("sep", ","), dialect.get("escape", '"')
+    rows = [(i, csv_field(draw) if i % 50 else "x\n" * 1500, draw.choice(["", "plain", 'quote " inside', "q\n"])) for i in range(400)]
+
+    def cell(value):
+        if value == 'in "the" middle' or value == 'quote " inside':
+            return value if value.startswith(("in", "quote")) and escape == '"' else '"' + value.replace('"', escape + '"') + '"'
+        return '"' + value.replace('"', escape + '"') + '"' if any(c in value for c in f'{sep}"\n\r') else value
+
+    text = f"ID{sep}TEXT{sep}NOTE\n" + "".join(f"{i}{sep}{cell(t)}{sep}{cell(n)}\n" for i, t, n in rows) + "\n"
+    (tmp_path / "a.csv").write_bytes(text.encode())
+    (tmp_path / "b.csv").write_bytes(text.replace("\nquote", "\nQuote").encode())
+    schema = "id int, text string, note string"
+    whole = files.read_delimited(spark, str(tmp_path), schema, **dialect)
+    want = sorted(map(str, whole.collect()))
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        split = files.read_delimited(spark, str(tmp_path), schema, **dialect)
+        got = sorted(map(str, split.collect()))
+        assert "MapInArrow" in split._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    assert len(want) == 800 and got == want
