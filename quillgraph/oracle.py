@@ -612,3 +612,6 @@ e AS (SELECT code_a AS a, code_b AS b, co_count::double AS w FROM co UNION ALL S
 c AS (SELECT right(a, 1) AS k, sum(CASE WHEN right(a, 1) = right(b, 1) THEN w ELSE 0 END) AS inside, sum(w) AS total FROM e GROUP BY 1)
 SELECT round(sum(inside) / sum(total) - sum(total * total) / (sum(total) * sum(total)), 9) AS modularity FROM c""",
 }
+
+#: Merges into stored tables have the rows of the merges in memory.
+ORACLE |= {"node_upsert_versions": ORACLE["node_upsert"], "edge_upsert_versions": ORACLE["edge_upsert"]}

@@ -29,6 +29,7 @@ from .plans.ontology import co_occurs_rule
 from .session import materialize, scratch_path
 from .sources.files import read_bucket_of, read_delimited, read_table, write_bucketed, write_table
 from .sources.upsert import rename_same_as, upsert_edges, upsert_nodes
+from .sources.versioned import VersionedTable, merge_edges, merge_nodes
 from .streaming import notes
 
 TABLES = [
@@ -490,6 +491,32 @@ def edge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return upsert_edges(first, returned, sources, targets)
 
 
+def node_upsert_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``node_upsert``, into a stored table: the orders come in two batches, each of which makes a version."""
+    table = VersionedTable.create(orders_graph(spark, sf).nodes("Patient"), scratch_path(spark, "patients"), ("id",), 16)
+    orders = read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("id"),
+        F.col("o_orderpriority").alias("segment"),
+        F.col("o_totalprice").alias("last_price"),
+        F.col("o_orderkey").alias("version"),
+    )
+    middle = orders.agg(F.avg("version")).first()[0]
+    for batch in (orders.filter(F.col("version") <= middle), orders.filter(F.col("version") > middle)):
+        table = merge_nodes(table, batch, "version")
+    return table.read()
+
+
+def edge_upsert_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``edge_upsert``, into a stored table."""
+    g = orders_graph(spark, sf)
+    sources = g.nodes("Admission").filter(F.col("status") != "P")
+    targets = read_table(spark, sf, "supplier").filter(F.col("s_acctbal") > 0).select(F.col("s_suppkey").alias("id"))
+    rows = g.raw_edges("PRESCRIBED")
+    first = upsert_edges(None, rows.filter(F.col("route") != "R"), sources, targets)
+    table = VersionedTable.create(first, scratch_path(spark, "prescribed"), ("src", "dst"), 16)
+    return merge_edges(table, rows.filter(F.col("route") == "R"), sources, targets).read()
+
+
 def node_upsert_unversioned(spark: SparkSession, sf: str) -> DataFrame:
     """Customers, updated from their orders, some of which have no value for the segment."""
     urgent = F.when(F.col("o_orderpriority").startswith("1"), F.col("o_orderpriority"))
@@ -837,6 +864,8 @@ QUERIES = {
     "edges_documented_in": edges_documented_in,
     "edges_lab_result": edges_lab_result,
     "node_upsert": node_upsert,
+    "node_upsert_versions": node_upsert_versions,
+    "edge_upsert_versions": edge_upsert_versions,
     "edge_upsert": edge_upsert,
     "graph_detach_delete": graph_detach_delete,
     "dedup_by_key": dedup_lines,
