@@ -100,19 +100,29 @@ class Graph:
         rule = self.ontology.edge(type)
         return edge_rows(rule, self._tables(rule.table), self.ontology.node(rule.dst_label).drop_keys)
 
-    def raw_edges(self, type: str) -> DataFrame:
-        """Edges with their properties, before duplicates are merged."""
+    def raw_edges(self, type: str, near: DataFrame | None = None) -> DataFrame:
+        """Edges with their properties, before duplicates are merged.
+
+        With ``near``, only edges of its ``src`` nodes. That is asked first, so that only what is left has to prove its
+        endpoints, and of the node tables only these endpoints are looked for.
+        """
         rows = self.table_edges(type)
+        columns = rows.columns
+        if near is not None:
+            rows = rows.join(near.select("src"), "src", "left_semi").select(columns)
         own = type in self._own_edges
         if self._loaded and not own:
             return rows
         rule = self.ontology.edge(type)
-        for end, label, column in (("src", rule.src_label, rule.src), ("dst", rule.dst_label, rule.dst)):
+        for column, label, source in (("src", rule.src_label, rule.src), ("dst", rule.dst_label, rule.dst)):
             node = self.ontology.node(label)
-            made_of_edges = not own and label not in self._own_nodes and (node.table, node.key) == (rule.table, column)
+            made_of_edges = not own and label not in self._own_nodes and (node.table, node.key) == (rule.table, source)
             if not made_of_edges:  # else every row of the table is a node as well
-                rows = rows.join(self._ids(label).select(F.col("id").alias(end)), end, "left_semi")
-        return rows.select(self.table_edges(type).columns)
+                ids = self._ids(label).select(F.col("id").alias(column))
+                if near is not None:
+                    ids = ids.join(rows.select(column).distinct(), column, "left_semi")
+                rows = rows.join(ids, column, "left_semi")
+        return rows.select(columns)
 
     def links(self, type: str, near: DataFrame | None = None) -> DataFrame:
         """One row per edge, without the properties that do not identify it.
@@ -133,8 +143,7 @@ class Graph:
         return self._loaded and type not in self._own_edges
 
     def _around(self, type: str, near: DataFrame | None) -> DataFrame:
-        rows = self.raw_edges(type)
-        return rows if near is None else rows.join(near.select("src"), "src", "left_semi")
+        return self.raw_edges(type, near)
 
     def merged_edges(self, type: str) -> DataFrame:
         """Edges as an upsert leaves them: unique by endpoints and identity."""
