@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import html
 import re
@@ -21,20 +20,24 @@ RECORD = (
 )
 _FIELDS = [f.split()[0] for f in RECORD.split(", ")]
 _KINDS = [pa.binary() if f.endswith("binary") else pa.string() for f in RECORD.split(", ")]
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_HIDES = ("script", "style", "noscript", "template", "svg")
 _BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|"
-    r"pre|section|table|td|th|title|tr|ul)\b[^>]*>",
+    r"pre|section|table|td|th|title|tr|ul)\b",
     re.I,
 )
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
+_TAG = re.compile(r"<[a-zA-Z/!?]")
+_NAME = re.compile(r"<([a-zA-Z]+)\b")
+_HIDDEN_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in _HIDES}
 _SPACES = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE, _TITLE_END = re.compile("<title", re.I), re.compile("</title", re.I)
+_HTML, _LANG = re.compile(r"<html\b", re.I), re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_ANCHOR, _HREF = re.compile(r"<a\b", re.I), re.compile(r"\bhref\s*=\s*", re.I)
+_VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 _CHUNK = re.compile(rb"[ \t]*([0-9a-fA-F]{1,16})[ \t]*(?:;[^\r\n]*)?\r\n")
+_PIECE = 1 << 16
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -58,9 +61,84 @@ def header_of(fields: list[tuple[str, str | None]]) -> str:
     return "WARC/1.1\r\n" + "".join(lines) + "\r\n"
 
 
+def shown(page: str) -> str:
+    """The page with a space for every comment and every script, style or the like; one that does not end goes to the end.
+
+    Like all that reads a page here, it goes from one ``<`` to the next and never back, so that broken or hostile pages
+    take time in proportion to their length too.
+    """
+    out, at, tags_end = [], 0, True
+    while (start := page.find("<", at)) >= 0:
+        out.append(page[at:start])
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            out.append(" ")
+            at = len(page) if end < 0 else end + 3
+            continue
+        name = _NAME.match(page, start)
+        kind = name[1].lower() if name else ""
+        close = page.find(">", name.end()) if kind in _HIDES and tags_end else -1
+        if close < 0:
+            tags_end = tags_end and kind not in _HIDES  # no tag ends behind here
+            out.append("<")
+            at = start + 1
+            continue
+        end = _HIDDEN_END[kind].search(page, close + 1)
+        out.append(" ")
+        at = end.end() if end else len(page)
+    out.append(page[at:])
+    return "".join(out)
+
+
+def _without_tags(page: str, opening: re.Pattern, into: str) -> str:
+    """``into`` in place of every tag that begins like ``opening`` and has an end."""
+    out, at = [], 0
+    while start := opening.search(page, at):
+        end = page.find(">", start.end())
+        if end < 0:
+            break
+        out += page[at : start.start()], into
+        at = end + 1
+    return "".join([*out, page[at:]])
+
+
+def _tags(page: str, opening: re.Pattern) -> Iterator[tuple[int, int]]:
+    """(begin, end) of what stands in the tags that begin like ``opening``; the last one may have no end. Tags within a tag are part of it."""
+    at = 0
+    while start := opening.search(page, at):
+        end = page.find(">", start.end())
+        at = len(page) if end < 0 else end
+        yield start.end(), at
+
+
+def page_title(page: str) -> str | None:
+    for _, end in _tags(page, _TITLE):
+        close = _TITLE_END.search(page, end + 1)
+        return page[end + 1 : close.start()] if close else None
+    return None
+
+
+def page_language(page: str) -> str | None:
+    return next((found[1] for begin, end in _tags(page, _HTML) if (found := _LANG.search(page, begin, end))), None)
+
+
+def page_links(page: str) -> Iterator[str]:
+    """The targets of anchors, in order; a quoted one may hold what ends a tag."""
+    at = 0
+    while start := _ANCHOR.search(page, at):
+        end = page.find(">", start.end())
+        at = end = len(page) if end < 0 else end
+        name = _HREF.search(page, start.end(), end)
+        while name and not (value := _VALUE.match(page, name.end())):
+            name = _HREF.search(page, name.end(), end)
+        if name:
+            yield next(filter(None, value.groups()), "")
+            at = max(value.end(), start.end())
+
+
 def visible_text(page: str) -> str:
     """What a reader sees: no comments, scripts or styles; one line for each block of the page, entities resolved."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
+    text = _without_tags(_without_tags(shown(page), _BREAK, "\n"), _TAG, "")
     return _LINES.sub("\n", _SPACES.sub(" ", html.unescape(text))).strip()
 
 
@@ -99,17 +177,20 @@ def joined_chunks(payload: bytes) -> bytes:
 
 
 def inflated(payload: bytes, bits: int) -> bytes:
-    """The content of all zlib members, a last one that is cut short as far as it goes."""
-    out = []
-    while payload:
+    """The content of all zlib members, a last one that is cut short or broken as far as it goes."""
+    out, at, view = [], 0, memoryview(payload)
+    while at < len(view):
         member = zlib.decompressobj(bits)
-        try:
-            out.append(member.decompress(payload))
-        except zlib.error:
-            if not out:
-                raise
-            break
-        payload = member.unused_data
+        while at < len(view) and not member.eof:
+            piece = view[at : at + _PIECE]
+            try:
+                out.append(member.decompress(piece))
+            except zlib.error:
+                if not any(out):
+                    raise
+                return b"".join(out)
+            at += len(piece)
+        at -= len(member.unused_data)
     return b"".join(out)
 
 
@@ -188,14 +269,13 @@ def derived_records(
     content = uncoded(payload, headers)
     textual = content is not None and (kind.lower().startswith("text/") or "html" in kind.lower())
     page = decoded(content, kind) if textual else ""
-    bare = _HIDDEN.sub(" ", page)
+    bare = shown(page)
     facts = [("http-status", status), *((f"http-header-{name}", value) for name, value in headers)]
     facts += [(f"warc-header-{name}", value) for name, value in header_pairs((header or "").split("\r\n")[1:])]
     facts.append(("source-block-digest", block_digest or digest(block)))
-    for name, pattern in (("title", _TITLE), ("languages", _LANG)):
-        match = pattern.search(bare)
-        facts.append((name, html.unescape(match[1]) if match else None))
-    facts += [("outlink", html.unescape(next(filter(None, m.groups()), ""))) for m in _LINK.finditer(bare)]
+    for name, found in (("title", page_title(bare)), ("languages", page_language(bare))):
+        facts.append((name, html.unescape(found) if found else None))
+    facts += [("outlink", html.unescape(link)) for link in page_links(bare)]
     facts.append(("source-payload-length", str(len(payload))))
     fields = "".join(f"{name}: {one_line(value)}\r\n" for name, value in facts if value).encode()
     made = [("metadata", "application/warc-fields", fields)]
@@ -272,18 +352,26 @@ def write_warc(records: DataFrame, path: str, compress: bool = True) -> None:
 
 
 def parse_warc(data: bytes) -> Iterator[tuple]:
-    """The records of an archive file, found by their lengths. A record that is cut short ends the file."""
+    """The records of an archive file, found by their lengths.
+
+    A record that is cut short or has no valid length ends the file, and so does a compressed member that is cut short or broken.
+    """
     if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+        try:
+            data = inflated(data, 31)
+        except zlib.error:
+            return
     at = data.find(b"WARC/")
     while at >= 0:
         stop = data.find(b"\r\n\r\n", at)
         if stop < 0:
             return
         header = data[at : stop + 4].decode("utf-8", "replace")
-        pairs = (line.partition(":") for line in header.split("\r\n")[1:] if ":" in line)
-        fields = {name.strip().lower(): value.strip() for name, _, value in pairs}
-        size = int(fields.get("content-length") or 0)
+        fields = dict(header_pairs(header.split("\r\n")[1:]))
+        length = fields.get("content-length") or "0"
+        if not length.isascii() or not length.isdigit():
+            return
+        size = int(length)
         block = data[stop + 4 : stop + 4 + size]
         if len(block) < size:
             return

@@ -114,3 +114,62 @@ def test_headers_and_codings_of_the_source(spark, tmp_path):
             assert f"http-header-{line}" in lines
         assert f"source-block-digest: sha1:{name}" in lines and "warc-header-warc-ip-address: 1.2.3.4" in lines
         assert own.get(("conversion", f"<{name}>")) == (None if name == "br" else "T\ngrün")
+
+
+def old_patterns(page):
+    """What the linear passes must equal on pages that end their tags, as patterns that look ahead again and again."""
+    import html
+    import re
+
+    hidden = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+    bare = hidden.sub(" ", page)
+    title = re.search(r"<title[^>]*>(.*?)</title", bare, re.S | re.I)
+    lang = re.search(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", bare, re.I)
+    links = re.finditer(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", bare, re.I)
+    return bare, title and title[1], lang and lang[1], [next(filter(None, m.groups()), "") for m in links]
+
+
+def test_linear_passes_equal_the_patterns():
+    import random
+
+    from quillgraph.llm.warc import page_language, page_links, page_title, shown
+
+    draw = random.Random(3)
+    parts = ["<p>", "a", " ", "<script>", "</script >", "<!--", "-->", "<title>", "</title>", "<a href=x>", '<a class=b href="y>z">', "<a>", "</a>",
+             "<html lang=en>", "<html>", "<", ">", "<a href='q'>", "<svg/>", "</SVG>", "<style x>", "</style>", "é", "<a href=>", "<titles>"]
+    for _ in range(4000):
+        page = "".join(draw.choices(parts, k=draw.randint(0, 14)))
+        bare, title, lang, links = old_patterns(page)
+        assert shown(page) == bare, page
+        assert (page_title(bare), page_language(bare), list(page_links(bare))) == (title, lang, links), page
+
+
+def test_hostile_pages_take_time_in_proportion():
+    import time
+
+    from quillgraph.llm.warc import derived_records
+
+    for part in ("<html ", "<title>", "<a", "<a href=", '<a href="', "<script ", "<!--", "<svg>", "<p", "&", "\n ", "<a href='x", "</title", "<"):
+        page = part * (1_000_000 // len(part))
+        block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + page.encode()
+        started = time.perf_counter()
+        assert len(list(derived_records("<id>", None, None, None, block))) == 2
+        assert time.perf_counter() - started < 3, part
+
+
+def test_broken_archives_end_quietly():
+    import gzip
+
+    def record(text, length=None):
+        head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: http://a/\r\n b\r\nContent-Length: {len(text) if length is None else length}\r\n\r\n"
+        return head.encode() + text + b"\r\n\r\n"
+
+    whole = b"".join(gzip.compress(record(b"x" * n)) for n in (10, 20, 3000))
+    assert [len(r[-1]) for r in parse_warc(whole)] == [10, 20, 3000]
+    assert [len(r[-1]) for r in parse_warc(whole[:-15])] == [10, 20]
+    assert list(parse_warc(whole[:5])) == [] and list(parse_warc(b"\x1f\x8bnonsense")) == []
+    assert [r[-1] for r in parse_warc(record(b"abc") + record(b"de", "abc") + record(b"f"))] == [b"abc"]
+    assert list(parse_warc(record(b"de", "-5"))) == []
+    assert next(parse_warc(record(b"abc")))[3] == "http://a/ b"
+    many = b"".join(gzip.compress(record(b"y")) for _ in range(20_000))
+    assert sum(1 for _ in parse_warc(many)) == 20_000
