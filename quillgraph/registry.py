@@ -356,6 +356,29 @@ def er_train_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _matcher(spark, sf)[2]
 
 
+def _title_matcher(spark: SparkSession, sf: str):
+    """The second kind of entities: features of title pairs, labelled by category and common words, and a matcher of its own."""
+    features = materialize(_title_features(spark, sf), "title-features")
+    rule = resolution.family_rule(F.col("same_code"), F.col("token_overlap"))
+    model, metrics = resolution.train_matcher(
+        resolution.sampled_labels(features.withColumn("label", rule)), "DIAGNOSIS", "family_rule"
+    )
+    return features, model, metrics
+
+
+def er_title_train_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return _title_matcher(spark, sf)[2]
+
+
+def same_as_all_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Same-as edges of both kinds of entities as one edge table."""
+    resolved = {}
+    for kind, matcher in (("medications", _matcher), ("diagnoses", _title_matcher)):
+        features, model, _ = matcher(spark, sf)
+        resolved[kind] = resolution.same_as(model, features, kind)
+    return rename_same_as(resolved, {"medications": "Medication", "diagnoses": "Diagnosis"})
+
+
 def same_as_edges(spark: SparkSession, sf: str) -> DataFrame:
     features, model, _ = _matcher(spark, sf)
     edges = rename_same_as({"medications": resolution.same_as(model, features, "MEDICATION")}, {"medications": "Medication"})
@@ -906,6 +929,8 @@ QUERIES = {
     "er_gold_labels": er_gold_labels,
     "er_train_metrics": er_train_metrics,
     "same_as_edges": same_as_edges,
+    "er_title_train_metrics": er_title_train_metrics,
+    "same_as_all_types": same_as_all_types,
     "pairs_bruteforce": pairs_bruteforce,
     "pairs_blocked": pairs_blocked,
     "pairs_exact_jaccard": pairs_exact_jaccard,
