@@ -48,45 +48,93 @@ def same_first_word(a: Column, b: Column) -> Column:
 
 def _jaro_winkler_udf():
     # Nested functions travel to the workers by value, so these need no copy of this package.
-    def similarity(a: str, b: str) -> float:
-        if a == b:
-            return 1.0 if a else 0.0
-        if not a or not b:
-            return 0.0
+    import numpy as np
+
+    cells, longest = 1 << 20, 512
+
+    def winkler(matched, swaps, len_a, len_b, prefix):
+        """From the number of matched letters, those of them out of order, and the common start; all may be arrays."""
+        jaro = (matched / len_a + matched / len_b + (matched - swaps) / matched) / 3
+        return np.where(jaro > 0.7, jaro + prefix * 0.1 * (1.0 - jaro), jaro)
+
+    def codes(strings, width):
+        return np.array(strings, f"U{width}").view(np.uint32).reshape(len(strings), width)
+
+    def together(a, b):
+        """Pairs of non-empty strings of much the same length, letter by letter for all of them at once."""
+        len_a, len_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
+        left, right = codes(a, int(len_a.max())), codes(b, int(len_b.max()))
+        reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)[:, None]
+        place, row = np.arange(right.shape[1]), np.arange(len(a))
+        free = place < len_b[:, None]
+        hits = np.zeros(left.shape, bool)
+        for i in range(left.shape[1]):
+            fits = free & (right == left[:, i : i + 1]) & (np.abs(place - i) <= reach)
+            fits[i >= len_a] = False
+            at = fits.argmax(axis=1)
+            hits[:, i] = fits[row, at]
+            free[row[hits[:, i]], at[hits[:, i]]] = False
+        taken = ~free & (place < len_b[:, None])
+        matched = hits.sum(axis=1)
+        width = max(int(matched.max()), 1)
+        first, second = (
+            np.take_along_axis(side, np.argsort(~mask, axis=1, kind="stable")[:, :width], axis=1)
+            for side, mask in ((left, hits), (right, taken))
+        )
+        swaps = ((first != second) & (np.arange(width) < matched[:, None])).sum(axis=1) // 2
+        start = min(4, left.shape[1], right.shape[1])
+        inside = np.arange(start) < np.minimum(len_a, len_b)[:, None]
+        prefix = np.cumprod((left[:, :start] == right[:, :start]) & inside, axis=1).sum(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(matched > 0, winkler(matched, swaps, len_a, len_b, prefix), 0.0)
+
+    def alone(a, b):
+        """One pair of long strings, whose letters are looked for by the string search."""
         reach = max(max(len(a), len(b)) // 2 - 1, 0)
-        taken = [False] * len(b)
-        matched_a = []
+        taken, matched = bytearray(len(b)), []
         for i, letter in enumerate(a):
             stop = min(i + reach + 1, len(b))
             j = b.find(letter, max(i - reach, 0), stop)
             while j >= 0 and taken[j]:
                 j = b.find(letter, j + 1, stop)
             if j >= 0:
-                taken[j] = True
-                matched_a.append(letter)
-        m = len(matched_a)
-        if not m:
+                taken[j] = 1
+                matched.append(letter)
+        if not matched:
             return 0.0
-        matched_b = [letter for letter, hit in zip(b, taken) if hit]
-        swaps = sum(x != y for x, y in zip(matched_a, matched_b)) // 2
-        jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
-        if jaro <= 0.7:
-            return jaro
-        prefix = 0
-        while prefix < min(4, len(a), len(b)) and a[prefix] == b[prefix]:
-            prefix += 1
-        return jaro + prefix * 0.1 * (1.0 - jaro)
+        swaps = sum(x != y for x, y in zip(matched, (letter for letter, hit in zip(b, taken) if hit))) // 2
+        prefix = next((k for k in range(4) if k >= min(len(a), len(b)) or a[k] != b[k]), 4)
+        return float(winkler(len(matched), swaps, len(a), len(b), prefix))
+
+    def similarity(a, b):
+        out = np.zeros(len(a))
+        sizes = np.array([max(len(x), len(y)) if x and y else 0 for x, y in zip(a, b)], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        order = order[np.searchsorted(sizes[order], 1) :]  # blank ones stay 0
+        at, short = 0, int(np.searchsorted(sizes[order], longest, "right"))
+        while at < short:
+            # so many that the longest of them fit into the cells
+            to = at + max(1, int(np.searchsorted(sizes[order[at:short]] * np.arange(1, short - at + 1), cells, "right")))
+            some = order[at:to]
+            out[some] = together([a[i] for i in some], [b[i] for i in some])
+            at = to
+        for i in order[short:]:
+            out[i] = alone(a[i], b[i])
+        return out
 
     @F.pandas_udf("double")
     def scored(a: pd.Series, b: pd.Series) -> pd.Series:
         upper_a, upper_b = a.fillna("").str.upper(), b.fillna("").str.upper()
-        return pd.Series([similarity(x, y) for x, y in zip(upper_a, upper_b)], index=a.index, dtype="float64")
+        return pd.Series(similarity(upper_a.tolist(), upper_b.tolist()), index=a.index, dtype="float64")
 
     return scored
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:
-    """Jaro-Winkler similarity ignoring case: an Arrow-batched function, since Spark has none built in."""
+    """Jaro-Winkler similarity ignoring case: an Arrow-batched function, since Spark has none built in.
+
+    A batch goes letter by letter over all of its pairs at once, not pair by pair, but for strings of more than 512 characters.
+    """
     return _jaro_winkler_udf()(a, b)
 
 

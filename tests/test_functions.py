@@ -75,3 +75,37 @@ def test_event_time(spark):
     df = spark.createDataFrame(rows, "i int, t string, d string").orderBy("i")
     found = [r[0] and str(r[0]) for r in df.select(event_time(F.col("t"), F.col("d"))).collect()]
     assert found == ["2100-01-02 03:04:05", "2100-01-02 00:00:00", "2100-01-02 00:00:00", None, None]
+
+
+def plain_jaro_winkler(a, b):
+    """Pair by pair, as the definition reads."""
+    if not a or not b:
+        return 0.0
+    reach, taken, matched = max(max(len(a), len(b)) // 2 - 1, 0), set(), []
+    for i, letter in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if j not in taken and b[j] == letter:
+                taken.add(j)
+                matched.append(letter)
+                break
+    m = len(matched)
+    if not m:
+        return 0.0
+    swaps = sum(x != b[j] for x, j in zip(matched, sorted(taken))) // 2
+    jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
+    prefix = 0
+    while prefix < min(4, len(a), len(b)) and a[prefix] == b[prefix]:
+        prefix += 1
+    return jaro + prefix * 0.1 * (1.0 - jaro) if jaro > 0.7 else jaro
+
+
+def test_jaro_winkler_of_many_pairs_equals_the_definition(spark):
+    import random
+
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choices(["A", "B", "C", "É", "😀", " "], k=draw.choice([0, 1, 2, 5, 9, 30])))
+    pairs = [(word(), word()) for _ in range(3000)] + [("AB" * 400, "BA" * 390), ("X" * 600, "Y" * 600), ("\0", "\0\0"), (None, "A"), ("A" * 513, "A")]
+    pairs += [(w, w[: len(w) // 2] + "Z" + w[len(w) // 2 :]) for w, _ in pairs[:500]]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    found = {r["i"]: r["s"] for r in rows.select("i", jaro_winkler(F.col("a"), F.col("b")).alias("s")).collect()}
+    assert all(found[i] == plain_jaro_winkler(a, b) for i, (a, b) in enumerate(pairs))
