@@ -1,4 +1,8 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text."""
+"""Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
+
+The model's n-grams are of characters (code points), none folded together. All tables - counts, estimates and the
+probabilities that the documents need - grow with the texts and stay on Spark.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,145 +20,272 @@ from .textbytes import Texts, texts
 
 #: Steps of a bit in which scores are compared, so that quantiles come from a histogram of bounded size.
 STEPS_PER_BIT = 10_000
+#: Steps that the histogram sums up before it looks into one such block.
+_STEPS = 256
 #: Trusted ids up to this number are broadcast to the scan; more are joined by a shuffle, with the same result.
 BROADCAST_IDS = 4_000_000
+#: An n-gram that makes up more than one in so many of all that are looked up is broadcast; so there are fewer of them
+#: than this. The others are joined.
+HOT = 1 << 20
+#: Below all orders, every code point is equally likely.
+UNIFORM = 1.0 / 0x110000
+#: No probability counts as less: where so little is trusted that nothing is discounted, an unseen n-gram has none left.
+LEAST = 1e-30
+#: Bits are summed as whole numbers of this part of one, so that sums are the same in any order.
+PARTS_OF_BIT = 1 << 20
+#: The model of all trusted documents. Models 0 and 1 are trained without the half of that number.
+WHOLE = 2
+_BLOCK = 4 << 20
+_HELD = 1 << 19
+_PAD = 32
 
 
-def _symbols() -> np.ndarray:
-    """The symbol of every byte: lower-case letters one by one; capitals, digits, kinds of signs and of non-ASCII bytes together."""
-    out = np.full(256, 34, np.int64)
-    out[97:123] = np.arange(26)
-    out[65:91] = 26
-    out[[32]] = 27
-    out[9:14] = 28
-    out[48:58] = 29
-    out[ord(".")], out[ord(",")] = 30, 31
-    out[[ord(c) for c in "!?"]] = 32
-    out[[ord(c) for c in "'\"-;:()"]] = 33
-    out[128:192] = 35 + (np.arange(64) & 7)
-    out[192:] = 43
-    return out
+class Model(NamedTuple):
+    """Per order, from 1: (model, gram, share) of the n-grams seen and (model, context, rest) of their contexts.
 
+    ``share`` is the discounted part of the probability and ``rest`` what the context leaves to the next lower order.
+    """
 
-SYMBOL_OF = _symbols()
-SYMBOLS = 44
-_PAD = 27
+    shares: list[DataFrame]
+    rests: list[DataFrame]
 
 
-class Model(NamedTuple):
-    """Log2 probabilities of the last symbol given those before, for every possible n-gram: ``SYMBOLS ** order`` values."""
+class Grams(NamedTuple):
+    """The n-grams that end at the characters of a group of texts: their strings, and for each character which and in what text."""
 
-    order: int
-    log2: np.ndarray
+    names: np.ndarray
+    which: np.ndarray
+    doc: np.ndarray
 
 
-def ngram_codes(group: Texts, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, document) of the n-gram that ends at every byte, the start of a document padded with spaces."""
-    symbols = SYMBOL_OF[group.data]
-    doc = np.repeat(np.arange(len(group.ids)), np.diff(group.bounds))
-    place = np.arange(len(symbols)) - group.bounds[doc]
-    codes = np.zeros(len(symbols), np.int64)
-    for back in range(order - 1, -1, -1):
-        shifted = np.full(len(symbols), _PAD, np.int64)
-        if back < len(symbols):
-            shifted[back:] = symbols[: len(symbols) - back]
-        codes = codes * SYMBOLS + np.where(place >= back, shifted, _PAD)
-    return codes, doc
+def _points(raw: bytes) -> np.ndarray:
+    points = np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    return np.where(points == 0, np.uint32(0xFFFD), points)
 
 
-def ngram_counts(docs: DataFrame, order: int) -> DataFrame:
-    """(code, n): how often each n-gram occurs in the texts of (doc_id, text) rows, counted in each task first.
+def grams_of(group: Texts, order: int) -> Grams:
+    """The n-grams of a group. The start of a text is padded with spaces; a null character counts as U+FFFD."""
+    raw, ends = group.data.tobytes(), group.bounds.tolist()
+    each = [_points(raw[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+    sizes = np.array([len(p) for p in each])
+    pad = np.full(order - 1, _PAD, np.uint32)
+    laid = np.concatenate([part for p in each for part in (pad, p)])
+    symbols, alphabet = pd.factorize(laid)
+    length = len(laid) - order + 1
+    codes, top = symbols[:length].astype(np.int64), len(alphabet)
+    for step in range(1, order):
+        if top * len(alphabet) >= 1 << 62:
+            codes, names = pd.factorize(codes)
+            top = len(names)
+        codes = codes * len(alphabet) + symbols[step : step + length]
+        top *= len(alphabet)
+    doc = np.repeat(np.arange(len(each)), sizes)
+    starts = np.arange(len(doc)) + doc * (order - 1)
+    which, found = pd.factorize(codes[starts])
+    first = np.empty(len(found), np.int64)
+    first[which[::-1]] = starts[::-1]
+    spelt = np.ascontiguousarray(laid[first[:, None] + np.arange(order)])
+    names = spelt.view(f"<U{order}").reshape(-1).astype(object) if len(found) else np.empty(0, object)
+    return Grams(names, which, doc)
 
-    A task's counters are ``SYMBOLS ** order`` numbers, whatever it reads.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**order, np.int64)
-        for group in texts(batches):
-            codes, times = np.unique(ngram_codes(group, order)[0], return_counts=True)
-            total[codes] += times
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["code", "n"])
+def _halves(group: Texts) -> np.ndarray:
+    return group.batch.column(group.batch.schema.get_field_index("half")).to_numpy(zero_copy_only=False)
 
-    return docs.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
+def gram_counts(given: DataFrame, order: int) -> DataFrame:
+    """(half, gram, n): how often each n-gram occurs in the texts of (doc_id, text, half, ..) rows, counted in each task first."""
 
-def discounts(counts: DataFrame) -> list[float]:
-    """What modified Kneser-Ney takes off a count of 0, 1, 2 and of 3 or more, from the numbers of n-grams seen 1 to 4 times."""
-    row = counts.agg(*[F.count(F.when(F.col("n") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (max(1, row[f"n{i}"]) for i in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    return [0.0, *(max(0.0, i - (i + 1) * y * b / a) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))]
+    def sent(held: dict[int, dict[str, int]]) -> Iterator[pa.RecordBatch]:
+        for half, counts in held.items():
+            columns = [pa.array([half] * len(counts), pa.int32()), pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())]
+            if counts:
+                yield pa.RecordBatch.from_arrays(columns, names=["half", "gram", "n"])
+            counts.clear()
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[str, int]] = {}
+        for group in texts(batches, _BLOCK):
+            grams, halves = grams_of(group, order), _halves(group)
+            for half in np.unique(halves).tolist():
+                counts, own = held.setdefault(half, {}), grams.which[halves[grams.doc] == half]
+                times = np.bincount(own, minlength=len(grams.names))
+                for at in np.flatnonzero(times).tolist():
+                    name = grams.names[at]
+                    counts[name] = counts.get(name, 0) + int(times[at])
+            if sum(map(len, held.values())) > _HELD:
+                yield from sent(held)
+        yield from sent(held)
+
+    return given.mapInArrow(count, "half int, gram string, n long").groupBy("half", "gram").agg(F.sum("n").alias("n"))
+
+
+def discounts(counts: DataFrame) -> dict[int, list[float]]:
+    """By model, what modified Kneser-Ney takes off a count of 1, 2 and of 3 or more, from the numbers of n-grams seen 1 to 4 times."""
+    seen = [F.count(F.when(F.col("n") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    out = {}
+    for row in counts.groupBy("model").agg(*seen).collect():  # one row for each model
+        n1, n2, n3, n4 = (max(1, row[f"n{i}"]) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        out[row["model"]] = [max(0.0, i - (i + 1) * y * b / a) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+    return out
 
-def estimates(counts: DataFrame, order: int) -> DataFrame:
-    """(order, code, share, context, rest) of every n-gram seen, for the orders from ``order`` down to 1.
 
-    ``share`` is the discounted part of the probability and ``rest`` what its context leaves to the next lower order. The
-    highest order counts occurrences, the lower ones in how many different n-grams one longer an n-gram stands at the
-    end. Counts are joined with their contexts' sums, both spread by context.
+def train(counts: DataFrame, order: int) -> Model:
+    """The models of (model, gram, n) counts of n-grams of ``order`` characters.
+
+    The highest order counts occurrences, the lower ones in how many different n-grams one longer an n-gram stands at the
+    end. Counts are joined with the sums of their contexts, both spread by context; the sums are a written table, so that
+    Spark can split a frequent context.
     """
-    out = None
+    shares, rests = [], []
     for n in range(order, 0, -1):
-        d = discounts(counts)
-        taken = F.element_at(F.array(*map(F.lit, d)), F.least(F.col("n"), F.lit(3)).cast("int") + 1)
-        rows = counts.select("code", "n", taken.alias("d"), F.floor(F.col("code") / SYMBOLS).alias("context"))
-        sums = materialize(rows.groupBy("context").agg(F.sum("n").alias("all"), F.sum("d").alias("off")), "contexts")
-        part = rows.join(sums, "context").select(
-            F.lit(n).alias("order"),
-            "code",
-            ((F.col("n") - F.col("d")) / F.col("all")).alias("share"),
-            "context",
-            (F.col("off") / F.col("all")).alias("rest"),
-        )
-        out = part if out is None else out.unionByName(part)
-        shorter = (F.col("code") % SYMBOLS ** (n - 1)).alias("code")
-        counts = materialize(counts.groupBy(shorter).agg(F.count(F.lit(1)).alias("n")), "shorter")
-    return out
+        taken = F.lit(0.0)
+        for model, d in discounts(counts).items():
+            own = F.element_at(F.array(*map(F.lit, d)), F.least(F.col("n"), F.lit(3)).cast("int"))
+            taken = F.when(F.col("model") == model, own).otherwise(taken)
+        rows = counts.select("model", "gram", "n", taken.alias("d"), F.substring("gram", 1, n - 1).alias("context"))
+        sums = rows.groupBy("model", "context").agg(F.sum("n").alias("all"), F.sum("d").alias("off"))
+        sums = materialize(sums, "contexts")
+        share = ((F.col("n") - F.col("d")) / F.col("all")).alias("share")
+        shares.append(materialize(rows.join(sums, ["model", "context"]).select("model", "gram", share), "shares"))
+        rests.append(sums.select("model", "context", (F.col("off") / F.col("all")).alias("rest")))
+        if n > 1:
+            shorter = counts.groupBy("model", F.substring("gram", 2, n - 1).alias("gram"))
+            counts = materialize(shorter.agg(F.count(F.lit(1)).alias("n")), "shorter")
+    return Model(shares[::-1], rests[::-1])
+
+
+def probabilities(model: Model, needed: DataFrame) -> DataFrame:
+    """(model, gram, p) of the distinct (model, gram) rows: the interpolated probability of the last character after the others.
+
+    From the lowest order up, each n-gram is joined with its share, the rest of its context and the probability of itself
+    without its first character.
+    """
+    order = len(model.shares)
+    wanted = [needed.select("model", "gram")]
+    for n in range(order - 1, 0, -1):
+        shorter = wanted[0].select("model", F.substring("gram", 2, n).alias("gram")).distinct()
+        wanted.insert(0, materialize(shorter, "wanted"))
+    lower = None
+    for n, (rows, share, rest) in enumerate(zip(wanted, model.shares, model.rests, strict=True), 1):
+        rows = rows.join(share, ["model", "gram"], "left").withColumn("context", F.substring("gram", 1, n - 1))
+        rows = rows.join(rest, ["model", "context"], "left")
+        below = F.lit(UNIFORM)
+        if lower is not None:
+            rows = rows.withColumn("end", F.substring("gram", 2, n - 1))
+            rows = rows.join(lower.select("model", F.col("gram").alias("end"), F.col("p").alias("below")), ["model", "end"])
+            below = F.col("below")
+        p = F.coalesce("share", F.lit(0.0)) + F.coalesce("rest", F.lit(1.0)) * below
+        lower = materialize(rows.select("model", "gram", p.alias("p")), "probabilities")
+    return lower
+
+
+def _by_model(counts: DataFrame, models: Column) -> DataFrame:
+    rows = counts.select(F.explode(models).alias("model"), "gram", "n")
+    return rows.groupBy("model", "gram").agg(F.sum("n").alias("n"))
+
+
+def gram_bits(counts: DataFrame, order: int) -> DataFrame:
+    """(model, gram, n, bits) of every n-gram of (half, gram, n) counts; half -1 is of documents that are not trusted.
+
+    Each half is looked up in the model trained without it, and all documents in the model of both. ``n`` is the number
+    of look-ups; ``bits`` is in ``PARTS_OF_BIT``.
+    """
+    half = F.col("half")
+    trusted = counts.filter("half >= 0")
+    training = materialize(_by_model(trusted, F.array(F.lit(WHOLE), 1 - half)), "training")
+    both = F.when(half >= 0, F.array(F.lit(WHOLE), half)).otherwise(F.array(F.lit(WHOLE)))
+    needed = materialize(_by_model(counts, both), "needed")
+    found = probabilities(train(training, order), needed)
+    bits = F.round(-F.log2(F.greatest("p", F.lit(LEAST))) * PARTS_OF_BIT).cast("long").alias("bits")
+    return needed.join(found, ["model", "gram"]).select("model", "gram", "n", bits)
 
 
-def train(trusted: DataFrame, order: int = 4) -> Model:
-    """The model of the texts of (doc_id, text) rows, all of them.
+class _Look:
+    """Bits of the broadcast n-grams of one model, by name."""
 
-    The counts and joins run on Spark; the driver gets at most ``SYMBOLS ** order`` estimates of each order, 3.7
-    million of the highest for order 4, and lays them out. Without any text all symbols are equally likely.
-    """
-    counts = materialize(ngram_counts(trusted, order), "ngrams")
-    found = estimates(counts, order).toPandas()
-    p = np.full(SYMBOLS, 1.0 / SYMBOLS)
-    for n in range(1, order + 1):
-        rows = found[found["order"] == n]
-        lower = p if n == 1 else np.tile(p.reshape(1, -1), (SYMBOLS, 1)).reshape(-1)
-        rest = np.ones(SYMBOLS ** (n - 1))
-        rest[rows["context"].to_numpy()] = rows["rest"].to_numpy()
-        p = np.repeat(rest, SYMBOLS) * lower
-        p[rows["code"].to_numpy()] += rows["share"].to_numpy()
-    return Model(order, np.log2(np.maximum(p, 1e-30)).astype(np.float32))
-
-
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, n_bytes, bits, ..) of (doc_id, text, ..) rows: mean bits a byte; null for an empty text.
-
-    The model is broadcast: its size is ``SYMBOLS ** order`` numbers, 15 MB for order 4, however much text it was
-    trained on.
+    def __init__(self, names: np.ndarray, bits: np.ndarray) -> None:
+        self.index, self.bits = pd.Index(names, dtype=object), np.append(bits, 0)
+
+    def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bits, whether it is none of them) for each name."""
+        at = self.index.get_indexer(names) if len(self.index) else np.full(len(names), -1)
+        return self.bits[at], at < 0
+
+
+_SCAN = "doc_id long, mark long, lang string, half int, n_bytes long, rows long, model int, gram string, n long, bits long, apart long"
+
+
+def _empty(count: int, kind: pa.DataType) -> pa.Array:
+    return pa.nulls(count, kind)
+
+
+def score(given: DataFrame, bits: DataFrame, order: int, hot: int = HOT) -> DataFrame:
+    """(doc_id, mark, lang, half, n_bytes, rows, bits, apart) of the different (doc_id, mark) of (doc_id, text, lang, mark, half) rows.
+
+    ``rows`` is how many rows there are of it, ``bits`` the mean bits a byte by the whole model and ``apart`` by the one that
+    was trained without the document's half; null for an empty text, or without a half.
+
+    The scan adds up n-grams that are more than one in ``hot`` of all look-ups, of which there are fewer than ``hot``;
+    they are broadcast. Of the others a document sends each once, with its count, to be joined; none of these is
+    frequent. Sums are of whole numbers, so the result does not depend on ``hot``.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.order, model.log2))
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    spark = given.sparkSession
+    total = bits.agg(F.sum("n")).first()[0] or 0
+    frequent = F.col("n") * F.lit(hot) > F.lit(total)
+    common = bits.filter(frequent).select("model", "gram", "bits").toPandas()
+    tables = {m: (common["gram"][own].to_numpy(object), common["bits"][own].to_numpy(np.int64)) for m in range(3) for own in [common["model"] == m]}
+    shared = spark.sparkContext.broadcast(tables)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, log2 = shared.value
-        for group in texts(batches):
-            codes, doc = ngram_codes(group, order)
-            size = np.diff(group.bounds)
-            total = np.bincount(doc, weights=log2[codes], minlength=len(size))
-            bits = pa.array(-total / np.maximum(size, 1), mask=size == 0)
-            more = [group.batch.column(group.batch.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([group.batch.column(0), pa.array(size), bits, *more], names=names)
-
-    names = ["doc_id", "n_bytes", "bits", *keep]
-    schema = ", ".join(["doc_id long", "n_bytes long", "bits double", *(f"{c} {kinds[c]}" for c in keep)])
-    return docs.mapInArrow(rate, schema)
+        looks = {m: _Look(*table) for m, table in shared.value.items()}
+        for group in texts(batches, _BLOCK):
+            grams, halves = grams_of(group, order), _halves(group)
+            column = {c: group.batch.column(group.batch.schema.get_field_index(c)) for c in ("lang", "mark", "half")}
+            marks, count = column["mark"].to_numpy(zero_copy_only=False), len(group.ids)
+            sums, rare = {}, []
+            for m, look in looks.items():
+                own = np.full(len(grams.doc), True) if m == WHOLE else halves[grams.doc] == m
+                which, doc = grams.which[own], grams.doc[own]
+                names = np.unique(which)
+                cost, lacking = np.zeros(len(grams.names), np.int64), np.zeros(len(grams.names), bool)
+                cost[names], lacking[names] = look.find(grams.names[names])
+                sums[m] = np.bincount(doc, weights=cost[which], minlength=count).astype(np.int64)
+                sent = lacking[which]
+                pairs, times = np.unique(doc[sent] * max(1, len(grams.names)) + which[sent], return_counts=True)
+                rare.append((m, pairs // max(1, len(grams.names)), pairs % max(1, len(grams.names)), times))
+            apart = np.where(halves == 0, sums[0], np.where(halves == 1, sums[1], 0))
+            whole = [
+                pa.array(group.ids, pa.int64()), column["mark"], column["lang"], column["half"], pa.array(np.diff(group.bounds)),
+                pa.array(np.ones(count, np.int64)), pa.array(np.full(count, -1, np.int32)),
+                pa.array([f"{mark:x}" for mark in marks.tolist()]), _empty(count, pa.int64()), pa.array(sums[WHOLE]), pa.array(apart),
+            ]
+            yield pa.RecordBatch.from_arrays(whole, names=names_of)
+            for m, doc, which, times in rare:
+                k = len(doc)
+                part = [
+                    pa.array(group.ids[doc], pa.int64()), pa.array(marks[doc], pa.int64()), _empty(k, pa.string()), _empty(k, pa.int32()),
+                    _empty(k, pa.int64()), _empty(k, pa.int64()), pa.array(np.full(k, m, np.int32)),
+                    pa.array(grams.names[which].tolist(), pa.string()), pa.array(times, pa.int64()), _empty(k, pa.int64()), _empty(k, pa.int64()),
+                ]
+                if k:
+                    yield pa.RecordBatch.from_arrays(part, names=names_of)
+
+    names_of = [field.split()[0] for field in _SCAN.split(", ")]
+    found = given.select("doc_id", "text", "lang", "mark", "half").mapInArrow(rate, _SCAN)
+    others = bits.filter(~frequent).select("model", "gram", F.col("bits").alias("each"))
+    joined = found.join(others, ["model", "gram"], "left")
+    cost = F.col("n") * F.col("each")
+    sums = joined.groupBy("doc_id", "mark").agg(
+        *[F.max(c).alias(c) for c in ("lang", "half", "n_bytes")],
+        F.sum("rows").alias("rows"),
+        F.sum(F.coalesce("bits", F.when(F.col("model") == WHOLE, cost))).alias("bits"),
+        F.sum(F.coalesce("apart", F.when(F.col("model") != WHOLE, cost))).alias("apart"),
+    )
+    each = F.when(F.col("n_bytes") > 0, F.col("rows") * F.col("n_bytes") * F.lit(float(PARTS_OF_BIT)))
+    apart = F.when(F.col("half") >= 0, F.col("apart") / each).alias("apart")
+    return sums.select("doc_id", "mark", "lang", "half", "n_bytes", "rows", (F.col("bits") / each).alias("bits"), apart)
 
 
 def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -173,86 +305,80 @@ def few_rows(rows: Column, quantile: float) -> Column:
 
 
 def thresholds(scores: DataFrame, quantile: float) -> DataFrame:
-    """(lang, all, middle, limit): for each language, and for a null one over all, its rows and two steps of theirs.
+    """(lang, all, middle, limit, most): for each language, and for a null one over all, its rows and three steps of theirs.
 
-    ``middle`` is the least step that half of the rows do not exceed, ``limit`` the least that ``quantile`` of them do not.
-    From a histogram of (language, step), so no language's rows meet in one task.
+    ``middle`` is the least step that half of the rows do not exceed, ``limit`` the least that ``quantile`` of them do not,
+    ``most`` the largest. From (lang, bits, rows) through a histogram of (language, step). Steps are summed up in blocks
+    first, and only the steps of one block meet in a window.
     """
-    steps = scores.filter("bits IS NOT NULL").select("lang", _step(F.col("bits")).alias("step"))
-    counted = steps.filter("lang IS NOT NULL").groupBy("lang", "step").agg(F.count(F.lit(1)).alias("n"))
-    every = steps.groupBy(F.lit(None).cast("string").alias("lang"), "step").agg(F.count(F.lit(1)).alias("n"))
-    both = counted.unionByName(every)
-    upto = Window.partitionBy("lang").orderBy("step")
-    whole = Window.partitionBy("lang")
-    sums = both.select("lang", "step", F.sum("n").over(upto).alias("upto"), F.sum("n").over(whole).alias("all"))
+    steps = scores.filter("bits IS NOT NULL").select("lang", "rows", _step(F.col("bits")).alias("step"))
+    every = F.explode(F.when(F.col("lang").isNull(), F.array(F.lit(None))).otherwise(F.array("lang", F.lit(None))))
+    counted = steps.groupBy("lang", "step").agg(F.sum("rows").alias("n")).select(every.alias("lang"), "step", "n")
+    block = F.floor(F.col("step") / _STEPS).alias("block")
+    counted = materialize(counted.groupBy("lang", "step").agg(F.sum("n").alias("n")).select("*", block), "steps")
+    blocks = counted.groupBy("lang", "block").agg(F.sum("n").alias("m"))
+    upto = Window.partitionBy("lang").orderBy("block")
+    blocks = blocks.select(
+        "lang", "block", F.sum("m").over(Window.partitionBy("lang")).alias("all"), (F.sum("m").over(upto) - F.col("m")).alias("before")
+    )
+    within = Window.partitionBy("lang", "block").orderBy("step")
+    sums = counted.select("lang", "block", "step", F.sum("n").over(within).alias("inside"))
+    met = sums.alias("s").join(blocks.alias("b"), F.col("s.lang").eqNullSafe(F.col("b.lang")) & (F.col("s.block") == F.col("b.block")))
+    met = met.select("s.lang", "step", "all", (F.col("inside") + F.col("before")).alias("upto"))
 
     def reached(share: float) -> Column:
         return F.min(F.when(F.col("upto") >= F.col("all") * share, F.col("step")))
 
-    return sums.groupBy("lang").agg(
-        F.max("all").alias("all"), reached(0.5).alias("middle"), reached(quantile).alias("limit")
+    return met.groupBy("lang").agg(
+        F.max("all").alias("all"), reached(0.5).alias("middle"), reached(quantile).alias("limit"), F.max("step").alias("most")
     )
 
 
-def limits_of(trusted: DataFrame, scores: DataFrame, order: int, quantile: float) -> DataFrame:
-    """(lang, limit) from (doc_id, text, lang) rows of trusted documents and their scores; a null language is all of them.
+def limits_of(scores: DataFrame, quantile: float) -> DataFrame:
+    """(lang, limit) from the scores of the trusted documents; a null language is all of them.
 
-    A language with fewer than ``1 / (1 - quantile)`` documents takes its scores from models that did not see them: each half
-    of the trusted documents is scored by a model of the other. Its limit is the largest of the maximum of these, the limit
-    over all, and their median plus the distance from the median over all to that limit.
+    They are scored by models that did not see them. A language with fewer than ``1 / (1 - quantile)`` documents takes the
+    largest of the maximum of these, the limit over all, and their median plus the distance from the median over all to
+    that limit.
     """
-    found = materialize(thresholds(scores, quantile), "quantiles")
-    few = found.filter(few_rows(F.col("all"), quantile) & F.col("lang").isNotNull()).select("lang")
-    if few.isEmpty():
-        return found.select("lang", "limit")
+    apart = scores.filter("half >= 0").select("lang", F.col("apart").alias("bits"), "rows")
+    found = materialize(thresholds(apart, quantile), "quantiles")
     overall = found.filter("lang IS NULL").first()
-    halves = trusted.withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)))
-    apart = None
-    for half in (0, 1):
-        model = train(halves.filter(F.col("half") != half).select("doc_id", "text"), order)
-        mine = halves.filter(F.col("half") == half).join(few, "lang", "left_semi").select("doc_id", "text", "lang")
-        part = score(mine, model, ("lang",))
-        apart = part if apart is None else apart.unionByName(part)
-    spread = overall["limit"] - overall["middle"]
-    wider = F.greatest(F.col("limit"), F.lit(overall["limit"]), F.col("middle") + F.lit(spread))
-    unseen = thresholds(apart, 1.0).filter("lang IS NOT NULL").select("lang", wider.alias("limit"))
-    return found.join(few, "lang", "left_anti").select("lang", "limit").unionByName(unseen)
-
+    if overall is None:
+        return found.select("lang", "limit")
+    wider = F.greatest(F.col("most"), F.lit(overall["limit"]), F.col("middle") + F.lit(overall["limit"] - overall["middle"]))
+    few = few_rows(F.col("all"), quantile) & F.col("lang").isNotNull()
+    return found.select("lang", F.when(few, wider).otherwise(F.col("limit")).alias("limit"))
 
-class Judge(NamedTuple):
-    """A trained model with its limits, and the documents' scores from which the limits come."""
 
-    model: Model
-    limits: DataFrame
-    scores: DataFrame
+def _marked(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(doc_id, text, lang, mark): a row's mark tells it from others of its id."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    lang = F.col(lang_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), lang.alias("lang"), F.xxhash64(text, lang).alias("mark"))
+    return rows.filter("doc_id IS NOT NULL")
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, order: int, quantile: float
-) -> Judge:
-    """Trains on the documents that the labels trust, scores every document, and takes the limits from the trusted ones."""
-    given = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        F.col(lang_col).cast("string").alias("lang"),
-    ).filter("doc_id IS NOT NULL")
-    ids = materialize(trusted_ids(labels), "trusted")
-    good = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    trusted = given.join(good, "doc_id", "left_semi")
-    model = train(trusted.select("doc_id", "text"), order)
-    scores = materialize(score(given, model, ("lang",)), "scores")
-    limits = limits_of(trusted, scores.join(good, "doc_id", "left_semi"), order, quantile)
-    limits = materialize(limits, "limits")
-    return Judge(model, limits, scores)
-
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str, order: int, quantile: float, hot: int = HOT
+) -> DataFrame:
+    """(doc_id, mark, lang, n_bytes, rows, perplexity, limit, keep): the scores of all documents against their languages' limits.
 
-def judged(scores: DataFrame, limits: DataFrame) -> DataFrame:
-    """The scored rows with the limit of their language, or the one over all, and whether they keep within it."""
+    Trains on the documents that the labels trust, each half apart and both together, and takes the limits from them.
+    """
+    ids = materialize(trusted_ids(labels), "trusted").withColumn("half", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))
+    good = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    given = _marked(docs, id_col, text_col, lang_col).join(good, "doc_id", "left")
+    given = given.withColumn("half", F.coalesce("half", F.lit(-1)))
+    counts = materialize(gram_counts(given.select("doc_id", "text", "half"), order), "grams")
+    bits = materialize(gram_bits(counts, order), "bits")
+    scores = materialize(score(given, bits, order, hot), "scores")
+    limits = materialize(limits_of(scores, quantile), "limits")
     overall = limits.filter("lang IS NULL").first()
     own = limits.filter("lang IS NOT NULL").withColumnRenamed("limit", "own")
     limit = F.coalesce("own", F.lit(overall["limit"] if overall else None).cast("long"))
     return scores.join(own, "lang", "left").select(
-        *scores.columns,
+        *["doc_id", "mark", "lang", "n_bytes", "rows"],
         F.pow(F.lit(2.0), "bits").alias("perplexity"),
         F.pow(F.lit(2.0), limit / STEPS_PER_BIT).alias("limit"),
         F.coalesce(_step(F.col("bits")) <= limit, F.lit(True)).alias("keep"),
@@ -265,34 +391,34 @@ def classify_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    order: int = 4,
+    order: int = 5,
     quantile: float = 0.995,
+    hot: int = HOT,
 ) -> DataFrame:
     """(doc_id, lang, n_bytes, perplexity, limit, keep) of every document.
 
     The model is trained on the whole text of every document that ``labels`` (doc_id, quality, toxic) trust. A document
     is kept if its perplexity a byte is no more than what the ``quantile`` of the trusted documents of its language stay
-    within; a language without trusted documents, or none, takes the limit over all of them, and one with fewer than
-    ``1 / (1 - quantile)`` a limit no lower than that (:func:`limits_of`).
+    within, each scored by a model of the other half of them; a language without trusted documents, or none, takes the
+    limit over all of them, and one with fewer than ``1 / (1 - quantile)`` a limit no lower than that (:func:`limits_of`).
 
     An empty or null text has no perplexity and is kept, as are all documents if none is trusted. Rows without an id are
     left out; rows that repeat an id are judged each. Other columns are not read. An empty table gives an empty result.
     """
-    found = judge(docs, labels, id_col, text_col, lang_col, order, quantile)
-    return judged(found.scores, found.limits).drop("bits")
+    found = judge(docs, labels, id_col, text_col, lang_col, order, quantile, hot)
+    again = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    return again.select("doc_id", "lang", "n_bytes", "perplexity", "limit", "keep")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, order: int = 4, quantile: float = 0.995) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, order: int = 5, quantile: float = 0.995) -> DataFrame:
     """The rows of (doc_id, text, lang, ..) documents that :func:`classify_quality` keeps, with all their columns.
 
-    The model and the limits go to the documents, which are scored again where they lie rather than shuffled. Rows
-    without an id are left out.
+    They are joined with what goes, the minority. Rows without an id are left out.
     """
-    found = judge(docs, labels, "doc_id", "text", "lang", order, quantile)
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    gone = judge(docs, labels, "doc_id", "text", "lang", order, quantile).filter("NOT keep").select("doc_id", "mark")
+    gone = materialize(gone, "rejected")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    given = docs.filter("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), text.alias("scored"), F.struct("text", *rest).alias("row"), "lang"
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text, F.col("lang").cast("string")).alias("mark")
     )
-    kept = judged(score(given, found.model, ("row", "lang")), found.limits).filter("keep")
-    return kept.select("doc_id", "row.*").select(docs.columns)
+    return rows.filter("doc_id IS NOT NULL").join(gone, ["doc_id", "mark"], "left_anti").select("row.*")

@@ -1,19 +1,20 @@
+import math
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from quillgraph.llm.quality import SYMBOL_OF, SYMBOLS, classify_quality, keep_good, train, trusted_ids
+from quillgraph.llm.quality import classify_quality, gram_counts, keep_good, probabilities, train, trusted_ids
 
 from . import cases
 
 
 def kneser_ney(texts, order):
-    """Log2 of the interpolated modified Kneser-Ney probability, from dictionaries."""
+    """The interpolated modified Kneser-Ney probability of n-grams of characters, from dictionaries."""
     grams = Counter()
     for text in texts:
-        symbols = [27] * (order - 1) + [int(SYMBOL_OF[b]) for b in text.encode()]
-        grams.update(tuple(symbols[i : i + order]) for i in range(len(symbols) - order + 1))
+        padded = " " * (order - 1) + text.replace("\0", "\ufffd")
+        grams.update(padded[i : i + order] for i in range(len(text)))
     levels = {order: grams}
     for n in range(order - 1, 0, -1):
         levels[n] = Counter(g[1:] for g in levels[n + 1])
@@ -31,9 +32,9 @@ def kneser_ney(texts, order):
     def probability(gram):
         n = len(gram)
         if n == 0:
-            return 1 / SYMBOLS
+            return 1 / 0x110000
         counts, d, total, off = facts[n]
-        if not total[gram[:-1]]:
+        if not total.get(gram[:-1]):
             return probability(gram[1:])
         c = counts.get(gram, 0)
         return (c - d[min(c, 3)] + off[gram[:-1]] * probability(gram[1:])) / total[gram[:-1]]
@@ -41,6 +42,11 @@ def kneser_ney(texts, order):
     return probability
 
 
+def bits_a_byte(text, probability, order):
+    padded = " " * (order - 1) + text.replace("\0", "\ufffd")
+    return sum(-math.log2(max(1e-30, probability(padded[i : i + order]))) for i in range(len(text))) / len(text.encode())
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(i, t, lang, "s", 1, "x") for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long, bits string")
 
@@ -49,17 +55,46 @@ def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 
-@pytest.mark.parametrize("order", [2, 3])
-def test_model_equals_the_formula(spark, order):
-    texts = [t for t in list(cases.messy_texts().values())[10:40] if t]
-    model = train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), order)
-    expected = kneser_ney(texts, order)
-    draw = np.random.default_rng(0)
-    for code in draw.integers(0, SYMBOLS**order, 3000):
-        gram = tuple(int(code) // SYMBOLS ** (order - 1 - i) % SYMBOLS for i in range(order))
-        assert 2.0 ** float(model.log2[code]) == pytest.approx(expected(gram), rel=1e-4)
-    sums = (2.0 ** model.log2.astype(float)).reshape(-1, SYMBOLS).sum(axis=1)
-    assert np.allclose(sums, 1, atol=1e-4)
+@pytest.mark.parametrize(("order", "hot"), [(2, 1 << 20), (3, 1), (5, 200)])
+def test_scores_limits_and_decisions_equal_brute_force(spark, order, hot):
+    """Perplexities by the formula, limits from the other half's model, whatever n-grams are broadcast."""
+    texts = [t for t in list(cases.messy_texts().values())[10:60] if t]
+    texts += ["Съешь ещё этих мягких булок", "他们在河边散步，然后回家。", "a\0b", "\U0001f600 smile", "x" * 5000]
+    rows = [(i, t, "en" if i % 3 else "de") for i, t in enumerate(texts)]
+    good = {i for i in range(len(rows)) if i % 4}
+    half = {r["id"]: r["h"] for r in spark.range(len(rows)).selectExpr("id", "pmod(xxhash64(id), 2) h").collect()}
+    whole = kneser_ney([texts[i] for i in good], order)
+    other = [kneser_ney([texts[i] for i in good if half[i] != h], order) for h in (0, 1)]
+    found = classify_quality(frame(spark, rows), labels(spark, [(i, 1, 0) for i in good]), order=order, quantile=0.8, hot=hot)
+    found = {r["doc_id"]: r for r in found.collect()}
+    limit = {}
+    for lang in ("en", "de"):
+        steps = sorted(math.ceil(1e4 * bits_a_byte(texts[i], other[half[i]], order)) for i in good if rows[i][2] == lang)
+        limit[lang] = next(s for k, s in enumerate(steps, 1) if k >= 0.8 * len(steps))
+    assert len(found) == len(rows)
+    for i, text, lang in rows:
+        bits = bits_a_byte(text, whole, order)
+        assert math.log2(found[i]["perplexity"]) == pytest.approx(bits, abs=1e-5)
+        assert math.log2(found[i]["limit"]) == pytest.approx(limit[lang] / 1e4, abs=2e-4)
+        if abs(bits - limit[lang] / 1e4) > 1e-3:
+            assert found[i]["keep"] == (bits < limit[lang] / 1e4)
+
+
+def test_probabilities_of_a_context_sum_to_one(spark):
+    text = "abracadabra banana cabana"
+    counts = Counter((" " * 2 + text)[i : i + 3] for i in range(len(text)))
+    rows = spark.createDataFrame([(2, g, n) for g, n in counts.items()], "model int, gram string, n long")
+    letters = sorted(set(text))
+    needed = spark.createDataFrame([(2, "ab" + c) for c in [*letters, "?"]], "model int, gram string")
+    found = {r["gram"][-1]: r["p"] for r in probabilities(train(rows, 3), needed).collect()}
+    unseen = found.pop("?") * (0x110000 - len(letters))
+    assert sum(found.values()) + unseen == pytest.approx(1, abs=1e-9)
+
+
+def test_counts_tell_all_characters_apart(spark):
+    docs = spark.createDataFrame([(1, "Aa1的地", 0), (2, None, 0), (3, "Aa1的地", -1)], "doc_id long, text string, half int").fillna("")
+    found = {(r["half"], r["gram"]): r["n"] for r in gram_counts(docs, 2).collect()}
+    assert found == {(h, g): 1 for h in (0, -1) for g in (" A", "Aa", "a1", "1的", "的地")}
 
 
 def test_junk_goes_and_prose_stays(spark):
