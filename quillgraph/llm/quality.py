@@ -24,9 +24,8 @@ STEPS_PER_BIT = 10_000
 _STEPS = 256
 #: Trusted ids up to this number are broadcast to the scan; more are joined by a shuffle, with the same result.
 BROADCAST_IDS = 4_000_000
-#: An n-gram that makes up more than one in so many of all that are looked up is broadcast; so there are fewer of them
-#: than this. The others are joined.
-HOT = 1 << 20
+#: Up to so many n-grams, those looked up most often, are broadcast. The others are joined.
+HOT = 1 << 19
 #: Below all orders, every code point is equally likely.
 UNIFORM = 1.0 / 0x110000
 #: No probability counts as less: where so little is trusted that nothing is discounted, an unseen n-gram has none left.
@@ -35,9 +34,11 @@ LEAST = 1e-30
 PARTS_OF_BIT = 1 << 20
 #: The model of all trusted documents. Models 0 and 1 are trained without the half of that number.
 WHOLE = 2
-_BLOCK = 4 << 20
-_HELD = 1 << 19
+_BLOCK = 1 << 20
+_HELD = 1 << 18
 _PAD = 32
+#: What a scan sends: of each row its sums, under a key that no n-gram has, and its n-grams that are not broadcast.
+_SCAN = "doc_id long, mark long, lang string, half int, n_bytes long, rows long, gram string, n long, bits long, apart long"
 
 
 class Model(NamedTuple):
@@ -187,10 +188,10 @@ def _by_model(counts: DataFrame, models: Column) -> DataFrame:
 
 
 def gram_bits(counts: DataFrame, order: int) -> DataFrame:
-    """(model, gram, n, bits) of every n-gram of (half, gram, n) counts; half -1 is of documents that are not trusted.
+    """(gram, n, bits0, bits1, bits2) of every n-gram of (half, gram, n) counts; half -1 is of documents that are not trusted.
 
-    Each half is looked up in the model trained without it, and all documents in the model of both. ``n`` is the number
-    of look-ups; ``bits`` is in ``PARTS_OF_BIT``.
+    Each half is looked up in the model trained without it, and all documents in the model of both; a null means that a
+    model is not asked. ``n`` is how often the n-gram occurs; bits are in ``PARTS_OF_BIT``.
     """
     half = F.col("half")
     trusted = counts.filter("half >= 0")
@@ -198,27 +199,22 @@ def gram_bits(counts: DataFrame, order: int) -> DataFrame:
     both = F.when(half >= 0, F.array(F.lit(WHOLE), half)).otherwise(F.array(F.lit(WHOLE)))
     needed = materialize(_by_model(counts, both), "needed")
     found = probabilities(train(training, order), needed)
-    bits = F.round(-F.log2(F.greatest("p", F.lit(LEAST))) * PARTS_OF_BIT).cast("long").alias("bits")
-    return needed.join(found, ["model", "gram"]).select("model", "gram", "n", bits)
-
-
-class _Look:
-    """Bits of the broadcast n-grams of one model, by name."""
-
-    def __init__(self, names: np.ndarray, bits: np.ndarray) -> None:
-        self.index, self.bits = pd.Index(names, dtype=object), np.append(bits, 0)
-
-    def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bits, whether it is none of them) for each name."""
-        at = self.index.get_indexer(names) if len(self.index) else np.full(len(names), -1)
-        return self.bits[at], at < 0
-
-
-_SCAN = "doc_id long, mark long, lang string, half int, n_bytes long, rows long, model int, gram string, n long, bits long, apart long"
-
-
-def _empty(count: int, kind: pa.DataType) -> pa.Array:
-    return pa.nulls(count, kind)
+    bits = F.round(-F.log2(F.greatest("p", F.lit(LEAST))) * PARTS_OF_BIT).cast("long")
+    rows = needed.join(found, ["model", "gram"]).withColumn("bits", bits).groupBy("gram")
+    every = F.max(F.when(F.col("model") == WHOLE, F.col("n"))).alias("n")
+    return rows.agg(every, *[F.max(F.when(F.col("model") == m, F.col("bits"))).alias(f"bits{m}") for m in range(3)])
+
+
+def least_frequent(bits: DataFrame, hot: int) -> int | None:
+    """The least ``n`` of the most frequent n-grams, of which there are at most ``hot``; null for none. From classes of ``n``."""
+    classes = bits.groupBy(F.floor(F.log2("n") * 16).alias("class")).agg(F.count(F.lit(1)).alias("grams"), F.min("n").alias("least"))
+    out, held = None, 0
+    for row in sorted(classes.collect(), reverse=True):  # at most 64 * 16
+        held += row["grams"]
+        if held > hot:
+            break
+        out = row["least"]
+    return out
 
 
 def score(given: DataFrame, bits: DataFrame, order: int, hot: int = HOT) -> DataFrame:
@@ -227,61 +223,46 @@ def score(given: DataFrame, bits: DataFrame, order: int, hot: int = HOT) -> Data
     ``rows`` is how many rows there are of it, ``bits`` the mean bits a byte by the whole model and ``apart`` by the one that
     was trained without the document's half; null for an empty text, or without a half.
 
-    The scan adds up n-grams that are more than one in ``hot`` of all look-ups, of which there are fewer than ``hot``;
-    they are broadcast. Of the others a document sends each once, with its count, to be joined; none of these is
-    frequent. Sums are of whole numbers, so the result does not depend on ``hot``.
+    The scan adds up the n-grams that occur most often, at most ``hot``, which are broadcast. Of the others a document sends
+    each once, with its count, to be joined; none of these is frequent. Sums are of whole numbers, so the result does not
+    depend on ``hot``.
     """
     spark = given.sparkSession
-    total = bits.agg(F.sum("n")).first()[0] or 0
-    frequent = F.col("n") * F.lit(hot) > F.lit(total)
-    common = bits.filter(frequent).select("model", "gram", "bits").toPandas()
-    tables = {m: (common["gram"][own].to_numpy(object), common["bits"][own].to_numpy(np.int64)) for m in range(3) for own in [common["model"] == m]}
-    shared = spark.sparkContext.broadcast(tables)
+    least = least_frequent(bits, hot)
+    frequent = F.lit(False) if least is None else F.col("n") >= least
+    common = bits.filter(frequent).select("gram", *[F.coalesce(f"bits{m}", F.lit(0)).alias(f"bits{m}") for m in range(3)]).toPandas()
+    table = np.vstack([common[[f"bits{m}" for m in range(3)]].to_numpy(np.int32).reshape(-1, 3), np.zeros((1, 3), np.int32)])
+    shared = spark.sparkContext.broadcast((common["gram"].to_numpy(object), table))
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        looks = {m: _Look(*table) for m, table in shared.value.items()}
+        index, cost = pd.Index(shared.value[0], dtype=object), shared.value[1]
         for group in texts(batches, _BLOCK):
             grams, halves = grams_of(group, order), _halves(group)
-            column = {c: group.batch.column(group.batch.schema.get_field_index(c)) for c in ("lang", "mark", "half")}
-            marks, count = column["mark"].to_numpy(zero_copy_only=False), len(group.ids)
-            sums, rare = {}, []
-            for m, look in looks.items():
-                own = np.full(len(grams.doc), True) if m == WHOLE else halves[grams.doc] == m
-                which, doc = grams.which[own], grams.doc[own]
-                names = np.unique(which)
-                cost, lacking = np.zeros(len(grams.names), np.int64), np.zeros(len(grams.names), bool)
-                cost[names], lacking[names] = look.find(grams.names[names])
-                sums[m] = np.bincount(doc, weights=cost[which], minlength=count).astype(np.int64)
-                sent = lacking[which]
-                pairs, times = np.unique(doc[sent] * max(1, len(grams.names)) + which[sent], return_counts=True)
-                rare.append((m, pairs // max(1, len(grams.names)), pairs % max(1, len(grams.names)), times))
+            lang, mark, half = (group.batch.column(group.batch.schema.get_field_index(c)) for c in ("lang", "mark", "half"))
+            at, count, kinds = index.get_indexer(grams.names), len(group.ids), max(1, len(grams.names))
+            sums = [np.bincount(grams.doc, weights=cost[at, m][grams.which], minlength=count).astype(np.int64) for m in range(3)]
             apart = np.where(halves == 0, sums[0], np.where(halves == 1, sums[1], 0))
-            whole = [
-                pa.array(group.ids, pa.int64()), column["mark"], column["lang"], column["half"], pa.array(np.diff(group.bounds)),
-                pa.array(np.ones(count, np.int64)), pa.array(np.full(count, -1, np.int32)),
-                pa.array([f"{mark:x}" for mark in marks.tolist()]), _empty(count, pa.int64()), pa.array(sums[WHOLE]), pa.array(apart),
-            ]
-            yield pa.RecordBatch.from_arrays(whole, names=names_of)
-            for m, doc, which, times in rare:
-                k = len(doc)
-                part = [
-                    pa.array(group.ids[doc], pa.int64()), pa.array(marks[doc], pa.int64()), _empty(k, pa.string()), _empty(k, pa.int32()),
-                    _empty(k, pa.int64()), _empty(k, pa.int64()), pa.array(np.full(k, m, np.int32)),
-                    pa.array(grams.names[which].tolist(), pa.string()), pa.array(times, pa.int64()), _empty(k, pa.int64()), _empty(k, pa.int64()),
-                ]
-                if k:
-                    yield pa.RecordBatch.from_arrays(part, names=names_of)
-
-    names_of = [field.split()[0] for field in _SCAN.split(", ")]
+            salt = pa.array([f"{m:x}" for m in mark.to_pylist()], pa.string())
+            ones, none = pa.array(np.ones(count, np.int64)), pa.nulls(count, pa.int64())
+            whole = [group.batch.column(0), mark, lang, half, pa.array(np.diff(group.bounds)), ones, salt, none, pa.array(sums[WHOLE]), pa.array(apart)]
+            yield pa.RecordBatch.from_arrays(whole, names=fields)
+            sent = np.flatnonzero((at < 0)[grams.which])
+            if len(sent):
+                pairs, times = np.unique(grams.doc[sent] * kinds + grams.which[sent], return_counts=True)
+                own, named, none = pa.array(pairs // kinds), pa.array(grams.names[pairs % kinds].tolist()), pa.nulls(len(pairs), pa.int64())
+                part = [group.batch.column(0).take(own), mark.take(own), pa.nulls(len(pairs), pa.string()), half.take(own)]
+                yield pa.RecordBatch.from_arrays([*part, none, none, named, pa.array(times), none, none], names=fields)
+
+    fields = [field.split()[0] for field in _SCAN.split(", ")]
     found = given.select("doc_id", "text", "lang", "mark", "half").mapInArrow(rate, _SCAN)
-    others = bits.filter(~frequent).select("model", "gram", F.col("bits").alias("each"))
-    joined = found.join(others, ["model", "gram"], "left")
-    cost = F.col("n") * F.col("each")
+    others = bits.filter(~frequent).select("gram", *[f"bits{m}" for m in range(3)])
+    joined = found.join(others, "gram", "left")
+    own = F.when(F.col("half") == 0, F.col("bits0")).when(F.col("half") == 1, F.col("bits1"))
     sums = joined.groupBy("doc_id", "mark").agg(
         *[F.max(c).alias(c) for c in ("lang", "half", "n_bytes")],
         F.sum("rows").alias("rows"),
-        F.sum(F.coalesce("bits", F.when(F.col("model") == WHOLE, cost))).alias("bits"),
-        F.sum(F.coalesce("apart", F.when(F.col("model") != WHOLE, cost))).alias("apart"),
+        F.sum(F.coalesce("bits", F.col("n") * F.col("bits2"))).alias("bits"),
+        F.sum(F.coalesce("apart", F.col("n") * own)).alias("apart"),
     )
     each = F.when(F.col("n_bytes") > 0, F.col("rows") * F.col("n_bytes") * F.lit(float(PARTS_OF_BIT)))
     apart = F.when(F.col("half") >= 0, F.col("apart") / each).alias("apart")
