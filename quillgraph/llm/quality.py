@@ -35,7 +35,7 @@ PARTS_OF_BIT = 1 << 20
 #: The model of all trusted documents. Models 0 and 1 are trained without the half of that number.
 WHOLE = 2
 _BLOCK = 1 << 20
-_HELD = 1 << 18
+_HELD = 1 << 19
 _PAD = 32
 #: What a scan sends: of each row its sums, under a key that no n-gram has, and its n-grams that are not broadcast.
 _SCAN = "doc_id long, mark long, lang string, half int, n_bytes long, rows long, gram string, n long, bits long, apart long"
@@ -94,31 +94,38 @@ def _halves(group: Texts) -> np.ndarray:
     return group.batch.column(group.batch.schema.get_field_index("half")).to_numpy(zero_copy_only=False)
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Names and counts of several groups as one, every name once."""
+    at, names = pd.factorize(np.concatenate([names for names, _ in parts]))
+    times = np.concatenate([times for _, times in parts])
+    return names, np.stack([np.bincount(at, weights=times[:, k], minlength=len(names)) for k in range(3)], axis=1).astype(np.int64)
+
+
 def gram_counts(given: DataFrame, order: int) -> DataFrame:
-    """(half, gram, n): how often each n-gram occurs in the texts of (doc_id, text, half, ..) rows, counted in each task first."""
+    """(gram, half0, half1, other): how often each n-gram occurs in the texts of (doc_id, text, half, ..) rows.
 
-    def sent(held: dict[int, dict[str, int]]) -> Iterator[pa.RecordBatch]:
-        for half, counts in held.items():
-            columns = [pa.array([half] * len(counts), pa.int32()), pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())]
-            if counts:
-                yield pa.RecordBatch.from_arrays(columns, names=["half", "gram", "n"])
-            counts.clear()
+    Apart for the documents of each half of the trusted ones and for all others, whose half is -1. Counted in each task first.
+    """
+    fields = ["gram", "half0", "half1", "other"]
+
+    def sent(names: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *map(pa.array, times.T)], names=fields)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[str, int]] = {}
+        parts = []
         for group in texts(batches, _BLOCK):
-            grams, halves = grams_of(group, order), _halves(group)
-            for half in np.unique(halves).tolist():
-                counts, own = held.setdefault(half, {}), grams.which[halves[grams.doc] == half]
-                times = np.bincount(own, minlength=len(grams.names))
-                for at in np.flatnonzero(times).tolist():
-                    name = grams.names[at]
-                    counts[name] = counts.get(name, 0) + int(times[at])
-            if sum(map(len, held.values())) > _HELD:
-                yield from sent(held)
-        yield from sent(held)
+            grams, kind = grams_of(group, order), _halves(group) % 3
+            times = np.bincount(grams.which * 3 + kind[grams.doc], minlength=3 * len(grams.names))
+            parts.append((grams.names, times.reshape(-1, 3)))
+            if sum(len(names) for names, _ in parts) > _HELD:
+                parts = [_summed(parts)]
+                if len(parts[0][0]) > _HELD // 2:
+                    yield sent(*parts.pop())
+        if parts:
+            yield sent(*_summed(parts))
 
-    return given.mapInArrow(count, "half int, gram string, n long").groupBy("half", "gram").agg(F.sum("n").alias("n"))
+    found = given.mapInArrow(count, "gram string, half0 long, half1 long, other long")
+    return found.groupBy("gram").agg(*[F.sum(c).alias(c) for c in fields[1:]])
 
 
 def discounts(counts: DataFrame) -> dict[int, list[float]]:
@@ -182,22 +189,21 @@ def probabilities(model: Model, needed: DataFrame) -> DataFrame:
     return lower
 
 
-def _by_model(counts: DataFrame, models: Column) -> DataFrame:
-    rows = counts.select(F.explode(models).alias("model"), "gram", "n")
-    return rows.groupBy("model", "gram").agg(F.sum("n").alias("n"))
+def _by_model(counts: DataFrame, *n: Column) -> DataFrame:
+    """(model, gram, n) of the n-grams of (gram, ..) rows for models 0, 1 and 2, where ``n`` is not 0."""
+    rows = [F.struct(F.lit(m).alias("model"), times.alias("n")) for m, times in enumerate(n)]
+    return counts.select("gram", F.explode(F.array(*rows)).alias("r")).select("r.model", "gram", "r.n").filter("n > 0")
 
 
 def gram_bits(counts: DataFrame, order: int) -> DataFrame:
-    """(gram, n, bits0, bits1, bits2) of every n-gram of (half, gram, n) counts; half -1 is of documents that are not trusted.
+    """(gram, n, bits0, bits1, bits2) of every n-gram of (gram, half0, half1, other) counts.
 
     Each half is looked up in the model trained without it, and all documents in the model of both; a null means that a
     model is not asked. ``n`` is how often the n-gram occurs; bits are in ``PARTS_OF_BIT``.
     """
-    half = F.col("half")
-    trusted = counts.filter("half >= 0")
-    training = materialize(_by_model(trusted, F.array(F.lit(WHOLE), 1 - half)), "training")
-    both = F.when(half >= 0, F.array(F.lit(WHOLE), half)).otherwise(F.array(F.lit(WHOLE)))
-    needed = materialize(_by_model(counts, both), "needed")
+    one, two = F.col("half0"), F.col("half1")
+    training = materialize(_by_model(counts, two, one, one + two), "training")
+    needed = materialize(_by_model(counts, one, two, one + two + F.col("other")), "needed")
     found = probabilities(train(training, order), needed)
     bits = F.round(-F.log2(F.greatest("p", F.lit(LEAST))) * PARTS_OF_BIT).cast("long")
     rows = needed.join(found, ["model", "gram"]).withColumn("bits", bits).groupBy("gram")
@@ -230,12 +236,14 @@ def score(given: DataFrame, bits: DataFrame, order: int, hot: int = HOT) -> Data
     spark = given.sparkSession
     least = least_frequent(bits, hot)
     frequent = F.lit(False) if least is None else F.col("n") >= least
-    common = bits.filter(frequent).select("gram", *[F.coalesce(f"bits{m}", F.lit(0)).alias(f"bits{m}") for m in range(3)]).toPandas()
-    table = np.vstack([common[[f"bits{m}" for m in range(3)]].to_numpy(np.int32).reshape(-1, 3), np.zeros((1, 3), np.int32)])
-    shared = spark.sparkContext.broadcast((common["gram"].to_numpy(object), table))
+    common = bits.filter(frequent).select("gram", *[F.coalesce(f"bits{m}", F.lit(0)).cast("int").alias(f"bits{m}") for m in range(3)]).toArrow()
+    shared = spark.sparkContext.broadcast(common)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, cost = pd.Index(shared.value[0], dtype=object), shared.value[1]
+        index = pd.Index(shared.value.column("gram").to_numpy(), dtype=object)
+        cost = np.zeros((len(index) + 1, 3), np.int32)
+        for m in range(3):
+            cost[:-1, m] = shared.value.column(f"bits{m}").to_numpy()
         for group in texts(batches, _BLOCK):
             grams, halves = grams_of(group, order), _halves(group)
             lang, mark, half = (group.batch.column(group.batch.schema.get_field_index(c)) for c in ("lang", "mark", "half"))
@@ -372,7 +380,7 @@ def classify_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    order: int = 5,
+    order: int = 4,
     quantile: float = 0.995,
     hot: int = HOT,
 ) -> DataFrame:
@@ -391,7 +399,7 @@ def classify_quality(
     return again.select("doc_id", "lang", "n_bytes", "perplexity", "limit", "keep")
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, order: int = 5, quantile: float = 0.995) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, order: int = 4, quantile: float = 0.995) -> DataFrame:
     """The rows of (doc_id, text, lang, ..) documents that :func:`classify_quality` keeps, with all their columns.
 
     They are joined with what goes, the minority. Rows without an id are left out.

@@ -93,8 +93,8 @@ def test_probabilities_of_a_context_sum_to_one(spark):
 
 def test_counts_tell_all_characters_apart(spark):
     docs = spark.createDataFrame([(1, "Aa1的地", 0), (2, None, 0), (3, "Aa1的地", -1)], "doc_id long, text string, half int").fillna("")
-    found = {(r["half"], r["gram"]): r["n"] for r in gram_counts(docs, 2).collect()}
-    assert found == {(h, g): 1 for h in (0, -1) for g in (" A", "Aa", "a1", "1的", "的地")}
+    found = {r["gram"]: (r["half0"], r["half1"], r["other"]) for r in gram_counts(docs, 2).collect()}
+    assert found == {g: (1, 0, 1) for g in (" A", "Aa", "a1", "1的", "的地")}
 
 
 def test_junk_goes_and_prose_stays(spark):
