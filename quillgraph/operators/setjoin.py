@@ -7,6 +7,11 @@ follow from the links.
 
 from __future__ import annotations
 
+import itertools
+import math
+from functools import reduce
+
+import numpy as np
 from pyspark.ml.feature import HashingTF, MinHashLSH
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -16,6 +21,10 @@ from ..functions.similarity import set_jaccard
 from ..session import materialize
 
 _MARGIN = 1e-9
+#: Keys of a set of few tokens, for partners of one size.
+_KEYS = 16
+#: Counters by which tokens are ordered.
+_SLOTS = 1 << 20
 
 
 def distinct_sets(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -41,12 +50,12 @@ def copy_links(df: DataFrame, id_col: str, tokens_col: str, sets: DataFrame | No
 
 
 def _by_rarity(sets: DataFrame) -> DataFrame:
-    """(id, n, ranked): the tokens of every set, the rarest over all sets first."""
-    rows = sets.select("id", "n", F.explode("tokens").alias("token"))
+    """``sets`` with ``ranked``: the tokens of every set, the rarest over all sets first."""
+    rows = sets.select("*", F.explode("tokens").alias("token"))
     frequency = materialize(rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "token-counts")
     ordered = F.array_sort(F.collect_list(F.struct("df", "token")))
-    ranked = rows.join(frequency, "token").groupBy("id", "n").agg(ordered.alias("by_rarity"))
-    return ranked.select("id", "n", F.col("by_rarity.token").alias("ranked"))
+    ranked = rows.join(frequency, "token").groupBy(*sets.columns).agg(ordered.alias("by_rarity"))
+    return ranked.select(*sets.columns, F.col("by_rarity.token").alias("ranked"))
 
 
 def _similar_size(similarity: float) -> Column:
@@ -58,79 +67,151 @@ def _needed_overlap(similarity: float, na: Column, nb: Column) -> Column:
     return F.greatest(F.ceil(F.lit(similarity / (1.0 + similarity)) * (na + nb)), F.lit(1))
 
 
-def _single_keys(ranked: DataFrame, similarity: float) -> DataFrame:
-    """(key, last, id, n): the tokens among which a set must share one with any similar set; ``last`` is the position."""
-    length = F.greatest(F.col("n") - F.greatest(F.ceil(F.lit(similarity) * F.col("n")), F.lit(1)) + 1, F.lit(1))
-    prefix = F.slice("ranked", F.lit(1), length.cast("int"))
-    return ranked.select("id", "n", F.posexplode(prefix).alias("last", "key")).withColumn("last", F.col("last") + 1)
+def _key_size(similarity: float, n: int, m: int) -> tuple[int, int]:
+    """(tokens in a key, tokens needed) for sets of ``n`` and ``m`` tokens.
+
+    Keys are as long as the number of them that the larger set has allows; the more tokens, the fewer sets meet in vain.
+    """
+    needed = max(math.ceil(similarity / (1.0 + similarity) * (n + m)), 1)
+    longest = [k for k in range(1, min(needed, n, m) + 1) if math.comb(max(n, m) - needed + k, k) <= _KEYS]
+    return (longest[-1] if longest else 1), needed
 
 
-def _double_keys(ranked: DataFrame, similarity: float, sizes: list[int]) -> DataFrame:
-    """(key, last, id, n): the pairs of tokens among which a set must share one with any similar set.
+def _short_pairs(light: DataFrame, similarity: float, max_distance: float, sizes: list[int], carry: list[str]) -> DataFrame:
+    """(id_a, id_b, jaccard_dist) and what is carried of both, over sets of few tokens, whose numbers are ``sizes``.
 
-    Keys also hold the sizes of both sets, so that each is met with no more tokens than a partner of that size calls for.
+    Sets that must share t tokens share the first k of those that they share, and have them among the first n - t + k of each.
+    A pair is kept at the key of just these tokens, so it comes once, and with both sets at hand.
     """
-    partner = F.explode(F.filter(F.array(*map(F.lit, sizes)), lambda m: F.least("n", m) >= similarity * F.greatest("n", m)))
-    facing = ranked.select("id", "n", "ranked", partner.alias("m"))
-    needed = _needed_overlap(similarity, F.col("n"), F.col("m"))
-    prefix = F.slice("ranked", F.lit(1), F.least(F.col("n") - needed + 2, F.col("n")).cast("int"))
-    first = facing.filter(needed >= 2).select("id", "n", "m", prefix.alias("p"))
-    first = first.select("id", "n", "m", "p", F.posexplode("p").alias("i", "x"))
-    second = first.select("*", F.explode(F.sequence(F.lit(0), F.size("p") - 1)).alias("j")).filter("j > i")
-    ends = F.least("n", "m"), F.greatest("n", "m")
-    key = F.concat_ws("\n", *[c.cast("string") for c in ends], "x", F.get("p", F.col("j")))
-    return second.select("id", "n", key.alias("key"), (F.col("j") + 1).alias("last"))
-
-
-def _meeting(keys: DataFrame, similarity: float, shared: int, longer_than: int = 0) -> DataFrame:
-    """(id_a, id_b): sets with a common key, of fitting sizes, early enough in both to reach the needed overlap.
-
-    One of the two at least must have more than ``longer_than`` tokens.
+    choices = []
+    for n, m in itertools.product(sizes, sizes):
+        k, needed = _key_size(similarity, n, m)
+        if min(n, m) >= max(similarity * max(n, m), needed):
+            choices.append((n, m, [list(c) for c in itertools.combinations(range(n - needed + k), k)]))
+    chosen = light.sparkSession.createDataFrame(choices, "n int, m int, places array<array<int>>")
+    keyed = light.join(F.broadcast(chosen), "n").withColumn("places", F.explode("places"))
+    keys = keyed.withColumn("key", F.transform("places", lambda i: F.get("ranked", i))).withColumn(
+        "ends", F.least("n", "m") * 1000 + F.greatest("n", "m")
+    )
+    a, b = (
+        keys.select("key", "ends", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "m", "ranked", *carry)]) for side in "ab"
+    )
+    shared = F.array_intersect("ranked_a", "ranked_b")
+    distance = 1.0 - F.size(shared) / (F.col("n_a") + F.col("n_b") - F.size(shared))
+    met = a.join(b, ["key", "ends"]).filter("id_a < id_b AND n_a = m_b AND n_b = m_a")
+    first = met.filter(F.slice(shared, F.lit(1), F.size("key")) == F.col("key")).withColumn("jaccard_dist", distance)
+    return first.filter(F.col("jaccard_dist") < max_distance).select("id_a", "id_b", "jaccard_dist", *_both(carry))
+
+
+def _both(carry: list[str]) -> list[str]:
+    return [f"{c}_{side}" for side in "ab" for c in carry]
+
+
+def _no_pairs(sets: DataFrame, carry: list[str]) -> DataFrame:
+    sides = [F.col(c).alias(f"{c}_{side}") for side in "ab" for c in carry]
+    return sets.limit(0).select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), F.lit(0.0).alias("jaccard_dist"), *sides)
+
+
+def _prefix_length(similarity: float, n: Column) -> Column:
+    return F.greatest(n - F.greatest(F.ceil(F.lit(similarity) * n), F.lit(1)) + 1, F.lit(1))
+
+
+def _prefix_keys(sets: DataFrame, similarity: float) -> DataFrame:
+    """(key, last, id, n): the tokens, as hashes, among which a set must share one with any similar set; ``last`` is the position.
+
+    Tokens are ordered by how many of all tokens have the same residue of their hash, then by hash. Any one order of all tokens
+    makes the join exact, and this one needs a table of fixed size, which goes to every task, in place of shuffles of all tokens.
+    Tokens with equal hashes stand side by side and only bring more candidates.
     """
-    a = keys.select("key", F.col("id").alias("id_a"), F.col("n").alias("na"), F.col("last").alias("pa"))
-    b = keys.select("key", F.col("id").alias("id_b"), F.col("n").alias("nb"), F.col("last").alias("pb"))
-    needed = _needed_overlap(similarity, F.col("na"), F.col("nb"))
-    reachable = shared + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= needed
-    long_enough = F.greatest("na", "nb") > longer_than
-    fits = (F.col("id_a") < F.col("id_b")) & _similar_size(similarity) & (needed >= shared) & reachable & long_enough
-    return a.join(b, "key").filter(fits).select("id_a", "id_b")
+    hashed = sets.select("id", "n", F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"))
+    slot = F.col("hash").bitwiseAND(F.lit(_SLOTS - 1)).alias("slot")
+    counted = hashed.select(F.explode("hashes").alias("hash")).groupBy(slot).agg(F.count(F.lit(1)).alias("df")).toArrow()
+    weights = np.zeros(_SLOTS, np.int64)
+    weights[counted["slot"].to_numpy()] = counted["df"].to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(weights)
+    return hashed.withColumn("length", _prefix_length(similarity, F.col("n")).cast("int")).mapInArrow(
+        _ranked_prefixes(shared), f"id {sets.schema['id'].dataType.simpleString()}, n int, key bigint, last int"
+    )
+
+
+def _ranked_prefixes(shared):
+    # Nested functions travel to the workers by value, so these need no copy of this package.
+    import numpy as np
+    import pyarrow as pa
 
+    def ranked(batches):
+        weights = shared.value
+        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
+            hashes = batch.column("hashes")
+            flat = hashes.flatten().to_numpy(zero_copy_only=False)
+            sizes = hashes.value_lengths().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            flat = flat[np.lexsort((flat, weights[flat & (len(weights) - 1)], row))]
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = place < batch.column("length").to_numpy()[row]
+            at = pa.array(row[kept])
+            columns = batch.column("id").take(at), batch.column("n").take(at), pa.array(flat[kept]), pa.array((place[kept] + 1).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(list(columns), ["id", "n", "key", "last"])
 
-def _verify(pairs: DataFrame, sets: DataFrame, max_distance: float) -> DataFrame:
-    """Attach both token sets to candidate pairs and keep those below the distance."""
-    left = sets.select(F.col("id").alias("id_a"), F.col("tokens").alias("tokens_a"))
-    right = sets.select(F.col("id").alias("id_b"), F.col("tokens").alias("tokens_b"))
+    return ranked
+
+
+def _meeting(keys: DataFrame, similarity: float, longer_than: int) -> DataFrame:
+    """(id_a, id_b, na, nb): sets of fitting sizes that share as many of their first tokens as similar ones do.
+
+    One of the two at least must have more than ``longer_than`` tokens. Of two sets, that whose prefix ends first by the order of
+    tokens shares no other tokens of its prefix than those counted here; so what it shares besides is behind the prefix.
+    """
+    a = keys.select("key", F.col("id").alias("id_a"), F.col("n").alias("na"), F.col("last").alias("pa"))
+    b = keys.select("key", F.col("id").alias("id_b"), F.col("n").alias("nb"), F.col("last").alias("pb"))
+    na, nb, pa, pb = map(F.col, ("na", "nb", "pa", "pb"))
+    needed = _needed_overlap(similarity, na, nb)
+    reachable = F.least(na - pa, nb - pb) + F.least(pa, pb) >= needed
+    fits = (F.col("id_a") < F.col("id_b")) & _similar_size(similarity) & reachable & (F.greatest("na", "nb") > longer_than)
+    counted = a.join(b, "key").filter(fits).groupBy("id_a", "id_b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
+    behind = F.greatest(na - _prefix_length(similarity, na), nb - _prefix_length(similarity, nb))
+    return counted.filter(F.col("c") + behind >= needed).drop("c")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, max_distance: float, carry: list[str] | None = None) -> DataFrame:
+    """Attach both token sets to candidate pairs (id_a, id_b, na, nb) and keep those below the distance."""
+    pairs, carry = materialize(pairs, "candidates"), carry or []
+    named = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    sets = materialize(sets.join(named, "id", "left_semi").select("id", "n", "tokens", *carry), "candidate-sets")
+    left, right = (
+        sets.select(F.col("n").alias(f"n{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ("id", "tokens", *carry)]) for side in "ab"
+    )
     measured = (
-        pairs.join(left, "id_a")
-        .join(right, "id_b")
+        pairs.join(left, ["id_a", "na"])
+        .join(right, ["id_b", "nb"])
         .withColumn("jaccard_dist", 1.0 - set_jaccard(F.col("tokens_a"), F.col("tokens_b")))
     )
     return measured.filter(F.col("jaccard_dist") < max_distance).drop("tokens_a", "tokens_b")
 
 
-def similar_sets(sets: DataFrame, max_distance: float, short: int = 20) -> DataFrame:
+def similar_sets(sets: DataFrame, max_distance: float, short: int = 20, carry: list[str] | None = None) -> DataFrame:
     """(id_a, id_b, jaccard_dist): all pairs of distinct sets closer than ``max_distance``, id_a < id_b. Exact.
 
     Prefix filtering (Chaudhuri et al. 2006, Bayardo et al. 2007): two sets that must share t tokens have one in common among
     the first n - t + 1 of each, if both are sorted by one global order. With the rarest tokens first, a token that a third
-    of all sets hold is almost never joined on. Two sets of up to ``short`` tokens meet by pairs of tokens out of the first
-    n - t + 2 (Wang et al. 2012), of which any token, however frequent, forms many small groups; a longer set meets any
-    other by single tokens. Which keys a set has depends on its own size alone.
+    of all sets hold is almost never joined on. Two sets of up to ``short`` tokens meet by k tokens out of the first
+    n - t + k (Wang et al. 2012), with k as large as the number of such keys allows: t of them, where sets have few
+    tokens, so that only similar ones meet. A longer set meets any other by single tokens, and only pairs that share enough
+    of these are looked at. Columns of ``sets`` in ``carry`` are added for both sets of a pair, as ``<name>_a`` and ``<name>_b``.
     """
+    carry = carry or []
     similarity = 1.0 - max_distance - _MARGIN
-    ranked = materialize(_by_rarity(sets), "ranked-sets")
-    if similarity <= 0:
-        return _verify(_meeting(_single_keys(ranked, similarity), similarity, 1).distinct(), sets, max_distance)
-    light = ranked.filter(F.col("n") <= short)
-    sizes = [row["n"] for row in light.select("n").distinct().collect()]  # at most ``short`` values
-    found = _meeting(_double_keys(light, similarity, sizes), similarity, 2) if sizes else None
-    fewest = (1.0 + similarity) / similarity  # two sets with fewer tokens in all need to share one only
-    if sizes and min(sizes) * 2 <= fewest:
-        tiny = light.filter(F.col("n") < F.lit(fewest))
-        found = found.unionAll(_meeting(_single_keys(tiny, similarity), similarity, 1))
-    near = ranked.filter(F.col("n") >= F.lit(similarity * short))
-    single = _meeting(_single_keys(near, similarity), similarity, 1, longer_than=short)
-    return _verify((single if found is None else found.unionAll(single)).distinct(), sets, max_distance)
+    short = 0 if similarity <= 0 else short
+    seen = sets.agg(F.collect_set(F.when(F.col("n") <= short, F.col("n"))).alias("sizes"), F.max("n").alias("most")).first()
+    found = []  # at most ``short`` sizes
+    if seen["sizes"]:
+        light = materialize(_by_rarity(sets.filter(F.col("n") <= short)), "ranked-sets")
+        found.append(_short_pairs(light, similarity, max_distance, sorted(seen["sizes"]), carry))
+    if (seen["most"] or 0) > short:
+        near = sets.filter(F.col("n") >= F.lit(similarity * short))
+        met = _meeting(_prefix_keys(near, similarity), similarity, short)
+        found.append(_verify(met, sets, max_distance, carry).select("id_a", "id_b", "jaccard_dist", *_both(carry)))
+    return reduce(DataFrame.unionAll, found) if found else _no_pairs(sets, carry)
 
 
 def minhash_rows(sets: DataFrame, num_tables: int, num_features: int = 1 << 18, seed: int = 42) -> DataFrame:
@@ -141,9 +222,37 @@ def minhash_rows(sets: DataFrame, num_tables: int, num_features: int = 1 << 18,
     return model.transform(vectors).select("id", "n", "tokens", hashes.alias("hashes"))
 
 
-def first_shared_table(left: Column, right: Column) -> Column:
-    """The number of the first table in which two rows of hashes agree, from 0."""
-    return F.array_position(F.zip_with(left, right, lambda x, y: x == y), F.lit(True)) - 1
+def first_shared_table(left: Column, right: Column, num_tables: int) -> Column:
+    """The number of the first of so many tables in which two rows of hashes agree, from 0; null if there is none."""
+    return F.coalesce(*[F.when(F.get(left, F.lit(i)) == F.get(right, F.lit(i)), F.lit(i)) for i in range(num_tables)])
+
+
+def _with_parities(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``bits``: for each of 1,024 bits, whether an odd number of the tokens falls on it, as 16 numbers."""
+
+    def marked(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
+            slots = batch.column("slots")
+            row = np.repeat(np.arange(batch.num_rows), slots.value_lengths().to_numpy(zero_copy_only=False))
+            flat = slots.flatten().to_numpy(zero_copy_only=False)
+            odd = np.bincount(row * 1024 + flat, minlength=batch.num_rows * 1024) & 1
+            words = np.packbits(odd.astype(np.uint8)).view(np.int64)
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, 16, dtype=np.int32)), pa.array(words))
+            kept = [batch.column(name) for name in batch.schema.names[:-1]]
+            yield pa.RecordBatch.from_arrays([*kept, bits], [*batch.schema.names[:-1], "bits"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    slots = F.transform("tokens", lambda t: F.xxhash64(t).bitwiseAND(F.lit(1023)).cast("int"))
+    return rows.withColumn("slots", slots).mapInArrow(marked, f"{fields}, bits array<bigint>")
+
+
+def _fewest_different(left: str, right: str) -> Column:
+    """How many tokens two sets differ in at least: each flips one bit of :func:`_with_parities`."""
+    each = [F.bit_count(F.get(left, F.lit(i)).bitwiseXOR(F.get(right, F.lit(i)))) for i in range(16)]
+    return reduce(lambda x, y: x + y, each)
 
 
 def similar_sets_lsh(
@@ -156,13 +265,15 @@ def similar_sets_lsh(
 ) -> DataFrame:
     """(id_a, id_b, jaccard_dist, shared_table): pairs that share a MinHash bucket and are closer than the distance.
 
-    Only ids and hashes are shuffled; a pair that meets in several tables is merged before its sets are looked at.
+    Only ids, hashes and 1,024 bits for each set are shuffled. Two sets whose bits differ in more places than similar sets differ
+    in tokens are no pair; what is left is merged if it meets in several tables, before sets are looked at.
     ``shared_table`` tells the first of them, which makes the result for fewer tables a filter on it. Buckets with more
     than ``bucket_limit`` sets are not paired up: the sets in them go through the exact join instead, which finds
-    all of their pairs.
+    all of their pairs; their hashes go with them.
     """
-    rows = materialize(minhash_rows(sets, num_tables, num_features, seed), "minhash")
-    slots = rows.select("id", "n", F.posexplode("hashes").alias("slot", "hash"))
+    found = ["id_a", "id_b", "jaccard_dist", "shared_table"]
+    rows = materialize(_with_parities(minhash_rows(sets, num_tables, num_features, seed)), "minhash")
+    slots = rows.select("id", "n", "bits", F.posexplode("hashes").alias("slot", "hash"))
     crowded = (
         slots.groupBy("slot", "hash")
         .agg(F.count(F.lit(1)).alias("members"))
@@ -170,36 +281,33 @@ def similar_sets_lsh(
         .select("slot", "hash")
     )
     any_crowded = not crowded.isEmpty()
+    paired = slots.withColumn("inside", F.lit(False))
     if any_crowded:
         crowded = materialize(crowded, "crowded")
-    paired = slots.join(crowded, ["slot", "hash"], "left_anti") if any_crowded else slots
-    a = paired.select("slot", "hash", F.col("id").alias("id_a"), F.col("n").alias("na"))
-    b = paired.select("slot", "hash", F.col("id").alias("id_b"), F.col("n").alias("nb"))
+        members = materialize(slots.join(crowded, ["slot", "hash"], "left_semi").select("id", "n").distinct(), "members")
+        inside = members.withColumn("inside", F.lit(True))
+        paired = slots.join(crowded, ["slot", "hash"], "left_anti").join(inside, ["id", "n"], "left")
+        paired = paired.withColumn("inside", F.coalesce("inside", F.lit(False)))
+    a, b = (
+        paired.select("slot", "hash", F.col("n").alias(f"n{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ("id", "bits", "inside")])
+        for side in "ab"
+    )
+    similarity = 1.0 - max_distance - _MARGIN
+    total = F.col("na") + F.col("nb")
+    most_different = total - 2 * _needed_overlap(similarity, F.col("na"), F.col("nb"))
     candidates = (
         a.join(b, ["slot", "hash"])
-        .filter((F.col("id_a") < F.col("id_b")) & _similar_size(1.0 - max_distance - _MARGIN))
-        .groupBy("id_a", "id_b")
+        .filter((F.col("id_a") < F.col("id_b")) & ~(F.col("inside_a") & F.col("inside_b")) & _similar_size(similarity))
+        .filter(F.lit(similarity <= 0) | (_fewest_different("bits_a", "bits_b") <= most_different))
+        .groupBy("id_a", "id_b", "na", "nb")
         .agg(F.min("slot").cast("int").alias("shared_table"))
     )
+    near = _verify(candidates, rows, max_distance).select(*found)
     if not any_crowded:
-        return _verify(candidates, rows, max_distance).select("id_a", "id_b", "jaccard_dist", "shared_table")
-    hashes = rows.select("id", "hashes")
-    members = slots.join(crowded, ["slot", "hash"], "left_semi").select("id").distinct()
-    exact = (
-        similar_sets(sets.join(members, "id", "left_semi"), max_distance)
-        .join(hashes.select(F.col("id").alias("id_a"), F.col("hashes").alias("ha")), "id_a")
-        .join(hashes.select(F.col("id").alias("id_b"), F.col("hashes").alias("hb")), "id_b")
-        .withColumn("shared_table", first_shared_table(F.col("ha"), F.col("hb")).cast("int"))
-        .filter(F.col("shared_table") >= 0)
-        .select("id_a", "id_b", "jaccard_dist", "shared_table")
-    )
-    return (
-        _verify(candidates, rows, max_distance)
-        .select("id_a", "id_b", "jaccard_dist", "shared_table")
-        .unionByName(exact)
-        .groupBy("id_a", "id_b")
-        .agg(F.min("jaccard_dist").alias("jaccard_dist"), F.min("shared_table").alias("shared_table"))
-    )
+        return near
+    exact = similar_sets(rows.join(members, ["id", "n"], "left_semi").drop("bits"), max_distance, carry=["hashes"])
+    first = first_shared_table(F.col("hashes_a"), F.col("hashes_b"), num_tables)
+    return near.unionByName(exact.withColumn("shared_table", first).filter(F.col("shared_table").isNotNull()).select(*found))
 
 
 def pair_space(df: DataFrame, block: Column | None = None) -> DataFrame:

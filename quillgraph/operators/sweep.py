@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
 from .setjoin import similar_sets, similar_sets_lsh
 
 REPORT = (
@@ -19,14 +18,14 @@ def lsh_sweep(
     """One row per (number of tables, distance threshold): pairs found, their share of all pairs, and the true recall.
 
     All settings are answered by one search with the most tables and the widest threshold: a pair is found with fewer
-    tables if the first table it shares is among them.
+    tables if the first table it shares is among them. Pairs are counted where they are formed and not written.
     """
     spark = sets.sparkSession
     widest = max(threshold for _, threshold in settings)
     most = max(tables for tables, _ in settings)
     total = sets.count()
-    found = materialize(similar_sets_lsh(sets, widest, most, num_features, seed), "sweep-lsh")
-    exact = materialize(similar_sets(sets, widest), "sweep-exact")
+    found = similar_sets_lsh(sets, widest, most, num_features, seed)
+    exact = similar_sets(sets, widest)
     near = lambda threshold: F.col("jaccard_dist") < threshold
     found_counts = found.agg(
         *[F.count_if((F.col("shared_table") < tables) & near(t)).alias(f"c{i}") for i, (tables, t) in enumerate(settings)]
