@@ -1,3 +1,5 @@
+import collections
+import itertools
 import random
 from collections import deque
 from itertools import combinations
@@ -224,3 +226,21 @@ def test_louvain_is_as_good_as_a_serial_run(spark, seed):
     ours, serial = exact_modularity(edges, found), exact_modularity(edges, serial_louvain(edges))
     assert communities.modularity(table, spark.createDataFrame(list(found.items()), "id long, community long")).first()[0] == pytest.approx(ours)
     assert serial > 0.3 and ours >= serial - 0.04
+
+
+def test_cooccurrence_takes_more_tasks_for_more_pairs(spark, monkeypatch):
+    """A task holds the counts of the pairs that it forms, so there are tasks in proportion to them, of many codes or of few."""
+    from quillgraph.plans import cooccurrence as module
+
+    monkeypatch.setattr(module, "_TASK_PAIRS", 1_000, raising=False)
+    for codes in (6, 3_000):
+        rows = {(i // 5, (i * 7919 + i // 5) % codes) for i in range(4_000)}
+        baskets = {}
+        for src, dst in rows:
+            baskets.setdefault(src, []).append(dst)
+        expected = collections.Counter(p for b in baskets.values() for p in itertools.combinations(sorted(b), 2))
+        formed = sum(expected.values())
+        found = module.cooccurrence(spark.createDataFrame(sorted(rows), "src int, dst int"), 1)
+        assert {(r["code_a"], r["code_b"]): r["co_count"] for r in found.collect()} == dict(expected)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f", {-(-formed // 1_000)}), REPARTITION_BY_NUM") >= 1 and formed > 4_000
