@@ -7,8 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import tasks_for
 from .graph import Graph
 
+#: Rows of which one task finds the distinct ones.
+_TASK_ROWS = 1_000_000
+
 
 def _tagged_count(df: DataFrame, kind: str, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), F.lit(name).alias("name"), "n")
@@ -70,7 +74,8 @@ def node_key_tables(graph: Graph) -> dict[str, tuple[DataFrame, list[str]]]:
 def subgraph_counts(graph: Graph, patients: DataFrame | None = None) -> DataFrame:
     """(patient, admissions, diagnoses, medications): distinct nodes around every patient.
 
-    Each branch is reduced to distinct (patient, node) by itself, so the branches never multiply each other.
+    Each branch is reduced to distinct (patient, node) by itself, so the branches never multiply each other. They are dealt over
+    as many tasks as their edges call for.
     """
     stays = graph.pairs("HAS_ADMISSION").select(F.col("src").alias("patient"), F.col("dst").alias("admission"))
     if patients is not None:
@@ -84,8 +89,9 @@ def subgraph_counts(graph: Graph, patients: DataFrame | None = None) -> DataFram
         stays.select("patient", F.lit("HAS_ADMISSION").alias("kind"), F.col("admission").alias("node"))
         .unionAll(branch("HAS_DIAGNOSIS"))
         .unionAll(branch("PRESCRIBED"))
-        .distinct()
     )
+    rows = sum(graph.table_edges(type).count() for type in ("HAS_ADMISSION", "HAS_DIAGNOSIS", "PRESCRIBED"))
+    found = found.repartition(tasks_for(found.sparkSession, rows, _TASK_ROWS), *found.columns).distinct()
     return found.groupBy("patient").agg(
         F.count_if(F.col("kind") == "HAS_ADMISSION").alias("admissions"),
         F.count_if(F.col("kind") == "HAS_DIAGNOSIS").alias("diagnoses"),

@@ -1,4 +1,5 @@
-"""Pattern queries on a graph. Each returns a DataFrame; nothing runs before an action, but for the path search."""
+"""Pattern queries on a graph. Each returns a DataFrame; nothing runs before an action, but for the path search, the codes and
+neighbours of one admission, and a count of prescriptions."""
 
 from __future__ import annotations
 
@@ -9,10 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import top_per_key
-from ..session import materialize_measured
+from ..session import materialize, materialize_measured, tasks_for
 from .graph import Graph
 
 
+#: Prescriptions that one task joins with diagnoses.
+_TASK_ROWS = 1_000_000
+
 TypedLinks = list[tuple[str, str, Callable[[], DataFrame]]]
 
 
@@ -118,16 +122,19 @@ def q2b_top_diagnoses(graph: Graph, title: str, top_k: int = 10) -> DataFrame:
 def q3_similar_cohort(graph: Graph, admission, threshold: float = 0.4, top_k: int = 20) -> DataFrame:
     """(admission, jaccard): admissions whose set of codes is similar to that of one admission.
 
-    Only admissions that share a code with it are looked at, and only their set sizes are counted.
+    Only admissions that share a code with it are looked at, and only their set sizes are counted. Its codes, and these admissions,
+    are written first, so that Spark knows how few they are and broadcasts them instead of shuffling and sorting all edges.
     """
-    edges = graph.raw_edges("HAS_DIAGNOSIS").select("src", "dst")
-    wanted = edges.filter(F.col("src") == F.lit(admission)).select("dst").distinct()
-    size = wanted.agg(F.count(F.lit(1)).alias("ref_size"))
-    others = edges.filter(F.col("src") != F.lit(admission))
-    meeting = others.join(wanted, "dst", "left_semi").distinct()
+    rows = graph.table_edges("HAS_DIAGNOSIS").select("src", "dst")
+    own = rows.filter(F.col("src") == F.lit(admission)).select("src").distinct()
+    wanted = graph.raw_edges("HAS_DIAGNOSIS", own).select("dst").distinct()
+    wanted, size = materialize_measured(wanted, "wanted", ref_size=F.count(F.lit(1)))
+    near = rows.filter(F.col("src") != F.lit(admission)).join(wanted, "dst", "left_semi").select("src").distinct()
+    others = graph.raw_edges("HAS_DIAGNOSIS", materialize(near, "near")).select("src", "dst").distinct()
+    meeting = others.join(wanted, "dst", "left_semi")
     shared = meeting.groupBy("src").agg(F.count(F.lit(1)).alias("shared"))
-    sizes = others.join(shared, "src").distinct().groupBy("src", "shared").agg(F.count(F.lit(1)).alias("size"))
-    scored = sizes.withColumn("ref_size", F.lit(size.first()["ref_size"])).select(
+    sizes = others.join(shared, "src").groupBy("src", "shared").agg(F.count(F.lit(1)).alias("size"))
+    scored = sizes.withColumn("ref_size", F.lit(size["ref_size"])).select(
         F.col("src").alias("admission"),
         (F.col("shared") / (F.col("size") + F.col("ref_size") - F.col("shared"))).alias("jaccard"),
     )
@@ -169,8 +176,10 @@ def top_medications_per_diagnosis(diagnoses: DataFrame, prescriptions: DataFrame
     """(diagnosis, medication, rx_count, rank): the set form of Q5, over every diagnosis at once.
 
     Inputs are distinct (src, diagnosis) and (src, medication). Counts are reduced before the ranking, so a frequent
-    diagnosis brings one row per medication to the window.
+    diagnosis brings one row per medication to the window. A task counts what it joins, so there are more tasks for more rows.
     """
+    tasks = tasks_for(prescriptions.sparkSession, prescriptions.count(), _TASK_ROWS)
+    diagnoses, prescriptions = diagnoses.repartition(tasks, "src"), prescriptions.repartition(tasks, "src")
     counts = (
         diagnoses.join(prescriptions, "src")
         .groupBy("diagnosis", "medication")

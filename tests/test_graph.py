@@ -244,3 +244,26 @@ def test_cooccurrence_takes_more_tasks_for_more_pairs(spark, monkeypatch):
         assert {(r["code_a"], r["code_b"]): r["co_count"] for r in found.collect()} == dict(expected)
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert plan.count(f", {-(-formed // 1_000)}), REPARTITION_BY_NUM") >= 1 and formed > 4_000
+
+
+def test_tasks_grow_in_number_with_the_rows(spark, sf, monkeypatch):
+    """Not in size: what a task joins, counts or makes distinct is held by it."""
+    from quillgraph import registry
+    from quillgraph.plans import checks, patterns
+
+    monkeypatch.setattr(checks, "_TASK_ROWS", 500, raising=False)
+    monkeypatch.setattr(patterns, "_TASK_ROWS", 500, raising=False)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    pairs, orders = lines.select("l_orderkey", "l_suppkey").distinct().count(), spark.read.parquet(f"{sf}/orders.parquet").count()
+    for query, rows in ((registry.top_k_per_key, pairs), (registry.patient_subgraph_counts, orders + 2 * lines.count())):
+        plan = query(spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert f", {-(-rows // 500)}), REPARTITION_BY_NUM" in plan
+
+
+def test_similar_cohort_sorts_no_edges(spark, sf):
+    from quillgraph import registry
+
+    found = registry.q3_similar_cohort(spark, sf)
+    found.collect()
+    written = [node for node in found.inputFiles() if "/near-" in node or "/wanted-" in node]
+    assert written and "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
