@@ -50,12 +50,13 @@ def copy_links(df: DataFrame, id_col: str, tokens_col: str, sets: DataFrame | No
 
 
 def _by_rarity(sets: DataFrame) -> DataFrame:
-    """``sets`` with ``ranked``: the tokens of every set, the rarest over all sets first."""
+    """``sets`` with ``ranked``: the tokens of every set as numbers, one for each token, the rarest over all sets first."""
     rows = sets.select("*", F.explode("tokens").alias("token"))
-    frequency = materialize(rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "token-counts")
-    ordered = F.array_sort(F.collect_list(F.struct("df", "token")))
+    counted = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    frequency = materialize(counted.withColumn("code", F.monotonically_increasing_id()), "token-counts")
+    ordered = F.array_sort(F.collect_list(F.struct("df", "code")))
     ranked = rows.join(frequency, "token").groupBy(*sets.columns).agg(ordered.alias("by_rarity"))
-    return ranked.select(*sets.columns, F.col("by_rarity.token").alias("ranked"))
+    return ranked.select(*sets.columns, F.col("by_rarity.code").alias("ranked"))
 
 
 def _similar_size(similarity: float) -> Column:
@@ -81,7 +82,8 @@ def _short_pairs(light: DataFrame, similarity: float, max_distance: float, sizes
     """(id_a, id_b, jaccard_dist) and what is carried of both, over sets of few tokens, whose numbers are ``sizes``.
 
     Sets that must share t tokens share the first k of those that they share, and have them among the first n - t + k of each.
-    A pair is kept at the key of just these tokens, so it comes once, and with both sets at hand.
+    A pair is kept at the key of just these tokens, so it comes once, and with both sets at hand. What it shares is worked out
+    once, in an ``explode`` of one value: a filter on a plain column would go into the join, and the value into each of its terms.
     """
     choices = []
     for n, m in itertools.product(sizes, sizes):
@@ -96,10 +98,11 @@ def _short_pairs(light: DataFrame, similarity: float, max_distance: float, sizes
     a, b = (
         keys.select("key", "ends", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "m", "ranked", *carry)]) for side in "ab"
     )
-    shared = F.array_intersect("ranked_a", "ranked_b")
-    distance = 1.0 - F.size(shared) / (F.col("n_a") + F.col("n_b") - F.size(shared))
     met = a.join(b, ["key", "ends"]).filter("id_a < id_b AND n_a = m_b AND n_b = m_a")
-    first = met.filter(F.slice(shared, F.lit(1), F.size("key")) == F.col("key")).withColumn("jaccard_dist", distance)
+    shared = F.col("shared")
+    compared = met.withColumn("shared", F.explode(F.array(F.array_intersect("ranked_a", "ranked_b"))))
+    distance = 1.0 - F.size(shared) / (F.col("n_a") + F.col("n_b") - F.size(shared))
+    first = compared.filter(F.slice(shared, F.lit(1), F.size("key")) == F.col("key")).withColumn("jaccard_dist", distance)
     return first.filter(F.col("jaccard_dist") < max_distance).select("id_a", "id_b", "jaccard_dist", *_both(carry))
 
 

@@ -70,6 +70,15 @@ def test_short_sets_meet_only_if_they_are_similar(spark, looked_at, distance):
     assert sum(looked_at) == 0
 
 
+def test_what_short_sets_share_is_worked_out_once(spark):
+    """And on numbers: a filter that goes into the join would take the value into each of its terms."""
+    rows = [(i, {f"{p}{v}" for p, v in zip("abcde", v)}) for i, v in enumerate(itertools.product(range(2), repeat=5))]
+    found = similar_sets(as_sets(spark, rows), 0.4)
+    assert listed(found) == brute(rows, 0.4) != []
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect(") == 1
+
+
 def test_sets_of_one_id(spark):
     draw = random.Random(4)
     rows = [(i % 20, {f"w{draw.randrange(14)}" for _ in range(draw.choice([3, 6, 25]))}) for i in range(60)]
