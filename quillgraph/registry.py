@@ -700,7 +700,7 @@ def _brand_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 def _code_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct (src, dst): order and part."""
-    return orders_graph(spark, sf).pairs("HAS_DIAGNOSIS")
+    return orders_graph(spark, sf).pairs("HAS_DIAGNOSIS", dealt=True)
 
 
 def top_k_per_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -771,7 +771,7 @@ def projections(spark: SparkSession, sf: str) -> DataFrame:
     g = orders_graph(spark, sf)
     codes = projection_counts("diagnosis", g.nodes("Diagnosis"), both_directions(_code_edges(spark, sf, 2)))
     both = g.nodes("Medication").select("id").unionAll(g.nodes("Admission").select("id"))
-    return codes.unionAll(projection_counts("medication", both, g.pairs("PRESCRIBED")))
+    return codes.unionAll(projection_counts("medication", both, g.pairs("PRESCRIBED", dealt=True)))
 
 
 def code_connected_nodes(spark: SparkSession, sf: str) -> DataFrame:

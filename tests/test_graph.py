@@ -260,6 +260,21 @@ def test_tasks_grow_in_number_with_the_rows(spark, sf, monkeypatch):
         assert f", {-(-rows // 500)}), REPARTITION_BY_NUM" in plan
 
 
+def test_dealt_pairs_are_the_same_in_more_tasks(spark, sf, monkeypatch):
+    """What proves and merges edges holds them, so there are tasks in proportion to the rows of the table."""
+    from quillgraph import registry
+    from quillgraph.plans import graph as module
+
+    monkeypatch.setattr(module, "_TASK_ROWS", 500, raising=False)
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    found = registry._code_pairs(spark, sf)
+    assert f", {-(-rows // 500)}), REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    graph = module.orders_graph(spark, sf, only={"orders": "o_orderstatus <> 'P'", "part": "p_size > 10"})
+    for type in ("HAS_DIAGNOSIS", "PRESCRIBED"):
+        plain, dealt = graph.pairs(type), graph.pairs(type, dealt=True)
+        assert dealt.columns == plain.columns and sorted(dealt.collect()) == sorted(plain.collect()) != []
+
+
 def test_similar_cohort_sorts_no_edges(spark, sf):
     from quillgraph import registry
 
