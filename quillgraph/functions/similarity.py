@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import token_set
+from .text import bound, token_set
 
 
 def _zero_if_blank(a: Column, b: Column, value: Column) -> Column:
@@ -23,14 +23,18 @@ def levenshtein_similarity(a: Column, b: Column) -> Column:
 
 def set_jaccard(left: Column, right: Column) -> Column:
     """Jaccard similarity of two arrays of distinct values; 0 when both are empty."""
-    shared = F.size(F.array_intersect(left, right))
-    union = F.size(left) + F.size(right) - shared
-    return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
+
+    def share(shared: Column) -> Column:
+        union = F.size(left) + F.size(right) - shared
+        return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
+
+    return bound(F.size(F.array_intersect(left, right)), share)
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
     """Jaccard similarity of the word sets of two strings, ignoring case."""
-    return _zero_if_blank(a, b, set_jaccard(token_set(a), token_set(b)))
+    both = F.struct(token_set(a).alias("a"), token_set(b).alias("b"))
+    return _zero_if_blank(a, b, bound(both, lambda sets: set_jaccard(sets["a"], sets["b"])))
 
 
 def same_prefix(a: Column, b: Column, length: int, strip: str | None = None) -> Column:
@@ -51,6 +55,7 @@ def _jaro_winkler_udf():
     import numpy as np
 
     cells, longest = 1 << 20, 512
+    zero, one = np.uint64(0), np.uint64(1)
 
     def winkler(matched, swaps, len_a, len_b, prefix):
         """From the number of matched letters, those of them out of order, and the common start; all may be arrays."""
@@ -60,28 +65,55 @@ def _jaro_winkler_udf():
     def codes(strings, width):
         return np.array(strings, f"U{width}").view(np.uint32).reshape(len(strings), width)
 
-    def together(a, b):
-        """Pairs of non-empty strings of much the same length, letter by letter for all of them at once."""
-        len_a, len_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
-        left, right = codes(a, int(len_a.max())), codes(b, int(len_b.max()))
-        reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)[:, None]
-        place, row = np.arange(right.shape[1]), np.arange(len(a))
+    def narrow(left, right):
+        """The same letters in as few bytes as they allow, which is what comparing them takes."""
+        least = np.min_scalar_type(max(int(left.max()), int(right.max())))
+        return left.astype(least), right.astype(least)
+
+    def met_by_bits(left, right, len_a, len_b, reach):
+        """Which letters of both sides are matched, the places of the second side being bits of one number."""
+        rows, width = right.shape
+        bits = np.zeros((rows, 64), bool)
+        free = np.where(len_b < 64, np.left_shift(one, np.minimum(len_b, 63).astype(np.uint64)) - one, ~zero)
+        hits = np.zeros(left.shape, bool)
+        for i in range(left.shape[1]):
+            np.equal(right, left[:, i : i + 1], out=bits[:, :width])
+            alike = np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
+            start = np.clip(i - reach, 0, 63).astype(np.uint64)
+            stop = i + reach + 1
+            window = np.where(stop < 64, np.left_shift(one, np.minimum(stop, 63).astype(np.uint64)) - one, ~zero)
+            fits = alike & free & (window >> start << start)
+            fits[(i >= len_a) | (i - reach > 63)] = zero
+            first = fits & (~fits + one)
+            free ^= first
+            hits[:, i] = first != zero
+        left_over = np.unpackbits(free.astype("<u8").view(np.uint8).reshape(rows, 8), axis=1, bitorder="little")
+        return hits, (left_over[:, :width] == 0) & (np.arange(width) < len_b[:, None])
+
+    def met_by_places(left, right, len_a, len_b, reach):
+        """The same for strings of any length."""
+        place, row = np.arange(right.shape[1]), np.arange(len(left))
         free = place < len_b[:, None]
         hits = np.zeros(left.shape, bool)
         for i in range(left.shape[1]):
-            fits = free & (right == left[:, i : i + 1]) & (np.abs(place - i) <= reach)
+            fits = free & (right == left[:, i : i + 1]) & (np.abs(place - i) <= reach[:, None])
             fits[i >= len_a] = False
             at = fits.argmax(axis=1)
             hits[:, i] = fits[row, at]
             free[row[hits[:, i]], at[hits[:, i]]] = False
-        taken = ~free & (place < len_b[:, None])
+        return hits, ~free & (place < len_b[:, None])
+
+    def together(a, b):
+        """Pairs of non-empty strings of much the same length, letter by letter for all of them at once."""
+        len_a, len_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
+        left, right = narrow(codes(a, int(len_a.max())), codes(b, int(len_b.max())))
+        reach = np.maximum(np.maximum(len_a, len_b) // 2 - 1, 0)
+        met = met_by_bits if right.shape[1] <= 64 else met_by_places
+        hits, taken = met(left, right, len_a, len_b, reach)
         matched = hits.sum(axis=1)
-        width = max(int(matched.max()), 1)
-        first, second = (
-            np.take_along_axis(side, np.argsort(~mask, axis=1, kind="stable")[:, :width], axis=1)
-            for side, mask in ((left, hits), (right, taken))
-        )
-        swaps = ((first != second) & (np.arange(width) < matched[:, None])).sum(axis=1) // 2
+        # as many letters of one side as of the other, row by row, each side in its own order
+        out_of_order = left[hits] != right[taken]
+        swaps = np.bincount(np.repeat(np.arange(len(a)), matched)[out_of_order], minlength=len(a)) // 2
         start = min(4, left.shape[1], right.shape[1])
         inside = np.arange(start) < np.minimum(len_a, len_b)[:, None]
         prefix = np.cumprod((left[:, :start] == right[:, :start]) & inside, axis=1).sum(axis=1)

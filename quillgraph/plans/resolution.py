@@ -94,14 +94,14 @@ def pair_features(named: DataFrame, code: str, prefix: int, strip: str | None =
     ``named`` has a ``jaccard_dist`` per pair, or null where the pair came from no set join. The label is left open.
     """
     a, b = F.col("name_a"), F.col("name_b")
-    overlap = token_jaccard(a, b)
-    scored = with_jaro_winkler(named, "name_a", "name_b", "jw")
+    overlap = F.col("token_overlap")
+    scored = with_jaro_winkler(named, "name_a", "name_b", "jw").withColumn("token_overlap", token_jaccard(a, b))
     return scored.select(
         "id_a",
         "id_b",
         "jw",
         levenshtein_similarity(a, b).alias("lev"),
-        overlap.alias("token_overlap"),
+        overlap,
         F.coalesce(1.0 - F.col("jaccard_dist"), overlap).alias("jaccard_sim"),
         same_prefix(F.col(f"{code}_a"), F.col(f"{code}_b"), prefix, strip).alias("same_code"),
         F.lit(None).cast("double").alias("label"),

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +111,36 @@ def test_jaro_winkler_of_many_pairs_equals_the_definition(spark):
     rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
     found = {r["i"]: r["s"] for r in rows.select("i", jaro_winkler(F.col("a"), F.col("b")).alias("s")).collect()}
     assert all(found[i] == plain_jaro_winkler(a, b) for i, (a, b) in enumerate(pairs))
+
+
+def test_names_are_split_once_for_their_common_words(spark):
+    rows = spark.createDataFrame([("a b  c", "B c d"), ("", "a"), ("a", None), ("x", "y"), ("q", "Q q")], "a string, b string")
+    found = rows.filter("a <> '?'").select(token_jaccard(F.col("a"), F.col("b")).alias("v"))
+    assert [r["v"] for r in found.collect()] == [0.5, 0.0, 0.0, 0.0, 1.0]
+    assert rows.select(token_jaccard(F.col("a"), F.col("b")).alias("v"))._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+
+
+def test_jaro_winkler_on_both_sides_of_64_letters(spark):
+    """Up to there, places are bits of one number."""
+
+    def plain(a, b):
+        reach, taken, hits = max(max(len(a), len(b)) // 2 - 1, 0), set(), []
+        for i, letter in enumerate(a):
+            at = next((j for j in range(max(i - reach, 0), min(i + reach + 1, len(b))) if j not in taken and b[j] == letter), None)
+            if at is not None:
+                taken.add(at)
+                hits.append(letter)
+        if not hits:
+            return 0.0
+        m, swaps = len(hits), sum(x != b[j] for x, j in zip(hits, sorted(taken))) // 2
+        jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
+        start = next((k for k in range(4) if k >= min(len(a), len(b)) or a[k] != b[k]), 4)
+        return jaro + start * 0.1 * (1 - jaro) if jaro > 0.7 else jaro
+
+    draw = random.Random(6)
+    for letters in ("AB", "ABCDÉ", "AБ中"):
+        names = ["".join(draw.choice(letters) for _ in range(n)) for n in (1, 2, 33, 63, 64) * 8 + (65, 66, 130) * 3]
+        pairs = [(a, b) for a in names for b in draw.sample(names, 5)]
+        table = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+        found = {r["i"]: r["v"] for r in table.select("i", jaro_winkler(F.col("a"), F.col("b")).alias("v")).collect()}
+        assert all(found[i] == pytest.approx(plain(a, b)) for i, (a, b) in enumerate(pairs))
