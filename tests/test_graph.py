@@ -282,3 +282,24 @@ def test_similar_cohort_sorts_no_edges(spark, sf):
     found.collect()
     written = [node for node in found.inputFiles() if "/near-" in node or "/wanted-" in node]
     assert written and "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dealt_edges_are_proven_where_they_are_dealt(spark, sf, monkeypatch):
+    """A semi-join with the ids of ``src`` would be moved before the dealing, into tasks that grow with the table."""
+    from quillgraph.plans import graph as module
+
+    monkeypatch.setattr(module, "_TASK_ROWS", 5)
+    rows = {
+        "orders": spark.createDataFrame([(k,) for k in (1, 2, 2, 3, None)], "o_orderkey long"),
+        "part": spark.createDataFrame([(k,) for k in (10, 10, 11, None)], "p_partkey long"),
+        "lineitem": spark.createDataFrame(
+            [(s, d, n) for n, s in enumerate((1, 2, 2, 3, 4, None)) for d in (10, 11, 11, 12, None)],
+            "l_orderkey long, l_partkey long, l_linenumber int",
+        ),
+    }
+    whole = {name: spark.read.parquet(f"{sf}/{name}.parquet").limit(0).unionByName(some, allowMissingColumns=True) for name, some in rows.items()}
+    graph = module.Graph(module.ORDERS, whole.__getitem__)
+    dealt = graph.pairs("HAS_DIAGNOSIS", dealt=True)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, graph.pairs("HAS_DIAGNOSIS").collect())) == [(s, d) for s in (1, 2, 3) for d in (10, 11)]
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi, (src" not in plan and plan.count("Join LeftSemi") == 1
