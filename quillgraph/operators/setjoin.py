@@ -18,11 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import set_jaccard
-from ..session import materialize
+from ..session import materialize, tasks_for
 
 _MARGIN = 1e-9
 #: Keys of a set of few tokens, for partners of one size.
 _KEYS = 16
+#: Sets of few tokens whose keys one task joins, where only similar sets meet.
+_TASK_SETS = 20_000
 #: Counters by which tokens are ordered.
 _SLOTS = 1 << 20
 
@@ -51,12 +53,12 @@ def copy_links(df: DataFrame, id_col: str, tokens_col: str, sets: DataFrame | No
 
 def _by_rarity(sets: DataFrame) -> DataFrame:
     """``sets`` with ``ranked``: the tokens of every set as numbers, one for each token, the rarest over all sets first."""
-    rows = sets.select("*", F.explode("tokens").alias("token"))
-    counted = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    frequency = materialize(counted.withColumn("code", F.monotonically_increasing_id()), "token-counts")
-    ordered = F.array_sort(F.collect_list(F.struct("df", "code")))
-    ranked = rows.join(frequency, "token").groupBy(*sets.columns).agg(ordered.alias("by_rarity"))
-    return ranked.select(*sets.columns, F.col("by_rarity.code").alias("ranked"))
+    rows = sets.select("*", F.explode("tokens").alias("_token"))
+    counted = rows.groupBy("_token").agg(F.count(F.lit(1)).alias("_df"))
+    frequency = materialize(counted.withColumn("_code", F.monotonically_increasing_id()), "token-counts")
+    ordered = F.array_sort(F.collect_list(F.struct("_df", "_code")))
+    ranked = rows.join(frequency, "_token").groupBy(*sets.columns).agg(ordered.alias("_by_rarity"))
+    return ranked.select(*sets.columns, F.col("_by_rarity._code").alias("ranked"))
 
 
 def _similar_size(similarity: float) -> Column:
@@ -78,23 +80,30 @@ def _key_size(similarity: float, n: int, m: int) -> tuple[int, int]:
     return (longest[-1] if longest else 1), needed
 
 
-def _short_pairs(light: DataFrame, similarity: float, max_distance: float, sizes: list[int], carry: list[str]) -> DataFrame:
+def _short_pairs(
+    light: DataFrame, rows: int, similarity: float, max_distance: float, sizes: list[int], carry: list[str]
+) -> DataFrame:
     """(id_a, id_b, jaccard_dist) and what is carried of both, over sets of few tokens, whose numbers are ``sizes``.
 
     Sets that must share t tokens share the first k of those that they share, and have them among the first n - t + k of each.
     A pair is kept at the key of just these tokens, so it comes once, and with both sets at hand. What it shares is worked out
     once, in an ``explode`` of one value: a filter on a plain column would go into the join, and the value into each of its terms.
+    If every key is all that a pair must share, only similar sets meet, and keys are dealt over tasks in proportion to the ``rows``;
+    else Spark may split a key that many sets hold in vain.
     """
-    choices = []
+    choices, whole = [], True
     for n, m in itertools.product(sizes, sizes):
         k, needed = _key_size(similarity, n, m)
         if min(n, m) >= max(similarity * max(n, m), needed):
             choices.append((n, m, [list(c) for c in itertools.combinations(range(n - needed + k), k)]))
+            whole = whole and k == needed
     chosen = light.sparkSession.createDataFrame(choices, "n int, m int, places array<array<int>>")
     keyed = light.join(F.broadcast(chosen), "n").withColumn("places", F.explode("places"))
     keys = keyed.withColumn("key", F.transform("places", lambda i: F.get("ranked", i))).withColumn(
         "ends", F.least("n", "m") * 1000 + F.greatest("n", "m")
     )
+    if whole:
+        keys = keys.repartition(tasks_for(light.sparkSession, rows, _TASK_SETS), "key", "ends")
     a, b = (
         keys.select("key", "ends", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "m", "ranked", *carry)]) for side in "ab"
     )
@@ -205,11 +214,14 @@ def similar_sets(sets: DataFrame, max_distance: float, short: int = 20, carry: l
     carry = carry or []
     similarity = 1.0 - max_distance - _MARGIN
     short = 0 if similarity <= 0 else short
-    seen = sets.agg(F.collect_set(F.when(F.col("n") <= short, F.col("n"))).alias("sizes"), F.max("n").alias("most")).first()
+    light = F.col("n") <= short
+    seen = sets.agg(
+        F.collect_set(F.when(light, F.col("n"))).alias("sizes"), F.max("n").alias("most"), F.count_if(light).alias("light")
+    ).first()
     found = []  # at most ``short`` sizes
     if seen["sizes"]:
-        light = materialize(_by_rarity(sets.filter(F.col("n") <= short)), "ranked-sets")
-        found.append(_short_pairs(light, similarity, max_distance, sorted(seen["sizes"]), carry))
+        ranked = materialize(_by_rarity(sets.filter(light)), "ranked-sets")
+        found.append(_short_pairs(ranked, seen["light"], similarity, max_distance, sorted(seen["sizes"]), carry))
     if (seen["most"] or 0) > short:
         near = sets.filter(F.col("n") >= F.lit(similarity * short))
         met = _meeting(_prefix_keys(near, similarity), similarity, short)

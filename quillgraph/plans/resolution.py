@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import md5_number
-from ..functions.similarity import levenshtein_similarity, same_first_word, same_prefix, token_jaccard, with_jaro_winkler
+from ..functions.similarity import levenshtein_similarity, same_first_word, same_prefix, set_jaccard, token_jaccard, with_jaro_winkler
 from ..functions.text import token_set
 from ..operators.quantiles import smallest
 from ..operators.setjoin import distinct_sets, similar_sets, similar_sets_lsh
@@ -88,6 +88,29 @@ def pair_names(pairs: DataFrame, things: DataFrame, *properties: str) -> DataFra
     return out
 
 
+def candidate_pairs(things: DataFrame, max_distance: float, probes: int, *properties: str) -> DataFrame:
+    """(id_a, id_b, jaccard_dist, names and properties of both): all similar pairs, and some random ones without a distance.
+
+    The names of similar pairs come along with the sets, and of a random pair its own sets tell whether it is a similar one, so
+    similar pairs, of which there may be very many, are not shuffled. Only ids that stand for several names need that: the
+    pairs are merged by id then, before they get all names of an id.
+    """
+    things = materialize(things, "things")
+    random = probe_pairs(things, probes)
+    if not things.groupBy("id").count().filter("count > 1").isEmpty():
+        similar = block_pairs(things, max_distance, lsh=False)
+        pairs = similar.unionByName(random.withColumn("jaccard_dist", F.lit(None).cast("double")))
+        return pair_names(pairs.groupBy("id_a", "id_b").agg(F.max("jaccard_dist").alias("jaccard_dist")), things, *properties)
+    sets = materialize(distinct_sets(things, "id", "tokens"), "token-sets")
+    carry = ["name", *properties]
+    similar = similar_sets(materialize(sets.join(things.drop("tokens"), "id"), "named-sets"), max_distance, carry=carry)
+    stands = things.join(sets.select("id", F.lit(True).alias("stands")), "id", "left")
+    distance = 1.0 - set_jaccard(F.col("tokens_a"), F.col("tokens_b"))
+    known = F.coalesce(F.col("stands_a") & F.col("stands_b") & (distance < max_distance), F.lit(False))
+    other = pair_names(random, stands, "tokens", "stands", *properties).filter(~known)
+    return similar.unionByName(other.drop("tokens_a", "tokens_b", "stands_a", "stands_b"), allowMissingColumns=True)
+
+
 def pair_features(named: DataFrame, code: str, prefix: int, strip: str | None = None) -> DataFrame:
     """The feature row of every pair; ``code`` is the property whose prefix decides ``same_code``.
 
@@ -129,25 +152,29 @@ def gold_labels(features: DataFrame, rule: LabelRule) -> DataFrame:
 
     Negatives are capped at a multiple of the positives, in the order of a hash of the pair.
     """
-    features = materialize(features, "features")
+    overlap = F.col("token_overlap") < rule.negative_overlap
+    # decided by what costs little: pairs that can be neither are not scored, nor written
+    features = materialize(features.filter((F.col("same_code") == 1.0) | overlap), "features")
     positive = features.filter((F.col("same_code") == 1.0) & (F.col("jw") > rule.positive_jw))
-    negative = features.filter(
-        (F.col("jw") < rule.negative_jw) & (F.col("token_overlap") < rule.negative_overlap)
-    )
+    negative = features.filter((F.col("jw") < rule.negative_jw) & overlap)
     capped = _cap_by_hash(negative, rule.negatives_per_positive * positive.count())
     return positive.withColumn("label", F.lit(1.0)).unionByName(capped.withColumn("label", F.lit(0.0)))
 
 
-def sampled_labels(labelled: DataFrame, negatives_per_positive: int = 4, least_negatives: int = 20) -> DataFrame:
+def sampled_labels(
+    labelled: DataFrame, negatives_per_positive: int = 4, least_negatives: int = 20, written: bool = False
+) -> DataFrame:
     """All positives, and a bounded sample of the negatives, in the order of a hash.
 
-    There are ``negatives_per_positive`` of them for each positive, but no fewer than ``least_negatives`` if there are as many.
+    There are ``negatives_per_positive`` of them for each positive, but no fewer than ``least_negatives`` if there are as many. If all
+    of them fit, none has to be ordered. ``written`` says that the pairs are read from a table, so that they are not written again.
     """
-    labelled = materialize(labelled, "labelled")
-    positive = labelled.filter("label = 1")
-    limit = max(negatives_per_positive * positive.count(), least_negatives)
-    capped = _cap_by_hash(labelled.filter("label = 0"), limit)
-    return positive.unionByName(capped)
+    labelled = labelled if written else materialize(labelled, "labelled")
+    seen = labelled.agg(F.count_if(F.col("label") == 1.0).alias("positives"), F.count_if(F.col("label") == 0.0).alias("negatives")).first()
+    limit = max(negatives_per_positive * seen["positives"], least_negatives)
+    if seen["negatives"] <= limit:
+        return labelled.filter("label IN (0, 1)")
+    return labelled.filter("label = 1").unionByName(_cap_by_hash(labelled.filter("label = 0"), limit))
 
 
 def held_out(a: str = "id_a", b: str = "id_b") -> Column:

@@ -250,18 +250,9 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
     return resolution.entities(parts, "p_partkey", _part_name(), code=F.col("p_brand"), kind=F.col("p_type"))
 
 
-def _item_pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Entities, and their candidate pairs: all similar ones and some random ones."""
-    items = materialize(_items(spark, sf), "items")
-    similar = resolution.block_pairs(items, ITEM_DISTANCE, lsh=False)
-    random = resolution.probe_pairs(items, ITEM_PROBES).withColumn("jaccard_dist", F.lit(None).cast("double"))
-    pairs = similar.unionByName(random).groupBy("id_a", "id_b").agg(F.max("jaccard_dist").alias("jaccard_dist"))
-    return items, pairs
-
-
 def _named_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    items, pairs = _item_pairs(spark, sf)
-    return resolution.pair_names(pairs, items, "code", "kind")
+    """Candidate pairs of entities with their names: all similar ones and some random ones."""
+    return resolution.candidate_pairs(_items(spark, sf), ITEM_DISTANCE, ITEM_PROBES, "code", "kind")
 
 
 def _item_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,11 +301,8 @@ def _titles(spark: SparkSession, sf: str) -> DataFrame:
 
 def _title_features(spark: SparkSession, sf: str) -> DataFrame:
     """Titles from start to end: similar and random pairs, names, features with the category prefix."""
-    titles = materialize(_titles(spark, sf), "titles")
-    similar = resolution.block_pairs(titles, TITLE_DISTANCE, lsh=False)
-    random = resolution.probe_pairs(titles, ITEM_PROBES).withColumn("jaccard_dist", F.lit(None).cast("double"))
-    pairs = similar.unionByName(random).groupBy("id_a", "id_b").agg(F.max("jaccard_dist").alias("jaccard_dist"))
-    return resolution.pair_features(resolution.pair_names(pairs, titles, "kind"), "kind", 3)
+    pairs = resolution.candidate_pairs(_titles(spark, sf), TITLE_DISTANCE, ITEM_PROBES, "kind")
+    return resolution.pair_features(pairs, "kind", 3)
 
 
 def er_title_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,11 +331,10 @@ def er_gold_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _matcher(spark: SparkSession, sf: str):
-    features = materialize(_item_features(spark, sf), "features")
-    a, b = F.col("name_a"), F.col("name_b")
-    labelled = features.withColumn("label", resolution.name_rule(F.col("jw"), a, b))
+    rule = resolution.name_rule(F.col("jw"), F.col("name_a"), F.col("name_b"))
+    features = materialize(_item_features(spark, sf).withColumn("label", rule).drop("name_a", "name_b"), "features")
     model, metrics = resolution.train_matcher(
-        resolution.sampled_labels(labelled), "MEDICATION", "name rule", trees=100, depth=6
+        resolution.sampled_labels(features, written=True), "MEDICATION", "name rule", trees=100, depth=6
     )
     return features, model, metrics
 
