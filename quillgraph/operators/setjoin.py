@@ -9,15 +9,17 @@ from __future__ import annotations
 
 import itertools
 import math
+import zlib
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import HashingTF, MinHashLSH
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from ..functions.similarity import set_jaccard
 from ..session import materialize, tasks_for
 
 _MARGIN = 1e-9
@@ -27,21 +29,39 @@ _KEYS = 16
 _TASK_SETS = 20_000
 #: Counters by which tokens are ordered.
 _SLOTS = 1 << 20
+#: What stands between the tokens of a set in one string.
+_BREAK = "\n"
+#: First tokens that two sets must share to be looked at, where they must share as many.
+_SHARED = 8
+#: Keys that meet in one task, and keys a task for the counts of what has met.
+_PART_KEYS, _COUNT_KEYS = 500_000, 200_000
+#: Keys that are sent at once, and pairs that are formed at once.
+_SENT, _FORMED = 1 << 19, 1 << 22
+#: Bits by which sets that are in no pair are told apart.
+_BITS = 1 << 23
+#: Sets compared in one task, and of one family in a cell.
+_CELL_SETS, _FAMILY_SETS = 2_000, 1_000
 
 
 def distinct_sets(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """(id, tokens, n, copies): the distinct non-empty token sets, each with the smallest id that has it.
 
-    ``tokens_col`` must be sorted and distinct, as :func:`quillgraph.functions.text.token_set` returns it.
+    ``tokens_col`` must be sorted, distinct and without line breaks in a token, as :func:`quillgraph.functions.text.token_set`
+    returns it. Sets are shuffled as one string each, which takes less than half of the disk that arrays take.
     """
     return (
         df.filter(F.size(tokens_col) > 0)
-        .groupBy(F.col(tokens_col).alias("tokens"))
+        .groupBy(_joined(tokens_col).alias("_joined"))
         .agg(F.min(id_col).alias("id"), F.count(F.lit(1)).alias("copies"))
+        .select("id", F.split("_joined", _BREAK).alias("tokens"), "copies")
         .select("id", "tokens", F.size("tokens").alias("n"), "copies")
     )
 
 
+def _joined(tokens_col: str) -> Column:
+    return F.array_join(tokens_col, _BREAK)
+
+
 def copy_links(df: DataFrame, id_col: str, tokens_col: str, sets: DataFrame | None = None) -> DataFrame:
     """(id, rep_id): every row whose token set equals that of a row with a smaller id."""
     sets = distinct_sets(df, id_col, tokens_col) if sets is None else sets
@@ -128,77 +148,328 @@ def _prefix_length(similarity: float, n: Column) -> Column:
     return F.greatest(n - F.greatest(F.ceil(F.lit(similarity) * n), F.lit(1)) + 1, F.lit(1))
 
 
-def _prefix_keys(sets: DataFrame, similarity: float) -> DataFrame:
-    """(key, last, id, n): the tokens, as hashes, among which a set must share one with any similar set; ``last`` is the position.
+def _numbered(sets: DataFrame, bits: int = 32) -> DataFrame:
+    """``sets`` with ``no``: a hash of the tokens. Where several sets have one number, what is done for it is done for all of them."""
+    return sets.withColumn("no", F.xxhash64("tokens").bitwiseAND(F.lit((1 << bits) - 1)) if bits < 64 else F.xxhash64("tokens"))
 
-    Tokens are ordered by how many of all tokens have the same residue of their hash, then by hash. Any one order of all tokens
-    makes the join exact, and this one needs a table of fixed size, which goes to every task, in place of shuffles of all tokens.
-    Tokens with equal hashes stand side by side and only bring more candidates.
-    """
-    hashed = sets.select("id", "n", F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"))
-    slot = F.col("hash").bitwiseAND(F.lit(_SLOTS - 1)).alias("slot")
-    counted = hashed.select(F.explode("hashes").alias("hash")).groupBy(slot).agg(F.count(F.lit(1)).alias("df")).toArrow()
-    weights = np.zeros(_SLOTS, np.int64)
-    weights[counted["slot"].to_numpy()] = counted["df"].to_numpy()
-    shared = sets.sparkSession.sparkContext.broadcast(weights)
-    return hashed.withColumn("length", _prefix_length(similarity, F.col("n")).cast("int")).mapInArrow(
-        _ranked_prefixes(shared), f"id {sets.schema['id'].dataType.simpleString()}, n int, key bigint, last int"
-    )
 
+def _token_weights(hashed: DataFrame) -> np.ndarray:
+    """How many of all tokens have each residue of their hash."""
+    parts, width = 64, _SLOTS // 64
 
-def _ranked_prefixes(shared):
     # Nested functions travel to the workers by value, so these need no copy of this package.
-    import numpy as np
-    import pyarrow as pa
+    def count(batches):
+        import zlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        seen = np.zeros(parts * width, np.int64)
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            seen += np.bincount(flat & (len(seen) - 1), minlength=len(seen))
+        blobs = [zlib.compress(seen[p * width : (p + 1) * width].tobytes(), 1) for p in range(parts)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), pa.array(blobs, pa.binary())], ["part", "counts"])
+
+    def total(rows):
+        import zlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        whole = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in rows.column("counts").to_pylist())
+        blob = pa.array([zlib.compress(whole.tobytes(), 1)], pa.binary())
+        return pa.table({"part": rows.column("part").combine_chunks().slice(0, 1), "counts": blob})
+
+    schema = "part int, counts binary"
+    found = hashed.select("hashes").mapInArrow(count, schema).groupBy("part").applyInArrow(total, schema).toArrow()
+    weights = np.zeros(_SLOTS, np.int64)
+    for part, blob in zip(found["part"].to_pylist(), found["counts"].to_pylist(), strict=True):
+        weights[part * width : (part + 1) * width] = np.frombuffer(zlib.decompress(blob), np.int64)
+    return weights
+
+
+def _prefix_keys(shared, similarity: float, parts: int, most: int):
+    """Blocks of first tokens as (part, size, keys, numbers and sizes of sets, places); a token that one set alone has is left out."""
+
+    def keys(batches):
+        import zlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        weights, held = shared.value, []
+
+        def block():
+            part, key, *others = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            order = np.lexsort((key, part))
+            part, key, others = part[order], key[order], [c[order] for c in others]
+            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)).tolist()
+            ranges = list(zip(cuts[:-1], cuts[1:], strict=True))
+            steps = [np.diff(key[low:high], prepend=np.uint32(0)) for low, high in ranges]
+            blobs = [[zlib.compress(s.tobytes(), 1) for s in steps]] + [[zlib.compress(c[low:high].tobytes(), 1) for low, high in ranges] for c in others]
+            sizes = [pa.array([part[low] for low, _ in ranges], pa.int32()), pa.array([high - low for low, high in ranges], pa.int32())]
+            return pa.RecordBatch.from_arrays([*sizes, *(pa.array(b, pa.binary()) for b in blobs)], ["part", "size", "key", "no", "n", "place"])
 
-    def ranked(batches):
-        weights = shared.value
         for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, whole.num_rows, 1000)):
-            hashes = batch.column("hashes")
+            hashes, n = batch.column("hashes"), batch.column("n").to_numpy().astype(np.int32)
             flat = hashes.flatten().to_numpy(zero_copy_only=False)
             sizes = hashes.value_lengths().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(len(sizes)), sizes)
             flat = flat[np.lexsort((flat, weights[flat & (len(weights) - 1)], row))]
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            kept = place < batch.column("length").to_numpy()[row]
-            at = pa.array(row[kept])
-            columns = batch.column("id").take(at), batch.column("n").take(at), pa.array(flat[kept]), pa.array((place[kept] + 1).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(list(columns), ["id", "n", "key", "last"])
+            place = np.arange(1, len(flat) + 1) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            length = np.maximum(n - np.maximum(np.ceil(similarity * n), 1) + 1, 1)
+            kept = (place <= length[row]) & (weights[flat & (len(weights) - 1)] > 1)
+            if not kept.any():
+                continue
+            row, flat = row[kept], flat[kept].view(np.uint64)
+            part = ((flat >> np.uint64(44)) % np.uint64(parts)).astype(np.int64)
+            number = batch.column("no").to_numpy().astype(np.uint32)[row]
+            held.append((part, (flat >> np.uint64(12)).astype(np.uint32), number, n[row], place[kept].astype(np.int32)))
+            if sum(len(h[0]) for h in held) >= most:
+                yield block()
+        if held:
+            yield block()
+
+    return keys
+
+
+def _met(similarity: float, longer_than: int, shared: int, ends: int, most: int):
+    """Blocks of meetings as (end, size, numbers of both sets, how many meetings they need)."""
+
+    def met(batches):
+        import zlib
 
-    return ranked
+        import numpy as np
+        import pyarrow as pa
+
+        def read(blob, kind):
+            return np.frombuffer(zlib.decompress(blob), kind)
+
+        found = [[] for _ in range(4)]
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = np.cumsum(read(row["key"], np.uint32), dtype=np.uint32).astype(np.uint64) | np.uint64(row["part"] << 32)
+                for column, value in zip(found, (key, read(row["no"], np.uint32), read(row["n"], np.int32), read(row["place"], np.int32)), strict=True):
+                    column.append(value)
+        if not found[0]:
+            return
+        key, no, n, place = (np.concatenate(c) for c in found)
+        order = np.lexsort((no, n, key))
+        key, no, n, place = key[order], no[order].astype(np.uint64), n[order].astype(np.int64), place[order]
+        ratio = similarity / (1.0 + similarity)
+        prefix = np.maximum(n - np.maximum(np.ceil(similarity * n), 1) + 1, 1).astype(np.int64)
+
+        def needed(total):
+            return np.maximum(np.ceil(ratio * total), 1).astype(np.int64)
+
+        # rows of one key stand by size, so the larger sets that fit are a range behind each row
+        list_of, wide = np.cumsum(np.diff(key, prepend=key[:1]) != 0), int(n.max()) + 1
+        largest = np.minimum(np.floor(n / similarity).astype(np.int64) + 1, wide - 1) if similarity > 0 else wide - 1
+        upto = np.searchsorted(list_of * wide + n, list_of * wide + largest, side="right")
+        first = place <= n - needed(2 * n) + shared
+        ahead = np.cumsum(np.where(first, upto - np.arange(len(n)) - 1, 0))
+        kept, held, at = [], 0, 0
+
+        def block():
+            pair, least = (np.concatenate(c) for c in zip(*kept, strict=True))
+            order = np.argsort(pair)
+            pair, least = pair[order], least[order]
+            a = pair >> np.uint64(32)
+            end = ((a * np.uint64(ends)) >> np.uint64(32)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(end, prepend=-1, append=-1)).tolist()
+            ranges = list(zip(cuts[:-1], cuts[1:], strict=True))
+            columns = [[np.diff(a[low:high].astype(np.uint32), prepend=np.uint32(0)) for low, high in ranges]]
+            columns += [[c[low:high] for low, high in ranges] for c in (pair.astype(np.uint32), least)]
+            blobs = [pa.array([zlib.compress(v.tobytes(), 1) for v in c], pa.binary()) for c in columns]
+            sizes = [pa.array([end[low] for low, _ in ranges], pa.int32()), pa.array([high - low for low, high in ranges], pa.int32())]
+            return pa.RecordBatch.from_arrays([*sizes, *blobs], ["end", "size", "a", "b", "least"])
+
+        while at < len(n):
+            before = ahead[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ahead, before + most, side="right")))
+            counts = np.diff(ahead[at:to], prepend=before)
+            i = np.repeat(np.arange(at, to), counts)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(counts) - counts, counts)
+            at = to
+            need = needed(n[i] + n[j])
+            least = np.clip(need - np.maximum(n[i] - prefix[i], n[j] - prefix[j]), 1, shared)
+            fits = (n[i] >= similarity * n[j]) & (n[j] > longer_than)
+            fits &= (place[i] <= n[i] - need + least) & (place[j] <= n[j] - need + least)
+            i, j = no[i[fits]], no[j[fits]]
+            kept.append(((np.minimum(i, j) << np.uint64(32)) | np.maximum(i, j), least[fits].astype(np.uint8)))
+            held += len(i)
+            if held >= most:
+                yield block()
+                kept, held = [], 0
+        if held:
+            yield block()
+
+    return met
+
+
+def _often_met():
+    """The pairs of numbers that meet as often as they must, as (a, b)."""
+
+    def often(batches):
+        import zlib
 
+        import numpy as np
+        import pyarrow as pa
 
-def _meeting(keys: DataFrame, similarity: float, longer_than: int) -> DataFrame:
-    """(id_a, id_b, na, nb): sets of fitting sizes that share as many of their first tokens as similar ones do.
+        pairs, leasts = [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                a = np.cumsum(np.frombuffer(zlib.decompress(row["a"]), np.uint32), dtype=np.uint32).astype(np.uint64)
+                pairs.append((a << np.uint64(32)) | np.frombuffer(zlib.decompress(row["b"]), np.uint32))
+                leasts.append(np.frombuffer(zlib.decompress(row["least"]), np.uint8))
+        if not pairs:
+            return
+        pair, least = np.concatenate(pairs), np.concatenate(leasts)
+        order = np.argsort(pair)
+        pair, least = pair[order], least[order]
+        starts = np.flatnonzero(np.diff(pair, prepend=~pair[:1]))
+        often = np.diff(starts, append=len(pair)) >= np.minimum.reduceat(least, starts)
+        pair = pair[starts[often]]
+        for at in range(0, len(pair), 10_000):
+            some = pair[at : at + 10_000]
+            columns = [(some >> np.uint64(32)).astype(np.int64), some.astype(np.uint32).astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b"])
+
+    return often
+
+
+def _meeting(sets: DataFrame, keys: int, similarity: float, longer_than: int) -> DataFrame:
+    """(a, b): numbers of sets of fitting sizes that share as many of their first tokens as similar ones do.
+
+    One of the two at least must have more than ``longer_than`` tokens. ``keys`` is the number of first tokens of all sets.
 
-    One of the two at least must have more than ``longer_than`` tokens. Of two sets, that whose prefix ends first by the order of
-    tokens shares no other tokens of its prefix than those counted here; so what it shares besides is behind the prefix.
+    Tokens are ordered by how many of all tokens have the same residue of their hash, then by hash. Any one order of all tokens
+    makes the join exact, and this one needs a table of fixed size, which goes to every task, in place of shuffles of all tokens.
+    Of two sets of m and n tokens that share t, the one lacks no more than m - t of the other's tokens, so k of its first
+    m - t + k are shared, and likewise k of the other's first n - t + k. The prefix that ends first by the order shares none that are
+    behind the other's. So sets meet within these prefixes only, and must do so k times, with k up to ``_SHARED``, or less where
+    prefixes are shorter. Keys and meetings are sent in compressed blocks, as a few bytes each.
     """
-    a = keys.select("key", F.col("id").alias("id_a"), F.col("n").alias("na"), F.col("last").alias("pa"))
-    b = keys.select("key", F.col("id").alias("id_b"), F.col("n").alias("nb"), F.col("last").alias("pb"))
-    na, nb, pa, pb = map(F.col, ("na", "nb", "pa", "pb"))
-    needed = _needed_overlap(similarity, na, nb)
-    reachable = F.least(na - pa, nb - pb) + F.least(pa, pb) >= needed
-    fits = (F.col("id_a") < F.col("id_b")) & _similar_size(similarity) & reachable & (F.greatest("na", "nb") > longer_than)
-    counted = a.join(b, "key").filter(fits).groupBy("id_a", "id_b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
-    behind = F.greatest(na - _prefix_length(similarity, na), nb - _prefix_length(similarity, nb))
-    return counted.filter(F.col("c") + behind >= needed).drop("c")
+    hashed = _numbered(sets).select("no", "n", F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"))
+    spark = sets.sparkSession
+    shared = spark.sparkContext.broadcast(_token_weights(hashed))
+    parts, ends = tasks_for(spark, keys, _PART_KEYS), tasks_for(spark, keys, _COUNT_KEYS)
+    sent = hashed.mapInArrow(
+        _prefix_keys(shared, similarity, parts, _SENT), "part int, size int, key binary, no binary, n binary, place binary"
+    )
+    met = sent.repartition(parts, "part").mapInArrow(
+        _met(similarity, longer_than, _SHARED, ends, _FORMED), "end int, size int, a binary, b binary, least binary"
+    )
+    return met.repartition(ends, "end").mapInArrow(_often_met(), "a bigint, b bigint")
+
+
+def _maybe_paired(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``sets`` without most of those that are in no pair: a table of bits of fixed size tells them, so their tokens are not shuffled."""
+    bits = pairs.select(F.explode(F.array("a", "b")).alias("no")).select(F.col("no").bitwiseAND(F.lit(_BITS - 1)).alias("bit"))
+    words = bits.groupBy(F.expr("cast(shiftright(bit, 6) AS int)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("word"))
+    found, table = words.toArrow(), np.zeros(_BITS // 64, np.int64)
+    table[found["at"].to_numpy()] = found["word"].to_numpy()
+    one = sets.sparkSession.createDataFrame(pa.table({"bits": pa.array([table], pa.list_(pa.int64()))}))
+    place = F.col("no").bitwiseAND(F.lit(_BITS - 1))
+    word = F.get("bits", F.floor(place / 64).cast("int"))
+    kept = F.call_function("shiftrightunsigned", word, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return sets.crossJoin(F.broadcast(one)).filter(kept).drop("bits")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, max_distance: float, carry: list[str] | None = None) -> DataFrame:
-    """Attach both token sets to candidate pairs (id_a, id_b, na, nb) and keep those below the distance."""
+    """(id_a, id_b, na, nb, jaccard_dist), what is carried of both sets, and other columns of the pairs that are below the distance.
+
+    ``pairs`` has the numbers ``a`` and ``b`` of two sets, each pair once, and ``sets`` their number ``no``. Pairs are looked at in
+    cells, so a set is sent once to each of its cells, and not for each of its pairs: the pairs of near copies of one set
+    have the same smallest neighbour, most of them, and those of one smallest neighbour make a cell. A large family is dealt over
+    cells of pairs of blocks.
+    """
     pairs, carry = materialize(pairs, "candidates"), carry or []
-    named = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
-    sets = materialize(sets.join(named, "id", "left_semi").select("id", "n", "tokens", *carry), "candidate-sets")
-    left, right = (
-        sets.select(F.col("n").alias(f"n{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ("id", "tokens", *carry)]) for side in "ab"
+    spark, more = pairs.sparkSession, [c for c in pairs.columns if c not in ("a", "b")]
+    ends = F.explode(F.array(F.struct(F.col("a").alias("no"), F.col("b").alias("other")), F.struct(F.col("b").alias("no"), F.col("a").alias("other"))))
+    least = pairs.select(ends.alias("e")).groupBy("e.no").agg(F.min("e.other").alias("other"))
+    least = materialize(least.select("no", F.least("no", "other").alias("least")), "least")
+    homes = pairs
+    for side in ("a", "b"):
+        homes = homes.join(least.select(F.col("no").alias(side), F.col("least").alias(f"least_{side}")), side)
+    homes = homes.select("a", "b", *more, F.least("least_a", "least_b").alias("home"))
+    homes = materialize(homes, "homes")
+    at_home = homes.select("home", F.explode(F.array("a", "b")).alias("no")).distinct().groupBy("home").agg(F.count(F.lit(1)).alias("sets"))
+    blocks = F.ceil(F.col("sets") / _FAMILY_SETS)
+    families = materialize(at_home.select("home", "sets", blocks.alias("blocks")), "families")
+    cells = tasks_for(spark, families.agg(F.sum(F.col("sets") * F.col("blocks"))).first()[0] or 0, _CELL_SETS)
+    placed = homes.join(families.filter("blocks > 1").select("home", "blocks"), "home", "left")
+    block = lambda c: F.pmod(F.xxhash64(c), F.coalesce("blocks", F.lit(1)))
+    i, j = block("a"), block("b")
+    cell = F.pmod(F.xxhash64("home", F.least(i, j), F.greatest(i, j)), F.lit(cells)).cast("int").alias("cell")
+    placed = placed.select(cell, "a", "b", *more)
+    places = placed.select(F.col("cell").alias("place"), F.explode(F.array("a", "b")).alias("no")).distinct()
+    sent = _maybe_paired(sets, pairs).select("no", "id", _joined("tokens").alias("joined"), *carry).join(places, "no")
+    both = {c: sets.schema[c].dataType for c in ("id", *carry)}
+    types = [("na", IntegerType()), ("nb", IntegerType()), ("jaccard_dist", DoubleType()), *((c, pairs.schema[c].dataType) for c in more)]
+    types += [(f"{c}_{side}", kind) for side in "ab" for c, kind in both.items()]
+    found = (
+        placed.groupBy("cell")
+        .cogroup(sent.groupBy("place"))
+        .applyInArrow(_compared(max_distance, more, [*both], _BREAK), StructType([StructField(*t) for t in types]))
     )
-    measured = (
-        pairs.join(left, ["id_a", "na"])
-        .join(right, ["id_b", "nb"])
-        .withColumn("jaccard_dist", 1.0 - set_jaccard(F.col("tokens_a"), F.col("tokens_b")))
+    swapped = F.col("id_a") > F.col("id_b")
+    other = {c: f"{c[:-1]}{'ab'['ba'.index(c[-1])]}" for c in ("na", "nb", *(f"{c}_{side}" for side in "ab" for c in both))}
+    ordered = found.filter("id_a <> id_b").select(
+        *[F.when(swapped, F.col(other[c])).otherwise(F.col(c)).alias(c) if c in other else F.col(c) for c in found.columns]
     )
-    return measured.filter(F.col("jaccard_dist") < max_distance).drop("tokens_a", "tokens_b")
+    return ordered.select("id_a", "id_b", "na", "nb", "jaccard_dist", *more, *_both(carry))
+
+
+def _compared(max_distance: float, more: list[str], both: list[str], mark: str):
+    def compared(pairs, sets):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        sets = sets.take(pa.array(np.argsort(sets.column("no").to_numpy(), kind="stable"))).combine_chunks()
+        no = sets.column("no").to_numpy()
+        words = pc.split_pattern(sets.column("joined"), mark).combine_chunks()
+        words = words.chunk(0) if isinstance(words, pa.ChunkedArray) and words.num_chunks else words
+        sizes = np.zeros(0, np.int64) if not len(no) else words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        codes = np.zeros(0, np.int64) if not len(no) else words.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        starts = np.cumsum(sizes) - sizes
+
+        # every set of the one number with every set of the other
+        a, b = (pairs.column(c).to_numpy() for c in "ab")
+        low_a, low_b = np.searchsorted(no, a), np.searchsorted(no, b)
+        of_a, of_b = np.searchsorted(no, a, side="right") - low_a, np.searchsorted(no, b, side="right") - low_b
+        pair = np.repeat(np.arange(len(a)), of_a * of_b)
+        nth = np.arange(len(pair)) - np.repeat(np.cumsum(of_a * of_b) - of_a * of_b, of_a * of_b)
+        i, j = low_a[pair] + nth // of_b[pair], low_b[pair] + nth % of_b[pair]
+        kept = (a[pair] != b[pair]) | (i < j)
+        order = np.argsort(i[kept], kind="stable")
+        pair, i, j = pair[kept][order], i[kept][order], j[kept][order]
+
+        shared, marked = np.zeros(len(i), np.int64), np.zeros(int(codes.max()) + 1 if len(codes) else 0, bool)
+        cuts = np.flatnonzero(np.diff(i, prepend=-1, append=-1)).tolist()
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            own = codes[starts[i[low]] : starts[i[low]] + sizes[i[low]]]
+            marked[own] = True
+            for at in range(low, high, 1000):  # a set may have very many partners
+                some = j[at : min(at + 1000, high)]
+                n = sizes[some]
+                first = np.cumsum(n) - n
+                place = np.arange(int(n.sum())) + np.repeat(starts[some] - first, n)
+                shared[at : at + len(some)] = np.add.reduceat(marked[codes[place]], first, dtype=np.int64)
+            marked[own] = False
+
+        distance = 1.0 - shared / (sizes[i] + sizes[j] - shared)
+        near = distance < max_distance
+        columns = [pa.array(sizes[i[near]].astype(np.int32)), pa.array(sizes[j[near]].astype(np.int32)), pa.array(distance[near])]
+        pair, i, j = (pa.array(x[near]) for x in (pair, i, j))
+        columns += [pairs.column(c).take(pair) for c in more]
+        columns += [sets.column(c).take(at) for at in (i, j) for c in both]
+        return pa.table(columns, names=["na", "nb", "jaccard_dist", *more, *(f"{c}_{side}" for side in "ab" for c in both)])
+
+    return compared
 
 
 def similar_sets(sets: DataFrame, max_distance: float, short: int = 20, carry: list[str] | None = None) -> DataFrame:
@@ -215,17 +486,21 @@ def similar_sets(sets: DataFrame, max_distance: float, short: int = 20, carry: l
     similarity = 1.0 - max_distance - _MARGIN
     short = 0 if similarity <= 0 else short
     light = F.col("n") <= short
+    near = F.col("n") >= F.lit(similarity * short)
     seen = sets.agg(
-        F.collect_set(F.when(light, F.col("n"))).alias("sizes"), F.max("n").alias("most"), F.count_if(light).alias("light")
+        F.collect_set(F.when(light, F.col("n"))).alias("sizes"),
+        F.max("n").alias("most"),
+        F.count_if(light).alias("light"),
+        F.sum(F.when(near, _prefix_length(similarity, F.col("n")))).alias("keys"),
     ).first()
     found = []  # at most ``short`` sizes
     if seen["sizes"]:
         ranked = materialize(_by_rarity(sets.filter(light)), "ranked-sets")
         found.append(_short_pairs(ranked, seen["light"], similarity, max_distance, sorted(seen["sizes"]), carry))
     if (seen["most"] or 0) > short:
-        near = sets.filter(F.col("n") >= F.lit(similarity * short))
-        met = _meeting(_prefix_keys(near, similarity), similarity, short)
-        found.append(_verify(met, sets, max_distance, carry).select("id_a", "id_b", "jaccard_dist", *_both(carry)))
+        met = _meeting(sets.filter(near), seen["keys"], similarity, short)
+        measured = _verify(met, _numbered(sets), max_distance, carry).filter(F.greatest("na", "nb") > short)
+        found.append(measured.select("id_a", "id_b", "jaccard_dist", *_both(carry)))
     return reduce(DataFrame.unionAll, found) if found else _no_pairs(sets, carry)
 
 
@@ -243,7 +518,7 @@ def first_shared_table(left: Column, right: Column, num_tables: int) -> Column:
 
 
 def _with_parities(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``bits``: for each of 1,024 bits, whether an odd number of the tokens falls on it, as 16 numbers."""
+    """``rows`` with ``bits`` in place of ``tokens``: for each of 1,024 bits, whether an odd number of the tokens falls on it, as 16 numbers."""
 
     def marked(batches):
         import numpy as np
@@ -259,9 +534,9 @@ def _with_parities(rows: DataFrame) -> DataFrame:
             kept = [batch.column(name) for name in batch.schema.names[:-1]]
             yield pa.RecordBatch.from_arrays([*kept, bits], [*batch.schema.names[:-1], "bits"])
 
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "tokens")
     slots = F.transform("tokens", lambda t: F.xxhash64(t).bitwiseAND(F.lit(1023)).cast("int"))
-    return rows.withColumn("slots", slots).mapInArrow(marked, f"{fields}, bits array<bigint>")
+    return rows.withColumn("slots", slots).drop("tokens").mapInArrow(marked, f"{fields}, bits array<bigint>")
 
 
 def _fewest_different(left: str, right: str) -> Column:
@@ -287,8 +562,9 @@ def similar_sets_lsh(
     all of their pairs; their hashes go with them.
     """
     found = ["id_a", "id_b", "jaccard_dist", "shared_table"]
-    rows = materialize(_with_parities(minhash_rows(sets, num_tables, num_features, seed)), "minhash")
-    slots = rows.select("id", "n", "bits", F.posexplode("hashes").alias("slot", "hash"))
+    rows = minhash_rows(sets, num_tables, num_features, seed)
+    rows = materialize(_with_parities(_numbered(rows, 64)).select("id", "n", "no", "hashes", "bits"), "minhash")
+    slots = rows.select("id", "n", "no", "bits", F.posexplode("hashes").alias("slot", "hash"))
     crowded = (
         slots.groupBy("slot", "hash")
         .agg(F.count(F.lit(1)).alias("members"))
@@ -299,12 +575,12 @@ def similar_sets_lsh(
     paired = slots.withColumn("inside", F.lit(False))
     if any_crowded:
         crowded = materialize(crowded, "crowded")
-        members = materialize(slots.join(crowded, ["slot", "hash"], "left_semi").select("id", "n").distinct(), "members")
+        members = materialize(slots.select("no", "slot", "hash").join(crowded, ["slot", "hash"], "left_semi").select("no").distinct(), "members")
         inside = members.withColumn("inside", F.lit(True))
-        paired = slots.join(crowded, ["slot", "hash"], "left_anti").join(inside, ["id", "n"], "left")
+        paired = slots.join(crowded, ["slot", "hash"], "left_anti").join(inside, "no", "left")
         paired = paired.withColumn("inside", F.coalesce("inside", F.lit(False)))
     a, b = (
-        paired.select("slot", "hash", F.col("n").alias(f"n{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ("id", "bits", "inside")])
+        paired.select("slot", "hash", F.col("n").alias(f"n{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ("id", "no", "bits", "inside")])
         for side in "ab"
     )
     similarity = 1.0 - max_distance - _MARGIN
@@ -314,13 +590,17 @@ def similar_sets_lsh(
         a.join(b, ["slot", "hash"])
         .filter((F.col("id_a") < F.col("id_b")) & ~(F.col("inside_a") & F.col("inside_b")) & _similar_size(similarity))
         .filter(F.lit(similarity <= 0) | (_fewest_different("bits_a", "bits_b") <= most_different))
-        .groupBy("id_a", "id_b", "na", "nb")
+        .groupBy(F.least("no_a", "no_b").alias("a"), F.greatest("no_a", "no_b").alias("b"))
         .agg(F.min("slot").cast("int").alias("shared_table"))
     )
-    near = _verify(candidates, rows, max_distance).select(*found)
+    numbered = _numbered(sets, 64)
+    near = _verify(candidates, numbered, max_distance).select(*found)
     if not any_crowded:
         return near
-    exact = similar_sets(rows.join(members, ["id", "n"], "left_semi").drop("bits"), max_distance, carry=["hashes"])
+    hashes = rows.join(members, "no", "left_semi").select("no", "hashes")
+    within = numbered.select("no", "id", _joined("tokens").alias("joined")).join(hashes, "no")
+    within = within.select("id", F.split("joined", _BREAK).alias("tokens"), "hashes").withColumn("n", F.size("tokens"))
+    exact = similar_sets(materialize(within, "crowded-sets"), max_distance, carry=["hashes"])
     first = first_shared_table(F.col("hashes_a"), F.col("hashes_b"), num_tables)
     return near.unionByName(exact.withColumn("shared_table", first).filter(F.col("shared_table").isNotNull()).select(*found))
 
