@@ -63,12 +63,18 @@ def _joined(tokens_col: str) -> Column:
 
 
 def copy_links(df: DataFrame, id_col: str, tokens_col: str, sets: DataFrame | None = None) -> DataFrame:
-    """(id, rep_id): every row whose token set equals that of a row with a smaller id."""
-    sets = distinct_sets(df, id_col, tokens_col) if sets is None else sets
-    digest = F.xxhash64("tokens").alias("digest")
-    rows = df.select(F.col(id_col).alias("id"), F.col(tokens_col).alias("tokens")).select("id", "tokens", digest)
-    reps = sets.filter(F.col("copies") > 1).select(F.col("id").alias("rep_id"), "tokens", digest)
-    return rows.join(reps, ["digest", "tokens"]).filter(F.col("id") != F.col("rep_id")).select("id", "rep_id")
+    """(id, rep_id): every row whose token set equals that of a row with a smaller id.
+
+    Sets are known by their SHA-256, so that no tokens are shuffled. ``sets`` are the :func:`distinct_sets`, if they are at hand.
+    """
+    digest = lambda column: F.unhex(F.sha2(_joined(column), 256)).alias("digest")
+    rows = df.filter(F.size(tokens_col) > 0).select(F.col(id_col).alias("id"), digest(tokens_col))
+    if sets is None:
+        reps = rows.groupBy("digest").agg(F.min("id").alias("rep_id"), F.count(F.lit(1)).alias("copies"))
+    else:
+        reps = sets.select(F.col("id").alias("rep_id"), digest("tokens"), "copies")
+    reps = reps.filter(F.col("copies") > 1).select("rep_id", "digest")
+    return rows.join(reps, "digest").filter(F.col("id") != F.col("rep_id")).select("id", "rep_id")
 
 
 def _by_rarity(sets: DataFrame) -> DataFrame:

@@ -450,7 +450,7 @@ def er_clusters(spark: SparkSession, sf: str) -> DataFrame:
     sets = materialize(distinct_sets(rows, "id", "tokens"), "doc-sets")
     copies = copy_links(rows, "id", "tokens", sets).select(F.col("rep_id").alias("id_a"), F.col("id").alias("id_b"))
     alike = similar_sets(sets, DOC_DISTANCE).select("id_a", "id_b")
-    return resolution.entity_clusters(rows.select("id"), copies.unionByName(alike))
+    return resolution.entity_clusters(rows.select("id"), materialize(copies.unionByName(alike), "same-as"))
 
 
 # --- graph ---------------------------------------------------------------------------------------------------------

@@ -58,6 +58,16 @@ def test_a_set_is_not_sent_for_each_of_its_pairs(spark, without_broadcasts):
     assert sent < 500 * 60 * 59 // 2  # a set takes about 1,000 bytes
 
 
+def test_links_of_copies_send_no_tokens(spark, without_broadcasts):
+    rows = family(40, 50, 3)
+    rows += [(i + 100, s) for i, s in rows[:30]]
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in rows] + [(500, []), (501, [])], "id int, tokens array<string>")
+    for sets in (None, distinct_sets(df, "id", "tokens")):
+        links, sent = shuffled(copy_links(df, "id", "tokens", sets and setjoin.materialize(sets, "sets")))
+        assert sorted((r["id"], r["rep_id"]) for r in links) == [(i + 100, i) for i in range(30)]
+    assert sent < 150 * 72
+
+
 def test_pairs_are_whole_however_work_is_cut(spark, monkeypatch, bits, distance):
     """Blocks of few keys, cells of few sets, and sets that share their numbers."""
     for name, value in (("_SENT", 40), ("_FORMED", 30), ("_PART_KEYS", 60), ("_COUNT_KEYS", 50), ("_CELL_SETS", 8), ("_FAMILY_SETS", 4)):
