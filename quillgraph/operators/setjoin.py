@@ -603,10 +603,15 @@ def similar_sets_lsh(
     near = _verify(candidates, numbered, max_distance).select(*found)
     if not any_crowded:
         return near
-    hashes = rows.join(members, "no", "left_semi").select("no", "hashes")
-    within = numbered.select("no", "id", _joined("tokens").alias("joined")).join(hashes, "no")
-    within = within.select("id", F.split("joined", _BREAK).alias("tokens"), "hashes").withColumn("n", F.size("tokens"))
-    exact = similar_sets(materialize(within, "crowded-sets"), max_distance, carry=["hashes"])
+    within = numbered.withColumnRenamed("no", "mark")
+    if 2 * members.count() < rows.count():  # else what is not crowded is joined in vain, which takes less than moving all others
+        some = numbered.select("no", "id", _joined("tokens").alias("joined")).join(members, "no")
+        some = some.select("id", F.split("joined", _BREAK).alias("tokens"), F.col("no").alias("mark"))
+        within = materialize(some.withColumn("n", F.size("tokens")), "crowded-sets")
+    exact = similar_sets(within, max_distance, carry=["mark"])
+    hashes = materialize(rows.join(members, "no", "left_semi").select("no", "hashes"), "crowded-hashes")
+    for side in "ab":
+        exact = exact.join(hashes.select(F.col("no").alias(f"mark_{side}"), F.col("hashes").alias(f"hashes_{side}")), f"mark_{side}")
     first = first_shared_table(F.col("hashes_a"), F.col("hashes_b"), num_tables)
     return near.unionByName(exact.withColumn("shared_table", first).filter(F.col("shared_table").isNotNull()).select(*found))
 

@@ -68,6 +68,21 @@ def test_links_of_copies_send_no_tokens(spark, without_broadcasts):
     assert sent < 150 * 72
 
 
+def test_crowded_buckets_move_few_sets(spark, monkeypatch, without_broadcasts):
+    written, materialize = {}, setjoin.materialize
+
+    def kept(df, tag):
+        written[tag] = df.schema.names
+        return materialize(df, tag)
+
+    rows = family(40, 50, 4) + [(i + 100, s) for i, s in documents(20, 4)]
+    sets = materialize(as_sets(spark, rows), "sets")
+    monkeypatch.setattr(setjoin, "materialize", kept)
+    found = similar_sets_lsh(sets, 0.3, 20, bucket_limit=5).drop("shared_table")
+    assert listed(found) == brute(rows, 0.3) != []
+    assert not any("tokens" in columns for columns in written.values())
+
+
 def test_pairs_are_whole_however_work_is_cut(spark, monkeypatch, bits, distance):
     """Blocks of few keys, cells of few sets, and sets that share their numbers."""
     for name, value in (("_SENT", 40), ("_FORMED", 30), ("_PART_KEYS", 60), ("_COUNT_KEYS", 50), ("_CELL_SETS", 8), ("_FAMILY_SETS", 4)):
