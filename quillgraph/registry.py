@@ -26,7 +26,7 @@ from .plans.components import connected_components
 from .plans.cooccurrence import both_directions, connected_nodes, cooccurrence, projection_counts, with_pmi
 from .plans.graph import detach_delete, fill_properties, orders_graph
 from .plans.ontology import co_occurs_rule
-from .session import materialize, scratch_path
+from .session import ScratchScope, materialize, scratch_path
 from .sources.files import read_bucket_of, read_delimited, read_table, write_bucketed, write_table
 from .sources.upsert import rename_same_as, upsert_edges, upsert_nodes
 from .sources.versioned import VersionedTable, merge_edges, merge_nodes
@@ -410,8 +410,10 @@ def pairs_lsh_docs(spark: SparkSession, sf: str) -> DataFrame:
 def pairs_lsh_docs_check(spark: SparkSession, sf: str) -> DataFrame:
     """(outside, enough): MinHash pairs that the exact join does not have, and whether nearly all of its pairs are found."""
     sets = materialize(distinct_sets(_doc_tokens(spark, sf), "id", "tokens"), "doc-sets")
-    found = materialize(similar_sets_lsh(sets, DOC_DISTANCE).select("id_a", "id_b"), "found")
-    exact = materialize(similar_sets(sets, DOC_DISTANCE).select("id_a", "id_b"), "exact")
+    with ScratchScope(spark) as scope:
+        found = scope.keep(similar_sets_lsh(sets, DOC_DISTANCE).select("id_a", "id_b"), "found")
+    with ScratchScope(spark) as scope:
+        exact = scope.keep(similar_sets(sets, DOC_DISTANCE).select("id_a", "id_b"), "exact")
     outside = found.join(exact, ["id_a", "id_b"], "left_anti").agg(F.count(F.lit(1)).alias("outside"))
     missed = exact.join(found, ["id_a", "id_b"], "left_anti").agg(F.count(F.lit(1)).alias("missed"))
     total = exact.count()

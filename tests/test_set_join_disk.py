@@ -83,6 +83,22 @@ def test_crowded_buckets_move_few_sets(spark, monkeypatch, without_broadcasts):
     assert not any("tokens" in columns for columns in written.values())
 
 
+def test_the_check_leaves_no_tables_of_its_steps(spark, sf, monkeypatch):
+    written, materialize = [], setjoin.materialize
+
+    def noted(df, tag):
+        written.append(materialize(df, tag))
+        return written[-1]
+
+    monkeypatch.setattr(setjoin, "materialize", noted)
+    row = registry.pairs_lsh_docs_check(spark, sf).first()
+    assert (row["outside"], row["enough"]) == (0, 1)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark.sparkContext._jsc.hadoopConfiguration())
+    assert written and not [t for t in written if any(system.exists(path(f)) for f in t._jdf.inputFiles())]
+
+
+@pytest.mark.parametrize(("bits", "distance"), [(32, 0.3), (4, 0.3), (4, 0.6)])
 def test_pairs_are_whole_however_work_is_cut(spark, monkeypatch, bits, distance):
     """Blocks of few keys, cells of few sets, and sets that share their numbers."""
     for name, value in (("_SENT", 40), ("_FORMED", 30), ("_PART_KEYS", 60), ("_COUNT_KEYS", 50), ("_CELL_SETS", 8), ("_FAMILY_SETS", 4)):
