@@ -26,7 +26,7 @@ from .plans.components import connected_components
 from .plans.cooccurrence import both_directions, connected_nodes, cooccurrence, projection_counts, with_pmi
 from .plans.graph import detach_delete, fill_properties, orders_graph
 from .plans.ontology import co_occurs_rule
-from .session import ScratchScope, materialize, scratch_path
+from .session import ScratchScope, drop_materialized, materialize, scratch_path
 from .sources.files import read_bucket_of, read_delimited, read_table, write_bucketed, write_table
 from .sources.upsert import rename_same_as, upsert_edges, upsert_nodes
 from .sources.versioned import VersionedTable, merge_edges, merge_nodes
@@ -451,8 +451,10 @@ def er_clusters(spark: SparkSession, sf: str) -> DataFrame:
     rows = materialize(_doc_tokens(spark, sf), "doc-tokens")
     sets = materialize(distinct_sets(rows, "id", "tokens"), "doc-sets")
     copies = copy_links(rows, "id", "tokens", sets).select(F.col("rep_id").alias("id_a"), F.col("id").alias("id_b"))
+    copies, nodes = materialize(copies, "copies"), materialize(rows.select("id"), "doc-ids")
+    drop_materialized(rows)  # the set join needs their disk
     alike = similar_sets(sets, DOC_DISTANCE).select("id_a", "id_b")
-    return resolution.entity_clusters(rows.select("id"), materialize(copies.unionByName(alike), "same-as"))
+    return resolution.entity_clusters(nodes, materialize(copies.unionByName(alike), "same-as"))
 
 
 # --- graph ---------------------------------------------------------------------------------------------------------

@@ -83,6 +83,28 @@ def test_crowded_buckets_move_few_sets(spark, monkeypatch, without_broadcasts):
     assert not any("tokens" in columns for columns in written.values())
 
 
+def there(spark, table):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    system = hadoop.FileSystem.getLocal(spark.sparkContext._jsc.hadoopConfiguration())
+    return any(system.exists(hadoop.Path(file)) for file in table._jdf.inputFiles())
+
+
+def test_clusters_drop_the_tokens_of_rows_before_the_set_join(spark, sf, monkeypatch):
+    written, seen, materialize, join = {}, [], registry.materialize, registry.similar_sets
+
+    def noted(df, tag):
+        return written.setdefault(tag, materialize(df, tag))
+
+    def joined(*args, **options):
+        seen.extend(there(spark, table) for table in written.values() if "tokens" in table.columns)
+        return join(*args, **options)
+
+    monkeypatch.setattr(registry, "materialize", noted)
+    monkeypatch.setattr(registry, "similar_sets", joined)
+    assert registry.er_clusters(spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert sum(seen) == 1  # the distinct sets
+
+
 def test_the_check_leaves_no_tables_of_its_steps(spark, sf, monkeypatch):
     written, materialize = [], setjoin.materialize
 
@@ -93,9 +115,7 @@ def test_the_check_leaves_no_tables_of_its_steps(spark, sf, monkeypatch):
     monkeypatch.setattr(setjoin, "materialize", noted)
     row = registry.pairs_lsh_docs_check(spark, sf).first()
     assert (row["outside"], row["enough"]) == (0, 1)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    system = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getLocal(spark.sparkContext._jsc.hadoopConfiguration())
-    assert written and not [t for t in written if any(system.exists(path(f)) for f in t._jdf.inputFiles())]
+    assert written and not any(there(spark, table) for table in written)
 
 
 @pytest.mark.parametrize(("bits", "distance"), [(32, 0.3), (4, 0.3), (4, 0.6)])
